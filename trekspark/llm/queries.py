@@ -29,8 +29,38 @@ def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), vocabulary())
 
 
+def op6_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import digests
+
+    return digests(documents(spark, sf_dir), vocabulary())
+
+
+def op1_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import predict
+
+    return predict(documents(spark, sf_dir))
+
+
+def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import verdicts
+
+    return verdicts(documents(spark, sf_dir))
+
+
+def op9_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import grouped
+
+    return grouped(documents(spark, sf_dir))
+
+
+def op10_shape_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find
+
+    return find(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_content_store, op3_pattern_packing)}
+    return {f.__name__: f for f in (op1_language_families, op2_content_store, op3_pattern_packing, op6_backtracking_bpe, op7_rule_ledger, op9_hamming_join, op10_shape_crf)}
 
 
 def oracle_sql() -> dict[str, str]:
