@@ -20,11 +20,12 @@ WINDOW = 8
 RULES: dict[str, str] = {
     "few_words": "n_words < 20",
     "repeated_words": "100 * n_repeat_words > 30 * n_words",
-    "many_symbols": "5 * n_symbols > word_chars",
-    "repeated_lines": "n_lines >= 4 AND 10 * n_dup_lines > 3 * n_lines",
+    "many_symbols": "20 * n_symbols > word_chars",
+    "repeated_lines": "n_lines >= 4 AND 20 * n_dup_lines > 7 * n_lines",
     "long_words": "word_chars > 40 * n_words",
     "shouting": "n_upper * 10 > 6 * n_letters",
     "no_letters": "n_words > 0 AND n_letters = 0",
+    "stutter": "10 * n_stutter > 3 * n_words",
 }
 #: Versioned policies: the rules whose failure removes a text.
 POLICIES: dict[str, tuple[str, ...]] = {
@@ -48,12 +49,12 @@ def _octets_without(text: str, symbols: str) -> str:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """doc_id and the measurements of each text: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_letters, n_upper.
+    """doc_id and the measurements of each text: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_letters, n_upper, n_stutter (words equal to the word before).
 
     A null or empty text has zeros throughout. Windows of words are compared by 64-bit hashes of word hashes within one
     text, so two different windows of one text are taken for equal with a chance of about 1e-11 for 20,000 words.
     """
-    space = "' \\t\\n\\u000b\\f\\r'"
+    space = "' \t\n\x0b\x0c\r'"  # the characters themselves: SQL literals know no escape for some of them
     t = only(docs, "doc_id", "text").select("doc_id", F.expr("coalesce(text, '')").alias("t"))
     t = t.withColumn("trimmed", F.expr(f"trim(BOTH {space} FROM t)"))
     t = t.withColumn("words", F.when(F.col("trimmed") == "", F.array().cast("array<string>")).otherwise(F.split("trimmed", f"[{SPACE_CLASS}]+")))
@@ -76,7 +77,8 @@ def measured(docs: DataFrame) -> DataFrame:
     t = t.withColumn("s", F.when(twice, F.array_sort(F.transform("w", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))))
     t = t.withColumn("s", F.expr("array_sort(transform(filter(s, (e, k) -> coalesce(get(s, k - 1).x = e.x, false) OR coalesce(get(s, k + 1).x = e.x, false)), e -> e.i))"))
     covered = F.expr(f"aggregate(s, named_struct('n', 0L, 'e', 0), (a, i) -> named_struct('n', a.n + (i + {WINDOW} - greatest(i, a.e)), 'e', i + {WINDOW}), a -> a.n)")
-    return t.select("doc_id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"), "n_letters", "n_upper")
+    stutter = F.expr("cast(size(filter(h, (x, i) -> coalesce(x = get(h, i - 1), false))) as long)").alias("n_stutter")
+    return t.select("doc_id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"), "n_letters", "n_upper", stutter)
 
 
 def ledger(docs: DataFrame) -> DataFrame:
@@ -112,11 +114,7 @@ def verdicts(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     """The documents that the policy keeps, with all their columns."""
-    marked = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    judged = _carried(marked, docs)
-    return judged.filter(~(F.col("failed").bitwiseAND(F.lit(mask(policy) | mask("base")).cast("long")) != 0)).select("_row.*")
-
-
-def _carried(marked: DataFrame, docs: DataFrame) -> DataFrame:
-    """The ledger with each document's whole row beside it, without a join: the row travels as the ledger's id."""
-    return ledger(marked.select(F.col("_row").alias("doc_id"), F.col("text"))).withColumnRenamed("doc_id", "_row")
+    # The whole row travels as the ledger's id, so no join brings the columns back.
+    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), F.col("text"))
+    fails = F.col("failed").bitwiseAND(F.lit(mask(policy) | mask("base")).cast("long"))
+    return ledger(carried).filter(fails == 0).select("doc_id.*")
