@@ -29,6 +29,12 @@ def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), vocabulary())
 
 
+def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixtree import score
+
+    return score(documents(spark, sf_dir))
+
+
 def op6_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import digests
 
@@ -60,7 +66,7 @@ def op10_shape_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_families, op2_content_store, op3_pattern_packing, op6_backtracking_bpe, op7_rule_ledger, op9_hamming_join, op10_shape_crf)}
+    return {f.__name__: f for f in (op1_language_families, op2_content_store, op3_pattern_packing, op4_suffix_tree, op6_backtracking_bpe, op7_rule_ledger, op9_hamming_join, op10_shape_crf)}
 
 
 def oracle_sql() -> dict[str, str]:
