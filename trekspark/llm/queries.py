@@ -35,6 +35,18 @@ def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(documents(spark, sf_dir))
 
 
+def op5_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jpeg import features
+
+    return features(documents(spark, sf_dir))
+
+
+def op8_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    return scan(documents(spark, sf_dir))
+
+
 def op6_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import digests
 
@@ -65,8 +77,14 @@ def op10_shape_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(documents(spark, sf_dir))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_families, op2_content_store, op3_pattern_packing, op4_suffix_tree, op6_backtracking_bpe, op7_rule_ledger, op9_hamming_join, op10_shape_crf)}
+    return {f.__name__: f for f in (op1_language_families, op2_content_store, op3_pattern_packing, op4_suffix_tree, op5_progressive_jpeg, op6_backtracking_bpe, op7_rule_ledger, op8_patience_licenses, op9_hamming_join, op10_shape_crf, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
