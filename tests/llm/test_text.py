@@ -1,0 +1,299 @@
+"""Language ID, suffix tree, quality rules, licenses, near duplicates and personal data against brute force."""
+
+import collections
+import hashlib
+import math
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from trekspark.llm import langid, licenses, neardup, pii, quality, suffixtree
+
+from .conftest import ODD
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+# --- Language ID
+
+
+def test_held_out_accuracy(docs, texts):
+    got = {r.doc_id: r for r in langid.predict(docs).collect()}
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    held = [i for i in got if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert all(got[i].held_out == (i in set(held)) for i in got)
+    assert np.mean([got[i].lang_pred == truth[i] for i in held]) > 0.97
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_language_of_odd_rows(odd):
+    got = {(r.doc_id, r.lang_pred) for r in langid.predict(odd).collect()}
+    assert {(1, "und"), (2, "und"), (3, "und"), (9, "und"), (4, "en")} <= got
+    nothing = langid.predict(odd.withColumn("lang", F.lit(None).cast("string")))
+    assert {r.lang_pred for r in nothing.collect()} == {"und"}
+    assert langid.predict(odd.limit(0)).count() == 0
+    kept = langid.keep_known(odd)
+    assert kept.columns == odd.columns and kept.filter("doc_id IN (1, 2, 3, 9)").count() == 0
+
+
+def test_prediction_does_not_depend_on_slices(monkeypatch):
+    rng = np.random.default_rng(0)
+    weights = rng.normal(size=(langid.BUCKETS, 2)).astype(np.float32)
+    texts = pa.array(["the quick brown fox", "", "é" * 50, "x y z" * 40])
+    whole = langid.scores(texts, weights)
+    monkeypatch.setattr(langid, "SLICE", 17)
+    assert np.allclose(whole, langid.scores(texts, weights), atol=1e-5)
+
+
+# --- Suffix tree
+
+
+def brute_base(texts):
+    words = {i: WORD.findall(t.translate(LOWER)) + ["\n"] for i, t in texts.items()}
+    count = collections.Counter(w for i, ws in words.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in ws)
+    n, v = sum(count.values()), len(count)
+    return {i: (len(ws), sum(count[w] > 0 for w in ws), n, sum(math.log10((count[w] + 1) / (n + v + 1)) for w in ws)) for i, ws in words.items()}
+
+
+def test_base_scores_and_model_on_held_out(docs, texts):
+    got = {r.doc_id: r for r in suffixtree.score(docs).collect()}
+    want = brute_base(texts)
+    for i, r in got.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == want[i][:3] and r.base_score == pytest.approx(want[i][3])
+    # Held-out texts gain more than 0.15 digits a symbol over the same symbols without any context.
+    train = pa.array([t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2])
+    share = np.bincount(suffixtree.symbols(train)[0], minlength=suffixtree.COUNT) + 1.0
+    flat = np.log10(share / share.sum())
+    held = [r for r in got.values() if r.held_out]
+    n, plain = 0, 0.0
+    for r in held:
+        s, inside, _ = suffixtree.symbols(pa.array([texts[r.doc_id]]))
+        n, plain = n + len(s) - suffixtree.DEPTH, plain + (flat[s] + inside)[suffixtree.DEPTH :].sum()
+    assert sum(r.score for r in held) > plain + 0.15 * n
+
+
+def test_tree_is_a_distribution_and_walks_like_brute_force(docs):
+    _, tree, _ = suffixtree.learn(docs.limit(40))
+    assert np.allclose((10.0 ** tree.logp).sum(axis=1), 1, atol=1e-4)
+    text = "the river runs"
+    s, share, _ = suffixtree.symbols(pa.array([text]))
+    node, total = 0, 0.0
+    for i, x in enumerate(s):
+        if i >= suffixtree.DEPTH:
+            total += tree.logp[tree.dist[node], x] + share[i]
+        node = tree.step[node, x]
+    assert tree.score(pa.array([text, "other"]))[0] == pytest.approx(total, rel=1e-5)
+
+
+def test_scores_of_odd_rows(odd):
+    got = suffixtree.score(odd).collect()
+    assert len(got) == len(ODD)
+    empty = [r for r in got if r.doc_id in (1, 2, 3)]
+    assert all(r.n_tokens == 1 and math.isfinite(r.score) for r in empty)
+    assert suffixtree.score(odd.limit(0)).count() == 0
+
+
+# --- Quality rules
+
+
+def repeated(words):
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    twice = collections.Counter(windows)
+    return len({j for i, w in enumerate(windows) if twice[w] > 1 for j in range(i, i + 8)})
+
+
+def measured(t):
+    w, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), repeated(w)
+
+
+@pytest.mark.parametrize("table", ["docs", "odd"])
+def test_measurements(request, table):
+    df = request.getfixturevalue(table)
+    rows = collections.Counter((r.doc_id, r.text) for r in df.collect())
+    got = collections.Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in quality.ledger(df).collect())
+    want = collections.Counter()
+    for (i, t), n in rows.items():
+        want[(i, *measured(t or ""))] += n
+    assert got == want
+
+
+def test_overlapping_repeats(spark):
+    for text in ("a b c d e f g h " * 3, "a " * 30, "x " + "one two three four five six seven eight nine ten " * 2 + "y", "fa fb\ffa\x0bfb f"):
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        assert quality.ledger(df).first().n_repeat_words == repeated(WORD.findall(text))
+
+
+def test_policies_and_ablation(docs):
+    rows = quality.verdicts(docs).collect()
+    assert all(r.kept == (not r.base_failed and r.failed & quality.mask(quality.CURRENT) == 0) for r in rows)
+    for r in quality.ablation(quality.ledger(docs)).collect():
+        b, m = quality.bit(r.rule), quality.mask(quality.CURRENT)
+        bits = [x.failed & m for x in rows]
+        assert (r.failed, r.alone, r.kept, r.kept_without) == (sum(x & b > 0 for x in bits), sum(x == b for x in bits), bits.count(0), sum(x in (0, b) for x in bits))
+
+
+def test_kept_rows_keep_their_columns(odd):
+    kept = quality.keep_good(odd)
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {4, 6, 7, None, 12}
+    assert quality.keep_good(odd.limit(0)).count() == 0
+
+
+# --- Licenses
+
+
+def brute_lis(v):
+    best = [1] * len(v)
+    for i in range(len(v)):
+        best[i] = max([1, *(best[j] + 1 for j in range(i) if v[j] < v[i])])
+    return max(best, default=0)
+
+
+def test_longest_increasing_subsequence():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        v = rng.permutation(12).tolist()
+        picked = [v[i] for i in licenses.increasing(v)]
+        assert picked == sorted(picked) and len(picked) == brute_lis(v)
+
+
+def test_alignment_matches_equal_words_in_order():
+    a, b = "x the river the mill y z".split(), "the river flows the mill".split()
+    match = licenses.patience(a, b)
+    assert all(a[i] == b[j] for i, j in match) and match == sorted(match) and len(match) == 4
+
+
+def test_notices_are_found_and_clean_texts_are_not(spark, odd):
+    mit = licenses.TEMPLATES["mit"]
+    df = spark.createDataFrame([(1, "Some words. Licensed under CC BY-NC 4.0."), (2, "intro " + mit.replace("free of charge", "without charge") + " outro"), (3, "Released under\nthe MIT License. " * 2), (4, "the license of a fishing boat is under the table")], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert got[1].license == "cc-by-nc-4.0-notice" and got[2].license == "mit" and 0.9 < got[2].coverage < 1 and got[3].license == "mit-notice" and got[4].license is None
+    assert licenses.scan(odd).count() == len(ODD) and licenses.scan(odd.limit(0)).count() == 0
+    assert all(r.license is None for r in licenses.scan(odd).collect())
+
+
+# --- Near duplicates
+
+
+def brute_groups(rows):
+    sets = {}
+    for i, t in rows:
+        w = WORD.findall((t or "").translate(LOWER))
+        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+    parent = {i: i for i in sets}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(sets)
+    for x, i in enumerate(ids):
+        for j in ids[x + 1 :]:
+            a, b = sets[i], sets[j]
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                p, q = find(i), find(j)
+                parent[max(p, q)] = min(p, q)
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def test_groups_agree_with_all_pairs(docs, texts):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.grouped(docs).collect()}
+    assert got == brute_groups(texts.items())
+
+
+def test_a_chain_of_edits_is_one_group(spark):
+    rng = np.random.default_rng(4)
+    words, rows = [f"w{i}" for i in range(120)], []
+    for i in range(60):
+        rows.append((i, " ".join(words)))
+        words[int(rng.integers(120))] = f"n{i}"
+    rows += [(100 + i, " ".join(f"z{i}{k}" for k in range(30))) for i in range(20)] + [(200, "a b"), (201, "A b"), (202, None), (203, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.grouped(df).collect()}
+    assert got == brute_groups(rows)
+
+
+def test_pigeonhole_finds_every_pair_within_the_distance():
+    rng = np.random.default_rng(9)
+    for far in range(16):
+        a = rng.integers(0, 1 << 16, (1, neardup.VALUES)).astype(np.uint16)
+        b = a.copy()
+        b[0, rng.choice(neardup.VALUES, far, replace=False)] += 1
+        x, y = (v.reshape(-1, neardup.CHUNK) for v in (a, b))
+        assert ((x != y).sum(axis=1) <= 1).any()
+
+
+def test_groups_of_odd_rows(odd):
+    rows = neardup.grouped(odd).collect()
+    got = {(r.doc_id, r.component_id, r.kept) for r in rows}
+    assert len(rows) == len(ODD)
+    assert {(1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True), (5, 4, False), (6, 4, False), (7, 4, False), (None, None, True)} <= got
+    kept = neardup.keep_one(odd)
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 4, None, 8, 9, 10, 11, 12}
+    assert neardup.grouped(odd.limit(0)).count() == 0
+
+
+# --- Personal data
+
+
+def brute_base_spans(t):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[^0-9]", "", m[0])
+        odd_sum = sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(d)))
+        if 14 <= len(d) <= 19 and odd_sum % 10 == 0:
+            out.append((m.start(), 2, m.end()))
+    out += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return sorted(out)
+
+
+def test_base_spans_are_the_patterns(texts):
+    rng = np.random.default_rng(6)
+    made = ["".join(rng.choice(list("01239ab@.+-() \n"), 60)) for _ in range(3000)] + ["a@b.c@d.e f@g.h.i@j", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "+1 (212) 555-0100 and +12", "256.1.1.1", "x@y"]
+    for t in [*texts.values(), *made]:
+        assert pii.base_spans(t) == brute_base_spans(t), t
+
+
+def test_viterbi_is_the_best_path():
+    rng = np.random.default_rng(8)
+    field = pii.Field()
+    field.step = rng.normal(size=field.step.shape)
+    shapes = rng.integers(0, pii.BUCKETS, (1, 3))
+    field.parts["own"][shapes[0]] = rng.normal(size=(3, len(pii.TAGS))) * 2
+    got = field.viterbi(shapes, np.zeros((1, 3), int), np.array([3]))[0].tolist()
+    e, t = field.emissions(field.features(shapes, np.zeros((1, 3), int)))[0], range(len(pii.TAGS))
+    paths = {(a, b, c): e[0, a] + e[1, b] + e[2, c] + field.step[a, b] + field.step[b, c] for a in t if field.start[a] for b in t if field.allowed[a, b] for c in t if field.allowed[b, c]}
+    assert tuple(got) == max(paths, key=paths.get)
+
+
+def test_field_on_held_out_sentences():
+    model, wrong, total = pii.trained(), 0, 0
+    for words, tags in pii.labelled(copies=3, seed=99):
+        text, places, at = " ".join(words), [], 0
+        for w in words:
+            places.append(at)
+            at += len(w) + 1
+        found = {s for s, _, _ in pii.all_spans([text], model)[0][1]}
+        want = {places[i] + pii.core(w)[0] for i, (w, tag) in enumerate(zip(words, tags)) if tag.startswith("B-")}
+        total += 1
+        wrong += found != want
+    assert wrong / total < 0.08
+
+
+def test_personal_data_of_odd_rows(spark, odd):
+    rows = pii.find(odd).collect()
+    assert len(rows) == len(ODD) and all(r.spans == "" for r in rows if r.doc_id in (1, 2, 3, 4, 7))
+    assert pii.find(odd.limit(0)).count() == 0
+    df = spark.createDataFrame([(1, "mail me: jo.do@example.org or 10.0.0.1, ok", 3)], "doc_id long, text string, n_chars long")
+    row = pii.find(df).first()
+    assert row.base_sha256 == hashlib.sha256(b"email:9:26,ip:30:38").hexdigest() and (row.n_email, row.n_ip) == (1, 1)
+    clean = pii.redact(df).first()
+    assert clean.text == "mail me: <EMAIL> or <IP>, ok" and clean.n_chars == len(clean.text)
+    assert pii.redact(odd).columns == odd.columns and pii.redact(odd).count() == len(ODD)
