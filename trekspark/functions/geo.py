@@ -57,7 +57,7 @@ def geohash(lat: Column, lon: Column, precision: int = 7) -> Column:
 
 def coordinate_text(value: Column, digits: int) -> Column:
     """The value rounded half up to so many decimals, with all of them written. -0 is written as 0."""
-    return F.format_string(f"%.{digits}f", F.round(value, digits) + F.lit(0.0))
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f", F.round(value, digits) + F.lit(0.0)))
 
 
 def pair_text(lat: Column, lon: Column, digits: int, between: str = "_") -> Column:
