@@ -85,3 +85,14 @@ def test_geohash_cells_and_prefixes(spark):
     out = df.select(geo.geohash(F.col("lat"), F.col("lon"), 8), geo.geohash(F.col("lat"), F.col("lon"), 5)).collect()
     assert out[0][0] == "u4pruydq" and out[1][0] == "zzzzzzzz" and out[2][0] == "s0000000" and out[3][0] is None
     assert all(a is None or a.startswith(b) for a, b in out)
+
+
+def test_split_users_give_the_same_trips(spark, sf):
+    from trekspark.queries import points
+
+    def flow(split_s):
+        moved = trips.drop_fast(trips.with_motion(points(spark, sf), split_s))
+        kept, table = trips.segment_trips(moved, 720, 100, split_s=split_s)
+        return sorted((r.event_id, r.trip_id, r.dist_m, r.speed_kmh is None) for r in kept.collect()), sorted((r.trip_id, r.points) for r in table.collect())
+
+    assert flow(None) == flow(86_400)

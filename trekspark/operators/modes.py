@@ -6,12 +6,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import mode_of_speed, speed_kmh
 from ..sources.schema import pick
 from .features import accel_by_trip, dwell_ratio, matched_by_trip, stop_density_by_trip
+from .ranks import running_sums
 
 CORE = ["avg_speed_kmh", "distance_km", "duration_min", "start_hour", "day_of_week"]
 EXTENDED = ["dwell_ratio", "accel_std", "accel_iqr", "mean_stop_density", "lateral_offset_mean_m", "lateral_offset_max_m", "matched_confidence_mean", "matched_confidence_max", "curvature_heading_change_per_km"]
@@ -63,29 +64,23 @@ def trip_dataset(trips: DataFrame, points: DataFrame | None = None, stays: DataF
 def split_by_time(df: DataFrame, test: float = 0.2, val: float = 0.2) -> DataFrame:
     """df with `split`: the earliest trips train, then validation, then test; cut at exact shares of start_time and trip_id order.
 
-    Ranks come from a range partition and per-partition counts, so no task holds all rows.
+    Ranks are running sums over ranges of time, so no task holds all rows.
     """
-    spread = df.repartitionByRange("start_time", "trip_id").sortWithinPartitions("start_time", "trip_id")
-    placed = spread.withColumn("_part", F.spark_partition_id()).withColumn("_in", F.monotonically_increasing_id())
-    from .graph import written
-
-    placed = written(placed)
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy("_in")) + F.col("_before")
-    total = F.lit(placed.count())
+    ranked = running_sums(df.withColumn("_all", F.lit(1)), ["_all"], ["start_time", "trip_id"], {"_rank": F.lit(1)})
+    total = F.lit(df.count())
     cut = lambda share: F.floor(total * share)
     where = F.when(F.col("_rank") <= total - cut(test) - cut(val), "train").when(F.col("_rank") <= total - cut(test), "val").otherwise("test")
-    return placed.join(F.broadcast(before), F.col("_part") == F.col("_p")).withColumn("_rank", rank).withColumn("split", where).drop("_part", "_p", "_in", "_before", "_rank")
+    return ranked.withColumn("split", where).drop("_all", "_rank")
 
 
 def split_stratified(df: DataFrame, test: float = 0.2, val: float = 0.2, seed: int = 42) -> DataFrame:
     """df with `split`: each label's rows in hash order, the same shares of every label."""
-    w = Window.partitionBy(LABEL)
-    rank = F.row_number().over(w.orderBy(F.xxhash64("trip_id", F.lit(seed)), "trip_id"))
-    size = F.count(F.lit(1)).over(w)
-    where = F.when(rank <= F.ceil(size * test), "test").when(rank <= F.ceil(size * test) + F.ceil(size * val), "val").otherwise("train")
-    return df.withColumn("split", where)
+    sizes = df.groupBy(LABEL).agg(F.count(F.lit(1)).alias("_size"))  # a row per label
+    hashed = df.withColumn("_hash", F.xxhash64("trip_id", F.lit(seed)))
+    ranked = running_sums(hashed, [LABEL], ["_hash", "trip_id"], {"_rank": F.lit(1)}).join(F.broadcast(sizes), LABEL)
+    cut = lambda share: F.ceil(F.col("_size") * share)
+    where = F.when(F.col("_rank") <= cut(test), "test").when(F.col("_rank") <= cut(test) + cut(val), "val").otherwise("train")
+    return ranked.withColumn("split", where).select(*df.columns, "split")
 
 
 def train_classifier(train: DataFrame, features: list[str] | None = None, reg: float = 0.01) -> tuple[PipelineModel, list[str]]:

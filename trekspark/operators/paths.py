@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m, pair_text
+from .ranks import quantiles
 
 
 def encoded_paths(points: DataFrame, rounding: int = 5, step: int = 5, order: tuple[str, ...] = ("timestamp",), lat: str = "lat", lon: str = "lon", length: bool = False) -> DataFrame:
@@ -51,13 +52,14 @@ def od_bin(digits: int = 3) -> Column:
     return F.concat(pair_text(F.col("start_lat"), F.col("start_lon"), digits), F.lit("->"), pair_text(F.col("end_lat"), F.col("end_lon"), digits))
 
 
-def od_outliers(trips: DataFrame, multiplier: float = 1.5, digits: int = 3) -> DataFrame:
+def od_outliers(trips: DataFrame, multiplier: float = 1.5, digits: int = 3, accuracy: int | None = None) -> DataFrame:
     """Trips with od_bin, is_distance_outlier, is_duration_outlier, outlier_reason: strictly outside the quartiles' fences of their bin.
 
-    The fences are aggregated once a bin and joined back, so a hot bin isn't gathered for a window.
+    The fences are aggregated once a bin and joined back, so a hot bin isn't gathered for a window; give an accuracy where bins hold more different
+    values than fit in memory.
     """
     df = trips.withColumn("od_bin", od_bin(digits))
-    quart = lambda c: F.percentile(c, F.array(F.lit(0.25), F.lit(0.75)))
+    quart = lambda c: quantiles(c, (0.25, 0.75), accuracy)
     fences = df.groupBy("od_bin").agg(quart("distance_m").alias("_d"), quart("duration_s").alias("_t"))
     both = df.join(fences, "od_bin")
 

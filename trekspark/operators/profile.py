@@ -17,8 +17,8 @@ FEATURES = ["total_trips", "median_trip_distance_km", "median_trip_duration_min"
 
 def gyration(points: DataFrame) -> DataFrame:
     """user_id, radius_of_gyration_km: root mean square distance to the mean place."""
-    w = Window.partitionBy("user_id")
-    df = points.filter("lat IS NOT NULL AND lon IS NOT NULL").withColumns({"_a": F.avg("lat").over(w), "_o": F.avg("lon").over(w)})
+    df = points.filter("lat IS NOT NULL AND lon IS NOT NULL")
+    df = df.join(df.groupBy("user_id").agg(F.avg("lat").alias("_a"), F.avg("lon").alias("_o")), "user_id")
     d = haversine_m(F.col("lat"), F.col("lon"), F.col("_a"), F.col("_o"))
     return df.groupBy("user_id").agg((F.sqrt(F.avg(d * d)) / 1000.0).alias("radius_of_gyration_km"))
 

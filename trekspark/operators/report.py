@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import seconds_between
+from .ranks import quantiles
 
 
 def overview(points: DataFrame) -> DataFrame:
@@ -39,9 +40,9 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).join(F.broadcast(ends)).groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def box(df: DataFrame, value: str, *keys: str) -> DataFrame:
+def box(df: DataFrame, value: str, *keys: str, accuracy: int | None = None) -> DataFrame:
     """keys, n, min, q1, median, q3, max."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    q = quantiles(value, (0.25, 0.5, 0.75), accuracy)
     out = df.groupBy(*keys).agg(F.count(value).alias("n"), F.min(value).alias("min"), q.alias("q"), F.max(value).alias("max"))
     return out.select(*keys, "n", "min", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "max")
 

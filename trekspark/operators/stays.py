@@ -221,9 +221,9 @@ def match_stays(a: DataFrame, b: DataFrame, radius_m: float = 100.0, overlap_min
 
 def dispersion(stays: DataFrame, *keys: str) -> DataFrame:
     """keys, dispersion_m: mean distance of the stays' centres to their mean centre."""
-    w = Window.partitionBy(*keys)
-    d = haversine_m(F.col("center_lat"), F.col("center_lon"), F.avg("center_lat").over(w), F.avg("center_lon").over(w))
-    return stays.withColumn("_d", d).groupBy(*keys).agg(F.avg("_d").alias("dispersion_m"))
+    middle = stays.groupBy(*keys).agg(F.avg("center_lat").alias("_a"), F.avg("center_lon").alias("_o"))
+    d = haversine_m(F.col("center_lat"), F.col("center_lon"), F.col("_a"), F.col("_o"))
+    return stays.join(middle, list(keys)).groupBy(*keys).agg(F.avg(d).alias("dispersion_m"))
 
 
 def stay_stats(stays: DataFrame) -> DataFrame:

@@ -9,23 +9,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m
+from .ranks import quantiles, running_sums
 from .stays import detect_stays_dbscan, detect_stays_hdbscan, dispersion
 from .trips import drop_fast, number_trips, trip_table, with_motion
 
 METRICS = ("distance_m", "duration_s", "avg_speed_kmh")
 
 
+def _distance(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, n_a, n_b, d from rows (keys, value, a, b) that count a value on each side."""
+    totals = counts.groupBy(*keys).agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b")).filter("n_a > 0 AND n_b > 0")
+    run = running_sums(counts, keys, [value], {"fa": F.col("a"), "fb": F.col("b")}).join(F.broadcast(totals), keys)
+    gap = F.abs(F.col("fa") / F.col("n_a") - F.col("fb") / F.col("n_b"))
+    return run.groupBy(*keys).agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.max(gap).alias("d"))
+
+
 def ks_table(samples: DataFrame, keys: list[str], value: str, side: str) -> DataFrame:
     """keys, n_a, n_b, d: two-sample Kolmogorov-Smirnov distance of `value` between rows whose `side` is true and false.
 
-    Values are counted first, so windows run over different values only.
+    Values are counted first; the running counts are taken over ranges of values, not in one task per key.
     """
-    per = samples.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(F.col(side).cast("long")).alias("a"), F.sum((~F.col(side)).cast("long")).alias("b"))
-    w = Window.partitionBy(*keys)
-    up = w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    run = per.withColumns({"n_a": F.sum("a").over(w), "n_b": F.sum("b").over(w), "fa": F.sum("a").over(up), "fb": F.sum("b").over(up)})
-    gap = F.abs(F.col("fa") / F.col("n_a") - F.col("fb") / F.col("n_b"))
-    return run.filter("n_a > 0 AND n_b > 0").groupBy(*keys).agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.max(gap).alias("d"))
+    counts = samples.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(F.col(side).cast("long")).alias("a"), F.sum((~F.col(side)).cast("long")).alias("b"))
+    return _distance(counts, keys, value)
 
 
 def ks_p(d: Column, n: Column, m: Column, terms: int = 60) -> Column:
@@ -51,10 +56,7 @@ def cross_user(trips: DataFrame, folds: int = 5, seed: int = 42) -> DataFrame:
     each = tagged.groupBy("metric", "value", "own").count().filter("value IS NOT NULL")
     spread = each.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
     weighted = spread.groupBy("fold", "metric", "value").agg(F.sum(F.when(F.col("own") == F.col("fold"), F.col("count")).otherwise(0)).alias("a"), F.sum(F.when(F.col("own") != F.col("fold"), F.col("count")).otherwise(0)).alias("b"))
-    w = Window.partitionBy("fold", "metric")
-    up = w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    run = weighted.withColumns({"n_a": F.sum("a").over(w), "n_b": F.sum("b").over(w), "fa": F.sum("a").over(up), "fb": F.sum("b").over(up)}).filter("n_a > 0 AND n_b > 0")
-    out = run.groupBy("fold", "metric").agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.max(F.abs(F.col("fa") / F.col("n_a") - F.col("fb") / F.col("n_b"))).alias("d"))
+    out = _distance(weighted, ["fold", "metric"], "value")
     return out.withColumn("p_asymptotic", ks_p(F.col("d"), F.col("n_a").cast("double"), F.col("n_b").cast("double")))
 
 
@@ -63,10 +65,10 @@ def quarter(ts: Column) -> Column:
     return F.concat(F.year(t).cast("string"), F.lit("Q"), F.quarter(t).cast("string"))
 
 
-def period_stats(trips: DataFrame, period: Column | None = None) -> DataFrame:
+def period_stats(trips: DataFrame, period: Column | None = None, accuracy: int | None = None) -> DataFrame:
     """period, metric, n, median, p25, p75."""
     df = trips.filter("start_time IS NOT NULL").withColumn("period", quarter(F.col("start_time")) if period is None else period)
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    q = quantiles("value", (0.25, 0.5, 0.75), accuracy)
     return long_metrics(df, "period").groupBy("period", "metric").agg(F.count("value").alias("n"), q.alias("q")).select("period", "metric", "n", F.col("q")[1].alias("median"), F.col("q")[0].alias("p25"), F.col("q")[2].alias("p75"))
 
 

@@ -13,8 +13,8 @@ from .settings import Settings
 
 def clean_trips(points: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """Motion, speed filter and trips; one shuffle on the user."""
-    moved = trips.drop_fast(trips.with_motion(points), s.max_speed_kmh)
-    return trips.segment_trips(moved, s.gap_min, s.min_trip_m, s.min_points)
+    moved = trips.drop_fast(trips.with_motion(points, s.split_s), s.max_speed_kmh)
+    return trips.segment_trips(moved, s.gap_min, s.min_trip_m, s.min_points, s.split_s)
 
 
 def ingest(spark: SparkSession, s: Settings) -> tuple[str, str]:

@@ -31,6 +31,7 @@ class Settings:
     precision: float = 1e-4
     deviation_m: float = 200.0
     span_m: float = 300.0
+    split_s: int | None = None
 
 
 # Where each setting stands in the configuration file.
