@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces that are remembered between batches of one Python worker; later ones are encoded again when they come back.
-MEMO = 300_000
+MEMO = 200_000
 #: A run of these behind a letter or digit is a token run of its own; splitting it off leaves fewer different pieces.
 TAIL = r"([a-z0-9ß-öø-ÿ])([.,!?;:|#$%&*]+)(?:[ \n]|$)"
 PLAIN = re.compile("[a-zß-öø-ÿ]+")
