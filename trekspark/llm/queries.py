@@ -87,5 +87,37 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_language_families, op2_content_store, op3_pattern_packing, op4_suffix_tree, op5_progressive_jpeg, op6_backtracking_bpe, op7_rule_ledger, op8_patience_licenses, op9_hamming_join, op10_shape_crf, pipeline)}
 
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _ledger_sql() -> str:
+    """The rule ledger in SQL, from the rules' own conditions."""
+    from . import quality
+
+    symbols = "".join(quality.SYMBOLS)
+    without = lambda v, pattern: f"length({v}) - length(regexp_replace({v}, '{pattern}', '', 'g'))"
+    bits = " + ".join(f"CASE WHEN {rule} THEN {quality.bit(name)} ELSE 0 END" for name, rule in quality.RULES.items())
+    return f"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls FROM documents),
+j AS (SELECT *, array_to_string(ws, '') AS js FROM w),
+r AS (SELECT doc_id, i, ws[i:i + 7] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)), p AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM r) WHERE c > 1),
+v AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM p, range(0, 8) o(k) GROUP BY doc_id),
+m AS (SELECT j.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(js) AS BIGINT) AS word_chars, CAST({without('t', '[' + symbols + ']')} AS BIGINT) AS n_symbols, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+ CAST(coalesce(v.n, 0) AS BIGINT) AS n_repeat_words, CAST({without('js', '[A-Za-z\\x{80}-\\x{10FFFF}]+')} AS BIGINT) AS n_letters, CAST({without('js', '[A-ZÀ-ÖØ-Þ]+')} AS BIGINT) AS n_upper, CAST(len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS BIGINT) AS n_stutter FROM j LEFT JOIN v USING (doc_id)),
+f AS (SELECT *, CAST({bits} AS BIGINT) AS failed FROM m)
+SELECT *, failed & {quality.mask('base')} <> 0 AS base_failed, failed & {quality.mask('base') | quality.mask(quality.CURRENT)} = 0 AS kept FROM f"""
+
+
+def _groups_sql() -> str:
+    """Near-duplicate groups over all pairs that share a shingle; texts are unique by doc_id."""
+    return f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5) UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 4)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), x AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM x JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * shared >= 75 * (p.n + q.n - shared)), e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+c AS (SELECT doc_id AS v, doc_id AS r FROM documents UNION SELECT c.v, e.b FROM c JOIN e ON c.r = e.a),
+o AS (SELECT v AS doc_id, min(r) AS component_id FROM c GROUP BY v)
+SELECT o.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, o.doc_id = component_id AS kept FROM o LEFT JOIN n USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can say the query. Token ids, fitted models and JPEG files can't be; tests hold those to brute force."""
+    return {"op7_rule_ledger": _ledger_sql(), "op9_hamming_join": _groups_sql()}
