@@ -180,3 +180,14 @@ def test_features_of_odd_rows(odd):
     assert len(same) == 1 and jpeg.features(odd.limit(0)).count() == 0
     one = jpeg.media(odd.filter("doc_id = 2")).first()
     assert len(one.rgb) == 3 * one.width * one.height
+
+
+def test_long_payloads_go_on_in_further_files(monkeypatch):
+    text = "the river runs past the old mill ".encode() * 300
+    whole = jpeg.stored_rows([text, b""], whole=True)
+    monkeypatch.setattr(jpeg, "PART", 4 * jpeg.UNIT)
+    monkeypatch.setattr(jpeg, "LIMIT", 6 * jpeg.UNIT)
+    cut = jpeg.stored_rows([text, b""], whole=True)
+    for a, b in zip(whole, cut):
+        assert (a.payload.hexdigest(), a.tail, a.payload_bytes) == (b.payload.hexdigest(), b.tail, b.payload_bytes)
+    assert len(cut[0].files) == -(-len(text) // (4 * jpeg.UNIT)) and len(whole[0].files) == 1

@@ -30,6 +30,8 @@ UNIT, FILL, CENTRE = 576, b"\xff", 108
 RESTART = 8
 #: Text bytes that a task works on at a time; arrays of about 60 times this size are held.
 LIMIT = 2 << 20
+#: Payload bytes of one file at most; a longer payload goes on in further files.
+PART = 1820 * UNIT
 MOST_HIGH = 4095  # MCUs; a JPEG side has 16 bits
 
 
@@ -603,8 +605,56 @@ def padded(text: bytes) -> bytes:
     return text + FILL * (-len(text) % UNIT if text else UNIT)
 
 
+def parts_of(payload: bytes) -> list[bytes]:
+    """A payload in pieces of at most PART bytes, each of which is a file of its own."""
+    return [payload[i : i + PART] for i in range(0, len(payload), PART)]
+
+
+class Row:
+    """What is gathered of one text while its parts pass by; its tensor is the parts' tensors on top of each other."""
+
+    def __init__(self, text: bytes, whole: bool):
+        self.text, self.whole = text, whole
+        self.payload, self.media, self.files, self.tensors = hashlib.sha256(), hashlib.sha256(), [], []
+        self.payload_bytes = self.media_bytes = self.width = self.height = self.crc = 0
+        self.tail, self.sums = b"", np.zeros(3, np.int64)
+
+    def add(self, data: bytes, image: Image, coefs: np.ndarray) -> None:
+        back, tensor = payload_of(image, coefs), rgb(image, coefs)
+        self.payload.update(back)
+        self.media.update(data)
+        self.payload_bytes, self.media_bytes, self.tail = self.payload_bytes + len(back), self.media_bytes + len(data), (self.tail + back)[-32:]
+        self.width, self.height = image.width, self.height + image.height
+        raw = tensor.tobytes()
+        self.sums, self.crc = self.sums + tensor.reshape(-1, 3).sum(axis=0, dtype=np.int64), zlib.crc32(raw, self.crc)
+        if self.whole:
+            self.files.append(data)
+            self.tensors.append(raw)
+
+    def feature(self) -> str:
+        return f"{self.width}x{self.height}:{':'.join(map(str, self.sums * 100 // (self.width * self.height)))}:{self.crc:08x}"
+
+
+def stored_rows(texts: list[bytes], whole: bool = False) -> list[Row]:
+    """Stores and reads back the texts, about LIMIT bytes of payload at a time however long one is."""
+    rows = [Row(t, whole) for t in texts]
+    jobs = [(r, part) for r in rows for part in parts_of(padded(r.text))]
+    at = 0
+    while at < len(jobs):
+        to, size = at, 0
+        while to < len(jobs) and (to == at or size + len(jobs[to][1]) <= LIMIT):
+            size += len(jobs[to][1])
+            to += 1
+        files = encode([part for _, part in jobs[at:to]])
+        images, coefs = coefficients(files)
+        for (row, _), data, image in zip(jobs[at:to], files, images):
+            row.add(data, image, coefs)
+        at = to
+    return rows
+
+
 def media(docs: DataFrame) -> DataFrame:
-    """doc_id, media (a progressive JPEG of the text's padded UTF-8), width, height, rgb (the decoded tensor's bytes, row by row).
+    """doc_id, media (progressive JPEG of the text's padded UTF-8; beyond PART bytes, files one after the other), width, height, rgb (the decoded tensor's bytes, row by row).
 
     Null text counts as empty (a payload of fill alone); repeated rows repeat; a null id stays null; an empty table gives
     no rows; other columns aren't read.
@@ -612,10 +662,8 @@ def media(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in bounded(batches, limit=LIMIT):
-            files = encode([padded(t.encode()) for t in texts_of(batch).to_pylist()])
-            images, coefs = coefficients(files)
-            tensors = [rgb(i, coefs) for i in images]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(files, pa.binary()), pa.array([i.width for i in images], pa.int32()), pa.array([i.height for i in images], pa.int32()), pa.array([t.tobytes() for t in tensors], pa.binary())], names=["doc_id", "media", "width", "height", "rgb"])
+            rows = stored_rows([t.encode() for t in texts_of(batch).to_pylist()], whole=True)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b"".join(r.files) for r in rows], pa.binary()), pa.array([r.width for r in rows], pa.int32()), pa.array([r.height for r in rows], pa.int32()), pa.array([b"".join(r.tensors) for r in rows], pa.binary())], names=["doc_id", "media", "width", "height", "rgb"])
 
     return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, media binary, width int, height int, rgb binary")
 
@@ -626,22 +674,15 @@ FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string
 def features(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature of every row; odd rows as in media().
 
-    The payload is read back from the stored file's coefficients. feature is the tensor's size, channel means in 1/100
+    The payload is read back from the stored files' coefficients. feature is the tensor's size, channel means in 1/100
     and crc32.
     """
 
     def run(batches):
         for batch in bounded(batches, limit=LIMIT):
-            texts = [t.encode() for t in texts_of(batch).to_pylist()]
-            files = encode([padded(t) for t in texts])
-            images, coefs = coefficients(files)
-            rows = []
-            for text, data, image in zip(texts, files, images):
-                back, tensor = payload_of(image, coefs), rgb(image, coefs)
-                means = tensor.reshape(-1, 3).sum(axis=0, dtype=np.int64) * 100 // (tensor.shape[0] * tensor.shape[1])
-                rows.append((len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(data), hashlib.sha256(data).hexdigest(), f"{image.width}x{image.height}:{':'.join(map(str, means))}:{zlib.crc32(tensor.tobytes()):08x}"))
+            rows = stored_rows([t.encode() for t in texts_of(batch).to_pylist()])
+            columns = [[len(r.text) for r in rows], [r.payload_bytes for r in rows], [r.payload.hexdigest() for r in rows], [zlib.crc32(r.tail) for r in rows], [r.media_bytes for r in rows], [r.media.hexdigest() for r in rows], [r.feature() for r in rows]]
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds))], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
     return only(docs, "doc_id", "text").mapInArrow(run, FEATURES)
