@@ -93,7 +93,7 @@ def _value(kind: str, rng: np.random.Generator) -> str:
     return made + end
 
 
-def labelled(copies: int = 12, seed: int = 5) -> list[tuple[list[str], list[str]]]:
+def labelled(copies: int = 5, seed: int = 5) -> list[tuple[list[str], list[str]]]:
     """The labelled table: words and tags of each sentence, a few hundred in all."""
     rng = np.random.default_rng(seed)
     out = []
@@ -180,7 +180,7 @@ class Field:
         return out
 
 
-def fit(table: list[tuple[list[str], list[str]]], rounds: int = 120, rate: float = 0.25, penalty: float = 2e-4) -> Field:
+def fit(table: list[tuple[list[str], list[str]]], rounds: int = 80, rate: float = 0.25, penalty: float = 2e-4) -> Field:
     """Maximum likelihood with a quadratic penalty: forward-backward over all sentences at once, Adam steps."""
     field, n, length = Field(), len(table), max(len(w) for w, _ in table)
     shapes, cues, gold = (np.zeros((n, length), np.int64) for _ in range(3))
