@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df written below spark.checkpoint.dir and read back; below a temporary folder only where that is unset."""
+    """df written below spark.checkpoint.dir and read back; below a temporary folder only where that is unset, in local mode."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="trekspark-")
         spark.sparkContext.setCheckpointDir(base)
     path = f"{base.rstrip('/')}/rounds-{uuid.uuid4().hex}"
