@@ -21,11 +21,13 @@ SPACE_CLASS = r"\x20\x09-\x0D"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below spark.checkpoint.dir; only where that is unset, below a temporary folder of our own."""
+    """A fresh folder below spark.checkpoint.dir; only where that is unset, in local mode, below a temporary folder of our own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="trekspark-")
         spark.sparkContext.setCheckpointDir(base)
     elif not spark.sparkContext.getCheckpointDir():
