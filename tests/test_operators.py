@@ -78,6 +78,34 @@ def test_path_decoding_passes_over_malformed_vertices(spark):
     assert [tuple(v) for v in df.first().v] == [(1.0, 2.0), (5.0, 6.0)]
 
 
+@pytest.mark.parametrize("cells", [1, 7, 40, 1 << 20])
+def test_closest_paths_agree_with_all_pairs_of_points_and_paths(spark, cells):
+    rng = np.random.default_rng(3)
+    code = lambda vertices: ";".join(f"{a:.2f}:{b:.2f}" for a, b in vertices)
+    baseline = [code(rng.integers(0, 9, (rng.integers(2, 6), 2)) / 100 + (40, 116)) for _ in range(12)]
+    baseline += [";".join(reversed(baseline[0].split(";"))), "40.00:116.00"]  # a tie, and a path of one vertex
+    rows = [("u", f"u-{t}", i, None, *(x + 0.0 for x in (rng.random(2) / 10 + (40, 116)).tolist())) for t in range(8) for i in range(rng.integers(1, 9))]
+    rows.append(("u", "u-0", 99, None, None, None))
+    m = spark.createDataFrame(rows, "user_id string, trip_id string, seq int, snapped_time timestamp, snapped_lat double, snapped_lon double")
+    b = spark.createDataFrame([(p,) for p in baseline], "path_id string")
+    got = {(r.trip_id, r.seq): (r.path_id, round(r.deviation_m, 6)) for r in paths.closest_paths(m, b, cells).collect()}
+
+    def metres(a, o, c, p):
+        a, o, c, p = np.radians([a, o, c, p])
+        h = np.sin((c - a) / 2) ** 2 + np.cos(a) * np.cos(c) * np.sin((p - o) / 2) ** 2
+        return 2 * 6371000 * np.arctan2(np.sqrt(h), np.sqrt(1 - h))
+
+    want = {}
+    for trip in {r[1] for r in rows}:
+        own = [r for r in rows if r[1] == trip and r[4] is not None]
+        each = {p: [min(metres(r[4], r[5], *map(float, v.split(":"))) for v in p.split(";")) for r in own] for p in baseline if ";" in p}
+        best = min(each, key=lambda p: (round(float(np.median(each[p])), 7), p))
+        want |= {(trip, r[2]): (best, round(d, 6)) for r, d in zip(own, each[best])}
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-5 for k in want)
+    assert not paths.closest_paths(m, b.filter("path_id = '40.00:116.00'"), cells).count()
+
+
 def test_plt_and_label_files(spark, tmp_path):
     folder = tmp_path / "007" / "Trajectory"
     folder.mkdir(parents=True)

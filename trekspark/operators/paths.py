@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import haversine_m, pair_text
+from ..functions.geo import EARTH_M, haversine_m, pair_text
 from .ranks import quantiles
 
 
@@ -80,32 +82,61 @@ def vertex_table(baseline: DataFrame) -> DataFrame:
 
 #: Vertices of baseline paths that go to every task; more are refused by name rather than sent.
 MOST_VERTICES = 200_000
+#: Distances that a task holds at a time.
+CELLS = 2_000_000
 
 
-def point_deviations(matched: DataFrame, baseline: DataFrame) -> DataFrame:
-    """trip_id, seq, path_id, deviation_m: each matched point's distance to the nearest vertex of every baseline path.
+def closest_paths(matched: DataFrame, baseline: DataFrame, cells: int = CELLS) -> DataFrame:
+    """The matched points with path_id, the baseline path closest to their trip, and deviation_m, their distance to its nearest vertex.
 
-    Every point meets every path by definition; the paths' side is a report of frequent paths, checked to be small, and is
-    broadcast, so points aren't shuffled for it.
+    The closest path has the lowest median deviation over the trip (ties: the smaller id), so a trip is compared with
+    every path. The paths' side is a report of frequent paths, checked to be small, and goes to every task; distances are
+    taken in blocks of `cells` inside the trip's task, and one row per point leaves it. Points without coordinates
+    and, where no baseline path has two vertices, all points are left out.
     """
-    vertices = vertex_table(baseline)
-    n = vertices.count()
-    if n > MOST_VERTICES:
-        raise ValueError(f"{n} vertices in the baseline; raise its support so that at most {MOST_VERTICES} remain")
-    paths = vertices.groupBy("path_id").agg(F.collect_list(F.struct("v_lat", "v_lon")).alias("vs")).agg(F.collect_list(F.struct("path_id", "vs")).alias("paths"))
-    near = lambda p: F.array_min(F.transform(p["vs"], lambda v: haversine_m(F.col("snapped_lat"), F.col("snapped_lon"), v["v_lat"], v["v_lon"])))
-    each = matched.filter("snapped_lat IS NOT NULL AND snapped_lon IS NOT NULL").join(F.broadcast(paths))
-    return each.select("user_id", "trip_id", "seq", "snapped_time", "snapped_lat", "snapped_lon", F.explode(F.transform("paths", lambda p: F.struct(p["path_id"].alias("path_id"), near(p).alias("deviation_m")))).alias("x")).select("user_id", "trip_id", "seq", "snapped_time", "snapped_lat", "snapped_lon", "x.*")
+    found = vertex_table(baseline).limit(MOST_VERTICES + 1).toPandas()
+    if len(found) > MOST_VERTICES:
+        raise ValueError(f"more than {MOST_VERTICES} vertices in the baseline; raise its support")
+    found = found.sort_values("path_id", kind="stable")
+    names, first = np.unique(found["path_id"].to_numpy(str), return_index=True)
+    places, of = np.unique(np.radians(found[["v_lat", "v_lon"]].to_numpy(float)), axis=0, return_inverse=True)
+    shared = matched.sparkSession.sparkContext.broadcast((names, np.append(first, len(found)), places, of.reshape(-1)))
+
+    def nearest(trip: pa.Table) -> pa.Table:
+        names, starts, places, of = shared.value
+        lat, lon = (np.radians(trip[c].to_numpy()) for c in ("snapped_lat", "snapped_lon"))
+        n, at, best, path, deviation = len(lat), 0, np.inf, None, np.zeros(0)
+        while at < len(names):
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + cells // n, side="right")) - 1)
+            used, column = np.unique(of[starts[at] : starts[to]], return_inverse=True)
+            rows = max(1, cells // len(column))
+            near = [np.minimum.reduceat(_distances(lat[k : k + rows], lon[k : k + rows], places[used])[:, column], starts[at:to] - starts[at], axis=1) for k in range(0, n, rows)]
+            near = np.concatenate(near)
+            medians = np.median(near, axis=0)
+            k = int(medians.argmin())
+            if medians[k] < best:
+                best, path, deviation = medians[k], str(names[at + k]), near[:, k]
+            at = to
+        kept = trip if path is not None else trip.slice(0, 0)
+        return kept.append_column("path_id", pa.array([path] * kept.num_rows, pa.string())).append_column("deviation_m", pa.array(deviation, pa.float64()))
+
+    points = matched.filter("snapped_lat IS NOT NULL AND snapped_lon IS NOT NULL").select("user_id", "trip_id", "seq", "snapped_time", "snapped_lat", "snapped_lon")
+    schema = points.select("*", F.lit(None).cast("string").alias("path_id"), F.lit(None).cast("double").alias("deviation_m")).schema
+    return points.groupBy("trip_id").applyInArrow(nearest, schema)
+
+
+def _distances(lat: np.ndarray, lon: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Great-circle metres from each point (a row) to each place (a column), all in radians."""
+    h = np.sin((places[:, 0] - lat[:, None]) / 2) ** 2 + np.cos(lat)[:, None] * np.cos(places[:, 0]) * np.sin((places[:, 1] - lon[:, None]) / 2) ** 2
+    return 2.0 * EARTH_M * np.arctan2(np.sqrt(h), np.sqrt(1 - h))
 
 
 def matched_detours(matched: DataFrame, baseline: DataFrame, threshold_m: float = 200.0, min_span_m: float = 300.0) -> DataFrame:
     """Spans of a trip that stay farther than `threshold_m` from its closest baseline path for at least `min_span_m`.
 
-    The closest path has the lowest median deviation (ties: the smaller id). A span's length includes the step into it.
+    A span's length includes the step into it.
     """
-    dev = point_deviations(matched, baseline)
-    best = dev.groupBy("trip_id", "path_id").agg(F.median("deviation_m").alias("m")).groupBy("trip_id").agg(F.min_by("path_id", F.struct("m", "path_id")).alias("path_id"))
-    own = dev.join(best, ["trip_id", "path_id"])
+    own = closest_paths(matched, baseline)
     w = Window.partitionBy("trip_id").orderBy("snapped_time", "seq")
     step = F.coalesce(haversine_m(F.lag("snapped_lat").over(w), F.lag("snapped_lon").over(w), F.col("snapped_lat"), F.col("snapped_lon")), F.lit(0.0))
     own = own.withColumns({"step": step, "over": F.col("deviation_m") > threshold_m, "n": F.row_number().over(w)})
