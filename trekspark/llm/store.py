@@ -17,6 +17,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -186,25 +187,44 @@ def verify(spark: SparkSession, path: str) -> DataFrame:
     return now.exceptAll(spark.read.schema(now.schema).parquet(f"{path}/manifest"))
 
 
+def _check(recipes: pa.RecordBatch) -> None:
+    for names, root in zip(recipes.column("digests").to_pylist(), recipes.column("root").to_pylist()):
+        if merkle(names) != root:
+            raise ValueError("a recipe doesn't give its Merkle root")
+
+
 def _checked(recipes: DataFrame) -> DataFrame:
     """The same recipes; raises where a root isn't that of the digests."""
 
     def run(batches):
         for batch in batches:
-            for names, root in zip(batch.column("digests").to_pylist(), batch.column("root").to_pylist()):
-                if merkle(names) != root:
-                    raise ValueError("a recipe doesn't give its Merkle root")
+            _check(batch)
             yield batch
 
     return recipes.mapInArrow(run, recipes.schema)
 
 
+ENTRIES = "doc_id long, start long, n_tokens long, chunks int, pos int, digest binary, n long, behind long"
+
+
 def _entries(spark: SparkSession, path: str) -> DataFrame:
-    """A row per document and chunk, with the number of ids that follow the chunk in its document."""
-    recipes = _checked(read_recipes(spark, path))
-    each = recipes.select("doc_id", "start", "n_tokens", F.posexplode(F.arrays_zip("digests", "lens")).alias("pos", "entry"), F.size("digests").alias("chunks"), "lens")
-    behind = F.aggregate(F.slice("lens", F.col("pos") + 2, F.size("lens")), F.lit(0).cast("long"), lambda a, x: a + x)
-    return each.select("doc_id", "start", "n_tokens", "chunks", "pos", F.col("entry.digests").alias("digest"), F.col("entry.lens").alias("n"), behind.alias("behind"))
+    """A row per document and chunk of the recipes, checked against their roots, with the number of ids that follow the chunk in its document."""
+
+    def run(batches):
+        for batch in batches:
+            _check(batch)
+            lens = batch.column("lens")
+            count = pc.list_value_length(lens).to_numpy()
+            row = pa.array(np.repeat(np.arange(len(count)), count))
+            n = lens.flatten().to_numpy()
+            ends = np.concatenate([[0], np.cumsum(n)])
+            behind = np.repeat(ends[np.cumsum(count)], count) - ends[1:]
+            pos = np.arange(len(n)) - np.repeat(np.cumsum(count) - count, count)
+            columns = [batch.column(c).take(row) for c in ("doc_id", "start", "n_tokens")]
+            columns += [pa.array(np.repeat(count, count).astype(np.int32)), pa.array(pos.astype(np.int32)), batch.column("digests").flatten(), pa.array(n), pa.array(behind)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "chunks", "pos", "digest", "n", "behind"])
+
+    return read_recipes(spark, path).mapInArrow(run, ENTRIES)
 
 
 def reconstruct(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
