@@ -177,6 +177,22 @@ def test_notices_are_found_and_clean_texts_are_not(spark, odd):
     assert all(r.license is None for r in licenses.scan(odd).collect())
 
 
+def test_edited_licenses_are_bound_by_word_occurrences(spark):
+    rows = []
+    for i, (name, edits) in enumerate([("mit", 15), ("bsd-2-clause", 11), ("isc", 6), ("bsd-notice", 3)]):
+        words = licenses.WORD.findall(licenses.TEMPLATES[name].lower())
+        once = [k for k, w in enumerate(words) if words.count(w) == 1]
+        for k in once[1 : edits + 1]:
+            words[k] = f"edited{k}"
+        rows.append((i, "One line before. " + " ".join(words) + " zzz " * 9, name, 1 - edits / len(words)))
+    words = licenses.WORD.findall(licenses.TEMPLATES["mit"].lower())
+    rows.append((4, " ".join(words[:30] + ["other"] * 14 + words[44:]), "mit", 1 - 14 / len(words)))  # edited in one stretch
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    for i, _, name, coverage in rows:
+        assert got[i].license == name and got[i].coverage == pytest.approx(coverage), (i, name, got[i])
+
+
 # --- Near duplicates
 
 

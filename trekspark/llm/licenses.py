@@ -1,7 +1,7 @@
 """License scans by patience alignment against templates.
 
 A document's words are compared with each template's. Where a run of the document holds enough of a template's
-different words, run and template are aligned: words that occur once in both are anchors, the longest increasing
+word occurrences, run and template are aligned: words that occur once in both are anchors, the longest increasing
 subsequence of them is kept, and the gaps between anchors are aligned in the same way. Coverage is the share of the
 template's words that were matched.
 """
@@ -43,11 +43,12 @@ TEMPLATES = {
 
 
 @functools.lru_cache(maxsize=1)
-def templates() -> list[tuple[str, list[str], frozenset[str]]]:
+def templates() -> list[tuple[str, list[str], Counter[str]]]:
+    """(name, words, how often each word occurs) of every template."""
     out = []
     for name, text in TEMPLATES.items():
         words = WORD.findall(text.lower())
-        out.append((name, words, frozenset(words)))
+        out.append((name, words, Counter(words)))
     return out
 
 
@@ -97,12 +98,22 @@ def patience(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def runs(words: list[str], vocabulary: frozenset[str]) -> list[tuple[int, int]]:
-    """Runs (from, to) of the words in which template words are at most GAP apart."""
+def gap_of(want: list[str], least: float) -> int:
+    """Words without a template word that may part a run: GAP, or as many as a finding may miss in one stretch."""
+    return max(GAP, int((1 - least) * len(want) + 1e-9))
+
+
+def held(words: list[str], counts: Counter[str]) -> int:
+    """At most so many template words can be matched in these words: each as often as it occurs in both."""
+    return (Counter(w for w in words if w in counts) & counts).total()
+
+
+def runs(words: list[str], vocabulary: Counter[str], gap: int = GAP) -> list[tuple[int, int]]:
+    """Runs (from, to) of the words in which template words are at most `gap` apart."""
     out: list[list[int]] = []
     for i, w in enumerate(words):
         if w in vocabulary:
-            if out and i - out[-1][1] <= GAP:
+            if out and i - out[-1][1] <= gap:
                 out[-1][1] = i + 1
             else:
                 out.append([i, i + 1])
@@ -110,23 +121,22 @@ def runs(words: list[str], vocabulary: frozenset[str]) -> list[tuple[int, int]]:
 
 
 def windows(words: list[str], a: int, b: int, want: list[str], least: float) -> list[tuple[int, int]]:
-    """Parts of a run, each as long as twice the template at most and half overlapping, that hold enough different words."""
+    """Parts of a run, each as long as twice the template at most and half overlapping, that hold enough of its word occurrences."""
     size = 2 * len(want) + GAP
     step = max(1, size // 2)
-    need = least * len(set(want))
+    counts = Counter(want)
     spans = [(a, b)] if b - a <= size else [(p, min(b, p + size)) for p in range(a, b - step, step)]
-    return [(p, q) for p, q in spans if len(set(words[p:q]) & set(want)) >= need]
+    return [(p, q) for p, q in spans if held(words[p:q], counts) >= least * len(want)]
 
 
 def scan_words(words: list[str], least: float = LEAST) -> list[tuple[str, float, int, int]]:
     """(template, coverage, first word, word behind the last) of each template's best finding, best first."""
     found = []
-    present = set(words)
-    for name, want, vocabulary in templates():
-        if len(vocabulary & present) < least * len(vocabulary):
+    for name, want, counts in templates():
+        if held(words, counts) < least * len(want):
             continue
         best = None
-        for a, b in runs(words, vocabulary):
+        for a, b in runs(words, counts, gap_of(want, least)):
             for p, q in windows(words, a, b, want, least):
                 match = patience(words[p:q], want)
                 coverage = len(match) / len(want)
@@ -147,10 +157,10 @@ def scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
     def run(batches):
         vocabulary = pa.array(sorted(set().union(*(v for _, _, v in templates()))))
         index = {w: i for i, w in enumerate(vocabulary.to_pylist())}
-        member = np.zeros((len(vocabulary), len(templates())), bool)
-        for t, (_, _, words) in enumerate(templates()):
-            member[[index[w] for w in words], t] = True
-        need = np.array([least * len(v) for _, _, v in templates()])
+        times = np.zeros((len(vocabulary), len(templates())), np.int64)
+        for t, (_, _, counts) in enumerate(templates()):
+            times[[index[w] for w in counts], t] = list(counts.values())
+        need = np.array([least * len(want) for _, want, _ in templates()])
         for batch in bounded(batches):
             texts = pc.ascii_lower(texts_of(batch))
             parts = pc.split_pattern(pc.replace_substring_regex(texts, "[^a-z0-9]+", " "), " ")
@@ -158,9 +168,9 @@ def scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
             coded = parts.flatten().dictionary_encode()
             known = pc.index_in(coded.dictionary, value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)[coded.indices.to_numpy()]
             hit = known >= 0
-            pair = np.unique(doc[hit].astype(np.int64) * len(vocabulary) + known[hit])
-            have = np.zeros((len(texts), len(templates())))
-            np.add.at(have, pair // len(vocabulary), member[pair % len(vocabulary)])
+            pair, n = np.unique(doc[hit].astype(np.int64) * len(vocabulary) + known[hit], return_counts=True)
+            have = np.zeros((len(texts), len(templates())), np.int64)
+            np.add.at(have, pair // len(vocabulary), np.minimum(times[pair % len(vocabulary)], n[:, None]))
             rows = [(None, 0.0, 0, "")] * len(texts)
             for i in np.flatnonzero((have >= need).any(axis=1)):
                 if found := scan_words(WORD.findall(texts[int(i)].as_py()), least):
