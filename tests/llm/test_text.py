@@ -193,6 +193,21 @@ def test_edited_licenses_are_bound_by_word_occurrences(spark):
         assert got[i].license == name and got[i].coverage == pytest.approx(coverage), (i, name, got[i])
 
 
+def test_notices_near_each_other_are_found():
+    near = "Read the notes. Released under the MIT License. Released under the MIT License. See the file."
+    found = licenses.scan_words(licenses.WORD.findall(near.lower()))
+    assert found == [("mit-notice", 1.0, 3, 8)]
+    for name, want, _ in licenses.templates():
+        for between in ([], "of the software".split(), "and this is the license in all copies".split()):
+            words = "see the notes of the".split() + want + between + want + between + want + "in the file".split()
+            found = {f[0]: f for f in licenses.scan_words(words)}
+            assert found[name][1] == 1, (name, between)
+    mit = licenses.TEMPLATES["mit"].lower()
+    edited = licenses.WORD.findall(mit.replace("free of charge", "without any fee").replace("publish", "print"))
+    found = {f[0]: f for f in licenses.scan_words("the notice of".split() + edited + "and".split() + edited + "to the end".split())}
+    assert found["mit"][1] == pytest.approx(1 - 4 / 87)
+
+
 # --- Near duplicates
 
 

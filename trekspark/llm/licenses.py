@@ -1,15 +1,16 @@
 """License scans by patience alignment against templates.
 
 A document's words are compared with each template's. Where a run of the document holds enough of a template's
-word occurrences, run and template are aligned: words that occur once in both are anchors, the longest increasing
-subsequence of them is kept, and the gaps between anchors are aligned in the same way. Coverage is the share of the
-template's words that were matched.
+word occurrences, parts of the run, cut so that one of them holds one copy, are aligned with the template: words that
+occur once in both are anchors, the longest increasing subsequence of them is kept, and the gaps between anchors are
+aligned in the same way. Coverage is the share of the template's words that were matched.
 """
 
 from __future__ import annotations
 
 import bisect
 import functools
+import math
 import re
 from collections import Counter
 
@@ -120,29 +121,72 @@ def runs(words: list[str], vocabulary: Counter[str], gap: int = GAP) -> list[tup
     return [(a, b) for a, b in out]
 
 
-def windows(words: list[str], a: int, b: int, want: list[str], least: float) -> list[tuple[int, int]]:
-    """Parts of a run, each as long as twice the template at most and half overlapping, that hold enough of its word occurrences."""
-    size = 2 * len(want) + GAP
-    step = max(1, size // 2)
-    counts = Counter(want)
-    spans = [(a, b)] if b - a <= size else [(p, min(b, p + size)) for p in range(a, b - step, step)]
-    return [(p, q) for p, q in spans if held(words[p:q], counts) >= least * len(want)]
+def windows(words: list[str], a: int, b: int, counts: Counter[str], need: int, size: int) -> list[tuple[int, int, int]]:
+    """(bound, from, to) of parts of a run that may hold a finding, highest bound first.
+
+    For each bound from `need` to the whole template: every part of at most `size` words that holds so many of the template's
+    word occurrences and no shorter part inside it does, so a part ends where one copy does. Besides, the run itself if it
+    is no longer than `size`, else parts of `size` words, half overlapping.
+    """
+    step = size // 2
+    wide = [(a, b)] if b - a <= size else [(p, min(b, p + size)) for p in range(a, b - step, step)]
+    out = [(k, p, q) for p, q in wide if (k := held(words[p:q], counts)) >= need]
+    hits = [(i, words[i]) for i in range(a, b) if words[i] in counts]
+    for level in range(need, counts.total() + 1):
+        seen: Counter[str] = Counter()
+        have = left = 0
+        last = -1
+        for i, w in hits:
+            seen[w] += 1
+            have += seen[w] <= counts[w]
+            while True:
+                p, first = hits[left]
+                spare = seen[first] > counts[first]
+                if not (spare or have > level or i + 1 - p > size):
+                    break
+                seen[first] -= 1
+                have -= not spare
+                left += 1
+            if have == level and left != last:
+                out.append((level, p, i + 1))
+                last = left
+        if last < 0:
+            break
+    return sorted(out, key=lambda x: (-x[0], x[2] - x[1], x[1]))
+
+
+def best_of(words: list[str], name: str, want: list[str], counts: Counter[str], least: float) -> tuple[str, float, int, int, int] | None:
+    """The template's best finding: its name, coverage, first word, word behind the last, matched words."""
+    need, size = math.ceil(least * len(want) - 1e-9), 2 * len(want) + GAP
+    best, known = None, {}
+
+    def aligned(p: int, q: int) -> list[tuple[int, int]]:
+        key = tuple(words[p:q])
+        if key not in known:
+            known[key] = patience(key, want)
+        return known[key]
+
+    parts = [w for a, b in runs(words, counts, gap_of(want, least)) for w in windows(words, a, b, counts, need, size)]
+    for bound, p, q in sorted(parts, key=lambda x: (-x[0], x[2] - x[1], x[1])):
+        if best and bound <= best[4]:
+            break
+        match = aligned(p, q)
+        found = [(p, match)]
+        if match and len(match) < bound:  # what the template still has before and behind the matched words
+            (i, j), (k, m) = match[0], match[-1]
+            start = max(0, p + i - j)
+            found.append((start, aligned(start, min(len(words), p + k + len(want) - m))))
+        for at, match in found:
+            if len(match) >= need and (best is None or len(match) > best[4]):
+                best = (name, len(match) / len(want), at + match[0][0], at + match[-1][0] + 1, len(match))
+    return best
 
 
 def scan_words(words: list[str], least: float = LEAST) -> list[tuple[str, float, int, int]]:
     """(template, coverage, first word, word behind the last) of each template's best finding, best first."""
     found = []
     for name, want, counts in templates():
-        if held(words, counts) < least * len(want):
-            continue
-        best = None
-        for a, b in runs(words, counts, gap_of(want, least)):
-            for p, q in windows(words, a, b, want, least):
-                match = patience(words[p:q], want)
-                coverage = len(match) / len(want)
-                if coverage >= least and (best is None or coverage > best[1]):
-                    best = (name, coverage, p + match[0][0], p + match[-1][0] + 1, len(match))
-        if best:
+        if held(words, counts) >= math.ceil(least * len(want) - 1e-9) and (best := best_of(words, name, want, counts, least)):
             found.append(best)
     return [f[:4] for f in sorted(found, key=lambda f: (-f[1], -f[4], f[0]))]
 
@@ -160,7 +204,7 @@ def scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
         times = np.zeros((len(vocabulary), len(templates())), np.int64)
         for t, (_, _, counts) in enumerate(templates()):
             times[[index[w] for w in counts], t] = list(counts.values())
-        need = np.array([least * len(want) for _, want, _ in templates()])
+        need = np.array([least * len(want) - 1e-9 for _, want, _ in templates()])
         for batch in bounded(batches):
             texts = pc.ascii_lower(texts_of(batch))
             parts = pc.split_pattern(pc.replace_substring_regex(texts, "[^a-z0-9]+", " "), " ")
