@@ -90,6 +90,24 @@ def test_tree_is_a_distribution_and_walks_like_brute_force(docs):
     assert tree.score(pa.array([text, "other"]))[0] == pytest.approx(total, rel=1e-5)
 
 
+def test_joined_scores_are_those_of_the_automaton(docs, texts):
+    _, tree, _ = suffixtree.learn(docs.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2))
+    got = {r.doc_id: r.score for r in suffixtree.score(docs).collect()}
+    ids = sorted(got)
+    assert np.allclose([got[i] for i in ids], tree.score(pa.array([texts[i] for i in ids])), rtol=1e-4)
+
+
+def test_supported_contexts_stay_in_a_corpus_of_any_size(spark):
+    # 2,000 times "qu" among 2e9 symbols: each other symbol follows itself, q is followed by u alone.
+    q, u, e, x = (int(suffixtree.SYMBOL[ord(c)]) for c in "quex")
+    same = lambda c: sum(c << (suffixtree.BITS * k) for k in range(suffixtree.DEPTH + 1))
+    low = (1 << (suffixtree.BITS * 2)) - 1
+    rows = [(same(e), 10**9), (same(x), 10**9), ((same(e) & ~low) | q << suffixtree.BITS | u, 2000)]
+    table = spark.createDataFrame(rows, "code long, n long")
+    assert suffixtree.retained(table).filter(f"d = 1 AND ctx = {q}").count() == 1
+    assert {r.code: r.logp for r in suffixtree.model(table).collect()}[rows[2][0]] > math.log10(0.9)
+
+
 def test_scores_of_odd_rows(odd):
     got = suffixtree.score(odd).collect()
     assert len(got) == len(ODD)

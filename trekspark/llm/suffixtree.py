@@ -1,9 +1,10 @@
 """Language model scoring by a probabilistic suffix tree over bytes.
 
-The tree is learned from counts of every (DEPTH + 1)-gram of the training texts. A context is retained if it makes up at
-least the share LEAST of all positions (so there are at most DEPTH / LEAST of them, whatever the corpus) and its
-next-symbol distribution diverges from that of the context one symbol shorter. Distributions are smoothed towards the
-shorter context's. A text is scored by always predicting from the longest retained suffix of what came before.
+The tree is learned from counts of every (DEPTH + 1)-gram of the training texts. A context is retained if it occurs LEAST
+times at least, however large the corpus, and its next-symbol distribution diverges from that of the context one symbol
+shorter. Distributions are smoothed towards the shorter context's. A text is scored by always predicting from the longest
+retained suffix of what came before. The contexts grow with the corpus, so they stay a table: blocks of text fetch the
+probabilities of their own grams by a join.
 
 A text's symbols are its words' bytes, A-Z in lower case, each word closed by a space, and one end; the bytes of
 a class share its probability evenly, so the model is a distribution over word sequences like the base it stands beside.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded, crc_bucket, only, stored, texts_of
 
-DEPTH, LEAST, DIVERGENCE = 5, 5e-6, 3.0
+DEPTH, LEAST, DIVERGENCE = 5, 2, 3.0
 BITS = 7
 SEGMENT = 256
 BLOCK_BYTES = 4 << 20
@@ -74,12 +75,18 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return np.concatenate([[0], np.cumsum(keep)])[at - at[0]], codes[keep], words
 
 
-def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The different (DEPTH + 1)-grams of the texts, oldest symbol in the highest bits, and their counts."""
-    s, _, at = symbols(texts)
+def codes_of(s: np.ndarray) -> np.ndarray:
+    """The (DEPTH + 1)-gram that begins at each symbol, oldest symbol in the highest bits."""
     code = np.zeros(len(s) - DEPTH if len(s) > DEPTH else 0, np.int64)
     for k in range(DEPTH + 1):
         code |= s[k : k + len(code)].astype(np.int64) << (BITS * (DEPTH - k))
+    return code
+
+
+def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The different (DEPTH + 1)-grams of the texts and their counts."""
+    s, _, at = symbols(texts)
+    code = codes_of(s)
     inside = np.ones(len(code), bool)
     for k in range(1, DEPTH + 1):  # a gram's last symbol must be a predicted one, not the padding before the next text
         cut = at[1:-1] - k
@@ -88,19 +95,50 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """word, code, n over all training rows: word counts (code null) and gram counts (word null)."""
+    """word, code, n of rows of doc_id, text, learned: word counts (code null) and gram counts (word null) of the learned rows, and the other rows' grams with count 0."""
 
     def run(batches):
         for batch in bounded(batches):
+            learned = batch.column(2)
             texts = texts_of(batch)
-            _, codes, words = words_of(texts)
+            own = texts.filter(learned)
+            _, codes, words = words_of(own)
             n = np.bincount(codes, minlength=len(words)).astype(np.int64)
             used = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([words.take(pa.array(used)), pa.nulls(len(used), pa.int64()), pa.array(n[used])], names=["word", "code", "n"])
-            code, n = grams(texts)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(code), pa.string()), pa.array(code), pa.array(n.astype(np.int64))], names=["word", "code", "n"])
+            for part, times in ((own, 1), (texts.filter(pc.invert(learned)), 0)):
+                if len(part):
+                    code, n = grams(part)
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(code), pa.string()), pa.array(code), pa.array(n.astype(np.int64) * times)], names=["word", "code", "n"])
+
+    return docs.mapInArrow(run, "word string, code long, n long").groupBy("word", "code").agg(F.sum("n").alias("n"))
 
-    return only(docs, "doc_id", "text").mapInArrow(run, "word string, code long, n long").groupBy("word", "code").agg(F.sum("n").alias("n"))
+
+def model(table: DataFrame, least: int = LEAST, divergence: float = DIVERGENCE) -> DataFrame:
+    """code, logp (log10) of every gram of the table (code, n): its last symbol's probability behind the longest retained suffix of the others.
+
+    From the empty context to the longest, each length's grams meet those one symbol shorter, which bring their counts and
+    the probability so far; all that is gathered for a context are its at most COUNT next symbols.
+    """
+    context = Window.partitionBy("ctx")
+    below = None
+    for d in range(DEPTH + 1):
+        low = (1 << (BITS * (d + 1))) - 1
+        level = table.groupBy(F.col("code").bitwiseAND(F.lit(low)).alias("code")).agg(F.sum("n").alias("n")) if d < DEPTH else table.select("code", "n")
+        if below is None:
+            level = level.select("*", F.lit(0).cast("long").alias("n_short"), F.lit(0).cast("long").alias("total_short"), F.lit(1 / COUNT).alias("p_short"))
+        else:
+            short = below.select(F.col("code").alias("short"), F.col("n").alias("n_short"), F.col("total").alias("total_short"), F.col("p").alias("p_short"))
+            level = level.withColumn("short", F.col("code").bitwiseAND(F.lit(low >> BITS))).join(short, "short").drop("short")
+        level = level.withColumn("ctx", F.shiftright("code", BITS)).withColumn("total", F.sum("n").over(context)).withColumn("kinds", F.sum((F.col("n") > 0).cast("long")).over(context))
+        if d:
+            term = F.when(F.col("n") > 0, F.col("n") * F.log((F.col("n") / F.col("total")) / (F.col("n_short") / F.col("total_short")))).otherwise(0.0)
+            keep = (F.col("total") >= least) & (F.sum(term).over(context) >= divergence)
+        else:
+            keep = F.col("total") > 0
+        p = F.when(keep, (F.col("n") + F.col("kinds") * F.col("p_short")) / (F.col("total") + F.col("kinds"))).otherwise(F.col("p_short"))
+        below = level.select("code", "n", "total", p.alias("p"))
+    return below.select("code", F.log10("p").alias("logp"))
 
 
 @dataclass
@@ -140,12 +178,11 @@ def _levels(table: DataFrame) -> DataFrame:
     return table.select(each.alias("x"), F.col("code").bitwiseAND(F.lit(low(1))).cast("int").alias("next"), "n").groupBy("x.d", "x.ctx", "next").agg(F.sum("n").alias("n"))
 
 
-def retained(table: DataFrame, least: float = LEAST, divergence: float = DIVERGENCE) -> DataFrame:
+def retained(table: DataFrame, least: int = LEAST, divergence: float = DIVERGENCE) -> DataFrame:
     """d, ctx, next, n of the contexts that are frequent and diverge: n * KL(context || shorter context) is at least `divergence` nats."""
     levels = _levels(table)
     totals = levels.groupBy("d", "ctx").agg(F.sum("n").alias("total"))
-    whole = totals.filter("d = 0").select(F.col("total").alias("whole"))
-    frequent = stored(levels.join(totals, ["d", "ctx"]).join(F.broadcast(whole)).filter(F.col("total") >= least * F.col("whole")).drop("whole"), "contexts")
+    frequent = stored(levels.join(totals, ["d", "ctx"]).filter((F.col("total") >= least) | (F.col("d") == 0)), "contexts")
     up = frequent.select((F.col("d") + 1).alias("d"), F.col("ctx").alias("short"), "next", F.col("n").alias("n_short"), F.col("total").alias("total_short"))
     child = frequent.filter("d > 0").withColumn("short", F.expr(f"ctx & (shiftleft(1L, {BITS} * (d - 1)) - 1)"))
     term = F.col("n") * F.log((F.col("n") / F.col("total")) / (F.col("n_short") / F.col("total_short")))
@@ -199,14 +236,34 @@ def grow(rows: pa.Table) -> Tree:
     return Tree(step, dist, np.log10(p).astype(np.float32))
 
 
-def learn(docs: DataFrame) -> tuple[DataFrame, Tree, dict]:
-    """(word counts, tree, sizes N and V) from the rows given; an end token counts once a row."""
-    counts = stored(counted(docs), "counts")
+def sizes_of(counts: DataFrame, texts: int) -> tuple[DataFrame, dict]:
+    """(word counts, sizes N and V) of a table of counts; an end token counts once a row."""
     words = counts.filter("word IS NOT NULL").select("word", F.col("n").alias("c"))
-    texts = docs.count()
     sizes = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    tree = grow(retained(counts.filter("code IS NOT NULL").select("code", "n")).toArrow())  # at most DEPTH / LEAST contexts
-    return words, tree, {"N": sizes["n"] + texts, "V": sizes["v"] + (texts > 0), "end": texts}
+    return words, {"N": sizes["n"] + texts, "V": sizes["v"] + (texts > 0), "end": texts}
+
+
+def learn(docs: DataFrame) -> tuple[DataFrame, Tree, dict]:
+    """(word counts, tree, sizes N and V) from all rows given. The tree is model() as one automaton in the driver's memory, for small corpora; score() doesn't build it."""
+    counts = stored(counted(only(docs, "doc_id", "text").withColumn("learned", F.lit(True))), "counts")
+    words, sizes = sizes_of(counts, docs.count())
+    return words, grow(retained(counts.filter("code IS NOT NULL").select("code", "n")).toArrow()), sizes
+
+
+def looked_up(texts: pa.Array, code: np.ndarray, logp: np.ndarray) -> np.ndarray:
+    """log10 probability of each text from those of its grams."""
+    s, share, at = symbols(texts)
+    order = np.argsort(code)
+    code, logp = code[order], logp[order]
+    own = codes_of(s)
+    where = np.minimum(np.searchsorted(code, own), len(code) - 1)
+    each = share.astype(np.float64)
+    each[DEPTH:] += np.where(code[where] == own, logp[where], np.nan)
+    for k in range(DEPTH):  # grams of two texts
+        each[at[:-1] + k] = 0
+    if np.isnan(each).any():
+        raise ValueError("a gram of the text is missing in the model")
+    return np.add.reduceat(each, at[:-1])
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -219,21 +276,25 @@ def score(docs: DataFrame) -> DataFrame:
     Null text counts as empty: one token, the end. Repeated rows repeat; an empty table gives no rows; other
     columns aren't read.
 
-    Rows are dealt by hash into blocks of about BLOCK_BYTES of text; a block's different words fetch their
-    counts by one join on the word and meet the block again, so neither a vocabulary nor a hot word's rows are gathered.
+    Rows are dealt by hash into blocks of about BLOCK_BYTES of text; a block's different words fetch their counts and its
+    different grams their probabilities by one join each and meet the block again, so neither a vocabulary, a model nor a
+    hot word's rows are gathered.
     """
-    spark = docs.sparkSession
     docs = only(docs, "doc_id", "text")
-    words, tree, sizes = learn(docs.filter(crc_bucket("doc_id", 7) != 2))
+    learned = F.coalesce(crc_bucket("doc_id", 7) != 2, F.lit(False))
+    counts = stored(counted(docs.withColumn("learned", learned)), "counts")
+    words, sizes = sizes_of(counts, docs.filter(learned).count())
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    shared = spark.sparkContext.broadcast(tree)
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text", F.coalesce(crc_bucket("doc_id", 7) == 2, F.lit(False)).alias("held_out"))
 
     def ask(table: pa.Table) -> pa.Table:
-        found = words_of(texts_of(table.combine_chunks().to_batches()[0]))[2]
+        texts = texts_of(table.combine_chunks().to_batches()[0])
+        found = words_of(texts)[2]
         found = found.filter(pc.not_equal(found, ""))
-        return pa.table({"block": pa.array([table["block"][0].as_py()] * len(found), pa.int32()), "word": found})
+        code = grams(texts)[0]
+        block = pa.array(np.full(len(found) + len(code), table["block"][0].as_py(), np.int32))
+        return pa.table({"block": block, "word": pa.concat_arrays([found, pa.nulls(len(code), found.type)]), "code": pa.concat_arrays([pa.nulls(len(found), pa.int64()), pa.array(code)])})
 
     total, kinds, ends = sizes["N"], sizes["V"], sizes["end"]
     below = np.log10(total + kinds + 1)
@@ -245,16 +306,19 @@ def score(docs: DataFrame) -> DataFrame:
         texts = texts_of(batch)
         at, codes, found = words_of(texts)
         c = np.zeros(len(found), np.int64)
-        if known.num_rows:
-            where = pc.index_in(found, value_set=known["word"].combine_chunks().cast(found.type))
+        counted_words, scored = known.filter(pc.is_valid(known["word"])), known.filter(pc.is_valid(known["code"]))
+        if counted_words.num_rows:
+            where = pc.index_in(found, value_set=counted_words["word"].combine_chunks().cast(found.type))
             hit = pc.is_valid(where).to_numpy(zero_copy_only=False)
-            c[hit] = known["c"].to_numpy()[where.drop_null().to_numpy()]
+            c[hit] = counted_words["c"].to_numpy()[where.drop_null().to_numpy()]
         summed = lambda x: np.concatenate([[0], np.cumsum(x[codes])])[at]
         n = np.diff(at) + 1
         logs = np.diff(summed(np.log10(c + 1.0))) + np.log10(ends + 1.0) - n * below
         hits = np.diff(summed((c > 0).astype(np.int64))) + (ends > 0)
-        return pa.table({"doc_id": own["doc_id"], "held_out": own["held_out"], "n_tokens": pa.array(n), "n_known": pa.array(hits), "train_tokens": pa.array(np.full(len(n), total)), "base_score": pa.array(logs), "score": pa.array(shared.value.score(texts))})
+        return pa.table({"doc_id": own["doc_id"], "held_out": own["held_out"], "n_tokens": pa.array(n), "n_known": pa.array(hits), "train_tokens": pa.array(np.full(len(n), total)), "base_score": pa.array(logs), "score": pa.array(looked_up(texts, scored["code"].to_numpy(), scored["logp"].to_numpy()))})
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "block int, word string")
-    known = asked.join(words, "word").select("block", "word", "c")
+    asked = dealt.groupBy("block").applyInArrow(ask, "block int, word string, code long")
+    logp = model(counts.filter("code IS NOT NULL").select("code", "n"))
+    known = asked.filter("word IS NOT NULL").join(words, "word").selectExpr("block", "word", "c", "CAST(NULL AS long) AS code", "CAST(NULL AS double) AS logp")
+    known = known.union(asked.filter("code IS NOT NULL").join(logp, "code").selectExpr("block", "CAST(NULL AS string) AS word", "CAST(NULL AS long) AS c", "code", "logp"))
     return dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(answer, SCORES)
