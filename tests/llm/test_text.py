@@ -108,6 +108,13 @@ def test_supported_contexts_stay_in_a_corpus_of_any_size(spark):
     assert {r.code: r.logp for r in suffixtree.model(table).collect()}[rows[2][0]] > math.log10(0.9)
 
 
+def test_every_byte_has_its_own_symbol():
+    s, inside, _ = suffixtree.symbols(pa.array(["р", "с", "日", "木"]))  # Cyrillic D1 80 and D1 81, two Han letters
+    assert len({suffixtree.SYMBOL[b] for b in range(256)}) == 256 - 26 and not inside.any()
+    texts = np.split(s, np.flatnonzero(np.diff((s > 0).astype(int)) == 1) + 1)[1:]
+    assert len({bytes(t) for t in texts}) == 4
+
+
 def test_scores_of_odd_rows(odd):
     got = suffixtree.score(odd).collect()
     assert len(got) == len(ODD)

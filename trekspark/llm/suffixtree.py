@@ -6,8 +6,7 @@ shorter. Distributions are smoothed towards the shorter context's. A text is sco
 retained suffix of what came before. The contexts grow with the corpus, so they stay a table: blocks of text fetch the
 probabilities of their own grams by a join.
 
-A text's symbols are its words' bytes, A-Z in lower case, each word closed by a space, and one end; the bytes of
-a class share its probability evenly, so the model is a distribution over word sequences like the base it stands beside.
+A text's symbols are its words' bytes, A-Z in lower case, each word closed by a space, and one end, so the model is a distribution over word sequences like the base it stands beside.
 """
 
 from __future__ import annotations
@@ -23,28 +22,19 @@ from pyspark.sql import functions as F
 from .common import bounded, crc_bucket, only, stored, texts_of
 
 DEPTH, LEAST, DIVERGENCE = 5, 2, 3.0
-BITS = 7
+BITS = 8
 SEGMENT = 256
 BLOCK_BYTES = 4 << 20
 
 
 def _alphabet() -> tuple[np.ndarray, np.ndarray]:
-    """(symbol of each byte, log10 of a byte's share in its symbol). Symbol 0 is the end.
-
-    Printable ASCII has a symbol for each byte, other control bytes share one, UTF-8 lead bytes C2 to C5 have their
-    own and the others share one; trail bytes A0 to BF have their own and 80 to 9F share one.
-    """
+    """(symbol of each byte, log10 of a byte's share in its symbol). Symbol 0 is the end; each byte has a symbol of its own, but A-Z have those of a-z."""
+    own = [b for b in range(256) if not 65 <= b <= 90]
     symbol = np.zeros(256, np.uint8)
-    groups = [[b] for b in range(32, 127) if not 65 <= b <= 90]
-    groups += [[*range(0, 32), 127], [0xC2], [0xC3], [0xC4], [0xC5], [0xC0, 0xC1, *range(0xC6, 256)], [*range(0x80, 0xA0)]]
-    groups += [[b] for b in range(0xA0, 0xC0)]
-    inside = np.zeros(256)
-    for k, group in enumerate(groups, 1):
-        symbol[group] = k
-        inside[group] = -np.log10(len(group))
+    symbol[own] = np.arange(1, len(own) + 1)
     symbol[65:91] = symbol[97:123]
-    assert len(groups) < 1 << BITS
-    return symbol, inside
+    assert len(own) < 1 << BITS and BITS * (DEPTH + 1) < 64
+    return symbol, np.zeros(256)
 
 
 SYMBOL, INSIDE = _alphabet()
