@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import shutil
 import zlib
 
 import numpy as np
@@ -108,6 +109,29 @@ def test_store_shares_chunks_and_finds_damage(spark, vocab, tmp_path):
         store._checked(spark.read.schema(store.RECIPE).parquet(f"{path}/other")).count()
 
 
+def test_missing_chunks_lengths_and_parts_raise_on_reading_back(spark, vocab, tmp_path):
+    df = spark.createDataFrame([(1, "one short text"), (2, "another short text")], "doc_id long, text string")
+    path = store.write_store(df, vocab, str(tmp_path / "s"))
+
+    def copy(name, folder, change):
+        other = shutil.copytree(path, tmp_path / name)
+        kept = change(spark.read.parquet(f"{path}/{folder}"))
+        shutil.rmtree(other / folder)
+        kept.write.parquet(f"{other}/{folder}")
+        return str(other)
+
+    lost = copy("chunk", "stored/kind=1", lambda x: x.limit(1))  # each document has one chunk
+    for read in (store.checksums, store.reconstruct):
+        with pytest.raises(Exception, match="a chunk is missing"):
+            read(spark, lost).collect()
+    with pytest.raises(Exception, match="number of ids"):
+        store.checksums(spark, copy("long", "recipes", lambda x: x.withColumn("n_tokens", x.n_tokens + 1))).collect()
+    with pytest.raises(Exception, match="manifest"):
+        store.checksums(spark, copy("less", "recipes", lambda x: x.filter("doc_id = 1"))).collect()
+    with pytest.raises(Exception, match="manifest"):
+        store.checksums(spark, copy("none", "recipes", lambda x: x.limit(0))).collect()
+
+
 def test_crc_parts_make_the_whole():
     a, b = b"hello", b"wider world" * 99
     parts = store.shifted(np.array([zlib.crc32(a), zlib.crc32(b)], np.uint32), np.array([len(b), 0]))

@@ -182,15 +182,22 @@ def _manifest(recipes: DataFrame) -> DataFrame:
 
 
 def verify(spark: SparkSession, path: str) -> DataFrame:
-    """Parts whose recipes don't give the manifest's root, tokens and first place; none if all is well."""
+    """Parts whose recipes don't give the manifest's root, documents, tokens and first place, or that only one of both has; none if all is well."""
     now = _manifest(_checked(read_recipes(spark, path)))
-    return now.exceptAll(spark.read.schema(now.schema).parquet(f"{path}/manifest"))
+    whole = F.struct(*now.columns[1:])
+    written = spark.read.schema(now.schema).parquet(f"{path}/manifest").select("part", whole.alias("written"))
+    return now.select("part", whole.alias("now")).join(written, "part", "full").filter(~F.col("now").eqNullSafe(F.col("written"))).select("part")
 
 
 def _check(recipes: pa.RecordBatch) -> None:
     for names, root in zip(recipes.column("digests").to_pylist(), recipes.column("root").to_pylist()):
         if merkle(names) != root:
             raise ValueError("a recipe doesn't give its Merkle root")
+    count = pc.list_value_length(recipes.column("lens")).to_numpy()
+    at = np.concatenate([[0], np.cumsum(count)])
+    ends = np.concatenate([[0], np.cumsum(recipes.column("lens").flatten().to_numpy())])
+    if (count != pc.list_value_length(recipes.column("digests")).to_numpy()).any() or (np.diff(ends[at]) != recipes.column("n_tokens").to_numpy()).any():
+        raise ValueError("a recipe's chunk lengths don't give its number of ids")
 
 
 def _checked(recipes: DataFrame) -> DataFrame:
@@ -230,7 +237,7 @@ def _entries(spark: SparkSession, path: str) -> DataFrame:
 def reconstruct(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     """doc_id, start, n_tokens, ids (little-endian unsigned 32-bit) of every document, joined from its chunks."""
     entries = _entries(spark, path).drop("n", "behind")
-    joined = entries.join(read_chunks(spark, path, width).drop("n"), "digest")
+    joined = entries.join(read_chunks(spark, path, width).drop("n"), "digest", "left").withColumn("ids", F.coalesce("ids", F.raise_error(F.lit("a chunk is missing")).cast("binary")))
     parts = joined.groupBy("doc_id", "start", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
     ids = F.aggregate("parts", F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x["ids"]))
     return parts.select("doc_id", "start", "n_tokens", ids.alias("ids"))
@@ -265,8 +272,11 @@ def checksums(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files alone.
 
     Every stored chunk is read, checked and summed once; a document's crc32 is put together from its chunks' (crc32 is
-    linear), so no payload is shuffled. Recipes are checked against their Merkle roots on the way.
+    linear), so no payload is shuffled. Recipes are checked against their Merkle roots and numbers of ids on the way, and
+    before that the parts against the manifest. What is damaged or missing raises.
     """
+    if bad := [row.part for row in verify(spark, path).limit(10).collect()]:
+        raise ValueError(f"parts {bad} don't give the manifest's entries")
 
     def sums(batches):
         for batch in batches:
@@ -279,7 +289,8 @@ def checksums(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(part)], names=["doc_id", "start", "n_tokens", "chunks", "part_crc"])
 
     stored = read_chunks(spark, path, width).mapInArrow(sums, "digest binary, stored_n long, crc long")
-    joined = _entries(spark, path).join(stored, "digest").filter("n = stored_n").select("doc_id", "start", "n_tokens", "chunks", "crc", "behind")
+    crc = F.when(F.col("n") == F.col("stored_n"), F.col("crc")).otherwise(F.raise_error(F.lit("a chunk is missing")).cast("long"))
+    joined = _entries(spark, path).join(stored, "digest", "left").select("doc_id", "start", "n_tokens", "chunks", crc.alias("crc"), "behind")
     parts = joined.mapInArrow(place, "doc_id long, start long, n_tokens long, chunks int, part_crc long")
     whole = parts.groupBy("doc_id", "start", "n_tokens", "chunks").agg(F.bit_xor("part_crc").alias("ids_crc32"), F.count(F.lit(1)).alias("found"))
     complete = F.when(F.col("found") == F.col("chunks"), F.col("ids_crc32")).otherwise(F.raise_error(F.lit("a chunk is missing")).cast("long"))
