@@ -17,12 +17,13 @@ import re
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from .common import bounded, only, texts_of
-from .tokens import PLAIN, WordIds, byte_letters, pieces
+from .tokens import PLAIN, WordIds, byte_letters, folding, pieces
 
 #: Token pairs whose compatibility is remembered by one Python worker.
 PAIRS = 200_000
@@ -31,9 +32,11 @@ FAMILIAR = re.compile("[\\x00-\\x7eß-öø-ÿÀ-ÖØ-Þ]*")
 
 
 class Backtracker:
-    """Encoder and decoder for a byte-level BPE file with word ends."""
+    """Encoder and decoder for a byte-level BPE file that folds case and drops white space; another one raises."""
 
     def __init__(self, path: str):
+        if not folding(path):
+            raise ValueError(f"{path} isn't a vocabulary that folds case and drops white space")
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -163,6 +166,11 @@ class Backtracker:
                 out += self.encode_word(letters[:-1] + self.ends[letters[-1]])
         return out
 
+    @staticmethod
+    def whole_texts(texts: pa.Array) -> np.ndarray:
+        """Which texts may hold special tokens and aren't cut into pieces."""
+        return pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+
     def encode_pieces(self, words: list[str]) -> list[list[int]]:
         plain, one, ends, letters = PLAIN.fullmatch, self.encode_word, self.ends, self.letters
         out = []
@@ -237,8 +245,9 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         for batch in bounded(batches, limit=4 << 20):
             model = backtracker(path)
             texts = texts_of(batch)
-            hard = [i for i, x in enumerate(texts.to_pylist()) if "<|" in x]
-            soft = pa.array([None if i in set(hard) else x for i, x in enumerate(texts.to_pylist())], pa.string()).fill_null("") if hard else texts
+            special = model.whole_texts(texts)
+            hard = np.flatnonzero(special).tolist()
+            soft = pc.if_else(pa.array(special), "", texts) if hard else texts
             kept, at, n, decimal, decoded = _words_joined(soft, model)
             ids_hex, text_hex, counts = [], [], n.tolist()
             get, back = decimal.__getitem__, decoded.__getitem__

@@ -91,6 +91,15 @@ def crc_bucket(doc_id, buckets: int):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % F.lit(buckets)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with its columns named by their place (`_0`, `_1`, ...), and the new name of each, so that no name of a caller's column meets an operator's own.
+
+    `result.toDF(*docs.columns)` gives the names back.
+    """
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names))
+
+
 def only(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns alone, so that columns of any other name, clashing or not, never meet an operator's own."""
     return docs.select(*[F.col(f"`{c}`") for c in columns])

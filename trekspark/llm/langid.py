@@ -1,8 +1,10 @@
 """Language identification in two levels: family first, then one-versus-one linear SVMs between the family's languages.
 
 Features are hashed byte bigrams and trigrams of the folded text (lower case, every run of non-letters a space) as
-shares of the text, so a text of any length is scored by summing weights over its bytes in slices. All learned state is
-a weight matrix of BUCKETS rows; what is learned from is a sample of at most about `per_lang` texts a language.
+shares of the text, so a text of any length is scored by summing weights over its bytes in slices. Every language that
+occurs is learned; what is learned from is a sample of at most about PER_LANG texts a language, and OTHERS texts of other
+families for each family. Each classifier is fitted in a task of its own, and all learned state is a weight matrix of
+BUCKETS rows and a column per classifier.
 """
 
 from __future__ import annotations
@@ -16,13 +18,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, crc_bucket, only, texts_of
+from .common import bounded, crc_bucket, numbered, only, stored, texts_of
 
 TRIGRAM_BITS, BIGRAM_BITS = 13, 11
 BUCKETS = (1 << TRIGRAM_BITS) + (1 << BIGRAM_BITS)
 SLICE = 4 << 20
-#: The documented bound of what is learned from: expected texts per language, and languages (the most frequent ones).
-PER_LANG, MAX_LANGS = 400, 100
+#: The documented bounds of what is learned from: expected texts per language, and expected texts of other families per family.
+PER_LANG, OTHERS = 400, 4_000
 UNKNOWN = "und"
 
 # Families of ISO 639 languages. A language that isn't listed is a family of its own.
@@ -87,7 +89,7 @@ def scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
 
 
 def _counts(texts: pa.Array) -> list[np.ndarray]:
-    """Gram shares of each text, dense."""
+    """Gram shares of each text, dense; for some texts at a time."""
     out = np.zeros((len(texts), BUCKETS), np.float32)
     for which, cuts, tri, bi in _grams(texts):
         for d, lo, hi in zip(which, cuts, [*cuts[1:], len(tri)]):
@@ -95,19 +97,24 @@ def _counts(texts: pa.Array) -> list[np.ndarray]:
     return list(out / np.maximum(out.sum(axis=1, keepdims=True), 1))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, steps: int = 80, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear SVM with squared hinge loss, y in {-1, 1}, both classes weighing the same."""
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
-    w, b = np.zeros(x.shape[1], np.float32), 0.0
+def _svm(at: np.ndarray, share: np.ndarray, first: np.ndarray, y: np.ndarray, steps: int = 80, penalty: float = 1e-4) -> tuple[np.ndarray, float, np.ndarray]:
+    """Weights, bias and margins of a linear SVM with squared hinge loss, y in {-1, 1}, both classes weighing the same.
+
+    Row i of the sparse features has the values share[first[i]:first[i + 1]] in the columns at[...]; no row is empty.
+    """
+    times = lambda v: np.add.reduceat(v[at] * share, first[:-1])
+    lens = np.diff(first)
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
+    w, b = np.zeros(BUCKETS), 0.0
     v, c, t = w, b, 1.0
-    top = 2 * float((share * ((x * x).sum(axis=1) + 1)).sum()) + penalty
+    top = 2 * float((weight * (np.add.reduceat(share * share, first[:-1]) + 1)).sum()) + penalty
     for _ in range(steps):
-        miss = np.maximum(0, 1 - y * (x @ v + c)) * y * share
-        new, bias = v + (2 * (miss @ x) - penalty * v) / top, c + 2 * miss.sum() / top
+        miss = np.maximum(0, 1 - y * (times(v) + c)) * y * weight
+        new, bias = v + (2 * np.bincount(at, share * np.repeat(miss, lens), BUCKETS) - penalty * v) / top, c + 2 * miss.sum() / top
         u = (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, c = new + (t - 1) / u * (new - w), bias + (t - 1) / u * (bias - b)
         w, b, t = new, bias, u
-    return w, b
+    return w, b, times(w) + b
 
 
 def _slope(margin: np.ndarray, y: np.ndarray) -> float:
@@ -127,86 +134,114 @@ class Model:
     bias: np.ndarray
     slope: np.ndarray
 
+    def decide(self, texts: pa.Array, first: int, last: int) -> np.ndarray:
+        """Logistic values of the classifiers `first` to `last` - 1 for each text."""
+        margin = scores(texts, self.weights[:, first:last]) + self.bias[first:last]
+        return 1 / (1 + np.exp(-np.clip(margin * self.slope[first:last], -50, 50)))
+
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        z = 1 / (1 + np.exp(-np.clip((scores(texts, self.weights) + self.bias) * self.slope, -50, 50)))
+        """The language of each text and a score: the family's value times the least of the language's values in its pairs.
+
+        Only the pairs of a text's family are looked at. The language with the largest sum of values wins, of a tie the first by name.
+        """
         nf = len(self.families)
-        fam = z[:, :nf].argmax(axis=1) if nf else np.zeros(len(texts), int)
-        sure = z[np.arange(len(texts)), fam] if nf > 1 else np.ones(len(texts))
-        votes, least = np.zeros((len(texts), len(self.langs))), np.ones((len(texts), len(self.langs)))
-        for k, (a, b) in enumerate(self.pairs):
-            p = z[:, nf + k]
-            votes[:, a] += p
-            votes[:, b] += 1 - p
-            least[:, a] = np.minimum(least[:, a], p)
-            least[:, b] = np.minimum(least[:, b], 1 - p)
-        home = np.array([self.families.index(family(x)) for x in self.langs])
-        votes = np.where(home[None, :] == fam[:, None], votes, -1)
-        best = votes.argmax(axis=1)
-        return [self.langs[i] for i in best], sure * least[np.arange(len(texts)), best]
-
-
-def fit(x: np.ndarray, langs: list[str]) -> Model:
-    names = sorted(set(langs))
-    lang = np.array([names.index(v) for v in langs])
-    families = sorted({family(v) for v in names})
-    home = np.array([families.index(family(v)) for v in names])
-    scale = 1 / np.sqrt(x.mean(axis=0) + 1e-5)
-    x = x * scale
-    pairs = [(a, b) for a, b in itertools.combinations(range(len(names)), 2) if home[a] == home[b]]
-    tasks = [(np.ones(len(x), bool), np.where(home[lang] == f, 1.0, -1.0)) for f in range(len(families))]
-    tasks += [((lang == a) | (lang == b), np.where(lang == a, 1.0, -1.0)) for a, b in pairs]
-    weights, bias, slope = np.zeros((BUCKETS, len(tasks)), np.float32), np.zeros(len(tasks)), np.ones(len(tasks))
-    for k, (use, y) in enumerate(tasks):
-        own, y = x[use], y[use].astype(np.float32)
-        w, b = _svm(own, y)
-        weights[:, k], bias[k] = w * scale, b
-        slope[k] = _slope(own @ w + b, y)
+        if nf > 1:
+            z = self.decide(texts, 0, nf)
+            fam = z.argmax(axis=1)
+            sure = z[np.arange(len(texts)), fam]
+        else:
+            fam, sure = np.zeros(len(texts), int), np.ones(len(texts))
+        out = np.zeros(len(texts), int)
+        for f, name in enumerate(self.families):
+            own, members = np.flatnonzero(fam == f), [i for i, x in enumerate(self.langs) if family(x) == name]
+            if not len(own) or len(members) == 1:
+                out[own] = members[0]
+                continue
+            pairs = [k for k, (a, _) in enumerate(self.pairs) if a in members]  # one family's pairs stand together
+            p = self.decide(texts.take(pa.array(own)), nf + pairs[0], nf + pairs[-1] + 1)
+            votes, least = np.zeros((len(own), len(members))), np.ones((len(own), len(members)))
+            for k, value in zip(pairs, p.T):
+                for lang, v in zip(self.pairs[k], (value, 1 - value)):
+                    place = members.index(lang)
+                    votes[:, place] += v
+                    least[:, place] = np.minimum(least[:, place], v)
+            best = votes.argmax(axis=1)
+            out[own] = np.array(members)[best]
+            sure[own] *= least[np.arange(len(own)), best]
+        return [self.langs[i] for i in out], sure
+
+
+def fit(table: pa.Table) -> pa.Table:
+    """One classifier from its rows (job, row, at, share, y): job, weights, bias, slope. Columns are scaled by the root of their mean."""
+    table = table.sort_by("row")
+    first = np.concatenate([[0], np.cumsum(pc.list_value_length(table["at"]).to_numpy())])
+    at, share = (pc.list_flatten(table[c]).to_numpy() for c in ("at", "share"))
+    y = table["y"].to_numpy().astype(float)
+    scale = 1 / np.sqrt(np.bincount(at, share, BUCKETS) / len(y) + 1e-5)
+    w, b, margin = _svm(at, share * scale[at], first, y)
     # Shares were taken over trigrams and bigrams together, scores() sums both over the positions.
-    return Model(names, families, pairs, weights / 2, bias, slope)
+    return pa.table({"job": table["job"][:1], "weights": pa.array([(w * scale / 2).astype("<f4").tobytes()], pa.binary()), "bias": pa.array([b]), "slope": pa.array([_slope(margin, y)])})
 
 
-def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
+def train(docs: DataFrame, per_lang: int = PER_LANG, others: int = OTHERS) -> Model | None:
     """Learns from rows with a text, a lang and an id outside the held-out third; None if there are none.
 
     The number of rows per language is counted over all rows; then each is taken with the chance that gives `per_lang`
-    of them, by a hash of its id.
+    of them, by a hash of its id. A family's classifier meets all its own texts and, by the same means, about `others` of the others.
     """
     known = only(docs, "doc_id", "text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (crc_bucket("doc_id", 3) != 1))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row per language, as the model has
     if not sizes:
         return None
-    span = 1 << 40
-    pick = F.lit(False)
-    for lang, n in sizes.items():
-        pick = pick | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id"), F.lit(span)) < int(span * min(1.0, per_lang / n))))
+    spark, span = docs.sparkSession, 1 << 40
+    names = sorted(sizes)
+    families = sorted({family(v) for v in names})
+    pairs = [(a, b) for f in families for a, b in itertools.combinations([i for i, v in enumerate(names) if family(v) == f], 2)]
+    picked = {v: min(per_lang, n) for v, n in sizes.items()}
+    total = sum(picked.values())
+    tasks = []  # lang, job, y, chance of a text to take part
+    for job, f in enumerate(families if len(families) > 1 else []):
+        rest = total - sum(n for v, n in picked.items() if family(v) == f)
+        tasks += [(v, job, 1 if family(v) == f else -1, 1.0 if family(v) == f else min(1.0, others / rest)) for v in names]
+    for k, (a, b) in enumerate(pairs):
+        tasks += [(names[a], len(families) + k, 1, 1.0), (names[b], len(families) + k, -1, 1.0)]
 
     def features(batches):
         for batch in bounded(batches, limit=1 << 20):
-            rows = _counts(texts_of(batch))
-            hot = [np.flatnonzero(r) for r in rows]
-            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array([h.astype(np.int32) for h in hot], pa.list_(pa.int32())), pa.array([r[h] for r, h in zip(rows, hot)], pa.list_(pa.float32()))], names=["lang", "at", "share"])
-
-    sample = known.filter(pick).mapInArrow(features, "lang string, at array<int>, share array<float>").toArrow()
-    x = np.zeros((sample.num_rows, BUCKETS), np.float32)
-    for i, (at, share) in enumerate(zip(sample["at"], sample["share"])):
-        x[i, at.values.to_numpy()] = share.values.to_numpy()
-    return fit(x, sample["lang"].to_pylist())
-
-
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of docs with lang_pred and score (0 to 1) behind them, replacing columns of these names.
+            texts = texts_of(batch)
+            hot, values = [], []
+            for lo in range(0, len(texts), 256):  # dense rows of so many texts at a time
+                rows = _counts(texts.slice(lo, 256))
+                hot += [np.flatnonzero(r).astype(np.int32) for r in rows]
+                values += [r[h] for r, h in zip(rows, hot[lo:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(hot, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], names=["row", "lang", "at", "share"])
+
+    shares = F.broadcast(spark.createDataFrame([(v, int(span * min(1.0, per_lang / n))) for v, n in sizes.items()], "lang string, below long"))
+    chosen = known.join(shares, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < F.col("below")).select(F.xxhash64("doc_id", "text").alias("row"), "text", "lang")
+    weights, bias, slope = (np.zeros(x, np.float32) for x in ((BUCKETS, len(families) + len(pairs)), len(families) + len(pairs), len(families) + len(pairs)))
+    if tasks:
+        sample = stored(chosen.mapInArrow(features, "row long, lang string, at array<int>, share array<float>"), "languages")
+        plan = F.broadcast(spark.createDataFrame(tasks, "lang string, job int, y int, chance double"))  # a row per language and classifier
+        taking = F.pmod(F.xxhash64("row", "job"), F.lit(span)) < F.col("chance") * span
+        fitted = sample.join(plan, "lang").filter(taking).select("job", "row", "at", "share", "y").groupBy("job").applyInArrow(fit, "job int, weights binary, bias double, slope double")
+        for r in fitted.collect():  # BUCKETS floats a classifier
+            weights[:, r["job"]], bias[r["job"]], slope[r["job"]] = np.frombuffer(r["weights"], "<f4"), r["bias"], r["slope"]
+    return Model(names, families, pairs, weights, bias, slope)
+
+
+def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """All columns of docs with lang_pred and score (0 to 1) of the column `text` behind them, replacing columns of these names.
 
     `und` with score 0 where the text is null or has no letter, or nothing could be learned. Repeated rows get equal
     predictions, an empty table stays empty, and no other column is looked at.
     """
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    docs = docs.select(*[F.col(f"`{c}`") for c in keep])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x classifiers, at most MAX_LANGS languages
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")])
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS floats a classifier
     schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
     def run(batches):
-        for batch in bounded(batches):
-            texts = texts_of(batch)
+        for batch in bounded(batches, text):
+            texts = texts_of(batch, text)
             lettered = pc.match_substring_regex(texts, r"\pL").to_numpy(zero_copy_only=False)
             langs, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             at = np.flatnonzero(lettered)
@@ -226,7 +261,16 @@ def predict(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     return found.select("doc_id", F.coalesce(crc_bucket("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, least: float = 0.2) -> DataFrame:
-    """The documents whose language is recognised with at least this score, their lang set to the prediction."""
-    found = identify(docs, train(docs)).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return found.withColumn("lang", F.col("lang_pred")).select(*[F.col(f"`{c}`") for c in docs.columns])
+#: Least score of a document that the pipeline takes for recognised.
+RECOGNISED = 0.2
+
+
+def keep_known(docs: DataFrame, least: float = RECOGNISED) -> DataFrame:
+    """The documents whose language is recognised with at least this score, their lang set to the prediction; all other columns as they were, whatever their names.
+
+    Null, empty and letterless texts aren't recognised and go. Each row is judged by its own text alone, so repeated rows stay or go
+    together and null ids don't matter. Where no row can be learned from, nothing is recognised; an empty table stays empty.
+    """
+    rows, name = numbered(docs)
+    found = identify(rows, train(docs), name["text"]).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return found.withColumn(name["lang"], F.col("lang_pred")).select(*rows.columns).toDF(*docs.columns)

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, only, texts_of
+from .common import bounded, numbered, only, texts_of
 
 #: In the order in which spans of one start are listed; the first four have base patterns.
 KINDS = ("email", "ip", "card", "phone", "id", "iban", "secret")
@@ -379,20 +379,26 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The same rows and columns with each span of `text` replaced by its kind in angle brackets, and n_chars, if there, counted anew."""
+    """The same rows and columns with each span of `text` replaced by its kind in angle brackets, and n_chars, if there, counted anew.
+
+    No row goes: null texts stay null, empty and clean ones stay as they are, repeated rows are changed alike, other columns are carried
+    as they were, whatever their names; an empty table stays empty.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(trained())
-    schema = docs.schema
+    rows, name = numbered(docs)
 
     def run(batches):
-        for batch in bounded(batches):
-            where = batch.schema.get_field_index("text")
+        for batch in bounded(batches, name["text"]):
+            where = batch.schema.get_field_index(name["text"])
             texts = batch.column(where)
-            at = _marked(texts_of(batch))
+            at = _marked(texts_of(batch, name["text"]))
             if len(at):
                 old = texts.take(pa.array(at)).to_pylist()
                 new = dict(zip(at.tolist(), (masked(t, every) for t, (_, every) in zip(old, all_spans(old, shared.value)))))
                 texts = pa.array([new.get(i, t) for i, t in enumerate(texts.to_pylist())], texts.type)
             yield batch.set_column(where, batch.schema.field(where), texts)
 
-    clean = docs.mapInArrow(run, schema)
-    return clean.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+    clean = rows.mapInArrow(run, rows.schema)
+    if "n_chars" in name:
+        clean = clean.withColumn(name["n_chars"], F.length(name["text"]).cast(rows.schema[name["n_chars"]].dataType))
+    return clean.toDF(*docs.columns)

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, only
+from .common import SPACE_CLASS, numbered, only
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -115,8 +115,13 @@ def verdicts(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """The documents that the policy keeps, with all their columns."""
+    """The documents that the policy keeps, with all their columns as they were, whatever their names.
+
+    A null or empty text fails few_words and goes. Each row is judged by its own text alone, so repeated rows stay or go
+    together and null ids don't matter; an empty table stays empty.
+    """
     # The whole row travels as the ledger's id, so no join brings the columns back.
-    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), F.col("text"))
+    rows, name = numbered(docs)
+    carried = rows.select(F.struct(*rows.columns).alias("doc_id"), F.col(name["text"]).alias("text"))
     fails = F.col("failed").bitwiseAND(F.lit(mask(policy) | mask("base")).cast("long"))
-    return ledger(carried).filter(fails == 0).select("doc_id.*")
+    return ledger(carried).filter(fails == 0).select("doc_id.*").toDF(*docs.columns)

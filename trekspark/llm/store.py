@@ -119,9 +119,11 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, wid
 
     A null text counts as empty and is stored as the end id alone; repeated rows get a recipe each and share chunks; a null
     doc_id sorts first; an empty table gives empty folders; other columns aren't read. `width` is 2 for vocabularies
-    below 65,536, else 4.
+    of at most 65,536 ids, else 4; a width too small for the vocabulary raises.
     """
     spark = docs.sparkSession
+    if max(encoder(tokenizer).whole.get_vocab_size() - 1, end_id) >> (8 * width):
+        raise ValueError(f"ids of {tokenizer} don't fit in {width} bytes")
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = cut_chunks(docs, tokenizer, end_id, width).withColumn("key", F.coalesce("root", F.col("digests")[0]))
     # One shuffle for both kinds: chunks meet by digest, recipes by document and root, where repeated rows are counted.

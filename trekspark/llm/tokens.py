@@ -1,14 +1,15 @@
 """Token ids of whole texts with the tokenizers library, each different word encoded once a batch.
 
-White space separates words for these vocabularies (it is dropped before the merges), so a text's ids are the ids of
-its space-separated pieces in order. A batch is split and dictionary-encoded in Arrow, unknown pieces go through the
-library, and the documents' ids are gathered with numpy. Texts that hold "<|" may contain special tokens and are
-encoded whole by the library.
+In vocabularies that fold case and drop white space before the merges, white space separates words, so a text's ids are
+the ids of its space-separated pieces in order. A batch is split and dictionary-encoded in Arrow, unknown pieces go
+through the library, and the documents' ids are gathered with numpy. Texts that hold "<|" may contain special tokens and
+are encoded whole by the library, and so are all texts with any other vocabulary.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import re
 from itertools import chain, repeat
 
@@ -21,6 +22,18 @@ MEMO = 200_000
 #: A run of these behind a letter or digit is a token run of its own; splitting it off leaves fewer different pieces.
 TAIL = r"([a-z0-9ß-öø-ÿ])([.,!?;:|#$%&*]+)(?:[ \n]|$)"
 PLAIN = re.compile("[a-zß-öø-ÿ]+")
+# Fixed value: how the folding vocabularies split a text into words.
+WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def folding(path: str) -> bool:
+    """Whether a vocabulary file folds case, drops white space and marks special tokens by `<|`, so that its texts can be encoded piece by piece."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    normal = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    split = [s["type"] for s in steps] == ["Split", "ByteLevel"] and steps[0]["behavior"] == "Removed" and steps[0]["pattern"] == {"Regex": WORD_SPLIT} and not steps[1]["add_prefix_space"]
+    return normal == ["NFC", "Replace", "Lowercase"] and split and all(t["content"].startswith("<|") for t in spec["added_tokens"])
 
 
 def byte_letters() -> dict[int, str]:
@@ -87,6 +100,7 @@ class Encoder:
         self.model = self.whole.model
         self.letters = str.maketrans(byte_letters())
         self.words = WordIds(self._encode)
+        self.by_piece = folding(path)
 
     def _encode(self, words: list[str]) -> list[list[int]]:
         """Words of plain lower-case letters go straight to the library's model, all others through its whole chain."""
@@ -107,7 +121,7 @@ class Encoder:
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, offsets of the texts in them)."""
-        hard = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        hard = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False) if self.by_piece else np.ones(len(texts), bool)
         soft = pc.if_else(pa.array(hard), "", texts) if hard.any() else texts
         offsets, codes, words = pieces(soft)
         rows, values, starts, lens = self.words.table(words)
@@ -116,8 +130,8 @@ class Encoder:
         ids, at = ragged(values, starts, lens, codes), ends[offsets]
         if hard.any():
             lists = [ids[at[i] : at[i + 1]] for i in range(len(texts))]
-            for i in np.flatnonzero(hard):
-                lists[i] = np.array(self.whole.encode(texts[int(i)].as_py(), add_special_tokens=False).ids, np.uint32)
+            for i, e in zip(np.flatnonzero(hard), self.whole.encode_batch_fast(texts.filter(pa.array(hard)).to_pylist(), add_special_tokens=False)):
+                lists[i] = np.array(e.ids, np.uint32)
             ids = np.concatenate(lists) if lists else ids
             at = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
         return ids, at.astype(np.int64)
