@@ -285,6 +285,41 @@ def test_pigeonhole_finds_every_pair_within_the_distance():
         assert ((x != y).sum(axis=1) <= 1).any()
 
 
+def half_similar(n, seed=5):
+    """Texts that share two thirds of their words, so half of their shingles, and some near copies among them."""
+    rng = np.random.default_rng(seed)
+    common, rows = [f"c{i}" for i in range(60)], []
+    for i in range(n):
+        own = [f"u{i}_{k}" for k in range(30)]
+        rows.append((i, " ".join(common + own)))
+        if i % 40 == 7:
+            own[int(rng.integers(5, 25))] = "changed"
+            rows.append((n + i, " ".join(common + own)))
+    return rows
+
+
+def test_half_similar_texts_are_paired_by_rare_shingles(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(neardup, "confirmed", lambda pairs, sets, own=neardup.confirmed: made.append(pairs.count()) or own(pairs, sets))
+    monkeypatch.setattr(neardup, "_across", lambda members, labels, sets, far, own=neardup._across: own(members, labels, sets, far, 64))
+    tried = []
+    for n in (120, 480):
+        rows = half_similar(n)
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        made.clear()
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.grouped(df, None).collect()}
+        assert got == brute_groups(rows)
+        tried.append(sum(made))
+    assert tried[1] < 6 * tried[0]  # all pairs would be sixteen times as many
+
+
+@pytest.mark.parametrize("most", [0, 1 << 60])
+def test_both_ways_of_pairing_give_the_same_groups(spark, docs, texts, monkeypatch, most):
+    monkeypatch.setattr(neardup, "_across", lambda members, labels, sets, far, own=neardup._across: own(members, labels, sets, far, most))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.grouped(docs, None).collect()}
+    assert got == brute_groups(texts.items())
+
+
 def test_groups_of_odd_rows(odd):
     rows = neardup.grouped(odd).collect()
     got = {(r.doc_id, r.component_id, r.kept) for r in rows}
