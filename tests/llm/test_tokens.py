@@ -168,3 +168,19 @@ def test_bounded_batches_keep_rows_in_order():
     parts = list(bounded(iter([batch, batch.slice(0, 0), batch]), limit=100))
     assert [v for p in parts for v in p.column(0).to_pylist()] == [*range(50), *range(50)]
     assert all(p.num_rows == 1 or sum(len(t or "") for t in p.column(1).to_pylist()) <= 100 for p in parts)
+
+
+def test_other_vocabularies_are_encoded_whole_or_refused(spark, docs, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["Two  Words\nand Tabs\t.", "", "it's <|endoftext|> done", "ÜBER é"]
+    ids, at = tokens.Encoder(path).batch(pa.array(texts))
+    for i, t in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == library.encode(t, add_special_tokens=False).ids
+    with pytest.raises(ValueError):
+        bpe.Backtracker(path)
+    with pytest.raises(ValueError):
+        store.write_store(docs, path, str(tmp_path / "narrow"), width=1)

@@ -3,13 +3,15 @@
 A document's words are compared with each template's. Where a run of the document holds enough of a template's
 word occurrences, parts of the run, cut so that one of them holds one copy, are aligned with the template: words that
 occur once in both are anchors, the longest increasing subsequence of them is kept, and the gaps between anchors are
-aligned in the same way. Coverage is the share of the template's words that were matched.
+aligned in the same way. Coverage is the share of the template's words that were matched. Of each template all findings that don't
+overlap are reported, those with the most matched words first chosen.
 """
 
 from __future__ import annotations
 
 import bisect
 import functools
+import heapq
 import math
 import re
 from collections import Counter
@@ -39,18 +41,34 @@ TEMPLATES = {
     "all-rights-reserved": "Copyright. All rights reserved.",
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    "gpl-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "gpl-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/.",
+    "lgpl-2.1-or-later": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    "agpl-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+    "mpl-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the original software.",
+    "bsl-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so.",
+    "cc0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "software-disclaimer": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "bsd-3-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "bsd-2-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
 }
 
 
+Template = tuple[str, list[str], Counter[str]]
+
+
+def prepared(texts: dict[str, str]) -> list[Template]:
+    """(name, words, how often each word occurs) of each template with a word."""
+    split = {name: WORD.findall(text.lower()) for name, text in texts.items()}
+    return [(name, words, Counter(words)) for name, words in split.items() if words]
+
+
 @functools.lru_cache(maxsize=1)
-def templates() -> list[tuple[str, list[str], Counter[str]]]:
-    """(name, words, how often each word occurs) of every template."""
-    out = []
-    for name, text in TEMPLATES.items():
-        words = WORD.findall(text.lower())
-        out.append((name, words, Counter(words)))
-    return out
+def templates() -> list[Template]:
+    return prepared(TEMPLATES)
 
 
 def increasing(values: list[int]) -> list[int]:
@@ -155,10 +173,20 @@ def windows(words: list[str], a: int, b: int, counts: Counter[str], need: int, s
     return sorted(out, key=lambda x: (-x[0], x[2] - x[1], x[1]))
 
 
-def best_of(words: list[str], name: str, want: list[str], counts: Counter[str], least: float) -> tuple[str, float, int, int, int] | None:
-    """The template's best finding: its name, coverage, first word, word behind the last, matched words."""
+Finding = tuple[str, float, int, int, int]
+
+
+def findings_of(words: list[str], template: Template, least: float) -> list[Finding]:
+    """The template's findings that don't overlap, most matched words first: its name, coverage, first word, word behind the last, matched words.
+
+    Parts of runs wait in the order of their bounds; the best is aligned and waits again with what it matched, and is a finding
+    once nothing before it can match more. A part that meets a finding goes on as what is left of it.
+    """
+    name, want, counts = template
     need, size = math.ceil(least * len(want) - 1e-9), 2 * len(want) + GAP
-    best, known = None, {}
+    known: dict[tuple[str, ...], list[tuple[int, int]]] = {}
+    taken: list[tuple[int, int]] = []
+    out: list[Finding] = []
 
     def aligned(p: int, q: int) -> list[tuple[int, int]]:
         key = tuple(words[p:q])
@@ -166,60 +194,89 @@ def best_of(words: list[str], name: str, want: list[str], counts: Counter[str],
             known[key] = patience(key, want)
         return known[key]
 
-    parts = [w for a, b in runs(words, counts, gap_of(want, least)) for w in windows(words, a, b, counts, need, size)]
-    for bound, p, q in sorted(parts, key=lambda x: (-x[0], x[2] - x[1], x[1])):
-        if best and bound <= best[4]:
-            break
-        match = aligned(p, q)
-        found = [(p, match)]
-        if match and len(match) < bound:  # what the template still has before and behind the matched words
-            (i, j), (k, m) = match[0], match[-1]
-            start = max(0, p + i - j)
-            found.append((start, aligned(start, min(len(words), p + k + len(want) - m))))
-        for at, match in found:
-            if len(match) >= need and (best is None or len(match) > best[4]):
-                best = (name, len(match) / len(want), at + match[0][0], at + match[-1][0] + 1, len(match))
-    return best
-
-
-def scan_words(words: list[str], least: float = LEAST) -> list[tuple[str, float, int, int]]:
-    """(template, coverage, first word, word behind the last) of each template's best finding, best first."""
-    found = []
-    for name, want, counts in templates():
-        if held(words, counts) >= math.ceil(least * len(want) - 1e-9) and (best := best_of(words, name, want, counts, least)):
-            found.append(best)
-    return [f[:4] for f in sorted(found, key=lambda f: (-f[1], -f[4], f[0]))]
-
-
-def scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """doc_id, license (the best finding; null if none), coverage, n_licenses, findings (template:per mille:first word:end word, comma-joined) of every row.
-
-    Null text counts as empty: no finding. Ties go to the longer match, then to the template's name; repeated rows repeat, a
-    null id stays null, an empty table gives no rows, other columns aren't read.
+    def free(p: int, q: int) -> list[tuple[int, int]]:
+        """What findings leave of the part."""
+        left = []
+        for a, b in taken[max(0, bisect.bisect_left(taken, (p, p)) - 1) :]:
+            if a >= q:
+                break
+            if b > p:
+                left.append((p, a))
+                p = b
+        return [(a, b) for a, b in [*left, (p, q)] if a < b]
+
+    # (matched or bound, aligned ones first of equals, length, from, to)
+    waiting = [(-bound, 1, q - p, p, q) for a, b in runs(words, counts, gap_of(want, least)) for bound, p, q in windows(words, a, b, counts, need, size)]
+    heapq.heapify(waiting)
+    while waiting:
+        bound, raw, _, p, q = heapq.heappop(waiting)
+        left = free(p, q)
+        if left != [(p, q)]:
+            for a, b in left:
+                if (most := held(words[a:b], counts)) >= need:
+                    heapq.heappush(waiting, (-most, 1, b - a, a, b))
+        elif not raw:
+            bisect.insort(taken, (p, q))
+            out.append((name, -bound / len(want), p, q, -bound))
+        else:
+            match = aligned(p, q)
+            tried = [(p, match)]
+            if match and len(match) < -bound:  # what the template still has before and behind the matched words
+                (i, j), (k, m) = match[0], match[-1]
+                start = max(0, p + i - j)
+                tried.append((start, aligned(start, min(len(words), p + k + len(want) - m))))
+            at, match = max(tried, key=lambda x: len(x[1]))
+            if len(match) >= need:
+                a, b = at + match[0][0], at + match[-1][0] + 1
+                heapq.heappush(waiting, (-len(match), 0, b - a, a, b))
+    return out
+
+
+def scan_words(words: list[str], least: float = LEAST, known: list[Template] | None = None) -> list[tuple[str, float, int, int]]:
+    """(template, coverage, first word, word behind the last) of every template's findings, best first."""
+    found: list[Finding] = []
+    for template in templates() if known is None else known:
+        if held(words, template[2]) >= math.ceil(least * len(template[1]) - 1e-9):
+            found += findings_of(words, template, least)
+    return [f[:4] for f in sorted(found, key=lambda f: (-f[1], -f[4], f[0], f[2]))]
+
+
+def scan(docs: DataFrame, least: float = LEAST, texts: dict[str, str] | None = None) -> DataFrame:
+    """doc_id, license (the best finding's template; null if none), coverage, n_licenses (templates found), n_findings, findings (template:per mille:first word:end word, comma-joined) of every row.
+
+    `texts` are templates by name in place of TEMPLATES. Null text counts as empty: no finding. Ties go to the longer match, then to the
+    template's name, then to the earlier place; repeated rows repeat, a null id stays null, an empty table gives no rows, other columns
+    aren't read.
     """
+    known = prepared(TEMPLATES if texts is None else texts)
 
     def run(batches):
-        vocabulary = pa.array(sorted(set().union(*(v for _, _, v in templates()))))
+        vocabulary = pa.array(sorted(set().union(*(v for _, _, v in known))), pa.string())
         index = {w: i for i, w in enumerate(vocabulary.to_pylist())}
-        times = np.zeros((len(vocabulary), len(templates())), np.int64)
-        for t, (_, _, counts) in enumerate(templates()):
+        times = np.zeros((len(vocabulary), len(known)), np.int64)
+        for t, (_, _, counts) in enumerate(known):
             times[[index[w] for w in counts], t] = list(counts.values())
-        need = np.array([least * len(want) - 1e-9 for _, want, _ in templates()])
+        need = np.array([least * len(want) - 1e-9 for _, want, _ in known])
         for batch in bounded(batches):
             texts = pc.ascii_lower(texts_of(batch))
             parts = pc.split_pattern(pc.replace_substring_regex(texts, "[^a-z0-9]+", " "), " ")
             doc = np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
             coded = parts.flatten().dictionary_encode()
-            known = pc.index_in(coded.dictionary, value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)[coded.indices.to_numpy()]
-            hit = known >= 0
-            pair, n = np.unique(doc[hit].astype(np.int64) * len(vocabulary) + known[hit], return_counts=True)
-            have = np.zeros((len(texts), len(templates())), np.int64)
-            np.add.at(have, pair // len(vocabulary), np.minimum(times[pair % len(vocabulary)], n[:, None]))
-            rows = [(None, 0.0, 0, "")] * len(texts)
+            place = pc.index_in(coded.dictionary, value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)[coded.indices.to_numpy()]
+            hit = place >= 0
+            pair, n = np.unique(doc[hit].astype(np.int64) * len(vocabulary) + place[hit], return_counts=True)
+            have = np.zeros((len(texts), len(known)), np.int64)
+            of, word = pair // max(1, len(vocabulary)), pair % max(1, len(vocabulary))
+            first = np.flatnonzero(np.diff(of, prepend=-1))  # a text's pairs stand together
+            for t in range(len(known) if len(first) else 0):
+                have[of[first], t] = np.add.reduceat(np.minimum(times[word, t], n), first)
+            rows = [(None, 0.0, 0, 0, "")] * len(texts)
             for i in np.flatnonzero((have >= need).any(axis=1)):
-                if found := scan_words(WORD.findall(texts[int(i)].as_py()), least):
-                    rows[i] = (found[0][0], found[0][1], len(found), ",".join(f"{n}:{round(1000 * c)}:{a}:{b}" for n, c, a, b in found))
-            columns = list(zip(*rows)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.float64()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.string())], names=["doc_id", "license", "coverage", "n_licenses", "findings"])
-
-    return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, license string, coverage double, n_licenses long, findings string")
+                own = [k for k, ok in zip(known, have[i] >= need) if ok]
+                if found := scan_words(WORD.findall(texts[int(i)].as_py()), least, own):
+                    rows[i] = (found[0][0], found[0][1], len({f[0] for f in found}), len(found), ",".join(f"{n}:{round(1000 * c)}:{a}:{b}" for n, c, a, b in found))
+            columns = list(zip(*rows)) if rows else [[]] * 5
+            types = [pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types))], names=["doc_id", "license", "coverage", "n_licenses", "n_findings", "findings"])
+
+    return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, license string, coverage double, n_licenses long, n_findings long, findings string")

@@ -2,7 +2,7 @@
 
 The field is trained on the driver from a small labelled table (templates below), with forward-backward in numpy, and
 decoded by Viterbi over batches of windows. A window is every run of words within REACH of a word that isn't plain
-letters; words outside all windows are plain and stay untagged. Texts without any digit, @, = or _ have no window and no
+letters, long runs in parts that overlap; words outside all windows are plain and stay untagged. Texts without any digit, @, = or _ have no window and no
 pattern, so one scan settles them.
 """
 
@@ -25,6 +25,8 @@ from .common import bounded, numbered, only, texts_of
 KINDS = ("email", "ip", "card", "phone", "id", "iban", "secret")
 TAGS = ("O", *(f"{b}-{k}" for k in KINDS for b in "BI"))
 REACH, BUCKETS, CUES = 3, 4096, 64
+#: Words of a window that are decoded together, and further words on both sides of them that only lend their context.
+PART, LEND = 192, 32
 MARKS = r"[0-9@=_]"
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -54,11 +56,11 @@ from {ip} to|the host {ip} is down|ip = {ip}|server {ip} answers|in {ip} and {ip
 card {card} was charged|pay with {card} today|{card}|visa : {card} ok|the {card} of
 call {phone} now|phone : {phone}|tel {phone} or {phone}|{phone}|the {phone} was|fax {phone} and more
 ssn {id} on file|social security {id}|id : {id}|my ssn is {id} today|passport no {id}
-iban {iban} please|to account {iban}|iban : {iban} and|{iban}
-token = {secret} is|token = {secret}|password : {secret} now|the secret = {secret}|api_key = {secret} the|key = {secret}|bearer {secret}
+iban {iban} please|to account {iban}|iban : {iban} and|{iban}|account {iban} , {secret}|send it to {iban} today|{iban} {n_word} of
+token = {secret} is|token = {secret}|password : {secret} now|the secret = {secret}|api_key = {secret} the|key = {secret}|bearer {secret}|{secret} {n_word} {n_word}|{n_word} {secret}|use {secret} for it|{n_word} , {secret} , {n_word}
 the {n_word} of {n_word}|in {n_year} there was|version {n_version} of the|license , version {n_version}|at {n_time} on {n_date}|about {n_count} of {n_count}
-{n_count} | {n_count} | {n_count}|the {n_money} price|{n_percent} of all|call {n_word} now|token of {n_word}|the key is {n_word}|{n_count} = {n_count}|x = {n_count}|on {n_date}
-page {n_count} , line {n_count}|room {n_code} was|isbn {n_code}|{n_word} = {n_word}|a card of {n_word}|no. {n_count}|the {n_long} of|order {n_long} came|user_{n_word} is|{n_word}_{n_word} = {n_count}|at {n_word} @ {n_word}|id = {n_count}
+{n_count} {n_bar} {n_count} {n_bar} {n_count}|the {n_money} price|{n_percent} of all|call {n_word} now|token of {n_word}|the key is {n_word}|{n_count} = {n_count}|x = {n_count}|on {n_date}
+page {n_count} , line {n_count}|room {n_code} was|isbn {n_code}|{n_word} = {n_word}|a card of {n_word}|no. {n_count}|the {n_long} of|order {n_long} came|user_{n_word} is|{n_word}_{n_word} = {n_count}|at {n_word} @ {n_word}|id = {n_count}|{n_word} {n_bar} {n_long} {n_bar} {n_word}|{n_bar} {n_long} {n_bar}|{n_long}
 """
 
 
@@ -75,9 +77,10 @@ def _value(kind: str, rng: np.random.Generator) -> str:
         "card": lambda: pick("-", " ").join(digits(4) for _ in range(4)),
         "phone": lambda: pick(f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", f"{digits(3)}.{digits(3)}.{digits(4)}", f"+1 ({digits(3)}) {digits(3)}-{digits(4)}", f"+{digits(2)} {digits(3)} {digits(7)}"),
         "id": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
-        "iban": lambda: pick("DE", "FR", "ES", "GB") + digits(2) + pick("", " ") + pick(digits(18), " ".join(digits(4) for _ in range(4))),
-        "secret": lambda: pick("", '"', '"', "'") + pick(hexes(40), hexes(40).upper(), hexes(32), hexes(64), "sk_" + hexes(24), hexes(20)),
+        "iban": lambda: pick("DE", "FR", "ES", "GB") + digits(2) + pick("", " ") + pick(digits(18), " ".join(digits(4) for _ in range(4)), " ".join(digits(4) for _ in range(4)) + " " + digits(2)),
+        "secret": lambda: pick("", '"', '"', "'") + pick(hexes(40), hexes(40).upper(), hexes(32), hexes(64), "sk_" + hexes(24), hexes(20), "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), rng.integers(19, 30))) + "7X"),
         "n_word": word,
+        "n_bar": lambda: "|",
         "n_year": lambda: str(rng.integers(1000, 2100)),
         "n_version": lambda: pick(f"{digits(1)}.{digits(1)}", digits(1), f"{digits(1)}.{digits(1)}.{digits(2)}", f"v{digits(1)}.{digits(1)}"),
         "n_time": lambda: f"{digits(2)}:{digits(2)}",
@@ -118,12 +121,15 @@ def core(word: str) -> tuple[int, int]:
     return (left, right) if left < right else (0, 0)
 
 
-@functools.lru_cache(maxsize=100_000)
-def shape(word: str) -> tuple[int, int]:
-    """(bucket of the word's shape, bucket of its cue). Letter runs lose their length, digit runs keep theirs up to 9.
+def shape(word: str) -> tuple[int, int, bool, bool]:
+    """(bucket of the word's shape, bucket of its cue, whether punctuation closes it, whether it's letters alone). Letter runs lose their length, digit runs keep theirs up to 9.
 
     Long runs of letters and digits mixed are one shape, by whether they are all hexadecimal.
     """
+    return _remembered(word) if len(word) <= 64 else _shape(word)
+
+
+def _shape(word: str) -> tuple[int, int, bool, bool]:
     lo, hi = core(word)
     w = word[lo:hi] or word
     cue = next((k + 1 for k, words in enumerate(CUE_WORDS.values()) if w.lower() in words.split()), 0)
@@ -134,9 +140,12 @@ def shape(word: str) -> tuple[int, int]:
     elif re.fullmatch(r"[^\W\d_]+(?:['-][^\W\d_]+)*", w):
         s = "w"
     else:
-        s = re.sub(r"[0-9]+", lambda m: f"d{min(9, len(m[0]))}", re.sub(r"[^\W\d_]+", "x", w[:64]))
+        s = re.sub(r"[0-9]+", lambda m: f"d{min(9, len(m[0]))}", re.sub(r"[^\W\d_]+", "x", w))
         s = re.sub(r"(.)\1{2,}", r"\1\1", s)
-    return zlib.crc32(s.encode()) % BUCKETS, cue
+    return zlib.crc32(s.encode()) % BUCKETS, cue, 0 < hi < len(word), s == "w"
+
+
+_remembered = functools.lru_cache(maxsize=100_000)(_shape)
 
 
 class Field:
@@ -159,9 +168,11 @@ class Field:
     def emissions(self, rows: dict[str, np.ndarray]) -> np.ndarray:
         return sum(self.parts[k][r] for k, r in rows.items())
 
-    def viterbi(self, shapes: np.ndarray, cues: np.ndarray, lens: np.ndarray) -> np.ndarray:
-        """Best tags (n, length) of all windows at once."""
+    def viterbi(self, shapes: np.ndarray, cues: np.ndarray, lens: np.ndarray, closed: np.ndarray | None = None) -> np.ndarray:
+        """Best tags (n, length) of all windows at once. No value goes on behind a word that is `closed`."""
         e = self.emissions(self.features(shapes, cues))
+        if closed is not None:
+            e[:, 1:][closed[:, :-1]] += np.where(self.start, 0, -1e9)
         n, length, t = e.shape
         step = np.where(self.allowed, self.step, -1e9)
         best = e[:, 0] + np.where(self.start, 0, -1e9)
@@ -187,7 +198,7 @@ def fit(table: list[tuple[list[str], list[str]]], rounds: int = 80, rate: float
     lens = np.array([len(w) for w, _ in table])
     for i, (words, tags) in enumerate(table):
         for j, (w, t) in enumerate(zip(words, tags)):
-            shapes[i, j], cues[i, j] = shape(w)
+            shapes[i, j], cues[i, j], *_ = shape(w)
             gold[i, j] = TAGS.index(t)
     rows = Field.features(shapes, cues)
     live = np.arange(length)[None] < lens[:, None]
@@ -282,41 +293,50 @@ def windows(text: str) -> list[list[tuple[int, int]]]:
     return [places[lo:hi] for lo, hi in runs]
 
 
-def field_spans(texts: list[str], model: Field) -> list[list[tuple[int, int, int]]]:
-    """Spans that the field tags in each text, decoded for all texts' windows in batches of like length."""
-    jobs = [(d, w) for d, text in enumerate(texts) for w in windows(text)]
-    out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    jobs.sort(key=lambda j: len(j[1]))
+def _tags(texts: list[str], jobs: list[tuple[int, list[tuple[int, int]]]], model: Field) -> list[np.ndarray]:
+    """Tags of each window (text, places of its words), decoded in parts of like length; a part keeps the tags of its own PART words."""
+    out = [np.zeros(len(w), np.int8) for _, w in jobs]
+    parts = [(k, max(0, p - LEND), min(len(w), p + PART + LEND), p) for k, (_, w) in enumerate(jobs) for p in range(0, len(w), PART)]
+    parts.sort(key=lambda x: x[2] - x[1])
     at = 0
-    while at < len(jobs):
+    while at < len(parts):
         to = at + 1
-        while to < len(jobs) and (to - at) * len(jobs[to][1]) < 20_000:
+        while to < len(parts) and (to - at) * (parts[to][2] - parts[to][1]) < 20_000:
             to += 1
-        part = jobs[at:to]
-        at = to
-        longest = len(part[-1][1])
-        shapes, cues = np.zeros((len(part), longest), np.int64), np.zeros((len(part), longest), np.int64)
-        for i, (d, w) in enumerate(part):
+        own, at = parts[at:to], to
+        longest = own[-1][2] - own[-1][1]
+        shapes, cues, closed = np.zeros((len(own), longest), np.int64), np.zeros((len(own), longest), np.int64), np.zeros((len(own), longest), bool)
+        for i, (k, lo, hi, _) in enumerate(own):
+            d, w = jobs[k]
             text = texts[d]
-            for j, (a, b) in enumerate(w):
-                shapes[i, j], cues[i, j] = shape(text[a:b] if b - a <= 256 else text[a : a + 256])
-        tags = model.viterbi(shapes, cues, np.array([len(w) for _, w in part]))
-        for i in np.flatnonzero(tags.any(axis=1)):
-            d, w = part[i]
-            text, row = texts[d], tags[i]
-            j = 0
-            while j < len(w):
-                if not row[j]:
-                    j += 1
-                    continue
-                kind, k = (int(row[j]) - 1) // 2, j + 1
-                while k < len(w) and row[k] == 2 * kind + 2:
-                    k += 1
-                start = w[j][0] + core(text[slice(*w[j])])[0]
-                end = w[k - 1][0] + (core(text[slice(*w[k - 1])])[1] or w[k - 1][1] - w[k - 1][0])
-                if any(c.isdigit() or c == "@" for c in text[start:end]):
-                    out[d].append((start, kind, end))
-                j = k
+            for j, (a, b) in enumerate(w[lo:hi]):
+                shapes[i, j], cues[i, j], closed[i, j], plain = shape(text[a:b])
+                if plain and j:  # no value goes on with letters alone
+                    closed[i, j - 1] = True
+        tags = model.viterbi(shapes, cues, np.array([hi - lo for _, lo, hi, _ in own]), closed)
+        for (k, lo, hi, p), row in zip(own, tags):
+            end = min(hi, p + PART)
+            out[k][p:end] = row[p - lo : end - lo]
+    return out
+
+
+def field_spans(texts: list[str], model: Field) -> list[list[tuple[int, int, int]]]:
+    """Spans that the field tags in each text: a word tagged as a beginning and those tagged as going on behind it."""
+    jobs = [(d, w) for d, text in enumerate(texts) for w in windows(text)]
+    out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    for (d, w), row in zip(jobs, _tags(texts, jobs, model)):
+        text = texts[d]
+        for j in np.flatnonzero(row).tolist():
+            kind = (int(row[j]) - 1) // 2
+            if row[j] == 2 * kind + 2 and j and row[j - 1] in (2 * kind + 1, 2 * kind + 2):
+                continue  # goes on in the span before
+            k = j + 1
+            while k < len(w) and row[k] == 2 * kind + 2:
+                k += 1
+            start = w[j][0] + core(text[slice(*w[j])])[0]
+            end = w[k - 1][0] + (core(text[slice(*w[k - 1])])[1] or w[k - 1][1] - w[k - 1][0])
+            if any(c.isdigit() or c == "@" for c in text[start:end]):
+                out[d].append((start, kind, end))
     return out
 
 

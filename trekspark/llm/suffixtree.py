@@ -2,7 +2,7 @@
 
 The tree is learned from counts of every (DEPTH + 1)-gram of the training texts. A context is retained if it occurs LEAST
 times at least, however large the corpus, and its next-symbol distribution diverges from that of the context one symbol
-shorter. Distributions are smoothed towards the shorter context's. A text is scored by always predicting from the longest
+shorter. Distributions are smoothed towards the shorter context's, which weighs PRIOR times the different symbols seen. A text is scored by always predicting from the longest
 retained suffix of what came before. The contexts grow with the corpus, so they stay a table: blocks of text fetch the
 probabilities of their own grams by a join.
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded, crc_bucket, only, stored, texts_of
 
-DEPTH, LEAST, DIVERGENCE = 5, 2, 3.0
+DEPTH, LEAST, DIVERGENCE, PRIOR = 5, 2, 3.0, 3.0
 BITS = 8
 SEGMENT = 256
 BLOCK_BYTES = 4 << 20
@@ -126,7 +126,8 @@ def model(table: DataFrame, least: int = LEAST, divergence: float = DIVERGENCE)
             keep = (F.col("total") >= least) & (F.sum(term).over(context) >= divergence)
         else:
             keep = F.col("total") > 0
-        p = F.when(keep, (F.col("n") + F.col("kinds") * F.col("p_short")) / (F.col("total") + F.col("kinds"))).otherwise(F.col("p_short"))
+        prior = PRIOR * F.col("kinds")
+        p = F.when(keep, (F.col("n") + prior * F.col("p_short")) / (F.col("total") + prior)).otherwise(F.col("p_short"))
         below = level.select("code", "n", "total", p.alias("p"))
     return below.select("code", F.log10("p").alias("logp"))
 
@@ -194,10 +195,10 @@ def grow(rows: pa.Table) -> Tree:
         counts[length, code] = row
         short = next((counts[k, code & ((1 << (BITS * k)) - 1)] for k in range(length - 1, -1, -1) if (k, code & ((1 << (BITS * k)) - 1)) in counts), None)
         below = p[short] if short is not None else np.full(COUNT, 1 / COUNT)
-        kinds = b - a
-        p[row] = kinds * below
+        prior = PRIOR * (b - a)
+        p[row] = prior * below
         np.add.at(p[row], nxt[a:b], n[a:b])
-        p[row] /= n[a:b].sum() + kinds
+        p[row] /= n[a:b].sum() + prior
     # Nodes are the prefixes of retained contexts, as in a trie; a node's link is its longest proper suffix that is a node.
     nodes: dict[tuple[int, int], int] = {(0, 0): 0}
     children: list[dict[int, int]] = [{}]
