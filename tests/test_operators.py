@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trekspark.operators import graph, joins, matching, modes, paths, stays, validate
+from trekspark.operators import dbscan, features, graph, hdbscan, joins, matching, modes, paths, profile, ranks, report, stays, trips, validate
 from trekspark.plans.settings import settings
 from trekspark.sources import readers, sinks
 from trekspark.sources.schema import conform
@@ -23,25 +23,157 @@ def test_dbscan_agrees_with_the_plain_form(spark):
             lat, lon = centres[rng.integers(4)] + rng.normal(0, 0.0009, 2)
             rows.append((u, T0 + timedelta(minutes=i), float(lat), float(lon), i))
     df = spark.createDataFrame(rows, "user_id string, timestamp timestamp, lat double, lon double, event_id long")
-    got = stays.dbscan_labels(df, 90.0, 5).toPandas().sort_values(["user_id", "rank"])
-    placed = stays._projected(df).toPandas().sort_values(["user_id", "rank"])
+    got = dbscan.dbscan_labels(df, 90.0, 5).toPandas().sort_values(["user_id", "rank"])
+    placed = dbscan.projected(df).toPandas().sort_values(["user_id", "rank"])
     for u, own in placed.groupby("user_id"):
-        want = stays.dbscan_user(own[["x", "y"]].to_numpy(), 90.0, 5)
+        want = dbscan.dbscan_plain(own[["x", "y"]].to_numpy(), 90.0, 5)
         assert got[got.user_id == u]["cluster"].fillna(-1).astype(int).tolist() == want.tolist()
 
 
 def test_border_point_joins_the_lowest_cluster():
     line = np.array([[x, 0.0] for x in (0, 1, 2, 3, 5, 7, 8, 9, 10)])
-    labels = stays.dbscan_user(line, 2.0, 4)
+    labels = dbscan.dbscan_plain(line, 2.0, 4)
     assert labels.tolist() == [0, 0, 0, 0, 0, 1, 1, 1, 1]
 
 
-def test_hdbscan_finds_blobs():
-    rng = np.random.default_rng(1)
-    xy = np.concatenate([rng.normal(0, 1, (30, 2)), rng.normal(40, 1, (30, 2)), [[400.0, -400.0]]])
-    labels = stays.hdbscan_user(xy, 5, 5, 0.0)
-    assert len(set(labels[:30])) == 1 and len(set(labels[30:60])) == 1 and labels[0] != labels[30] and labels[60] == -1
-    assert (stays.hdbscan_user(xy[:3], 5, 5, 0.0) == -1).all()
+def placed_of(spark, users):
+    """Rows of projected() from plane coordinates of each user."""
+    rows = [(u, i + 1, T0 + timedelta(seconds=i), 0.0, 0.0, float(x), float(y)) for u, xy in users.items() for i, (x, y) in enumerate(xy)]
+    return graph.written(spark.createDataFrame(rows, "user_id string, rank int, timestamp timestamp, lat double, lon double, x double, y double"))
+
+
+def clusters_of(df):
+    own = df.toPandas().sort_values(["user_id", "rank"])
+    return {u: g["cluster"].fillna(-1).astype(int).tolist() for u, g in own.groupby("user_id")}
+
+
+def test_dbscan_in_cells_agrees_with_the_plain_form(spark):
+    rng = np.random.default_rng(8)
+    users = {}
+    for u in range(12):
+        spread = rng.choice([0.4, 1.0, 2.0, 4.0])
+        users[f"u{u}"] = np.round(np.concatenate([rng.normal(c, spread, (int(rng.integers(1, 40)), 2)) for c in rng.uniform(-9, 9, (3, 2))]), int(rng.integers(0, 4)))
+    users["line"] = np.column_stack([np.arange(40) * 1.0, np.zeros(40)])  # neighbours exactly at eps
+    users["apart"] = np.concatenate([rng.normal(0, 0.01, (30, 2)), rng.normal(0, 0.01, (30, 2)) + (1.0, 0.0)])  # two dense places near eps
+    got = clusters_of(dbscan.cluster_placed(placed_of(spark, users), 1.0, 4))
+    for u, xy in users.items():
+        assert got[u] == dbscan.dbscan_plain(xy, 1.0, 4).tolist(), u
+
+
+def test_a_dense_place_makes_no_row_per_pair(spark, monkeypatch):
+    most = []
+    monkeypatch.setattr(dbscan, "written", lambda df, own=graph.written: (lambda out: most.append(out.count()) or out)(own(df)))
+    xy = np.random.default_rng(2).normal(0, 1, (20_000, 2))
+    placed = placed_of(spark, {"home": xy})
+    assert dbscan.cluster_placed(placed, 3.0, 5).filter("cluster = 0").count() > 19_900
+    cells = 17  # a pair of cells has at most 256 pairs of boxes at a time, whatever the points in them
+    assert max(most) <= max(20_000, 12 * cells * 256) and sum(most) < 120_000
+
+
+def plain_hdbscan(xy, least, k, epsilon):
+    """HDBSCAN by its definition: components of all pairs at each length, condensed, stable clusters chosen from the leaves up."""
+    n = len(xy)
+    if n < max(2, least):
+        return [-1] * n
+    d = np.sqrt(((xy[:, None] - xy[None]) ** 2).sum(axis=2))
+    core = np.array([np.sort(np.delete(d[i], i))[min(k, n - 1) - 1] for i in range(n)])
+    reach = np.maximum(np.maximum(core[:, None], core[None]), d)
+
+    def parts(own, length, inclusive):
+        left, out = set(own), []
+        while left:
+            todo = [left.pop()]
+            one = set(todo)
+            while todo:
+                i = todo.pop()
+                near = {j for j in left if (reach[i, j] <= length if inclusive else reach[i, j] < length)}
+                left -= near
+                one |= near
+                todo += near
+            out.append(sorted(one))
+        return out
+
+    density = lambda x: 1 / x if x > 0 else 1e12
+
+    def grow(own, birth, born):
+        """(stability, own points, length at birth, clusters below) of the cluster that begins with these points."""
+        total, alive = 0.0, own
+        while True:
+            length = next((x for x in np.unique(reach[np.ix_(alive, alive)]) if len(parts(alive, x, True)) == 1), 0.0) if len(alive) > 1 else 0.0
+            big = [p for p in parts(alive, length, False) if len(p) >= least] if len(alive) > 1 else []
+            if len(big) == 1 and len(big[0]) < len(alive):
+                total += (len(alive) - len(big[0])) * (density(length) - birth)
+                alive = big[0]
+                continue
+            return [total + len(alive) * (density(length) - birth), own, born, [grow(p, density(length), length) for p in big] if len(big) > 1 else []]
+
+    root = grow(list(range(n)), 0.0, np.inf)
+
+    def choose(c, top):
+        below = [x for k in c[3] for x in choose(k, False)]
+        value = sum(x[0] for x in below)
+        return [c] if not top and (not c[3] or c[0] >= value) else below
+
+    picked = choose(root, True)
+    if epsilon > 0:
+        up = {}
+
+        def walk(c, above):
+            for k in c[3]:
+                up[id(k)] = c
+                walk(k, c)
+
+        walk(root, None)
+        raised = {}
+        for c in picked:
+            while up[id(c)] is not root and c[2] < epsilon:
+                c = up[id(c)]
+            raised[id(c)] = c
+        inside = lambda c: any(set(c[1]) < set(o[1]) for o in raised.values())
+        picked = [c for c in raised.values() if not inside(c)]
+    out = [-1] * n
+    for number, c in enumerate(sorted(picked, key=lambda c: min(c[1]))):
+        for i in c[1]:
+            out[i] = number
+    return out
+
+
+def whole_tree(xy, k):
+    n = len(xy)
+    core = np.sqrt(hdbscan.nearest(xy, xy, min(k, n - 1), True)[:, -1])
+    return hdbscan.spanning(xy, core)
+
+
+def test_hdbscan_agrees_with_its_definition():
+    rng = np.random.default_rng(5)
+    clusters = 0
+    for case in range(200):
+        n = int(rng.integers(2, 26))
+        xy = rng.normal(0, 1, (n, 2)) + rng.choice([0, 6, 20], (n, 1)) if case % 2 else rng.integers(0, 5, (n, 2)).astype(float)
+        least, k, epsilon = int(rng.integers(2, 6)), int(rng.integers(1, 6)), float(rng.choice([0.0, 1.5]))
+        got = hdbscan.labels(n, *whole_tree(xy, k), least, epsilon).tolist()
+        want = plain_hdbscan(xy, least, k, epsilon)
+        assert got == want, (case, n, least, k, epsilon)
+        clusters += max(want) + 1
+    assert clusters > 150
+
+
+def test_blocks_and_thinning_change_nothing(spark):
+    rng = np.random.default_rng(6)
+    users = {f"u{n}": np.concatenate([rng.normal(0, 1, (n, 2)), rng.normal(30, 2, (n, 2)), rng.integers(0, 9, (n, 2))]) for n in (1, 4, 15, 30)}
+    placed = placed_of(spark, users)
+    whole = clusters_of(hdbscan.cluster_placed(placed, 5, 3))
+    for block, most in ((7, 1 << 40), (20, 1)):
+        assert clusters_of(hdbscan.cluster_placed(placed, 5, 3, 0.0, hdbscan.tree_edges(placed, 3, block, most))) == whole
+    for u, xy in users.items():
+        assert whole[u] == plain_hdbscan(xy, 5, 3, 0.0)
+
+
+def test_hdbscan_of_many_points_on_a_line_and_in_one_place(spark):
+    n = 20_000
+    users = {"line": np.column_stack([np.cumsum(1.0 / np.arange(1, n + 1)), np.zeros(n)]), "place": np.zeros((n, 2))}
+    got = clusters_of(hdbscan.cluster_placed(placed_of(spark, users), 5))
+    assert len(got["line"]) == n and len(got["place"]) == n
 
 
 def test_components_of_a_long_chain(spark):
@@ -143,12 +275,144 @@ def test_settings_prefer_override_then_config():
     assert (s.max_speed_kmh, s.gap_min, s.user_ids, s.eps_m) == (150, 10.0, None, 150.0)
 
 
-def test_map_matching_keeps_failed_batches_and_stops_asking(spark):
-    df = spark.createDataFrame([("u", f"u-{t}", T0 + timedelta(seconds=i), 1.0, 2.0) for t in range(6) for i in range(2)], "user_id string, trip_id string, timestamp timestamp, lat double, lon double").coalesce(1)
-    down = matching.map_match(df, lambda *_: None, fail_limit=3).toPandas()
-    assert not down.matched.any() and down.trip_id.nunique() <= 6
-    up = matching.map_match(df, lambda lat, lon, at: ([(9.0, 9.0), None], 0.5)).toPandas()
-    assert up.matched.sum() == 6 and set(up.confidence) == {0.5} and (up[~up.matched].snapped_lat == 1.0).all()
+def traces(spark, n, parts):
+    rows = [("u", f"u-{t}", T0 + timedelta(seconds=60 * t + i), 1.0 + i, 2.0, i) for t in range(n) for i in range(1 + t % 3)]
+    return spark.createDataFrame(rows, "user_id string, trip_id string, timestamp timestamp, lat double, lon double, event_id int").repartition(parts)
+
+
+def test_map_matching_leaves_out_no_point_and_does_not_depend_on_partitions(spark):
+    down = [matching.map_match(traces(spark, 9, parts), lambda *_: None, fail_limit=3).toPandas() for parts in (1, 5)]
+    for d in down:
+        assert len(d) == 18 and not d.matched.any() and d.confidence.isna().all() and set(d[d.asked].trip_id) == set()
+    some = lambda lat, lon, at: None if len(lat) == 2 else ([(9.0, 9.0), None, (8.0, 8.0)], 0.5)
+    up = [matching.map_match(traces(spark, 9, parts), some, fail_limit=None).toPandas().sort_values(["trip_id", "seq"]).reset_index(drop=True) for parts in (1, 5)]
+    assert up[0].equals(up[1]) and len(up[0]) == 18
+    own = up[0]
+    assert own.matched.sum() == 6 and set(own[own.matched].confidence) == {0.5} and own[~own.matched].confidence.isna().all()
+    assert (own[~own.matched].snapped_lon == 2.0).all() and own.asked.sum() == 15
+    mixed = matching.map_match(traces(spark, 9, 2), some, fail_limit=2).toPandas()
+    assert mixed.matched.sum() == 6  # one of the first two batches works
+
+
+def test_routing_service_over_http(spark):
+    import http.server
+    import json
+    import threading
+
+    class Stub(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            places = self.path.split("/driving/")[1].split("?")[0].split(";")
+            points = [{"location": [float(p.split(",")[0]) + 1, float(p.split(",")[1]) + 1]} if i != 1 else None for i, p in enumerate(places)]
+            good = len(places) == 3 and "radiuses=10;10;10" in self.path and "timestamps=" in self.path
+            body = json.dumps({"code": "Ok" if good else "NoMatch", "tracepoints": points, "matchings": [{"confidence": 0.25}, {"confidence": 0.75}]}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Stub)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        client = matching.RoutingService(f"http://127.0.0.1:{server.server_port}")
+        got = matching.map_match(traces(spark, 6, 2), client).toPandas()
+        own = got[got.matched]
+        assert len(got) == 12 and len(own) == 4 and set(own.confidence) == {0.75} and set(own.seq) == {0, 2} and (own.snapped_lon == 3.0).all()
+    finally:
+        server.shutdown()
+    gone = matching.map_match(traces(spark, 6, 2), matching.RoutingService(f"http://127.0.0.1:{server.server_port}", timeout_s=0.2)).toPandas()
+    assert len(gone) == 12 and not gone.matched.any()
+
+
+def test_split_quantiles_are_the_linear_ones(spark):
+    rng = np.random.default_rng(1)
+    rows = [(k, float(v)) for k in ("a", "b", None) for v in np.round(rng.normal(0, 5, 37 if k else 8), 1)] + [("a", None), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.n, r.q) for r in ranks.split_quantiles(df, ["k"], "v", (0.25, 0.5, 0.9)).collect()}
+    assert set(got) == {"a", "b", None}
+    for k, (n, q) in got.items():
+        own = [v for x, v in rows if x == k and v is not None]
+        assert n == len(own) and np.allclose(q, np.quantile(own, (0.25, 0.5, 0.9)))
+
+
+def test_users_in_spans_have_the_same_features(spark, sf):
+    from trekspark.queries import moved
+
+    p = moved(spark, sf)
+    rows = lambda df, c: sorted((r.event_id, None if r[c] is None else round(r[c], 9)) for r in df.select("event_id", c).collect())
+    for f, c in ((lambda s: features.with_acceleration(p, split_s=s), "accel_mps2"), (lambda s: features.with_stop_density(p, 7200, split_s=s), "stop_density_per_min"), (lambda s: features.with_accel_spread(p, 200_000, split_s=s), "accel_roll_std")):
+        assert rows(f(None), c) == rows(f(86_400), c)
+
+
+def test_segments_are_those_of_the_nearest_centre(spark, sf):
+    from trekspark.queries import cut, moved
+
+    f = profile.user_features(moved(spark, sf), cut(spark, sf)[1])
+    done, centres = (x.toPandas() for x in profile.segment_users(f, 3))
+    used = list(centres.columns[1:])
+    x = done[used].astype(float)
+    x = x.fillna(x.median())
+    scale = x.std(ddof=1).replace(0, 1)
+    gap = ((x.to_numpy()[:, None] - centres[used].to_numpy()[None]) / scale.to_numpy()) ** 2
+    assert gap.sum(axis=2).argmin(axis=1).tolist() == done.segment.tolist()
+    assert np.allclose(x.groupby(done.segment).mean().to_numpy(), centres[used].to_numpy(), rtol=1e-6, atol=1e-9)
+
+
+def test_evaluation_and_importance(spark, sf, tmp_path):
+    from trekspark.queries import cut
+
+    data = modes.split_by_time(modes.trip_dataset(cut(spark, sf)[1]))
+    model, used = modes.train_classifier(data.filter("split = 'train'"))
+    test = data.filter("split = 'test'")
+    report = modes.evaluate(model, used, test)
+    rows = modes.predict(model, test).collect()
+    assert report["accuracy"] == pytest.approx(np.mean([r.prediction == r.mode_heuristic for r in rows])) and report["n"] == len(rows)
+    assert set(report["importance"]) == set(used) and report["rule"]["accuracy"] == 1.0
+    matrix = model.stages[-1].coefficientMatrix.toArray()
+    assert report["importance"][used[0]] == pytest.approx(sum(abs(v) for v in matrix[:, 0]) / len(matrix))
+    deltas = modes.compare_reports(report, report | {"accuracy": 0.0})
+    assert deltas["delta_accuracy"] == report["accuracy"] and deltas["delta_f1_macro"] == 0
+    path = sinks.save_model(model, report, str(tmp_path / "m"))
+    assert readers.read_report(path)["accuracy"] == pytest.approx(report["accuracy"]) and (tmp_path / "m" / "mode_model").exists()
+
+
+def test_reports_as_files(spark, tmp_path):
+    df = spark.createDataFrame([("a", T0, 1.5), ("b", None, None)], "user_id string, at timestamp, v double")
+    path = sinks.save_csv(df, str(tmp_path / "r.csv"))
+    back = {r.user_id: (r.at, r.v) for r in spark.read.option("header", True).csv(path).collect()}
+    assert back == {"a": ("2024-01-01 00:00:00", "1.5"), "b": (None, None)}
+    (tmp_path / "c.yaml").write_text("features:\n  max_speed_kmh: 90\n")
+    taken = readers.read_report(sinks.snapshot_config(str(tmp_path / "c.yaml"), str(tmp_path / "out" / "c.json")))
+    assert taken["config"] == {"features": {"max_speed_kmh": 90}} and taken["taken_at"].endswith("+00:00")
+    assert {r["summary"] for r in sinks.describe(df).collect()} >= {"count", "mean", "max"}
+
+
+def test_users_for_drawing(spark):
+    df = spark.createDataFrame([("b", 1), ("c", 2), ("a", 3), ("b", 4)], "user_id string, n int").coalesce(1)
+    assert readers.first_users(df, 2) == ["a", "b"]
+    assert sorted(r.n for r in report.sample_users(df, 2).collect()) == [1, 2, 4]
+    assert report.sampled(df, 3).count() == 3 and report.sampled(df, 9).count() == 4
+
+
+def test_flows_from_files_to_profiles(spark, tmp_path):
+    from trekspark.plans import ingest
+
+    folder = tmp_path / "raw" / "001" / "Trajectory"
+    folder.mkdir(parents=True)
+    lines = ["head"] * 6
+    for day in (11, 12, 13):
+        for i in range(40):
+            lines.append(f"{39.9 + 0.0004 * min(i, 20)},{116.3},0,100,40097,2009-10-{day},{8 + i // 60:02d}:{i % 60:02d}:00")
+    (folder / "t.plt").write_text("\n".join(lines))
+    s = settings({}, raw_dir=str(tmp_path / "raw"), processed_dir=str(tmp_path / "done"), user_ids=("001", "009"))
+    paths_ = ingest.ingest(spark, s)
+    points, table = (readers.read_artifact(spark, kind, p) for kind, p in zip(("points", "trips"), paths_))
+    assert points.count() == 120 and table.count() == 3
+    rated = ingest.point_features(points, s).filter("geohash IS NOT NULL AND stop_density_per_min IS NOT NULL")
+    assert rated.count() == 120
+    found, users = ingest.profiles(points, table, s)
+    assert found.count() >= 1 and users.filter("total_trips = 3").count() == 1
 
 
 def test_ks_is_symmetric_and_exact(spark):

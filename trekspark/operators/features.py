@@ -9,15 +9,18 @@ from ..functions.geo import bearing_change, geohash, haversine_m, pair_text
 from ..functions.scalar import calendar, seconds_between
 from ..sources.schema import pick
 from .joins import interval_join
-from .trips import order_of, with_motion
+from .trips import with_before, with_motion
 
 
-def with_acceleration(points: DataFrame, cap: float = 5.0) -> DataFrame:
-    """accel_mps2: change of speed over time, held within +-cap; null on a user's first row and where a speed or the time is missing."""
-    df = points if {"speed_kmh", "dt_s"} <= set(points.columns) else with_motion(points)
-    before = F.lag("speed_kmh").over(order_of(df))
-    rate = F.when(F.col("dt_s") > 0, (F.col("speed_kmh") - before) / 3.6 / F.col("dt_s"))
-    return df.withColumn("accel_mps2", F.when(rate.isNotNull(), F.greatest(F.least(rate, F.lit(cap)), F.lit(-cap))))
+def with_acceleration(points: DataFrame, cap: float = 5.0, split_s: int | None = None) -> DataFrame:
+    """accel_mps2: change of speed over time, held within +-cap; null on a user's first row and where a speed or the time is missing.
+
+    `split_s` works users in spans of so many seconds, as in trips.py.
+    """
+    df = points if {"speed_kmh", "dt_s"} <= set(points.columns) else with_motion(points, split_s)
+    df = with_before(df, split_s, ("timestamp", "speed_kmh"))
+    rate = F.when(F.col("dt_s") > 0, (F.col("speed_kmh") - F.col("_before.speed_kmh")) / 3.6 / F.col("dt_s"))
+    return df.withColumn("accel_mps2", F.when(rate.isNotNull(), F.greatest(F.least(rate, F.lit(cap)), F.lit(-cap)))).drop("_before")
 
 
 def with_calendar(points: DataFrame) -> DataFrame:
@@ -30,26 +33,38 @@ def with_geohash(points: DataFrame, precision: int = 7) -> DataFrame:
     return points.withColumn("geohash", value)
 
 
-def _trailing(window_s: float) -> Window:
-    """The user's rows in (t - window, t]; rows of one time see each other."""
-    return Window.partitionBy("user_id").orderBy("_us").rangeBetween(-int(window_s * 1_000_000) + 1, 0)
-
-
-def _clocked(points: DataFrame) -> DataFrame:
-    return points.withColumn("_us", F.unix_micros(F.col("timestamp").cast("timestamp")))
-
-
-def with_stop_density(points: DataFrame, window_s: float = 300, stop_speed_kmh: float = 1.0) -> DataFrame:
+def _trailing(points: DataFrame, window_s: float, split_s: int | None, name: str, value) -> DataFrame:
+    """points with `name`, the aggregate `value` over the user's rows in (t - window, t]; rows of one time see each other.
+
+    With `split_s` a user's rows are worked in spans of so many seconds, or of the window if that is longer. Each span also
+    gets copies of the rows of the span before that its windows reach, which are dropped again.
+    """
+    width = int(window_s * 1_000_000)
+    df = points.withColumn("_us", F.unix_micros(F.col("timestamp").cast("timestamp")))
+    keys = ["user_id"]
+    if split_s is not None:
+        span = max(split_s * 1_000_000, width)
+        own = F.floor(F.col("_us") / span)
+        df = df.withColumn("_span", F.explode(F.when(F.col("_us") > (own + 1) * span - width, F.array(own, own + 1)).otherwise(F.array(own))))
+        keys.append("_span")
+    window = Window.partitionBy(*keys).orderBy("_us").rangeBetween(-width + 1, 0)
+    df = df.withColumn(name, value.over(window))
+    if split_s is not None:
+        df = df.filter(F.floor(F.col("_us") / span) == F.col("_span")).drop("_span")
+    return df.drop("_us")
+
+
+def with_stop_density(points: DataFrame, window_s: float = 300, stop_speed_kmh: float = 1.0, split_s: int | None = None) -> DataFrame:
     """stop_density_per_min: stops (speed at most `stop_speed_kmh`) in the trailing window, over the window's minutes."""
     stop = F.when(F.col("speed_kmh") <= stop_speed_kmh, 1.0).otherwise(0.0)
-    df = _clocked(points)
-    return df.withColumn("stop_density_per_min", F.sum(stop).over(_trailing(window_s)) / (window_s / 60.0)).drop("_us")
+    df = _trailing(points, window_s, split_s, "stop_density_per_min", F.sum(stop))
+    return df.withColumn("stop_density_per_min", F.col("stop_density_per_min") / (window_s / 60.0))
 
 
-def with_accel_spread(points: DataFrame, window_s: float = 60) -> DataFrame:
+def with_accel_spread(points: DataFrame, window_s: float = 60, split_s: int | None = None) -> DataFrame:
     """accel_roll_std: sample deviation of acceleration in the trailing window; null for one value."""
-    df = _clocked(points if "accel_mps2" in points.columns else with_acceleration(points))
-    return df.withColumn("accel_roll_std", F.stddev_samp("accel_mps2").over(_trailing(window_s))).drop("_us")
+    df = points if "accel_mps2" in points.columns else with_acceleration(points, split_s=split_s)
+    return _trailing(df, window_s, split_s, "accel_roll_std", F.stddev_samp("accel_mps2"))
 
 
 def accel_by_trip(points: DataFrame) -> DataFrame:

@@ -8,10 +8,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MATCHED = "user_id string, trip_id string, seq int, snapped_lat double, snapped_lon double, snapped_time timestamp, confidence double, matched boolean, lateral_offset_m double"
+MATCHED = "user_id string, trip_id string, seq int, snapped_lat double, snapped_lon double, snapped_time timestamp, confidence double, matched boolean, asked boolean, lateral_offset_m double"
 #: A client takes (lat, lon, unix second) lists and gives (lat, lon) or None per point with a confidence, or None if it fails.
 Client = Callable[[list[float], list[float], list[int]], tuple[list[tuple[float, float] | None], float] | None]
 
@@ -48,28 +48,39 @@ def batch_key(points: DataFrame) -> DataFrame:
     return points.withColumn("trip_id", F.concat_ws("-", "user_id", F.date_format(F.col("timestamp").cast("timestamp"), "yyyyMMdd")))
 
 
-def map_match(points: DataFrame, client: Client, fail_limit: int = 3) -> DataFrame:
-    """Every point with its matched place; points of a batch that fails, or has fewer than two points, keep their own and matched is false.
+def map_match(points: DataFrame, client: Client, fail_limit: int | None = 3) -> DataFrame:
+    """Every point with its matched place, in MATCHED's columns.
 
-    Failures count in each Python worker; once `fail_limit` is reached it asks no further and leaves its later batches
-    out, as a service that is down would otherwise hold every batch until its timeout.
+    A point that isn't matched, of a batch of less than two points or of one that fails, keeps its own place, its matched is false and its confidence null.
+    `asked` tells whether the service was asked for the point's batch. The `fail_limit` batches that come first by user and trip are
+    asked before all others; if every one of them fails, the service is taken to be down and no other batch is asked, for each
+    would be held until its timeout. So no point is left out, and the rows don't depend on partitions. None asks always.
     """
     from ..functions.geo import haversine_m
 
-    df = batch_key(points).filter("lat IS NOT NULL AND lon IS NOT NULL AND timestamp IS NOT NULL").select("user_id", "trip_id", "lat", "lon", F.col("timestamp").cast("timestamp").alias("timestamp"))
-    state = {"failed": 0}
+    df = batch_key(points).filter("lat IS NOT NULL AND lon IS NOT NULL AND timestamp IS NOT NULL")
+    ties = [c for c in ("event_id", "source_file") if c in df.columns]
+    df = df.select("user_id", "trip_id", "lat", "lon", F.col("timestamp").cast("timestamp").alias("timestamp"), F.struct("timestamp", *ties, "lat", "lon").alias("_order"), F.floor(F.unix_micros(F.col("timestamp").cast("timestamp")) / 1_000_000).alias("_at"))
+    df = df.withColumn("seq", (F.row_number().over(Window.partitionBy("user_id", "trip_id").orderBy("_order")) - 1).cast("int")).drop("_order")
+    asking = True
+    if fail_limit is not None:
+        several = df.groupBy("user_id", "trip_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").orderBy("user_id", "trip_id").limit(fail_limit)
+        first = df.join(F.broadcast(several), ["user_id", "trip_id"], "left_semi").groupBy("user_id", "trip_id").applyInPandas(lambda pdf: pd.DataFrame({"ok": [_ask(client, pdf) is not None]}), "ok boolean")
+        told = [r["ok"] for r in first.collect()]  # at most fail_limit rows
+        asking = len(told) < fail_limit or any(told)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("timestamp", kind="stable").reset_index(drop=True)
-        if state["failed"] >= fail_limit:
-            return pdf.iloc[:0].assign(seq=[], snapped_lat=[], snapped_lon=[], confidence=[], matched=[])
-        answer = client(pdf["lat"].tolist(), pdf["lon"].tolist(), [int(t.timestamp()) for t in pdf["timestamp"]]) if len(pdf) > 1 else None
-        state["failed"] += answer is None
-        found, sure = answer or ([None] * len(pdf), 0.0)
-        own = list(zip(pdf["lat"], pdf["lon"]))
-        places = [f or o for f, o in zip(found, own)]
-        return pdf.assign(seq=range(len(pdf)), snapped_lat=[p[0] for p in places], snapped_lon=[p[1] for p in places], confidence=sure, matched=[f is not None for f in found])
-
-    schema = "user_id string, trip_id string, lat double, lon double, timestamp timestamp, seq int, snapped_lat double, snapped_lon double, confidence double, matched boolean"
+        pdf = pdf.sort_values("seq")
+        asked = asking and len(pdf) > 1
+        found, sure = (_ask(client, pdf) if asked else None) or ([None] * len(pdf), None)
+        places = [f or own for f, own in zip(found, zip(pdf["lat"], pdf["lon"]))]
+        return pdf.drop(columns="_at").assign(snapped_lat=[p[0] for p in places], snapped_lon=[p[1] for p in places], confidence=[sure if f else None for f in found], matched=[f is not None for f in found], asked=asked)
+
+    schema = "user_id string, trip_id string, lat double, lon double, timestamp timestamp, seq int, snapped_lat double, snapped_lon double, confidence double, matched boolean, asked boolean"
     out = df.groupBy("user_id", "trip_id").applyInPandas(run, schema).withColumn("lateral_offset_m", haversine_m(F.col("lat"), F.col("lon"), F.col("snapped_lat"), F.col("snapped_lon")))
-    return out.select("user_id", "trip_id", "seq", "snapped_lat", "snapped_lon", F.col("timestamp").alias("snapped_time"), "confidence", "matched", "lateral_offset_m")
+    return out.select("user_id", "trip_id", "seq", "snapped_lat", "snapped_lon", F.col("timestamp").alias("snapped_time"), "confidence", "matched", "asked", "lateral_offset_m")
+
+
+def _ask(client: Client, pdf: pd.DataFrame):
+    pdf = pdf.sort_values("seq")
+    return client(pdf["lat"].tolist(), pdf["lon"].tolist(), pdf["_at"].tolist())

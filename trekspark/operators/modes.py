@@ -14,6 +14,7 @@ from ..sources.schema import pick
 from .features import accel_by_trip, dwell_ratio, matched_by_trip, stop_density_by_trip
 from .ranks import running_sums
 
+# Names of the features.
 CORE = ["avg_speed_kmh", "distance_km", "duration_min", "start_hour", "day_of_week"]
 EXTENDED = ["dwell_ratio", "accel_std", "accel_iqr", "mean_stop_density", "lateral_offset_mean_m", "lateral_offset_max_m", "matched_confidence_mean", "matched_confidence_max", "curvature_heading_change_per_km"]
 LABEL = "mode_heuristic"
@@ -74,9 +75,9 @@ def split_by_time(df: DataFrame, test: float = 0.2, val: float = 0.2) -> DataFra
 
 
 def split_stratified(df: DataFrame, test: float = 0.2, val: float = 0.2, seed: int = 42) -> DataFrame:
-    """df with `split`: each label's rows in hash order, the same shares of every label."""
+    """df with `split`: each label's rows in the order of a hash with the seed, the same shares of every label."""
     sizes = df.groupBy(LABEL).agg(F.count(F.lit(1)).alias("_size"))  # a row per label
-    hashed = df.withColumn("_hash", F.xxhash64("trip_id", F.lit(seed)))
+    hashed = df.withColumn("_hash", F.md5(F.concat("trip_id", F.lit(f"-{seed}"))))
     ranked = running_sums(hashed, [LABEL], ["_hash", "trip_id"], {"_rank": F.lit(1)}).join(F.broadcast(sizes), LABEL)
     cut = lambda share: F.ceil(F.col("_size") * share)
     where = F.when(F.col("_rank") <= cut(test), "test").when(F.col("_rank") <= cut(test) + cut(val), "val").otherwise("train")
@@ -145,16 +146,28 @@ def reliability(scores: DataFrame, bins: int = 10) -> DataFrame:
     return scores.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.avg("y_prob").alias("mean_probability"), F.avg(F.col("y_true").cast("double")).alias("positive_share"))
 
 
+def evaluation(predicted: DataFrame, label: str = LABEL) -> DataFrame:
+    """metric, value of a table of labels, predictions and confidences: accuracy, f1_macro, ece, n."""
+    row = summary_metrics(confusion(predicted, label)).crossJoin(calibration_error(calibration(predicted, label)))  # one row each
+    return row.select(*[F.col(c).cast("double").alias(c) for c in ("accuracy", "f1_macro", "ece", "n")]).unpivot([], ["accuracy", "f1_macro", "ece", "n"], "metric", "value")
+
+
+def evaluation_deltas(evaluated: DataFrame, baseline: DataFrame) -> DataFrame:
+    """metric, value, baseline, delta (value less baseline) of two tables of evaluation()."""
+    both = evaluated.join(baseline.select("metric", F.col("value").alias("baseline")), "metric", "left")
+    return both.withColumn("delta", F.col("value") - F.col("baseline"))
+
+
 def evaluate(model: PipelineModel, used: list[str], test: DataFrame) -> dict:
     """Accuracy, macro F1, per-class report, confusion, importance, calibration and ECE of the model, and the speed rule's accuracy beside them."""
-    done = predict(model, test)
+    done = predict(model, test).cache()
     matrix = confusion(done).cache()
-    bins = calibration(done).cache()
-    rule = confusion(rule_prediction(test))
     rows = lambda df: [r.asDict() for r in df.collect()]  # noqa: E731  a few rows per class or bin
-    report = rows(summary_metrics(matrix))[0] | {"classes": rows(class_metrics(matrix)), "confusion": rows(matrix), "importance": importance(model, used), "calibration": {"bins": rows(bins), **rows(calibration_error(bins))[0]}, "rule": rows(summary_metrics(rule))[0]}
+    values = {r["metric"]: r["value"] for r in evaluation(done).collect()}
+    report = {k: values[k] for k in ("accuracy", "f1_macro", "n")} | {"classes": rows(class_metrics(matrix)), "confusion": rows(matrix), "importance": importance(model, used)}
+    report |= {"calibration": {"bins": rows(calibration(done)), "ece": values["ece"]}, "rule": rows(summary_metrics(confusion(rule_prediction(test))))[0]}
     matrix.unpersist()
-    bins.unpersist()
+    done.unpersist()
     return report
 
 

@@ -90,32 +90,41 @@ def closest_paths(matched: DataFrame, baseline: DataFrame, cells: int = CELLS) -
     """The matched points with path_id, the baseline path closest to their trip, and deviation_m, their distance to its nearest vertex.
 
     The closest path has the lowest median deviation over the trip (ties: the smaller id), so a trip is compared with
-    every path. The paths' side is a report of frequent paths, checked to be small, and goes to every task; distances are
-    taken in blocks of `cells` inside the trip's task, and one row per point leaves it. Points without coordinates
-    and, where no baseline path has two vertices, all points are left out.
+    every path. The paths' side is a report of frequent paths, checked to be small, and goes to every task. There a path's box
+    bounds the median from below; paths are taken in the order of that bound, in blocks of `cells` distances, until the bound is
+    beyond the best median found. One row per point leaves the task. Points without coordinates and, where no baseline path has
+    two vertices, all points are left out.
     """
     found = vertex_table(baseline).limit(MOST_VERTICES + 1).toPandas()
     if len(found) > MOST_VERTICES:
         raise ValueError(f"more than {MOST_VERTICES} vertices in the baseline; raise its support")
     found = found.sort_values("path_id", kind="stable")
     names, first = np.unique(found["path_id"].to_numpy(str), return_index=True)
-    places, of = np.unique(np.radians(found[["v_lat", "v_lon"]].to_numpy(float)), axis=0, return_inverse=True)
-    shared = matched.sparkSession.sparkContext.broadcast((names, np.append(first, len(found)), places, of.reshape(-1)))
+    places = np.radians(found[["v_lat", "v_lon"]].to_numpy(float))
+    boxes = np.column_stack([f.reduceat(places, first) for f in (np.minimum, np.maximum)]) if len(names) else np.zeros((0, 4))
+    shared = matched.sparkSession.sparkContext.broadcast((names, np.append(first, len(found)), places, boxes))
 
     def nearest(trip: pa.Table) -> pa.Table:
-        names, starts, places, of = shared.value
+        names, starts, places, boxes = shared.value
         lat, lon = (np.radians(trip[c].to_numpy()) for c in ("snapped_lat", "snapped_lon"))
-        n, at, best, path, deviation = len(lat), 0, np.inf, None, np.zeros(0)
-        while at < len(names):
-            to = max(at + 1, int(np.searchsorted(starts, starts[at] + cells // n, side="right")) - 1)
-            used, column = np.unique(of[starts[at] : starts[to]], return_inverse=True)
+        n, best, path, deviation = len(lat), np.inf, None, np.zeros(0)
+        bound = np.concatenate([_box_medians(lat, lon, boxes[k : k + max(1, cells // n)]) for k in range(0, len(names), max(1, cells // n))]) if len(names) else np.zeros(0)
+        order = np.lexsort((np.arange(len(names)), bound))
+        size, at = np.diff(starts), 0
+        room = max(1, cells // (32 * n))  # few paths at a time, for the first ones mostly settle it
+        upto, ordered = np.cumsum(size[order]), bound[order]
+        while at < len(order) and ordered[at] <= best:
+            full = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + room, side="right"))
+            to = max(at + 1, min(full, int(np.searchsorted(ordered, best, side="right"))))
+            taken = np.sort(order[at:to])
+            column = np.concatenate([np.arange(starts[k], starts[k + 1]) for k in taken])
+            cut = np.concatenate([[0], np.cumsum(size[taken])[:-1]])
             rows = max(1, cells // len(column))
-            near = [np.minimum.reduceat(_distances(lat[k : k + rows], lon[k : k + rows], places[used])[:, column], starts[at:to] - starts[at], axis=1) for k in range(0, n, rows)]
-            near = np.concatenate(near)
+            near = np.concatenate([np.minimum.reduceat(_distances(lat[k : k + rows], lon[k : k + rows], places[column]), cut, axis=1) for k in range(0, n, rows)])
             medians = np.median(near, axis=0)
-            k = int(medians.argmin())
-            if medians[k] < best:
-                best, path, deviation = medians[k], str(names[at + k]), near[:, k]
+            for k in np.flatnonzero(medians <= min(best, medians.min())):
+                if medians[k] < best or path is None or str(names[taken[k]]) < path:
+                    best, path, deviation = medians[k], str(names[taken[k]]), near[:, k]
             at = to
         kept = trip if path is not None else trip.slice(0, 0)
         return kept.append_column("path_id", pa.array([path] * kept.num_rows, pa.string())).append_column("deviation_m", pa.array(deviation, pa.float64()))
@@ -125,6 +134,15 @@ def closest_paths(matched: DataFrame, baseline: DataFrame, cells: int = CELLS) -
     return points.groupBy("trip_id").applyInArrow(nearest, schema)
 
 
+def _box_medians(lat: np.ndarray, lon: np.ndarray, boxes: np.ndarray) -> np.ndarray:
+    """For each box (least lat, least lon, greatest lat, greatest lon, in radians) a bound that the median distance of the points to places inside it can't fall below."""
+    up = np.maximum(0, np.maximum(boxes[:, 0] - lat[:, None], lat[:, None] - boxes[:, 2]))
+    over = np.maximum(0, np.maximum(boxes[:, 1] - lon[:, None], lon[:, None] - boxes[:, 3]))
+    over = np.minimum(over, np.maximum(0, 2 * np.pi - np.maximum(np.abs(boxes[:, 3] - lon[:, None]), np.abs(boxes[:, 1] - lon[:, None]))))  # the other way round
+    h = np.sin(up / 2) ** 2 + np.cos(lat)[:, None] * np.minimum(np.cos(boxes[:, 0]), np.cos(boxes[:, 2])) * np.sin(over / 2) ** 2
+    return np.median(2.0 * EARTH_M * np.arctan2(np.sqrt(h), np.sqrt(np.maximum(0, 1 - h))), axis=0) * (1 - 1e-9)
+
+
 def _distances(lat: np.ndarray, lon: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Great-circle metres from each point (a row) to each place (a column), all in radians."""
     h = np.sin((places[:, 0] - lat[:, None]) / 2) ** 2 + np.cos(lat)[:, None] * np.cos(places[:, 0]) * np.sin((places[:, 1] - lon[:, None]) / 2) ** 2

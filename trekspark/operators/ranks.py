@@ -29,6 +29,25 @@ def running_sums(df: DataFrame, keys: list[str], order: list[str], sums: dict[st
     return out.select(*df.columns, *names)
 
 
+def split_quantiles(df: DataFrame, keys: list[str], value: str, shares: tuple[float, ...]) -> DataFrame:
+    """keys, n (rows with a value), q: the exact linear quantiles of each key's values, as an array in the order of `shares`.
+
+    Values are counted first and the counts summed over ranges, so no task holds a key's values.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    run = running_sums(counts, keys, [value], {"_upto": F.col("_c")})
+    totals = counts.groupBy(*keys).agg(F.sum("_c").alias("n")).select("n", *[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)])
+    match = F.lit(True)
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"_t{i}"))
+    place = lambda share: F.lit(share) * (F.col("n") - 1)
+    at = lambda index: F.min(F.when(F.col("_upto") > index, F.col(value)))
+    ends = [at(r(place(s))).alias(f"_{m}{i}") for i, s in enumerate(shares) for m, r in (("lo", F.floor), ("hi", F.ceil))]
+    out = run.join(totals, match).groupBy(*keys, "n").agg(*ends)
+    part = lambda i, s: F.col(f"_lo{i}") + (place(s) - F.floor(place(s))) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
+    return out.select(*keys, "n", F.array(*[part(i, s) for i, s in enumerate(shares)]).alias("q"))
+
+
 def quantiles(value: str, shares: tuple[float, ...], accuracy: int | None = None) -> Column:
     """An array of linear quantiles, exact; or approximate ones of bounded memory if an accuracy is given."""
     at = F.array(*[F.lit(s) for s in shares])

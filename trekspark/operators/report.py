@@ -103,11 +103,18 @@ def view_state(points: DataFrame) -> DataFrame:
     return points.agg(F.avg(clip("lat", 90.0)).alias("lat"), F.avg(clip("lon", 180.0)).alias("lon"))
 
 
-def sampled(df: DataFrame, most: int = 50_000, seed: int = 42) -> DataFrame:
-    """A random sample of at most so many rows, for drawing."""
-    return df.orderBy(F.rand(seed)).limit(most)
+def sampled(df: DataFrame, most: int = 50_000, seed: int = 42, key: str | None = None) -> DataFrame:
+    """A random sample of at most so many rows, for drawing: the first in the order of a hash of the row, or of `key`, with the seed. Equal rows stand together."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("~")) for c in ([key] if key else df.columns)])
+    return df.orderBy(F.md5(F.concat(text, F.lit(f"-{seed}")))).limit(most)
 
 
 def sample_users(points: DataFrame, n: int = 3) -> DataFrame:
-    """Points of the first n users in order, for drawing."""
-    return points.join(points.select("user_id").distinct().orderBy("user_id").limit(n), "user_id", "left_semi")
+    """Points of the first n users in row order, for drawing."""
+    first = points.withColumn("_row", F.monotonically_increasing_id()).groupBy("user_id").agg(F.min("_row").alias("_row")).orderBy("_row").limit(n)
+    return points.join(F.broadcast(first.select("user_id")), "user_id", "left_semi")
+
+
+def trips_in_both(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of a whose trip_id is in b too."""
+    return a.join(b.select("trip_id").distinct(), "trip_id", "left_semi")

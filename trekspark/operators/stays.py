@@ -1,49 +1,15 @@
-"""Stay places: density clustering of each user's points, and the comparison of two stay tables.
-
-DBSCAN is relational: an eps grid join finds neighbours, core points are joined to components over core-core pairs, and
-border points take the first cluster that reaches them. HDBSCAN runs per user in Arrow batches of numpy work.
-"""
+"""Stay places: tables of the clusters of each user's points, and the comparison of two stay tables."""
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import EARTH_M, haversine_m, to_plane
-from .graph import components, written
-from .joins import grid_join, interval_join
-
-
-def _projected(points: DataFrame) -> DataFrame:
-    """Points with a place each: rank in the user's time order, plane coordinates around the user's median latitude."""
-    df = points.filter("lat IS NOT NULL AND lon IS NOT NULL AND timestamp IS NOT NULL")
-    ties = [c for c in ("event_id", "source_file", "lat", "lon") if c in df.columns]
-    df = df.withColumn("rank", F.row_number().over(Window.partitionBy("user_id").orderBy("timestamp", *ties)))
-    middle = df.groupBy("user_id").agg(F.median("lat").alias("_ref"))
-    x, y = to_plane(F.col("lat"), F.col("lon"), F.col("_ref"))
-    return df.join(middle, "user_id").withColumns({"x": x, "y": y}).select("user_id", "rank", "timestamp", "lat", "lon", "x", "y")
-
-
-def dbscan_labels(points: DataFrame, eps_m: float = 150.0, min_samples: int = 5) -> DataFrame:
-    """user_id, rank, timestamp, lat, lon, cluster (dense from 0 per user in order of the first core point; null for noise).
-
-    eps is inclusive and a point counts itself; a border point joins the lowest-numbered cluster that reaches it.
-    """
-    placed = written(_projected(points))
-    side = placed.select("user_id", "rank", "x", "y")
-    other = side.select("user_id", F.col("rank").alias("rank2"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    pairs = written(grid_join(side, other, eps_m, ["user_id"], ("x", "y"), ("x2", "y2")).select("user_id", "rank", "rank2"))
-    core = written(pairs.groupBy("user_id", "rank").count().filter(F.col("count") >= min_samples).select("user_id", "rank"))
-    vertex = lambda rank: F.struct("user_id", F.col(rank).alias("rank"))
-    from_core = pairs.join(core, ["user_id", "rank"], "left_semi")
-    links = from_core.join(core.withColumnRenamed("rank", "rank2"), ["user_id", "rank2"], "left_semi").filter("rank < rank2").select(vertex("rank").alias("a"), vertex("rank2").alias("b"))
-    labels = components(links, core.select(vertex("rank").alias("v"))).select("v.user_id", F.col("v.rank").alias("rank"), F.col("label.rank").alias("first"))
-    reached = from_core.join(labels, ["user_id", "rank"]).groupBy("user_id", F.col("rank2").alias("rank")).agg(F.min("first").alias("reached"))
-    both = placed.join(labels, ["user_id", "rank"], "left").join(reached, ["user_id", "rank"], "left").withColumn("first", F.coalesce("first", "reached"))
-    number = F.when(F.col("first").isNotNull(), F.dense_rank().over(Window.partitionBy("user_id").orderBy(F.col("first").asc_nulls_last())) - 1)
-    return both.withColumn("cluster", number).select("user_id", "rank", "timestamp", "lat", "lon", "cluster")
+from ..functions.geo import haversine_m
+from .dbscan import dbscan_labels
+from .hdbscan import hdbscan_labels
+from .joins import interval_join
 
 
 def stay_table(labelled: DataFrame, mark: str = "stay") -> DataFrame:
@@ -58,134 +24,8 @@ def detect_stays_dbscan(points: DataFrame, eps_m: float = 150.0, min_samples: in
     return stay_table(dbscan_labels(points, eps_m, min_samples))
 
 
-def dbscan_user(xy: np.ndarray, eps: float, min_samples: int) -> np.ndarray:
-    """Labels of one user's points in order, -1 for noise: the plain form that the relational one is held against."""
-    near = ((xy[:, None] - xy[None]) ** 2).sum(axis=2) <= eps * eps
-    core, out, number = near.sum(axis=1) >= min_samples, np.full(len(xy), -1), 0
-    for i in range(len(xy)):
-        if not core[i] or out[i] >= 0:
-            continue
-        todo = [i]
-        out[i] = number
-        while todo:
-            for j in np.flatnonzero(near[todo.pop()] & (out < 0)):
-                out[j] = number
-                if core[j]:
-                    todo.append(j)
-        number += 1
-    return out
-
-
-def hdbscan_user(xy: np.ndarray, min_cluster_size: int, min_samples: int, epsilon: float) -> np.ndarray:
-    """Labels of one user's points, -1 for noise: mutual reachability, minimum spanning tree, condensed tree, excess of mass."""
-    n = len(xy)
-    if n < max(2, min_cluster_size):
-        return np.full(n, -1)
-    dist = np.sqrt(((xy[:, None] - xy[None]) ** 2).sum(axis=2))
-    core = np.sort(dist, axis=1)[:, min(min_samples, n) - 1]
-    reach = np.maximum(np.maximum(core[:, None], core[None]), dist)
-    # Prim's tree.
-    inside, best, source = np.zeros(n, bool), np.full(n, np.inf), np.zeros(n, int)
-    inside[0], best, edges = True, reach[0].copy(), []
-    for _ in range(n - 1):
-        j = int(np.where(inside, np.inf, best).argmin())
-        edges.append((best[j], source[j], j))
-        inside[j] = True
-        closer = reach[j] < best
-        best[closer & ~inside], source[closer & ~inside] = reach[j][closer & ~inside], j
-    # Single-linkage merges, then the tree condensed to clusters of at least min_cluster_size.
-    parent, members, nodes = list(range(n)), {i: [i] for i in range(n)}, {}
-    find = lambda i: i if parent[i] == i else find(parent[i])
-    top = n
-    name = {i: i for i in range(n)}
-    for d, a, b in sorted(edges):
-        ra, rb = find(a), find(b)
-        nodes[top] = (name[ra], name[rb], d)
-        members[top] = members[name[ra]] + members[name[rb]]
-        parent[rb] = ra
-        name[ra] = top
-        top += 1
-    root = top - 1
-    density = lambda d: 1.0 / d if d > 0 else 1e12
-    clusters = {0: {"birth": 0.0, "points": {}, "kids": [], "node": root, "split": np.inf}}
-    stack, following = [(root, 0)], 1
-    while stack:
-        node, c = stack.pop()
-        while node >= n:
-            a, b, d = nodes[node]
-            big = [k for k in (a, b) if len(members[k]) >= min_cluster_size]
-            if len(big) == 2:
-                clusters[c]["split"] = d
-                for p in members[node]:
-                    clusters[c]["points"][p] = density(d)
-                for k in big:
-                    clusters[following] = {"birth": density(d), "points": {}, "kids": [], "node": k, "split": np.inf, "eps": d}
-                    clusters[c]["kids"].append(following)
-                    stack.append((k, following))
-                    following += 1
-                break
-            for k in (a, b):
-                if k not in big:
-                    for p in members[k]:
-                        clusters[c]["points"][p] = density(d)
-            if not big:
-                break
-            node = big[0]
-    stable = {c: sum(v - x["birth"] for v in x["points"].values()) for c, x in clusters.items()}
-    chosen: dict[int, bool] = {}
-    for c in sorted(clusters, reverse=True):
-        kids = clusters[c]["kids"]
-        below = sum(stable[k] for k in kids)
-        chosen[c] = c != 0 and (not kids or stable[c] >= below)
-        if kids and not chosen[c]:
-            stable[c] = below
-    picked, walk = [], [0]
-    while walk:
-        c = walk.pop()
-        if chosen[c]:
-            picked.append(c)
-        else:
-            walk += clusters[c]["kids"]
-    if epsilon > 0:  # clusters born below epsilon are merged into their first ancestor that isn't
-        up = {k: c for c, x in clusters.items() for k in x["kids"]}
-        raised = set()
-        for c in picked:
-            while up.get(c, 0) != 0 and clusters[c].get("eps", np.inf) < epsilon:
-                c = up[c]
-            raised.add(c)
-        picked = [c for c in raised if not any(a in raised for a in _above(c, up))]
-    out = np.full(n, -1)
-    for number, c in enumerate(sorted(picked, key=lambda c: min(members[clusters[c]["node"]]))):
-        out[members[clusters[c]["node"]]] = number
-    return out
-
-
-def _above(c: int, up: dict[int, int]) -> list[int]:
-    out = []
-    while c in up:
-        c = up[c]
-        out.append(c)
-    return out
-
-
-#: Points of one user that hdbscan takes; distances need memory with the square of it.
-HDBSCAN_MOST = 20_000
-
-
 def detect_stays_hdbscan(points: DataFrame, min_cluster_size: int = 5, min_samples: int | None = None, epsilon_m: float = 0.0) -> DataFrame:
-    """Stays by HDBSCAN per user. A user beyond HDBSCAN_MOST points raises, for nothing is sampled silently."""
-    placed = _projected(points)
-    schema = "user_id string, rank int, timestamp timestamp, lat double, lon double, cluster int"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > HDBSCAN_MOST:
-            raise ValueError(f"{len(pdf)} points of one user; at most {HDBSCAN_MOST} are clustered")
-        pdf = pdf.sort_values("rank")
-        pdf["cluster"] = hdbscan_user(pdf[["x", "y"]].to_numpy(), min_cluster_size, min_samples or min_cluster_size, epsilon_m)
-        return pdf[["user_id", "rank", "timestamp", "lat", "lon", "cluster"]]
-
-    placed = placed.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    return stay_table(placed.groupBy("user_id").applyInPandas(run, schema), "hdbstay")
+    return stay_table(hdbscan_labels(points, min_cluster_size, min_samples, epsilon_m), "hdbstay")
 
 
 def stay_candidates(a: DataFrame, b: DataFrame, radius_m: float = 100.0, overlap_min: float = 5.0) -> DataFrame:
@@ -248,17 +88,42 @@ def compare_by_user(first: DataFrame, second: DataFrame, radius_m: float = 100.0
     return both
 
 
-def home_work(stays_points: DataFrame) -> DataFrame:
-    """user_id, home_stay_id, work_stay_id from labelled stay points (user_id, stay_id, timestamp): home holds the most night points, work the most weekday midday points."""
-    hour, day = F.hour(F.col("timestamp").cast("timestamp")), F.weekday(F.col("timestamp").cast("timestamp"))
-    night = F.sum(F.when((hour >= 22) | (hour < 6), 1).otherwise(0))
-    midday = F.sum(F.when((hour >= 10) & (hour < 17) & (day < 5), 1).otherwise(0))
-    per = stays_points.groupBy("user_id", "stay_id").agg(night.alias("night"), midday.alias("midday"))
+def compare_overall(first: DataFrame, second: DataFrame, eps_m: float = 150.0, overlap_min: float = 5.0) -> DataFrame:
+    """One row for two stay tables: number, median dwell and mean distance of the centres to their mean centre of each, and their overlap.
+
+    Stays match within max(50, eps / 2) metres and for `overlap_min` minutes; the overlap is the matches of all users over the
+    stays of both less the matches, 0 if a side is empty.
+    """
+    def side(df: DataFrame, m: str) -> DataFrame:
+        counts = df.agg(F.count(F.lit(1)).alias(f"{m}_stays"), F.median("dwell_minutes").alias(f"{m}_median_dwell_min"))
+        return counts.crossJoin(dispersion(df.withColumn("_all", F.lit(1)), "_all").agg(F.first("dispersion_m").alias(f"{m}_dispersion_m")))
+
+    hits = match_stays(first, second, max(50.0, eps_m / 2), overlap_min).agg(F.coalesce(F.sum("matched"), F.lit(0)).alias("_hits"))
+    both = side(first, "first").crossJoin(side(second, "second")).crossJoin(hits)  # one row each
+    total = F.col("first_stays") + F.col("second_stays") - F.col("_hits")
+    return both.withColumn("overlap", F.when((F.col("first_stays") > 0) & (F.col("second_stays") > 0), F.col("_hits") / total).otherwise(0.0)).drop("_hits")
+
+
+def home_work(stays: DataFrame) -> DataFrame:
+    """user_id, home_stay_id, work_stay_id from stays (user_id, stay_id, start_time, end_time): home has the most night dwell (22 to 6), work the most midday dwell (10 to 17) on weekdays.
+
+    A stay's time is cut at the hours' bounds of each day it touches. Ties go to the smaller stay id; null where no stay has such dwell.
+    """
+    df = stays.select("user_id", "stay_id", F.col("start_time").cast("timestamp").alias("s"), F.col("end_time").cast("timestamp").alias("e")).filter("s <= e")
+    days = df.withColumn("day", F.explode(F.expr("sequence(to_date(s), to_date(e))")))
+    start = F.unix_micros(F.col("day").cast("timestamp"))
+    hour = 3_600_000_000
+    inside = lambda a, b: F.greatest(F.least(F.unix_micros("e"), start + b * hour) - F.greatest(F.unix_micros("s"), start + a * hour), F.lit(0))
+    night = F.sum(inside(0, 6) + inside(22, 24))
+    midday = F.sum(F.when(F.weekday("day") < 5, inside(10, 17)).otherwise(0))
+    per = days.groupBy("user_id", "stay_id").agg(night.alias("night"), midday.alias("midday"))
     most = lambda c: F.when(F.max(c) > 0, F.min_by("stay_id", F.struct(-F.col(c), F.col("stay_id"))))
     return per.groupBy("user_id").agg(most("night").alias("home_stay_id"), most("midday").alias("work_stay_id"))
 
 
-def hotspot_grid(points: DataFrame, cell_m: float = 500.0) -> DataFrame:
-    """cell_x, cell_y, points, users of equirectangular cells around latitude 0."""
-    x, y = F.radians("lon") * EARTH_M, F.radians("lat") * EARTH_M
-    return points.groupBy(F.floor(x / cell_m).alias("cell_x"), F.floor(y / cell_m).alias("cell_y")).agg(F.count(F.lit(1)).alias("points"), F.count_distinct("user_id").alias("users"))
+def hotspot_grid(points: DataFrame, bins: int = 50) -> DataFrame:
+    """ix, iy, points, users: bins x bins equal cells between the bounds of all points, those on an upper bound in the last one; cells without points are left out."""
+    placed = points.filter("lat IS NOT NULL AND lon IS NOT NULL")
+    ends = placed.agg(F.min("lat").alias("_a0"), F.max("lat").alias("_a1"), F.min("lon").alias("_o0"), F.max("lon").alias("_o1"))
+    cell = lambda v, lo, hi: F.when(F.col(hi) > F.col(lo), F.least(F.floor((F.col(v) - F.col(lo)) / (F.col(hi) - F.col(lo)) * bins), F.lit(bins - 1))).otherwise(0).cast("int")
+    return placed.join(F.broadcast(ends)).groupBy(cell("lon", "_o0", "_o1").alias("ix"), cell("lat", "_a0", "_a1").alias("iy")).agg(F.count(F.lit(1)).alias("points"), F.count_distinct("user_id").alias("users"))

@@ -24,9 +24,9 @@ def _ties(df: DataFrame) -> list[str]:
     return [c for c in ("event_id", "source_file", "lat", "lon") if c in df.columns]
 
 
-def with_before(points: DataFrame, split_s: int | None = None) -> DataFrame:
-    """points with `_before` (timestamp, lat, lon of the user's row before; null on the first)."""
-    own = F.struct("timestamp", "lat", "lon")
+def with_before(points: DataFrame, split_s: int | None = None, columns: tuple[str, ...] = ("timestamp", "lat", "lon")) -> DataFrame:
+    """points with `_before` (these columns of the user's row before; null on the first)."""
+    own = F.struct(*columns)
     if split_s is None:
         return points.withColumn("_before", F.lag(own).over(order_of(points)))
     df = points.withColumn("_span", F.floor(F.unix_micros(F.col("timestamp").cast("timestamp")) / (split_s * 1_000_000)))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m
+from . import dbscan, hdbscan
+from .graph import written
 from .ranks import quantiles, running_sums
-from .stays import detect_stays_dbscan, detect_stays_hdbscan, dispersion
+from .stays import dispersion, stay_table
 from .trips import drop_fast, number_trips, trip_table, with_motion
 
 METRICS = ("distance_m", "duration_s", "avg_speed_kmh")
@@ -19,7 +20,7 @@ METRICS = ("distance_m", "duration_s", "avg_speed_kmh")
 def _distance(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
     """keys, n_a, n_b, d from rows (keys, value, a, b) that count a value on each side."""
     totals = counts.groupBy(*keys).agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b")).filter("n_a > 0 AND n_b > 0")
-    run = running_sums(counts, keys, [value], {"fa": F.col("a"), "fb": F.col("b")}).join(F.broadcast(totals), keys)
+    run = running_sums(counts, keys, [value], {"fa": F.col("a"), "fb": F.col("b")}).join(totals, keys)
     gap = F.abs(F.col("fa") / F.col("n_a") - F.col("fb") / F.col("n_b"))
     return run.groupBy(*keys).agg(F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.max(gap).alias("d"))
 
@@ -45,9 +46,10 @@ def long_metrics(trips: DataFrame, *keep: str) -> DataFrame:
 
 
 def user_folds(trips: DataFrame, folds: int = 5, seed: int = 42) -> DataFrame:
-    """user_id, fold: users in hash order, dealt evenly."""
-    users = trips.select("user_id").distinct()
-    return users.withColumn("fold", F.pmod(F.xxhash64("user_id", F.lit(seed)), F.lit(folds)).cast("int"))
+    """user_id, fold: users in the order of a hash with the seed, dealt one by one, so folds differ by one user at most."""
+    users = trips.select("user_id").distinct().withColumns({"_all": F.lit(1), "_hash": F.md5(F.concat("user_id", F.lit(f"-{seed}")))})
+    ranked = running_sums(users, ["_all"], ["_hash", "user_id"], {"_rank": F.lit(1)})
+    return ranked.select("user_id", F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int").alias("fold"))
 
 
 def cross_user(trips: DataFrame, folds: int = 5, seed: int = 42) -> DataFrame:
@@ -73,14 +75,21 @@ def period_stats(trips: DataFrame, period: Column | None = None, accuracy: int |
 
 
 def temporal_shift(trips: DataFrame, period: Column | None = None) -> DataFrame:
-    """period, next_period, metric, d, p_asymptotic of each period against the one after it."""
+    """period, next_period, metric, n_a, n_b, d, p_asymptotic of each period against the one after it.
+
+    Values are counted once per period; a count then stands on both sides, as its own period's and as the one before's.
+    """
     df = trips.filter("start_time IS NOT NULL").withColumn("period", quarter(F.col("start_time")) if period is None else period)
-    order = df.select("period").distinct().withColumn("next_period", F.lead("period").over(Window.orderBy("period")))  # a row per period
-    pairs = order.filter("next_period IS NOT NULL")
-    values = long_metrics(df, "period")
-    first = values.join(F.broadcast(pairs), "period").select("period", "next_period", "metric", "value", F.lit(True).alias("is_first"))
-    later = values.withColumnRenamed("period", "next_period").join(F.broadcast(pairs), "next_period").select("period", "next_period", "metric", "value", F.lit(False).alias("is_first"))
-    d = ks_table(first.union(later), ["period", "next_period", "metric"], "value", "is_first")
+    counts = written(long_metrics(df, "period").filter("value IS NOT NULL").groupBy("period", "metric", "value").agg(F.count(F.lit(1)).alias("c")))
+    periods = df.select("period").distinct()
+    order = Window.orderBy("period")  # a row per period
+    places = written(periods.withColumns({"before": F.lag("period").over(order), "after": F.lead("period").over(order)}))
+    side = lambda p, n, a, b: F.struct(F.col(p).alias("period"), F.col(n).alias("next_period"), a.cast("long").alias("a"), b.cast("long").alias("b"))
+    own, other = F.col("c"), F.lit(0)
+    both = counts.join(places, "period").select("metric", "value", F.explode(F.array(side("period", "after", own, other), side("before", "period", other, own))).alias("s"))
+    both = both.select("s.period", "s.next_period", "metric", "value", "s.a", "s.b").filter("period IS NOT NULL AND next_period IS NOT NULL")
+    both = both.groupBy("period", "next_period", "metric", "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    d = _distance(both, ["period", "next_period", "metric"], "value")
     return d.withColumn("p_asymptotic", ks_p(F.col("d"), F.col("n_a").cast("double"), F.col("n_b").cast("double")))
 
 
@@ -101,14 +110,17 @@ def _stay_row(stays: DataFrame, **params) -> DataFrame:
 
 
 def dbscan_grid(points: DataFrame, eps: tuple[float, ...] = (100, 150, 200), samples: tuple[int, ...] = (3, 5, 8)) -> DataFrame:
-    """eps_m, min_samples and a summary of the stays they give."""
-    rows = [_stay_row(detect_stays_dbscan(points, e, m), eps_m=float(e), min_samples=m) for e in eps for m in samples]
-    return _union(rows)
+    """eps_m, min_samples and a summary of the stays they give; points are placed once for all."""
+    placed = written(dbscan.projected(points))
+    return _union([_stay_row(stay_table(dbscan.cluster_placed(placed, e, m)), eps_m=float(e), min_samples=m) for e in eps for m in samples])
 
 
 def hdbscan_grid(points: DataFrame, sizes: tuple[int, ...] = (5, 8, 12), samples: tuple[int | None, ...] = (None, 5, 8), epsilons: tuple[float, ...] = (0.0, 25.0, 50.0)) -> DataFrame:
-    rows = [_stay_row(detect_stays_hdbscan(points, c, m, e), min_cluster_size=c, min_samples=-1 if m is None else m, epsilon_m=float(e)) for c in sizes for m in samples for e in epsilons]
-    return _union(rows)
+    """min_cluster_size, min_samples (-1 for none), epsilon_m and a summary of the stays they give; points are placed once, and trees are made once for each number of samples."""
+    placed = written(dbscan.projected(points))
+    edges = {k: hdbscan.tree_edges(placed, k) for k in sorted({m or c for c in sizes for m in samples})}
+    stays = lambda c, m, e: stay_table(hdbscan.cluster_placed(placed, c, m, e, edges[m or c]), "hdbstay")
+    return _union([_stay_row(stays(c, m, e), min_cluster_size=c, min_samples=-1 if m is None else m, epsilon_m=float(e)) for c in sizes for m in samples for e in epsilons])
 
 
 def _union(rows: list[DataFrame]) -> DataFrame:
@@ -151,12 +163,6 @@ def matching_quality(pairs: DataFrame, every: int = 2) -> DataFrame:
     return whole.crossJoin(failed).crossJoin(sparse).withColumn("delta_improved_share", F.col("improved_share_downsampled") - F.col("improved_share"))
 
 
-def shuffled_folds(users: list[str], folds: int = 5, seed: int = 42) -> list[list[str]]:
-    """Users shuffled by a seeded generator and cut into folds, for a list small enough to be one."""
-    order = np.random.default_rng(seed).permutation(len(users))
-    return [[users[i] for i in part] for part in np.array_split(order, folds)]
-
-
 def ks_p_value(d: float, n: int, m: int) -> float:
     root = math.sqrt(n * m / (n + m)) * d
     return 1.0 if root < 0.2 else min(1.0, max(0.0, sum(2 * (-1) ** (k - 1) * math.exp(-2 * k * k * root * root) for k in range(1, 61))))

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import features, modes, profile, stays, trips
+from ..operators.graph import written
 from ..sources.readers import read_plt
 from ..sources.sinks import save_artifact
 from .settings import Settings
@@ -26,16 +26,14 @@ def ingest(spark: SparkSession, s: Settings) -> tuple[str, str]:
 
 def point_features(points: DataFrame, s: Settings) -> DataFrame:
     """All point features: acceleration, calendar, geohash, stop density, spread of acceleration."""
-    df = features.with_geohash(features.with_calendar(features.with_acceleration(points)), s.geohash_precision)
-    return features.with_accel_spread(features.with_stop_density(df, s.stop_window_s), s.accel_window_s)
+    df = features.with_geohash(features.with_calendar(features.with_acceleration(points, split_s=s.split_s)), s.geohash_precision)
+    return features.with_accel_spread(features.with_stop_density(df, s.stop_window_s, split_s=s.split_s), s.accel_window_s, s.split_s)
 
 
 def profiles(points: DataFrame, table: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """(stays, user features with home and work shares)."""
-    labelled = stays.dbscan_labels(points, s.eps_m, s.min_samples)
-    found = stays.stay_table(labelled)
-    named = labelled.filter("cluster >= 0").withColumn("stay_id", F.concat(F.col("user_id"), F.lit("-stay-"), F.col("cluster").cast("string")))
-    return found, profile.user_features(points, table, found, stays.home_work(named))
+    found = written(stays.detect_stays_dbscan(points, s.eps_m, s.min_samples))
+    return found, profile.user_features(points, table, found, stays.home_work(found))
 
 
 def mode_model(table: DataFrame, points: DataFrame | None = None, found: DataFrame | None = None, matched: DataFrame | None = None):

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.geo import BASE32, from_plane, to_plane
+from .functions.geo import BASE32, from_plane, pair_text, to_plane
 from .operators import features, matching, modes, paths, profile, report, stays, trips, validate
 from .operators.joins import grid_join
 from .plans import events
@@ -280,9 +280,10 @@ def farthest_points(spark, sf):
     return paths.farthest_points(p, events.matched(p)).select("user_id", us("timestamp"), rnd("detour_m", 3))
 
 
-@query(f"WITH {DAY} SELECT user_id, trip_id, count(*) AS n FROM k GROUP BY user_id, trip_id HAVING count(*) >= 2")
+@query(f"WITH {DAY} SELECT user_id, trip_id, count(*) AS n, string_agg({pair('(lat + 0.00001::DOUBLE)', '(lon + 0.00001::DOUBLE)', 4, ':')}, ';' ORDER BY timestamp, lat, lon) AS path FROM k GROUP BY user_id, trip_id HAVING count(*) >= 2")
 def drawn_paths(spark, sf):
-    return paths.drawn_paths(all_cut(spark, sf)[0]).select("user_id", "trip_id", F.size("path").cast("long").alias("n"))
+    code = F.transform("path", lambda p: pair_text(p["lat"] + 0.00001, p["lon"] + 0.00001, 4, ":"))  # away from halves
+    return paths.drawn_paths(all_cut(spark, sf)[0]).select("user_id", "trip_id", F.size("path").cast("long").alias("n"), F.array_join(code, ";").alias("path"))
 
 
 # --- Map matching --------------------------------------------------------------------------------------------------
@@ -312,25 +313,35 @@ def matching_quality(spark, sf):
     return q.select(rnd("mean_offset_m"), rnd("improved_share", 5), rnd("median_drift_m"), rnd("failed_share", 6), rnd("improved_share_downsampled", 5))
 
 
-@query(f"WITH {DAY} SELECT trip_id, count(*) AS points, CAST(sum(CAST(n2 > 1 AS INTEGER)) AS BIGINT) AS matched FROM (SELECT *, count(*) OVER (PARTITION BY trip_id) AS n2 FROM k) GROUP BY trip_id")
-def map_matching(spark, sf):
-    def client(lat, lon, at):  # a stand-in service that knows no roads: it rounds to a ten-thousandth of a degree
-        return [(round(a, 4), round(o, 4)) for a, o in zip(lat, lon)], 1.0
+def roadless(lat, lon, at):
+    """A stand-in service that knows no roads: it moves points by a ten-thousandth of a degree, misses some and fails for batches of a multiple of five."""
+    if len(lat) % 5 == 0:
+        return None
+    return [(a + 0.0001, o - 0.0001) if t % 7 else None for a, o, t in zip(lat, lon, at)], len(lat) % 10 / 10
+
 
-    done = matching.map_match(all_cut(spark, sf)[0], client, fail_limit=1 << 40)
-    return done.groupBy("trip_id").agg(F.count(F.lit(1)).alias("points"), F.sum(F.col("matched").cast("int")).alias("matched"))
+@query(f"""WITH {DAY}, z AS (SELECT trip_id, timestamp, lat, lon, CAST(row_number() OVER w - 1 AS INTEGER) AS seq, count(*) OVER (PARTITION BY trip_id) AS n, CAST(floor(epoch_us(timestamp) / 1e6) AS BIGINT) AS sec FROM k WINDOW w AS (PARTITION BY trip_id ORDER BY timestamp, event_id)),
+v AS (SELECT *, n > 1 AND n % 5 <> 0 AND sec % 7 <> 0 AS ok FROM z) SELECT trip_id, seq, epoch_us(timestamp) AS snapped_time, round(CASE WHEN ok THEN lat + CAST(0.0001 AS DOUBLE) ELSE lat END, 7) AS snapped_lat, round(CASE WHEN ok THEN lon - CAST(0.0001 AS DOUBLE) ELSE lon END, 7) AS snapped_lon, ok AS matched, n > 1 AS asked, CASE WHEN ok THEN round(CAST(n % 10 AS DOUBLE) / 10, 6) END AS confidence FROM v""")
+def map_matching(spark, sf):
+    done = matching.map_match(all_cut(spark, sf)[0], roadless, fail_limit=None)
+    return done.select("trip_id", "seq", us("snapped_time"), rnd("snapped_lat", 7), rnd("snapped_lon", 7), "matched", "asked", rnd("confidence", 6))
 
 
 # --- Stays ---------------------------------------------------------------------------------------------------------
 
-DB = f"""r0 AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp, event_id) AS rank, median(lat) OVER (PARTITION BY user_id) AS ref FROM m), r AS (SELECT *, 6371000.0::DOUBLE * cos(radians(ref)) * radians(lon) AS x, 6371000.0::DOUBLE * radians(lat) AS y FROM r0),
-nb AS (SELECT a.user_id, a.rank AS i, b.rank AS j FROM r a JOIN r b ON a.user_id = b.user_id AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= 22500), co AS (SELECT user_id, i FROM nb GROUP BY user_id, i HAVING count(*) >= 5),
+def dbscan_sql(eps: float, least: int) -> str:
+    """CTEs after m: cl, the clustered points with their cluster."""
+    return f"""r0 AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp, event_id) AS rank, median(lat) OVER (PARTITION BY user_id) AS ref FROM m), r AS (SELECT *, 6371000.0::DOUBLE * cos(radians(ref)) * radians(lon) AS x, 6371000.0::DOUBLE * radians(lat) AS y FROM r0),
+nb AS (SELECT a.user_id, a.rank AS i, b.rank AS j FROM r a JOIN r b ON a.user_id = b.user_id AND pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= {eps * eps}), co AS (SELECT user_id, i FROM nb GROUP BY user_id, i HAVING count(*) >= {least}),
 ce AS (SELECT nb.user_id, nb.i, nb.j FROM nb JOIN co c1 ON nb.user_id = c1.user_id AND nb.i = c1.i JOIN co c2 ON nb.user_id = c2.user_id AND nb.j = c2.i), re AS (SELECT user_id, i, i AS j FROM co UNION SELECT re.user_id, re.i, ce.j FROM re JOIN ce ON re.user_id = ce.user_id AND re.j = ce.i),
 lb AS (SELECT user_id, j AS rank, min(i) AS first FROM re GROUP BY user_id, j), bo AS (SELECT nb.user_id, nb.j AS rank, min(lb.first) AS first FROM nb JOIN lb ON nb.user_id = lb.user_id AND nb.i = lb.rank GROUP BY nb.user_id, nb.j),
 cl AS (SELECT r.*, dense_rank() OVER (PARTITION BY r.user_id ORDER BY coalesce(lb.first, bo.first)) - 1 AS cluster FROM r LEFT JOIN lb ON r.user_id = lb.user_id AND r.rank = lb.rank LEFT JOIN bo ON r.user_id = bo.user_id AND r.rank = bo.rank WHERE coalesce(lb.first, bo.first) IS NOT NULL)"""
 
 
-@query(f"WITH RECURSIVE {M}, {DB} SELECT user_id, user_id || '-stay-' || cluster AS stay_id, round(avg(lat), 9) AS center_lat, round(avg(lon), 9) AS center_lon, epoch_us(min(timestamp)) AS start_time, epoch_us(max(timestamp)) AS end_time, round((epoch_us(max(timestamp)) - epoch_us(min(timestamp))) / 60e6, 4) AS dwell_minutes, count(*) AS point_count FROM cl GROUP BY user_id, cluster")
+STAY_ROWS = "user_id, user_id || '-stay-' || cluster AS stay_id, avg(lat) AS la, avg(lon) AS lo, min(timestamp) AS st, max(timestamp) AS en FROM cl GROUP BY user_id, cluster"
+
+
+@query(f"WITH RECURSIVE {M}, {dbscan_sql(150, 5)} SELECT user_id, user_id || '-stay-' || cluster AS stay_id, round(avg(lat), 9) AS center_lat, round(avg(lon), 9) AS center_lon, epoch_us(min(timestamp)) AS start_time, epoch_us(max(timestamp)) AS end_time, round((epoch_us(max(timestamp)) - epoch_us(min(timestamp))) / 60e6, 4) AS dwell_minutes, count(*) AS point_count FROM cl GROUP BY user_id, cluster")
 def stays_dbscan(spark, sf):
     return stays.detect_stays_dbscan(moved(spark, sf)).select("user_id", "stay_id", rnd("center_lat", 9), rnd("center_lon", 9), us("start_time"), us("end_time"), rnd("dwell_minutes"), "point_count")
 
@@ -366,9 +377,32 @@ def _spread(s: str) -> str:
     return f"(SELECT user_id, avg({hav('la', 'lo', 'ma', 'mo')}) AS disp, median((epoch_us(en) - epoch_us(st)) / 60e6) AS dwell, count(*) AS n FROM (SELECT *, avg(la) OVER (PARTITION BY user_id) AS ma, avg(lo) OVER (PARTITION BY user_id) AS mo FROM {s}) GROUP BY user_id)"
 
 
-@query(f"WITH {M}, {HALF} SELECT user_id, a.n AS first_stays, b.n AS second_stays, b.n - a.n AS delta_stays, round(b.dwell - a.dwell, 4) AS delta_median_dwell_min, round(b.disp - a.disp, 3) AS delta_dispersion_m FROM {_spread('s1')} a FULL JOIN {_spread('s2')} b USING (user_id)")
+def _spread_all(s: str) -> str:
+    return f"(SELECT avg({hav('la', 'lo', 'ma', 'mo')}) AS disp, median((epoch_us(en) - epoch_us(st)) / 60e6) AS dwell, count(*) AS n FROM (SELECT *, avg(la) OVER () AS ma, avg(lo) OVER () AS mo FROM {s}))"
+
+
+def _hits(metres: float) -> str:
+    """Matched stays of each user: a half day lies in one day only, so each day takes its first half that fits."""
+    return f"SELECT user_id, count(*) AS matched FROM (SELECT DISTINCT s1.user_id, s1.d FROM s1 JOIN s2 ON s1.user_id = s2.user_id WHERE {hav('s1.la', 's1.lo', 's2.la', 's2.lo')} <= {metres} AND (epoch_us(least(s1.en, s2.en)) - epoch_us(greatest(s1.st, s2.st))) / 60e6 >= 5) GROUP BY user_id"
+
+
+@query(f"WITH {M}, {HALF} SELECT user_id, a.n AS first_stays, b.n AS second_stays, b.n - a.n AS delta_stays, round(b.dwell - a.dwell, 4) AS delta_median_dwell_min, round(b.disp - a.disp, 3) AS delta_dispersion_m, round(coalesce(h.matched, 0) / (a.n + b.n - coalesce(h.matched, 0)), 6) AS overlap FROM {_spread('s1')} a FULL JOIN {_spread('s2')} b USING (user_id) LEFT JOIN ({_hits(100)}) h USING (user_id)")
 def stay_comparison(spark, sf):
-    return stays.compare_by_user(*_half_stays(spark, sf)).select("user_id", "first_stays", "second_stays", "delta_stays", rnd("delta_median_dwell_min"), rnd("delta_dispersion_m", 3))
+    return stays.compare_by_user(*_half_stays(spark, sf)).select("user_id", "first_stays", "second_stays", "delta_stays", rnd("delta_median_dwell_min"), rnd("delta_dispersion_m", 3), rnd("overlap", 6))
+
+
+@query(f"""WITH {M}, {HALF}, g AS (SELECT CAST(coalesce(sum(matched), 0) AS BIGINT) AS hits FROM ({_hits(75)})), q1 AS {_spread_all('s1')}, q2 AS {_spread_all('s2')}
+SELECT q1.n AS first_stays, round(q1.dwell, 4) AS first_median_dwell_min, round(q1.disp, 3) AS first_dispersion_m, q2.n AS second_stays, round(q2.dwell, 4) AS second_median_dwell_min, round(q2.disp, 3) AS second_dispersion_m, round(hits / (q1.n + q2.n - hits), 6) AS overlap FROM q1, q2, g""")
+def stay_comparison_overall(spark, sf):
+    both = stays.compare_overall(*_half_stays(spark, sf))
+    return both.select("first_stays", rnd("first_median_dwell_min"), rnd("first_dispersion_m", 3), "second_stays", rnd("second_median_dwell_min"), rnd("second_dispersion_m", 3), rnd("overlap", 6))
+
+
+@query()
+def clusterings_by_user(spark, sf):
+    """DBSCAN and HDBSCAN stays of the same points, compared for each user."""
+    m = moved(spark, sf)
+    return stays.compare_by_user(stays.detect_stays_dbscan(m), stays.detect_stays_hdbscan(m)).select("user_id", "first_stays", "second_stays", "delta_stays", rnd("overlap", 6))
 
 
 @query(f"WITH {M}, {HALF} SELECT count(*) AS stays, round(median((epoch_us(en) - epoch_us(st)) / 60e6), 4) AS median_dwell_min, round(stddev_pop(la), 6) AS lat_std, round(stddev_pop(lo), 6) AS lon_std FROM s1")
@@ -376,16 +410,19 @@ def stay_statistics(spark, sf):
     return stays.stay_stats(_half_stays(spark, sf)[0]).select("stays", rnd("median_dwell_min"), rnd("lat_std", 6), rnd("lon_std", 6))
 
 
-PLACES = "SELECT user_id, event_type AS stay_id, timestamp FROM (SELECT CAST(user_id AS {s}) AS user_id, event_type, ts AS timestamp FROM events)"
+def _dwell(a: int, b: int) -> str:
+    return f"greatest(0, least(epoch_us(e), d0 + {b} * 3600000000) - greatest(epoch_us(s), d0 + {a} * 3600000000))"
 
 
-@query(f"WITH z AS ({PLACES.format(s='VARCHAR')}), c AS (SELECT user_id, stay_id, sum(CASE WHEN hour(timestamp) >= 22 OR hour(timestamp) < 6 THEN 1 ELSE 0 END) AS night, sum(CASE WHEN hour(timestamp) BETWEEN 10 AND 16 AND isodow(timestamp) <= 5 THEN 1 ELSE 0 END) AS midday FROM z GROUP BY ALL) SELECT user_id, (SELECT stay_id FROM c h WHERE h.user_id = c.user_id AND night > 0 ORDER BY night DESC, stay_id LIMIT 1) AS home_stay_id, (SELECT stay_id FROM c h WHERE h.user_id = c.user_id AND midday > 0 ORDER BY midday DESC, stay_id LIMIT 1) AS work_stay_id FROM c GROUP BY user_id")
+@query(f"""WITH {M}, {HALF}, z AS (SELECT user_id, user_id || '-stay-' || d AS stay_id, st AS s, en AS e FROM s2), y AS (SELECT *, epoch_us(CAST(day AS TIMESTAMP)) AS d0 FROM (SELECT *, unnest(generate_series(CAST(s AS DATE), CAST(e AS DATE), INTERVAL 1 DAY)) AS day FROM z)),
+c AS (SELECT user_id, stay_id, sum({_dwell(0, 6)} + {_dwell(22, 24)}) AS night, sum(CASE WHEN isodow(day) <= 5 THEN {_dwell(10, 17)} ELSE 0 END) AS midday FROM y GROUP BY ALL)
+SELECT u.user_id, h.stay_id AS home_stay_id, w.stay_id AS work_stay_id FROM (SELECT DISTINCT user_id FROM c) u LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY night DESC, stay_id) AS r FROM c WHERE night > 0) WHERE r = 1) h USING (user_id)
+ LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY midday DESC, stay_id) AS r FROM c WHERE midday > 0) WHERE r = 1) w USING (user_id)""")
 def home_work(spark, sf):
-    spark.read.parquet(f"{sf}/events.parquet").createOrReplaceTempView("trek_events")
-    return stays.home_work(spark.sql(PLACES.format(s="STRING").replace("FROM events", "FROM trek_events")))
+    return stays.home_work(_half_stays(spark, sf)[1])
 
 
-@query(f"WITH {P} SELECT CAST(floor(radians(lon) * 6371000.0::DOUBLE / 500) AS BIGINT) AS cell_x, CAST(floor(radians(lat) * 6371000.0::DOUBLE / 500) AS BIGINT) AS cell_y, count(*) AS points, count(DISTINCT user_id) AS users FROM p GROUP BY ALL")
+@query(f"WITH {P}, e AS (SELECT *, min(lat) OVER () AS a0, max(lat) OVER () AS a1, min(lon) OVER () AS o0, max(lon) OVER () AS o1 FROM p) SELECT CAST(least(floor((lon - o0) / (o1 - o0) * 50), 49) AS INTEGER) AS ix, CAST(least(floor((lat - a0) / (a1 - a0) * 50), 49) AS INTEGER) AS iy, count(*) AS points, count(DISTINCT user_id) AS users FROM e GROUP BY 1, 2")
 def hotspot_grid(spark, sf):
     return stays.hotspot_grid(points(spark, sf))
 
@@ -429,6 +466,12 @@ def user_segments(spark, sf):
     return done.select("user_id", "segment")
 
 
+@query()
+def segment_centres(spark, sf):
+    _, centres = profile.segment_users(profile.user_features(moved(spark, sf), cut(spark, sf)[1]))
+    return centres.select("segment", *[rnd(c, 6) for c in centres.columns[1:]])
+
+
 # --- Modes ---------------------------------------------------------------------------------------------------------
 
 
@@ -438,16 +481,44 @@ def trip_dataset(spark, sf):
     return d.select("trip_id", rnd("avg_speed_kmh", 5), rnd("distance_km", 6), rnd("duration_min", 5), "start_hour", "day_of_week", "mode_heuristic")
 
 
+@query(f"WITH {T} SELECT trip_id, round(avg_speed_kmh, 5) AS avg_speed_kmh, CASE WHEN trip_seq % 3 = 0 THEN 'tram' ELSE 'walk' END AS mode_heuristic FROM t WHERE trip_seq % 5 <> 1 AND trip_seq % 5 <> 2")
+def trip_dataset_labelled(spark, sf):
+    """Labels given from outside: none for some trips, an empty one for others."""
+    t = cut(spark, sf)[1]
+    given = t.filter("trip_seq % 5 <> 1").selectExpr("trip_id", "CASE WHEN trip_seq % 5 = 2 THEN '' WHEN trip_seq % 3 = 0 THEN 'tram' ELSE 'walk' END AS mode_heuristic")
+    return modes.trip_dataset(t, labels=given).select("trip_id", rnd("avg_speed_kmh", 5), "mode_heuristic")
+
+
+@query(f"""WITH {DAY}, {MATCHED}, s AS ({DAY_STAYS.format(s='VARCHAR')}), o AS (SELECT trip_id, sum(greatest(0, (epoch_us(least(t.end_time, s.end_time)) - epoch_us(greatest(t.start_time, s.start_time))) / 1e6)) AS dwell FROM t JOIN s ON t.user_id = s.user_id AND s.start_time <= t.end_time AND t.start_time <= s.end_time GROUP BY trip_id),
+r AS (SELECT user_id, timestamp, sum(CASE WHEN speed_kmh <= 1 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY epoch_us(timestamp) RANGE BETWEEN 299999999 PRECEDING AND CURRENT ROW) / 5.0 AS d FROM k), sd AS (SELECT trip_id, avg(d) AS mean_stop_density FROM t JOIN r ON t.user_id = r.user_id AND r.timestamp BETWEEN t.start_time AND t.end_time GROUP BY trip_id),
+aa AS (SELECT *, lag(speed_kmh) OVER (PARTITION BY user_id ORDER BY timestamp, event_id) AS ls FROM k), ab AS (SELECT trip_id, CASE WHEN ls IS NOT NULL AND speed_kmh IS NOT NULL AND dt_s > 0 THEN greatest(-5, least(5, (speed_kmh - ls) / 3.6 / dt_s)) END AS a FROM aa), ac AS (SELECT trip_id, stddev_pop(a) AS accel_std, quantile_cont(a, 0.75) - quantile_cont(a, 0.25) AS accel_iqr FROM ab GROUP BY trip_id),
+h AS (SELECT *, abs(((heading_deg - lag(heading_deg) OVER w + 180) % 360 + 360) % 360 - 180) AS turn, {hav('lag(snapped_lat) OVER w', 'lag(snapped_lon) OVER w', 'snapped_lat', 'snapped_lon')} AS step FROM x WINDOW w AS (PARTITION BY trip_id ORDER BY seq)), mf AS (SELECT trip_id, avg(confidence) AS cm, max(confidence) AS cx, CASE WHEN sum(step) > 0 THEN sum(turn) / (sum(step) / 1000) END AS cv FROM h GROUP BY trip_id)
+SELECT t.trip_id, round(CASE WHEN duration_s > 0 THEN coalesce(dwell, 0) / duration_s END, 6) AS dwell_ratio, round(accel_std, 6) AS accel_std, round(accel_iqr, 6) AS accel_iqr, round(mean_stop_density, 6) AS mean_stop_density, round(cm, 6) AS matched_confidence_mean, cx AS matched_confidence_max, round(cv, 3) AS curvature, {MODE} AS mode_heuristic FROM t LEFT JOIN o USING (trip_id) LEFT JOIN sd USING (trip_id) LEFT JOIN ac USING (trip_id) LEFT JOIN mf USING (trip_id)""")
+def trip_dataset_extended(spark, sf):
+    p, t = all_cut(spark, sf)
+    d = modes.trip_dataset(t, p, day_stays(spark, sf), events.matched(p))
+    return d.select("trip_id", *[rnd(c, 6) for c in ("dwell_ratio", "accel_std", "accel_iqr", "mean_stop_density", "matched_confidence_mean")], "matched_confidence_max", rnd("curvature_heading_change_per_km", 3, "curvature"), "mode_heuristic")
+
+
+@query(f"WITH {T} SELECT trip_id, {MODE} AS prediction FROM t")
+def rule_prediction(spark, sf):
+    return modes.rule_prediction(cut(spark, sf)[1]).select("trip_id", "prediction")
+
+
+@query(f"WITH {T} SELECT trip_id FROM t WHERE trip_id IN (SELECT trip_id FROM t WHERE trip_seq % 2 = 0)")
+def trips_in_both(spark, sf):
+    t = cut(spark, sf)[1]
+    return report.trips_in_both(t, t.filter("trip_seq % 2 = 0").select("trip_id")).select("trip_id")
+
+
 @query(f"WITH {T}, r AS (SELECT trip_id, row_number() OVER (ORDER BY start_time, trip_id) AS r, count(*) OVER () AS n FROM t) SELECT trip_id, CASE WHEN r <= n - 2 * floor(n * 0.2) THEN 'train' WHEN r <= n - floor(n * 0.2) THEN 'val' ELSE 'test' END AS split FROM r")
 def time_split(spark, sf):
     return modes.split_by_time(modes.trip_dataset(cut(spark, sf)[1])).select("trip_id", "split")
 
 
-@query(f"WITH {T}, c AS (SELECT {MODE} AS label, count(*) AS n FROM t GROUP BY 1) SELECT label, CAST(n - ceil(n * 0.2) - least(ceil(n * 0.2), n - ceil(n * 0.2)) AS BIGINT) AS train, CAST(least(ceil(n * 0.2), n - ceil(n * 0.2)) AS BIGINT) AS val, CAST(ceil(n * 0.2) AS BIGINT) AS test FROM c")
+@query(f"WITH {T}, r AS (SELECT trip_id, row_number() OVER (PARTITION BY {MODE} ORDER BY md5(trip_id || '-42'), trip_id) AS r, count(*) OVER (PARTITION BY {MODE}) AS n FROM t) SELECT trip_id, CASE WHEN r <= ceil(n * 0.2) THEN 'test' WHEN r <= 2 * ceil(n * 0.2) THEN 'val' ELSE 'train' END AS split FROM r")
 def stratified_split(spark, sf):
-    d = modes.split_stratified(modes.trip_dataset(cut(spark, sf)[1]))
-    count = lambda s: F.sum(F.when(F.col("split") == s, 1).otherwise(0)).alias(s)
-    return d.groupBy(F.col("mode_heuristic").alias("label")).agg(count("train"), count("val"), count("test"))
+    return modes.split_stratified(modes.trip_dataset(cut(spark, sf)[1])).select("trip_id", "split")
 
 
 def _called(spark, sf):
@@ -495,11 +566,38 @@ def reliability(spark, sf):
     return modes.reliability(s).select("bin", "n", rnd("mean_probability", 6), rnd("positive_share", 6))
 
 
+EVALUATED = """ev AS (SELECT 'accuracy' AS metric, (SELECT avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) FROM e) AS value UNION ALL SELECT 'f1_macro', avg(f1) FROM f UNION ALL SELECT 'ece', sum(n * abs(a - c)) / sum(n) FROM b UNION ALL SELECT 'n', CAST(count(*) AS DOUBLE) FROM e)"""
+
+
+@query(f"WITH {CALLED}, {CLASS}, {BINS}, {EVALUATED} SELECT metric, round(value, 6) AS value FROM ev")
+def evaluation(spark, sf):
+    return modes.evaluation(_called(spark, sf)).select("metric", rnd("value", 6))
+
+
+RIGHT = CALLED.replace("CASE WHEN event_id % 3 = 0 THEN 'view' ELSE event_type END AS prediction", "CASE WHEN event_id % 5 = 0 THEN 'click' ELSE event_type END AS prediction")
+
+
+@query(f"SELECT a.metric, round(a.value, 6) AS value, round(b.value, 6) AS baseline, round(a.value - b.value, 6) AS delta FROM (WITH {CALLED}, {CLASS}, {BINS}, {EVALUATED} SELECT * FROM ev) a JOIN (WITH {RIGHT}, {CLASS}, {BINS}, {EVALUATED} SELECT * FROM ev) b ON a.metric = b.metric")
+def evaluation_deltas(spark, sf):
+    other = spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_type AS mode_heuristic", "CASE WHEN event_id % 5 = 0 THEN 'click' ELSE event_type END AS prediction", "CAST(event_id % 101 AS DOUBLE) / CAST(100 AS DOUBLE) AS confidence")
+    return modes.evaluation_deltas(modes.evaluation(_called(spark, sf)), modes.evaluation(other)).select("metric", rnd("value", 6), rnd("baseline", 6), rnd("delta", 6))
+
+
+def _fitted(spark, sf):
+    data = modes.split_by_time(modes.trip_dataset(cut(spark, sf)[1]))
+    return (*modes.train_classifier(data.filter("split = 'train'")), data.filter("split = 'test'"))
+
+
 @query()
 def mode_model(spark, sf):
-    data = modes.split_by_time(modes.trip_dataset(cut(spark, sf)[1]))
-    model, _ = modes.train_classifier(data.filter("split = 'train'"))
-    return modes.confusion(modes.predict(model, data.filter("split = 'test'")))
+    model, _, test = _fitted(spark, sf)
+    return modes.confusion(modes.predict(model, test))
+
+
+@query()
+def mode_importance(spark, sf):
+    model, used, _ = _fitted(spark, sf)
+    return spark.createDataFrame(list(modes.importance(model, used).items()), "feature string, importance double").select("feature", rnd("importance", 6))
 
 
 # --- Robustness ----------------------------------------------------------------------------------------------------
@@ -533,14 +631,33 @@ def ks_distance(spark, sf):
     return validate.ks_table(long, ["metric"], "value", "side").select("metric", "n_a", "n_b", rnd("d", 6))
 
 
-@query()
+FOLDS = "fo AS (SELECT user_id, CAST((row_number() OVER (ORDER BY md5(user_id || '-42'), user_id) - 1) % 5 AS INTEGER) AS own FROM (SELECT DISTINCT user_id FROM t))"
+
+
+@query(f"WITH {T}, {FOLDS} SELECT user_id, own AS fold FROM fo")
+def user_folds(spark, sf):
+    return validate.user_folds(cut(spark, sf)[1])
+
+
+@query(f"WITH {T}, {FOLDS}, {LONG.format(k='user_id')}, s AS (SELECT fold, metric, value, own = fold AS side FROM lm JOIN fo USING (user_id), (SELECT unnest(range(5))::INTEGER AS fold)), {KS.format(k='fold', f='s')}, r AS (SELECT fold, metric, CAST(any_value(na) AS BIGINT) AS n_a, CAST(any_value(nb) AS BIGINT) AS n_b, max(abs(fa / na - fb / nb)) AS d FROM c GROUP BY fold, metric), z AS (SELECT *, sqrt(CAST(n_a AS DOUBLE) * n_b / (n_a + n_b)) * d AS root FROM r) SELECT fold, metric, n_a, n_b, round(d, 6) AS d, round(CASE WHEN root < 0.2 THEN 1 ELSE least(greatest(list_sum(list_transform(range(1, 61), lambda k: 2 * (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * k * k * root * root))), 0), 1) END, 6) AS p_asymptotic FROM z WHERE n_a > 0 AND n_b > 0")
 def cross_user(spark, sf):
     return validate.cross_user(cut(spark, sf)[1]).select("fold", "metric", "n_a", "n_b", rnd("d", 6), rnd("p_asymptotic", 6))
 
 
-@query()
+def _grid_sql(eps: float, least: int) -> str:
+    disp = f"(SELECT median(dp) FROM (SELECT user_id, avg({hav('la', 'lo', 'ma', 'mo')}) AS dp FROM (SELECT *, avg(la) OVER (PARTITION BY user_id) AS ma, avg(lo) OVER (PARTITION BY user_id) AS mo FROM sr) GROUP BY user_id))"
+    return f"SELECT * FROM (WITH RECURSIVE {M}, {dbscan_sql(eps, least)}, sr AS (SELECT {STAY_ROWS}) SELECT CAST({eps} AS DOUBLE) AS eps_m, {least} AS min_samples, count(*) AS stays, count(DISTINCT user_id) AS users, round(median((epoch_us(en) - epoch_us(st)) / 60e6), 4) AS median_dwell_min, round({disp}, 3) AS median_dispersion_m FROM sr)"
+
+
+@query("\nUNION ALL\n".join(_grid_sql(e, m) for e in (100, 150) for m in (3, 5)))
 def dbscan_grid(spark, sf):
-    return validate.dbscan_grid(moved(spark, sf), (100.0, 150.0), (3, 5)).select("eps_m", "min_samples", "stays", "users", rnd("median_dwell_min"))
+    return validate.dbscan_grid(moved(spark, sf), (100.0, 150.0), (3, 5)).select("eps_m", "min_samples", "stays", "users", rnd("median_dwell_min"), rnd("median_dispersion_m", 3))
+
+
+@query()
+def hdbscan_grid(spark, sf):
+    g = validate.hdbscan_grid(moved(spark, sf), (5, 8), (None, 5), (0.0, 50.0))
+    return g.select("min_cluster_size", "min_samples", "epsilon_m", "stays", "users", rnd("median_dwell_min"), rnd("median_dispersion_m", 3))
 
 
 # --- Reports -------------------------------------------------------------------------------------------------------
@@ -621,6 +738,6 @@ def conformed(spark, sf):
     return conform(raw, "points").select("user_id", us("timestamp"), rnd("lat", 6), rnd("lon", 6), "alt_m", "trip_id")
 
 
-@query()
+@query(f"WITH {P} SELECT event_id FROM p ORDER BY md5(CAST(event_id AS VARCHAR) || '-42') LIMIT 500")
 def sampled_points(spark, sf):
-    return report.sampled(points(spark, sf), 500).select("event_id")
+    return report.sampled(points(spark, sf), 500, key="event_id").select("event_id")

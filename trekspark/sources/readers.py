@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import yaml
 from pyspark.errors import AnalysisException
@@ -20,10 +21,17 @@ def read_plt(spark: SparkSession, root: str, users: list[str] | None = None, flo
 
     A line counts if it has seven fields, parsable coordinates and a time: date and time fields first, else the day
     number. Times before `floor` are dropped, so that no header line passes for a point. alt_m is null for the
-    invalid mark. `users` keeps some users by their folder.
+    invalid mark. `users` keeps some users; only their folders are listed and read.
     """
-    lines = spark.read.option("pathGlobFilter", "*.plt").text(f"{root}/*/[Tt]rajectory").select("value", F.col("_metadata.file_path").alias("source_file"))
-    lines = lines.withColumn("user_id", F.regexp_extract("source_file", r"([^/]+)/[Tt]rajectory/[^/]+$", 1))
+    own = "*" if users is None or not all(re.fullmatch(r"[\w.-]+", u) for u in users) else f"{{{','.join(users)}}}"
+    files = spark.read.option("pathGlobFilter", "*.plt")
+    try:
+        lines = files.text(f"{root}/{own}/[Tt]rajectory")
+    except AnalysisException:
+        if own == "*":
+            raise
+        lines = files.text(f"{root}/*/[Tt]rajectory")  # none of the users has a folder
+    lines = lines.select("value", F.col("_metadata.file_path").alias("source_file")).withColumn("user_id", F.regexp_extract("source_file", r"([^/]+)/[Tt]rajectory/[^/]+$", 1))
     if users is not None:
         lines = lines.filter(F.col("user_id").isin(users))
     f = F.split(F.trim("value"), ",")
