@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,10 +19,25 @@ def written(df: DataFrame) -> DataFrame:
         base = tempfile.mkdtemp(prefix="trekspark-")
         spark.sparkContext.setCheckpointDir(base)
     path = f"{base.rstrip('/')}/rounds-{uuid.uuid4().hex}"
+    _made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Folders that this process has written.
+_made: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes the folders that this process has written so far and says how many; results that still read them must be done."""
+    done = len(_made)
+    for path in _made[:done]:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    del _made[:done]
+    return done
+
+
 def components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """v, label (the smallest vertex that v reaches) for all vertices (v); edges are pairs (a, b) in any direction."""
     both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select(F.col("b").alias("v"), F.col("a").alias("u"))).filter("v <> u")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import haversine_m
 from . import dbscan, hdbscan
 from .graph import written
-from .ranks import quantiles, running_sums
+from .ranks import running_sums, split_quantiles
 from .stays import dispersion, stay_table
 from .trips import drop_fast, number_trips, trip_table, with_motion
 
@@ -67,11 +67,11 @@ def quarter(ts: Column) -> Column:
     return F.concat(F.year(t).cast("string"), F.lit("Q"), F.quarter(t).cast("string"))
 
 
-def period_stats(trips: DataFrame, period: Column | None = None, accuracy: int | None = None) -> DataFrame:
-    """period, metric, n, median, p25, p75."""
+def period_stats(trips: DataFrame, period: Column | None = None) -> DataFrame:
+    """period, metric, n, median, p25, p75. Few groups hold all trips, so their values are ranked over ranges."""
     df = trips.filter("start_time IS NOT NULL").withColumn("period", quarter(F.col("start_time")) if period is None else period)
-    q = quantiles("value", (0.25, 0.5, 0.75), accuracy)
-    return long_metrics(df, "period").groupBy("period", "metric").agg(F.count("value").alias("n"), q.alias("q")).select("period", "metric", "n", F.col("q")[1].alias("median"), F.col("q")[0].alias("p25"), F.col("q")[2].alias("p75"))
+    found = split_quantiles(long_metrics(df, "period"), ["period", "metric"], "value", (0.25, 0.5, 0.75))
+    return found.select("period", "metric", "n", F.col("q")[1].alias("median"), F.col("q")[0].alias("p25"), F.col("q")[2].alias("p75"))
 
 
 def temporal_shift(trips: DataFrame, period: Column | None = None) -> DataFrame:
@@ -101,7 +101,10 @@ def trip_grid(points: DataFrame, gaps: tuple[float, ...] = (10, 20, 30, 45), dis
         own = trip_table(number_trips(moved, gap)).select(F.lit(float(gap)).alias("gap_min"), "distance_m", "duration_s")
         per_gap = own if per_gap is None else per_gap.unionByName(own)
     each = per_gap.withColumn("min_distance_m", F.explode(F.array(*[F.lit(float(d)) for d in distances]))).filter("distance_m >= min_distance_m")
-    return each.groupBy("gap_min", "min_distance_m").agg(F.count(F.lit(1)).alias("trips"), F.median("distance_m").alias("median_distance_m"), F.median("duration_s").alias("median_duration_s"))
+    long = each.unpivot(["gap_min", "min_distance_m"], ["distance_m", "duration_s"], "metric", "value")
+    found = split_quantiles(long, ["gap_min", "min_distance_m", "metric"], "value", (0.5,))  # each cell of the grid holds most trips
+    of = lambda m: F.max(F.when(F.col("metric") == m, F.col("q")[0]))
+    return found.groupBy("gap_min", "min_distance_m").agg(F.max("n").alias("trips"), of("distance_m").alias("median_distance_m"), of("duration_s").alias("median_duration_s"))
 
 
 def _stay_row(stays: DataFrame, **params) -> DataFrame:
