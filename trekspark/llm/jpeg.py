@@ -21,9 +21,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from .common import bounded, only, texts_of
+from .common import bounded, only, scratch, texts_of
 
 UNIT, FILL, CENTRE = 576, b"\xff", 108
 #: Restart interval of the files written: blocks of an AC scan, MCUs of a DC scan.
@@ -611,11 +611,11 @@ def parts_of(payload: bytes) -> list[bytes]:
 
 
 class Row:
-    """What is gathered of one text while its parts pass by; its tensor is the parts' tensors on top of each other."""
+    """What is gathered of one text while its files pass by; its tensor is the files' tensors on top of each other."""
 
-    def __init__(self, text: bytes, whole: bool):
-        self.text, self.whole = text, whole
-        self.payload, self.media, self.files, self.tensors = hashlib.sha256(), hashlib.sha256(), [], []
+    def __init__(self, files: list[bytes], whole: bool):
+        self.files, self.whole = files, whole
+        self.payload, self.media, self.tensors = hashlib.sha256(), hashlib.sha256(), []
         self.payload_bytes = self.media_bytes = self.width = self.height = self.crc = 0
         self.tail, self.sums = b"", np.zeros(3, np.int64)
 
@@ -628,31 +628,48 @@ class Row:
         raw = tensor.tobytes()
         self.sums, self.crc = self.sums + tensor.reshape(-1, 3).sum(axis=0, dtype=np.int64), zlib.crc32(raw, self.crc)
         if self.whole:
-            self.files.append(data)
             self.tensors.append(raw)
 
     def feature(self) -> str:
         return f"{self.width}x{self.height}:{':'.join(map(str, self.sums * 100 // (self.width * self.height)))}:{self.crc:08x}"
 
 
-def stored_rows(texts: list[bytes], whole: bool = False) -> list[Row]:
-    """Stores and reads back the texts, about LIMIT bytes of payload at a time however long one is."""
-    rows = [Row(t, whole) for t in texts]
-    jobs = [(r, part) for r in rows for part in parts_of(padded(r.text))]
-    at = 0
-    while at < len(jobs):
-        to, size = at, 0
-        while to < len(jobs) and (to == at or size + len(jobs[to][1]) <= LIMIT):
-            size += len(jobs[to][1])
-            to += 1
-        files = encode([part for _, part in jobs[at:to]])
-        images, coefs = coefficients(files)
-        for (row, _), data, image in zip(jobs[at:to], files, images):
+def _shares(sizes: list[int], limit: int) -> list[tuple[int, int]]:
+    """Ranges of items with at most `limit` bytes together, or one item."""
+    out, at, held = [], 0, 0
+    for i, n in enumerate(sizes):
+        if i > at and held + n > limit:
+            out.append((at, i))
+            at, held = i, 0
+        held += n
+    return [*out, (at, len(sizes))] if sizes else []
+
+
+def encoded(texts: list[bytes]) -> list[list[bytes]]:
+    """The files of each text, made from about LIMIT bytes of payload at a time however long one is."""
+    jobs = [(i, part) for i, t in enumerate(texts) for part in parts_of(padded(t))]
+    out: list[list[bytes]] = [[] for _ in texts]
+    for lo, hi in _shares([len(p) for _, p in jobs], LIMIT):
+        for (i, _), data in zip(jobs[lo:hi], encode([p for _, p in jobs[lo:hi]])):
+            out[i].append(data)
+    return out
+
+
+def decoded(files: list[list[bytes]], whole: bool = False) -> list[Row]:
+    """What the texts' files hold, read from about LIMIT bytes of them at a time."""
+    rows = [Row(own, whole) for own in files]
+    jobs = [(r, data) for r in rows for data in r.files]
+    for lo, hi in _shares([len(d) for _, d in jobs], LIMIT):
+        images, coefs = coefficients([d for _, d in jobs[lo:hi]])
+        for (row, data), image in zip(jobs[lo:hi], images):
             row.add(data, image, coefs)
-        at = to
     return rows
 
 
+def stored_rows(texts: list[bytes], whole: bool = False) -> list[Row]:
+    return decoded(encoded(texts), whole)
+
+
 def media(docs: DataFrame) -> DataFrame:
     """doc_id, media (progressive JPEG of the text's padded UTF-8; beyond PART bytes, files one after the other), width, height, rgb (the decoded tensor's bytes, row by row).
 
@@ -668,21 +685,42 @@ def media(docs: DataFrame) -> DataFrame:
     return only(docs, "doc_id", "text").mapInArrow(run, "doc_id long, media binary, width int, height int, rgb binary")
 
 
+STORED = "doc_id long, n_bytes long, files array<binary>"
 FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature of every row; odd rows as in media().
-
-    The payload is read back from the stored files' coefficients. feature is the tensor's size, channel means in 1/100
-    and crc32.
-    """
+def write_media(docs: DataFrame, path: str) -> str:
+    """Writes doc_id, n_bytes and files (the progressive JPEG files of each text) as Parquet and returns the path; odd rows as in media()."""
 
     def run(batches):
         for batch in bounded(batches, limit=LIMIT):
-            rows = stored_rows([t.encode() for t in texts_of(batch).to_pylist()])
-            columns = [[len(r.text) for r in rows], [r.payload_bytes for r in rows], [r.payload.hexdigest() for r in rows], [zlib.crc32(r.tail) for r in rows], [r.media_bytes for r in rows], [r.media.hexdigest() for r in rows], [r.feature() for r in rows]]
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds))], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+            texts = [t.encode() for t in texts_of(batch).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(encoded(texts), pa.list_(pa.binary()))], names=["doc_id", "n_bytes", "files"])
 
-    return only(docs, "doc_id", "text").mapInArrow(run, FEATURES)
+    only(docs, "doc_id", "text").mapInArrow(run, STORED).write.option("compression", "zstd").parquet(path)
+    return path
+
+
+def read_features(spark: SparkSession, path: str) -> DataFrame:
+    """The features of what write_media() wrote, from the stored bytes alone."""
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi in _shares(batch.column("n_bytes").to_pylist(), LIMIT):
+                own = batch.slice(lo, hi - lo)
+                rows = decoded(own.column("files").to_pylist())
+                columns = [[r.payload_bytes for r in rows], [r.payload.hexdigest() for r in rows], [zlib.crc32(r.tail) for r in rows], [r.media_bytes for r in rows], [r.media.hexdigest() for r in rows], [r.feature() for r in rows]]
+                kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+                yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("n_bytes"), *(pa.array(c, t) for c, t in zip(columns, kinds))], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+
+    return spark.read.schema(STORED).parquet(path).mapInArrow(run, FEATURES)
+
+
+def features(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature of every row; odd rows as in media().
+
+    The files are written below the scratch folder and read back; the payload comes from their coefficients. feature is the tensor's size, channel
+    means in 1/100 and crc32.
+    """
+    spark = docs.sparkSession
+    return read_features(spark, write_media(docs, scratch(spark, "media")))
