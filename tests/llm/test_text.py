@@ -123,7 +123,7 @@ def test_base_scores_and_model_on_held_out(docs, texts):
 
 
 def test_tree_is_a_distribution_and_walks_like_brute_force(docs):
-    _, tree, _ = suffixtree.learn(docs.limit(40))
+    tree = suffixtree.learn(docs.limit(40))
     assert np.allclose((10.0 ** tree.logp).sum(axis=1), 1, atol=1e-4)
     text = "the river runs"
     s, share, _ = suffixtree.symbols(pa.array([text]))
@@ -136,7 +136,7 @@ def test_tree_is_a_distribution_and_walks_like_brute_force(docs):
 
 
 def test_joined_scores_are_those_of_the_automaton(docs, texts):
-    _, tree, _ = suffixtree.learn(docs.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2))
+    tree = suffixtree.learn(docs.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2))
     got = {r.doc_id: r.score for r in suffixtree.score(docs).collect()}
     ids = sorted(got)
     assert np.allclose([got[i] for i in ids], tree.score(pa.array([texts[i] for i in ids])), rtol=1e-4)
@@ -196,7 +196,18 @@ def test_supported_contexts_stay_in_a_corpus_of_any_size(spark):
     rows = [(same(e), 10**9), (same(x), 10**9), ((same(e) & ~low) | q << suffixtree.BITS | u, 2000)]
     table = spark.createDataFrame(rows, "code long, n long")
     assert suffixtree.retained(table).filter(f"d = 1 AND ctx = {q}").count() == 1
-    assert {r.code: r.logp for r in suffixtree.model(table).collect()}[rows[2][0]] > math.log10(0.9)
+    assert {r.code: r.p for r in suffixtree.levels(table, suffixtree.DEPTH).collect()}[rows[2][0]] > 0.9
+
+
+def test_longer_levels_of_a_task_are_those_of_the_whole_table(spark, docs, texts):
+    code, n = suffixtree.grams(pa.array(list(texts.values())[:60]))
+    n[::5] = 0  # grams of rows that aren't learned from
+    whole = {r.code: r.p for r in suffixtree.levels(spark.createDataFrame(list(zip(code.tolist(), n.tolist())), "code long, n long"), suffixtree.DEPTH).collect()}
+    short = spark.createDataFrame(list(zip((code & 0xFFFFFF).tolist(), n.tolist())), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    low = suffixtree.levels(short, suffixtree.CUT - 1).orderBy("code").toArrow()
+    low = suffixtree.Low(*(low[c].to_numpy() for c in ("code", "n", "total", "p")))
+    for task, own in suffixtree.shares_of(suffixtree.by_task(code, 5)):
+        assert np.allclose(suffixtree.probabilities(code[own], n[own], low), [whole[c] for c in code[own].tolist()], rtol=1e-9)
 
 
 def test_every_byte_has_its_own_symbol():

@@ -3,19 +3,23 @@
 The tree is learned from counts of every (DEPTH + 1)-gram of the training texts. A context is retained if it occurs LEAST
 times at least, however large the corpus, and its next-symbol distribution diverges from that of the context one symbol
 shorter. Distributions are smoothed towards the shorter context's, which weighs PRIOR times the different symbols seen. A text is scored by always predicting from the longest
-retained suffix of what came before. The contexts grow with the corpus, so they stay a table: blocks of text fetch the
-probabilities of their own grams by a join.
+retained suffix of what came before. The contexts grow with the corpus, so they are never gathered: each block of text sends
+its different grams, packed by the last CUT symbols of their contexts, to the tasks that hold these contexts, which merge all blocks'
+counts, retain contexts, and send each block the probabilities of its own grams. Contexts shorter than CUT are the same for all
+such tasks; their grams are a table that the alphabet bounds. Words and their counts travel in the same way.
 
 A text's symbols are its words' bytes, A-Z in lower case, each word closed by a space, and one end, so the model is a distribution over word sequences like the base it stands beside.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +29,8 @@ DEPTH, LEAST, DIVERGENCE, PRIOR = 5, 2, 3.0, 3.0
 BITS = 8
 SEGMENT = 256
 BLOCK_BYTES = 4 << 20
+#: Context symbols by which grams find their task.
+CUT = 3
 
 
 def _alphabet() -> tuple[np.ndarray, np.ndarray]:
@@ -73,48 +79,66 @@ def codes_of(s: np.ndarray) -> np.ndarray:
     return code
 
 
-def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The different (DEPTH + 1)-grams of the texts and their counts."""
+def grams(texts: pa.Array, size: int = DEPTH + 1) -> tuple[np.ndarray, np.ndarray]:
+    """The different grams of the texts, the last `size` symbols of each (DEPTH + 1)-gram, and their counts."""
     s, _, at = symbols(texts)
     code = codes_of(s)
     inside = np.ones(len(code), bool)
     for k in range(1, DEPTH + 1):  # a gram's last symbol must be a predicted one, not the padding before the next text
         cut = at[1:-1] - k
         inside[cut[cut < len(code)]] = False
-    return np.unique(code[inside], return_counts=True)
+    return np.unique(code[inside] & ((1 << (BITS * size)) - 1), return_counts=True)
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """word, code, n of rows of doc_id, text, learned: word counts (code null) and gram counts (word null) of the learned rows, and the other rows' grams with count 0."""
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers as compressed planes of their bytes."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def released(raw: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
+def by_task(code: np.ndarray, tasks: int) -> np.ndarray:
+    """Number of the task of each gram, by the last CUT symbols of its context."""
+    ctx = (code >> BITS) & ((1 << (BITS * CUT)) - 1)
+    return ((ctx * 2654435761 % (1 << 32)) >> 8) % tasks
+
+
+def shares_of(task: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Each task and the places that go to it, in order."""
+    order = np.argsort(task, kind="stable")
+    names, first = np.unique(task[order], return_index=True)
+    return list(zip(names.tolist(), np.split(order, first[1:])))
+
+
+def short_grams(docs: DataFrame) -> DataFrame:
+    """code, n of every gram of CUT symbols in rows of doc_id, text, learned: how often it occurs in the learned rows."""
 
     def run(batches):
         for batch in bounded(batches):
-            learned = batch.column(2)
-            texts = texts_of(batch)
-            own = texts.filter(learned)
-            _, codes, words = words_of(own)
-            n = np.bincount(codes, minlength=len(words)).astype(np.int64)
-            used = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([words.take(pa.array(used)), pa.nulls(len(used), pa.int64()), pa.array(n[used])], names=["word", "code", "n"])
-            for part, times in ((own, 1), (texts.filter(pc.invert(learned)), 0)):
+            learned, texts = batch.column(2), texts_of(batch)
+            for part, times in ((texts.filter(learned), 1), (texts.filter(pc.invert(learned)), 0)):
                 if len(part):
-                    code, n = grams(part)
-                    yield pa.RecordBatch.from_arrays([pa.nulls(len(code), pa.string()), pa.array(code), pa.array(n.astype(np.int64) * times)], names=["word", "code", "n"])
+                    code, n = grams(part, CUT)
+                    yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n * times)], names=["code", "n"])
 
-    return docs.mapInArrow(run, "word string, code long, n long").groupBy("word", "code").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def model(table: DataFrame, least: int = LEAST, divergence: float = DIVERGENCE) -> DataFrame:
-    """code, logp (log10) of every gram of the table (code, n): its last symbol's probability behind the longest retained suffix of the others.
+def levels(table: DataFrame, depth: int, least: int = LEAST, divergence: float = DIVERGENCE) -> DataFrame:
+    """code, n, total (of its context), p of every gram of the table (code, n) of `depth` + 1 symbols: its last symbol's probability behind the longest retained suffix of the others.
 
     From the empty context to the longest, each length's grams meet those one symbol shorter, which bring their counts and
     the probability so far; all that is gathered for a context are its at most COUNT next symbols.
     """
     context = Window.partitionBy("ctx")
     below = None
-    for d in range(DEPTH + 1):
+    for d in range(depth + 1):
         low = (1 << (BITS * (d + 1))) - 1
-        level = table.groupBy(F.col("code").bitwiseAND(F.lit(low)).alias("code")).agg(F.sum("n").alias("n")) if d < DEPTH else table.select("code", "n")
+        level = table.groupBy(F.col("code").bitwiseAND(F.lit(low)).alias("code")).agg(F.sum("n").alias("n")) if d < depth else table.select("code", "n")
         if below is None:
             level = level.select("*", F.lit(0).cast("long").alias("n_short"), F.lit(0).cast("long").alias("total_short"), F.lit(1 / COUNT).alias("p_short"))
         else:
@@ -129,7 +153,42 @@ def model(table: DataFrame, least: int = LEAST, divergence: float = DIVERGENCE)
         prior = PRIOR * F.col("kinds")
         p = F.when(keep, (F.col("n") + prior * F.col("p_short")) / (F.col("total") + prior)).otherwise(F.col("p_short"))
         below = level.select("code", "n", "total", p.alias("p"))
-    return below.select("code", F.log10("p").alias("logp"))
+    return below
+
+
+@dataclass
+class Low:
+    """The sorted grams of CUT symbols, their counts, their contexts' counts, and their probabilities."""
+
+    code: np.ndarray
+    n: np.ndarray
+    total: np.ndarray
+    p: np.ndarray
+
+
+def probabilities(code: np.ndarray, n: np.ndarray, low: Low, least: int = LEAST, divergence: float = DIVERGENCE) -> np.ndarray:
+    """Probability of each of the sorted (DEPTH + 1)-grams, given all grams of their contexts' last CUT symbols: levels() from CUT symbols of context on."""
+    n_before, total_before, p_before, codes_before = low.n, low.total, low.p, low.code
+    for d in range(CUT, DEPTH + 1):
+        if d < DEPTH:
+            own, where = np.unique(code & ((1 << (BITS * (d + 1))) - 1), return_inverse=True)
+            count = np.bincount(where, n, len(own))
+        else:
+            own, count = code, n.astype(float)
+        short = np.searchsorted(codes_before, own & ((1 << (BITS * d)) - 1))
+        n_short, total_short, p_short = n_before[short], total_before[short], p_before[short]
+        ctx = own >> BITS
+        first = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
+        size = np.diff(np.append(first, len(own)))
+        spread = lambda x: np.repeat(np.add.reduceat(x, first), size)  # noqa: E731  a context's grams stand together
+        total, seen = spread(count), count > 0
+        term = np.zeros(len(own))
+        term[seen] = count[seen] * np.log((count[seen] / total[seen]) / (n_short[seen] / total_short[seen]))
+        keep = (total >= least) & (spread(term) >= divergence)
+        prior = PRIOR * spread(seen.astype(float))
+        p = np.where(keep, (count + prior * p_short) / np.where(keep, total + prior, 1.0), p_short)
+        n_before, total_before, p_before, codes_before = count, total, p, own
+    return p_before
 
 
 @dataclass
@@ -227,18 +286,15 @@ def grow(rows: pa.Table) -> Tree:
     return Tree(step, dist, np.log10(p).astype(np.float32))
 
 
-def sizes_of(counts: DataFrame, texts: int) -> tuple[DataFrame, dict]:
-    """(word counts, sizes N and V) of a table of counts; an end token counts once a row."""
-    words = counts.filter("word IS NOT NULL").select("word", F.col("n").alias("c"))
-    sizes = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    return words, {"N": sizes["n"] + texts, "V": sizes["v"] + (texts > 0), "end": texts}
+def learn(docs: DataFrame) -> Tree:
+    """The tree of all rows given as one automaton in the driver's memory, for small corpora; score() doesn't build it."""
 
+    def run(batches):
+        for batch in bounded(batches):
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, grams(texts_of(batch)))), names=["code", "n"])
 
-def learn(docs: DataFrame) -> tuple[DataFrame, Tree, dict]:
-    """(word counts, tree, sizes N and V) from all rows given. The tree is model() as one automaton in the driver's memory, for small corpora; score() doesn't build it."""
-    counts = stored(counted(only(docs, "doc_id", "text").withColumn("learned", F.lit(True))), "counts")
-    words, sizes = sizes_of(counts, docs.count())
-    return words, grow(retained(counts.filter("code IS NOT NULL").select("code", "n")).toArrow()), sizes
+    table = only(docs, "text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return grow(retained(stored(table, "counts")).toArrow())
 
 
 def looked_up(texts: pa.Array, code: np.ndarray, logp: np.ndarray) -> np.ndarray:
@@ -257,7 +313,85 @@ def looked_up(texts: pa.Array, code: np.ndarray, logp: np.ndarray) -> np.ndarray
     return np.add.reduceat(each, at[:-1])
 
 
-SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+ASKED = "block int, kind int, task int, items binary, n binary"
+PARTS = "doc_id long, held_out boolean, n_tokens long, n_hits long, logs double, score double"
+
+
+def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """words_of() with the words sorted."""
+    at, codes, words = words_of(texts)
+    order = np.array(pc.sort_indices(words))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return at, place[codes] if len(codes) else codes, [w.encode() for w in words.take(pa.array(order)).to_pylist()]
+
+
+def ask(table: pa.Table, tasks: int) -> pa.Table:
+    """What a block sends: its different grams and words by task (kinds 0 and 1), with their counts in the block's learned rows."""
+    texts, learned = texts_of(table.combine_chunks().to_batches()[0]), table["learned"].combine_chunks()
+    (code, n), (other, _) = grams(texts.filter(learned)), grams(texts.filter(pc.invert(learned)))
+    every = np.union1d(code, other)
+    count = np.zeros(len(every), np.uint32)
+    count[np.searchsorted(every, code)] = n
+    rows = [(0, task, squeezed(every[own]), squeezed(count[own])) for task, own in shares_of(by_task(every, tasks))]
+    at, codes, words = distinct_words(texts)
+    times = np.bincount(codes, np.repeat(learned.to_numpy(zero_copy_only=False), np.diff(at)), len(words)).astype(np.uint32)
+    filled = np.array([i for i, w in enumerate(words) if w], np.int64)
+    for task, own in shares_of(np.array([zlib.crc32(words[i]) % tasks for i in filled.tolist()], np.int64)):
+        own = filled[own]
+        rows.append((1, task, zstandard.ZstdCompressor(level=1).compress(b"\n".join([words[i] for i in own.tolist()])), squeezed(times[own])))
+    kind, task, items, counts = zip(*rows) if rows else ([], [], [], [])
+    block = pa.array([table["block"][0].as_py()] * len(rows), pa.int32())
+    return pa.table({"block": block, "kind": pa.array(kind, pa.int32()), "task": pa.array(task, pa.int32()), "items": pa.array(items, pa.binary()), "n": pa.array(counts, pa.binary())})
+
+
+def merged_words(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """(words of each row of a task, each word's number, count of each number) over all blocks."""
+    lists = [zstandard.ZstdDecompressor().decompress(x).split(b"\n") for x in table["items"].to_pylist()]
+    coded = pa.array([w for x in lists for w in x], pa.binary()).dictionary_encode()
+    codes = coded.indices.to_numpy()
+    counts = np.concatenate([released(x, "u4") for x in table["n"].to_pylist()])
+    return list(map(len, lists)), codes, np.bincount(codes, counts, len(coded.dictionary)).astype(np.int64)
+
+
+def reply(table: pa.Table, low: Low) -> pa.Table:
+    """What a task sends back to each block: log10 probabilities of its grams, or counts of its words, in the order in which they came."""
+    if table["kind"][0].as_py():
+        sizes, codes, total = merged_words(table)
+        values = total[codes]
+    else:
+        lists = [released(x, "i8") for x in table["items"].to_pylist()]
+        sizes = list(map(len, lists))
+        code, where = np.unique(np.concatenate(lists), return_inverse=True)
+        n = np.bincount(where, np.concatenate([released(x, "u4") for x in table["n"].to_pylist()]), len(code))
+        values = np.log10(probabilities(code, n, low)).astype(np.float32)[where]
+    parts = np.split(values, np.cumsum(sizes)[:-1])
+    return table.select(["block", "kind", "task"]).append_column("items", pa.array([squeezed(x) for x in parts], pa.binary()))
+
+
+def sizes_of(table: pa.Table) -> pa.Table:
+    """Tokens and different words of a task's words."""
+    _, _, total = merged_words(table)
+    return pa.table({"n": pa.array([int(total.sum())]), "v": pa.array([int((total > 0).sum())])})
+
+
+def answer(own: pa.Table, known: pa.Table, tasks: int) -> pa.Table:
+    """PARTS of a block's rows from what the tasks sent back."""
+    if not own.num_rows:
+        return pa.table({c: pa.array([], t) for c, t in zip(["doc_id", "held_out", "n_tokens", "n_hits", "logs", "score"], [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()])})
+    texts = texts_of(own.combine_chunks().to_batches()[0])
+    sent = {(k, t): x for k, t, x in zip(known["kind"].to_pylist(), known["task"].to_pylist(), known["items"].to_pylist())}
+    code = grams(texts)[0]
+    logp = np.zeros(len(code))
+    for task, where in shares_of(by_task(code, tasks)):
+        logp[where] = released(sent[0, task], "f4")
+    at, codes, words = distinct_words(texts)
+    c = np.zeros(len(words), np.int64)
+    filled = np.array([i for i, w in enumerate(words) if w], np.int64)
+    for task, where in shares_of(np.array([zlib.crc32(words[i]) % tasks for i in filled.tolist()], np.int64)):
+        c[filled[where]] = released(sent[1, task], "i8")
+    summed = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[codes])])[at])
+    return pa.table({"doc_id": own["doc_id"], "held_out": own["held_out"], "n_tokens": pa.array(np.diff(at) + 1), "n_hits": pa.array(summed((c > 0).astype(np.int64))), "logs": pa.array(summed(np.log10(c + 1.0))), "score": pa.array(looked_up(texts, code, logp))})
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -267,49 +401,20 @@ def score(docs: DataFrame) -> DataFrame:
     Null text counts as empty: one token, the end. Repeated rows repeat; an empty table gives no rows; other
     columns aren't read.
 
-    Rows are dealt by hash into blocks of about BLOCK_BYTES of text; a block's different words fetch their counts and its
-    different grams their probabilities by one join each and meet the block again, so neither a vocabulary, a model nor a
-    hot word's rows are gathered.
+    Rows are dealt by hash into blocks of about BLOCK_BYTES of text, and there are as many tasks as blocks. A block meets its own
+    grams' probabilities and words' counts again, so neither a vocabulary, a model nor a hot word's rows are gathered.
     """
-    docs = only(docs, "doc_id", "text")
-    learned = F.coalesce(crc_bucket("doc_id", 7) != 2, F.lit(False))
-    counts = stored(counted(docs.withColumn("learned", learned)), "counts")
-    words, sizes = sizes_of(counts, docs.filter(learned).count())
-    size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
-    dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text", F.coalesce(crc_bucket("doc_id", 7) == 2, F.lit(False)).alias("held_out"))
-
-    def ask(table: pa.Table) -> pa.Table:
-        texts = texts_of(table.combine_chunks().to_batches()[0])
-        found = words_of(texts)[2]
-        found = found.filter(pc.not_equal(found, ""))
-        code = grams(texts)[0]
-        block = pa.array(np.full(len(found) + len(code), table["block"][0].as_py(), np.int32))
-        return pa.table({"block": block, "word": pa.concat_arrays([found, pa.nulls(len(code), found.type)]), "code": pa.concat_arrays([pa.nulls(len(found), pa.int64()), pa.array(code)])})
-
-    total, kinds, ends = sizes["N"], sizes["V"], sizes["end"]
-    below = np.log10(total + kinds + 1)
-
-    def answer(own: pa.Table, known: pa.Table) -> pa.Table:
-        if not own.num_rows:
-            return pa.table({c: pa.array([], t) for c, t in zip(["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"], [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()])})
-        batch = own.combine_chunks().to_batches()[0]
-        texts = texts_of(batch)
-        at, codes, found = words_of(texts)
-        c = np.zeros(len(found), np.int64)
-        counted_words, scored = known.filter(pc.is_valid(known["word"])), known.filter(pc.is_valid(known["code"]))
-        if counted_words.num_rows:
-            where = pc.index_in(found, value_set=counted_words["word"].combine_chunks().cast(found.type))
-            hit = pc.is_valid(where).to_numpy(zero_copy_only=False)
-            c[hit] = counted_words["c"].to_numpy()[where.drop_null().to_numpy()]
-        summed = lambda x: np.concatenate([[0], np.cumsum(x[codes])])[at]
-        n = np.diff(at) + 1
-        logs = np.diff(summed(np.log10(c + 1.0))) + np.log10(ends + 1.0) - n * below
-        hits = np.diff(summed((c > 0).astype(np.int64))) + (ends > 0)
-        return pa.table({"doc_id": own["doc_id"], "held_out": own["held_out"], "n_tokens": pa.array(n), "n_known": pa.array(hits), "train_tokens": pa.array(np.full(len(n), total)), "base_score": pa.array(logs), "score": pa.array(looked_up(texts, scored["code"].to_numpy(), scored["logp"].to_numpy()))})
-
-    asked = dealt.groupBy("block").applyInArrow(ask, "block int, word string, code long")
-    logp = model(counts.filter("code IS NOT NULL").select("code", "n"))
-    known = asked.filter("word IS NOT NULL").join(words, "word").selectExpr("block", "word", "c", "CAST(NULL AS long) AS code", "CAST(NULL AS double) AS logp")
-    known = known.union(asked.filter("code IS NOT NULL").join(logp, "code").selectExpr("block", "CAST(NULL AS string) AS word", "CAST(NULL AS long) AS c", "code", "logp"))
-    return dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(answer, SCORES)
+    docs = only(docs, "doc_id", "text").withColumn("learned", F.coalesce(crc_bucket("doc_id", 7) != 2, F.lit(False)))
+    sizes = docs.agg(F.sum(F.octet_length("text")).alias("b"), F.sum(F.col("learned").cast("long")).alias("ends")).first()
+    blocks, ends = max(1, -(-(sizes["b"] or 0) // BLOCK_BYTES)), sizes["ends"] or 0
+    table = levels(short_grams(docs), CUT - 1).orderBy("code").toArrow()  # the alphabet's size to the power of CUT at most
+    shared = docs.sparkSession.sparkContext.broadcast(Low(*(table[c].to_numpy().astype(t) for c, t in (("code", np.int64), ("n", float), ("total", float), ("p", float)))))
+    held = F.coalesce(crc_bucket("doc_id", 7) == 2, F.lit(False))
+    dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text", "learned", held.alias("held_out"))
+    asked = dealt.groupBy("block").applyInArrow(lambda t: ask(t, blocks), ASKED)
+    known = asked.groupBy("kind", "task").applyInArrow(lambda t: reply(t, shared.value), "block int, kind int, task int, items binary")
+    words = asked.filter("kind = 1").groupBy("kind", "task").applyInArrow(sizes_of, "n long, v long")
+    words = words.agg((F.coalesce(F.sum("n"), F.lit(0)) + ends).alias("total"), (F.coalesce(F.sum("v"), F.lit(0)) + int(ends > 0)).alias("kinds"))
+    parts = dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(lambda x, y: answer(x, y, blocks), PARTS).crossJoin(F.broadcast(words))  # one row
+    base = F.col("logs") + float(np.log10(ends + 1.0)) - F.col("n_tokens") * F.log10(F.col("total") + F.col("kinds") + 1)
+    return parts.select("doc_id", "held_out", "n_tokens", (F.col("n_hits") + int(ends > 0)).alias("n_known"), F.col("total").alias("train_tokens"), base.alias("base_score"), "score")
