@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded, crc_bucket, only, stored, texts_of
 
-DEPTH, LEAST, DIVERGENCE, PRIOR = 5, 2, 3.0, 3.0
+DEPTH, LEAST, DIVERGENCE, PRIOR = 6, 2, 3.0, 3.0
 BITS = 8
 SEGMENT = 256
 BLOCK_BYTES = 4 << 20
