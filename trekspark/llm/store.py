@@ -27,6 +27,8 @@ from .common import bounded, only, scratch, texts_of
 from .tokens import encoder, with_end
 
 WINDOW, LEAST, MOST, MEAN_BITS = 8, 96, 2048, 9
+#: Documents of a recipe file.
+PART_ROWS = 1_000_000
 #: Merkle leaves and inner nodes are hashed under different prefixes.
 LEAF, NODE = b"\x00", b"\x01"
 
@@ -124,12 +126,13 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, wid
     spark = docs.sparkSession
     if max(encoder(tokenizer).whole.get_vocab_size() - 1, end_id) >> (8 * width):
         raise ValueError(f"ids of {tokenizer} don't fit in {width} bytes")
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = cut_chunks(docs, tokenizer, end_id, width).withColumn("key", F.coalesce("root", F.col("digests")[0]))
     # One shuffle for both kinds: chunks meet by digest, recipes by document and root, where repeated rows are counted.
     once = staged.groupBy("kind", "doc_id", "key").agg(*[F.first(c).alias(c) for c in ("n", "digests", "lens", "root", "payload")], F.count(F.lit(1)).alias("rows"))
     once.drop("key").write.option("compression", "uncompressed").partitionBy("kind").parquet(f"{path}/stored")
     read = spark.read.schema(STORED).parquet(f"{path}/stored").filter("kind = 0")
+    if not parts:  # a part's entries are worked by one task
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(read.agg(F.sum("rows")).first()[0] or 0) // PART_ROWS))
     again = F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))
     ordered = read.select("doc_id", F.col("n").alias("n_tokens"), "digests", "lens", "root", again.alias("row")).drop("row").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "root")
     ordered = ordered.withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id())
