@@ -241,7 +241,7 @@ def test_closest_paths_agree_with_all_pairs_of_points_and_paths(spark, cells):
 def test_plt_and_label_files(spark, tmp_path):
     folder = tmp_path / "007" / "Trajectory"
     folder.mkdir(parents=True)
-    head = ["Geolife trajectory", "WGS 84", "Altitude is in Feet", "Reserved 3", "0,2,255,My Track,0,0,2,8421376", "0"]
+    head = ["Trajectory file", "WGS 84", "Altitude is in Feet", "Reserved 3", "0,2,255,My Track,0,0,2,8421376", "0"]
     body = ["39.906631,116.385564,0,492,40097.5864583333,2009-10-11,14:04:30", "39.9,116.3,0,-777,40097.5864583333,,", "x,116.3,0,1,1,2009-10-11,14:04:30", "39.9,116.3,0,1"]
     (folder / "t.plt").write_text("\r\n".join(head + body))
     (tmp_path / "007" / "labels.txt").write_text("Start Time\tEnd Time\tMode\n2009/10/11 14:00:00\t2009/10/11 15:00:00\tWalk\n2009/10/11 16:00:00,2009/10/11 17:00:00,bus\n")
