@@ -188,6 +188,16 @@ def test_scores_are_those_of_a_brute_force_tree(spark):
     assert np.allclose([got[i] for i, _ in rows], brute_scores(train, [t or "" for _, t in rows]), rtol=1e-6)
 
 
+def test_blocks_and_their_lists_change_nothing(docs, monkeypatch):
+    rows = docs.limit(150)
+    whole = {r.doc_id: r for r in suffixtree.score(rows).collect()}
+    monkeypatch.setattr(suffixtree, "BLOCK_BYTES", 40_000)
+    monkeypatch.setattr(suffixtree, "TOGETHER", 2)
+    for r in suffixtree.score(rows).collect():
+        assert tuple(r)[:5] == tuple(whole[r.doc_id])[:5]
+        assert r.base_score == pytest.approx(whole[r.doc_id].base_score) and r.score == pytest.approx(whole[r.doc_id].score)
+
+
 def test_supported_contexts_stay_in_a_corpus_of_any_size(spark):
     # 2,000 times "qu" among 2e9 symbols: each other symbol follows itself, q is followed by u alone.
     q, u, e, x = (int(suffixtree.SYMBOL[ord(c)]) for c in "quex")

@@ -5,7 +5,8 @@ times at least, however large the corpus, and its next-symbol distribution diver
 shorter. Distributions are smoothed towards the shorter context's, which weighs PRIOR times the different symbols seen. A text is scored by always predicting from the longest
 retained suffix of what came before. The contexts grow with the corpus, so they are never gathered: each block of text sends
 its different grams, packed by the last CUT symbols of their contexts, to the tasks that hold these contexts, which merge all blocks'
-counts, retain contexts, and send each block the probabilities of its own grams. Contexts shorter than CUT are the same for all
+counts, retain contexts, and send each block the probabilities of its own grams. Lists of TOGETHER blocks are combined on the way there
+and parted on the way back, so a task meets each different gram a few times, not once a block. Contexts shorter than CUT are the same for all
 such tasks; their grams are a table that the alphabet bounds. Words and their counts travel in the same way.
 
 A text's symbols are its words' bytes, A-Z in lower case, each word closed by a space, and one end, so the model is a distribution over word sequences like the base it stands beside.
@@ -29,8 +30,8 @@ DEPTH, LEAST, DIVERGENCE, PRIOR = 6, 2, 3.0, 3.0
 BITS = 8
 SEGMENT = 256
 BLOCK_BYTES = 4 << 20
-#: Context symbols by which grams find their task.
-CUT = 3
+#: Context symbols by which grams find their task, and blocks whose lists are combined before they meet there.
+CUT, TOGETHER = 3, 512
 
 
 def _alphabet() -> tuple[np.ndarray, np.ndarray]:
@@ -313,7 +314,7 @@ def looked_up(texts: pa.Array, code: np.ndarray, logp: np.ndarray) -> np.ndarray
     return np.add.reduceat(each, at[:-1])
 
 
-ASKED = "block int, kind int, task int, items binary, n binary"
+ASKED = "block int, salt int, kind int, task int, items binary, n binary"
 PARTS = "doc_id long, held_out boolean, n_tokens long, n_hits long, logs double, score double"
 
 
@@ -326,7 +327,7 @@ def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]
     return at, place[codes] if len(codes) else codes, [w.encode() for w in words.take(pa.array(order)).to_pylist()]
 
 
-def ask(table: pa.Table, tasks: int) -> pa.Table:
+def ask(table: pa.Table, tasks: int, together: int) -> pa.Table:
     """What a block sends: its different grams and words by task (kinds 0 and 1), with their counts in the block's learned rows."""
     texts, learned = texts_of(table.combine_chunks().to_batches()[0]), table["learned"].combine_chunks()
     (code, n), (other, _) = grams(texts.filter(learned)), grams(texts.filter(pc.invert(learned)))
@@ -339,39 +340,83 @@ def ask(table: pa.Table, tasks: int) -> pa.Table:
     filled = np.array([i for i, w in enumerate(words) if w], np.int64)
     for task, own in shares_of(np.array([zlib.crc32(words[i]) % tasks for i in filled.tolist()], np.int64)):
         own = filled[own]
-        rows.append((1, task, zstandard.ZstdCompressor(level=1).compress(b"\n".join([words[i] for i in own.tolist()])), squeezed(times[own])))
+        rows.append((1, task, packed_words([words[i] for i in own.tolist()]), squeezed(times[own])))
     kind, task, items, counts = zip(*rows) if rows else ([], [], [], [])
-    block = pa.array([table["block"][0].as_py()] * len(rows), pa.int32())
-    return pa.table({"block": block, "kind": pa.array(kind, pa.int32()), "task": pa.array(task, pa.int32()), "items": pa.array(items, pa.binary()), "n": pa.array(counts, pa.binary())})
+    block = table["block"][0].as_py()
+    return pa.table({"block": pa.array([block] * len(rows), pa.int32()), "salt": pa.array([block // together] * len(rows), pa.int32()), "kind": pa.array(kind, pa.int32()), "task": pa.array(task, pa.int32()), "items": pa.array(items, pa.binary()), "n": pa.array(counts, pa.binary())})
+
+
+def joined_grams(items: list[bytes], counts: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted different grams of several packed lists and their counts, some lists at a time."""
+    code, n = np.zeros(0, np.int64), np.zeros(0)
+    held, size = [], 0
+    for i, pair in enumerate(zip(items, counts), 1):
+        held.append((released(pair[0], "i8"), released(pair[1], kind)))
+        size += len(held[-1][0])
+        if size >= 1 << 22 or i == len(items):
+            code, where = np.unique(np.concatenate([code, *(c for c, _ in held)]), return_inverse=True)
+            n = np.bincount(where, np.concatenate([n, *(x for _, x in held)]), len(code))
+            held, size = [], 0
+    return code, n.astype(np.int64)
+
+
+def joined_words(items: list[bytes]) -> tuple[list[int], np.ndarray, list[bytes]]:
+    """(words of each packed list, each word's place among the sorted different ones, these)."""
+    lists = [zstandard.ZstdDecompressor().decompress(x).split(b"\n") for x in items]
+    coded = pa.array([w for x in lists for w in x], pa.binary()).dictionary_encode()
+    order = np.array(pc.sort_indices(coded.dictionary))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return list(map(len, lists)), place[coded.indices.to_numpy()], coded.dictionary.take(pa.array(order)).to_pylist()
 
 
-def merged_words(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """(words of each row of a task, each word's number, count of each number) over all blocks."""
-    lists = [zstandard.ZstdDecompressor().decompress(x).split(b"\n") for x in table["items"].to_pylist()]
-    coded = pa.array([w for x in lists for w in x], pa.binary()).dictionary_encode()
-    codes = coded.indices.to_numpy()
-    counts = np.concatenate([released(x, "u4") for x in table["n"].to_pylist()])
-    return list(map(len, lists)), codes, np.bincount(codes, counts, len(coded.dictionary)).astype(np.int64)
+def packed_words(words: list[bytes]) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b"\n".join(words))
+
+
+def combine(table: pa.Table) -> pa.Table:
+    """What several blocks send to a task as one list, each gram or word once."""
+    items, counts = table["items"].to_pylist(), table["n"].to_pylist()
+    if table["kind"][0].as_py():
+        _, place, words = joined_words(items)
+        packed, n = packed_words(words), np.bincount(place, np.concatenate([released(x, "u4") for x in counts]), len(words)).astype(np.int64)
+    else:
+        code, n = joined_grams(items, counts, "u4")
+        packed = squeezed(code)
+    return table.select(["kind", "task", "salt"]).slice(0, 1).append_column("items", pa.array([packed], pa.binary())).append_column("n", pa.array([squeezed(n)], pa.binary()))
 
 
 def reply(table: pa.Table, low: Low) -> pa.Table:
-    """What a task sends back to each block: log10 probabilities of its grams, or counts of its words, in the order in which they came."""
+    """What a task sends back for each combined list: log10 probabilities of its grams, or counts of its words, in their order."""
+    items, counts = table["items"].to_pylist(), table["n"].to_pylist()
     if table["kind"][0].as_py():
-        sizes, codes, total = merged_words(table)
-        values = total[codes]
+        sizes, place, words = joined_words(items)
+        parts = np.split(np.bincount(place, np.concatenate([released(x, "i8") for x in counts]), len(words)).astype(np.int64)[place], np.cumsum(sizes)[:-1])
+        values = map(squeezed, parts)
+    else:
+        code, n = joined_grams(items, counts, "i8")
+        logp = np.log10(probabilities(code, n, low)).astype(np.float32)
+        values = (squeezed(logp[np.searchsorted(code, released(x, "i8"))]) for x in items)
+    return table.select(["kind", "task", "salt"]).append_column("items", pa.array(list(values), pa.binary()))
+
+
+def hand_out(asked: pa.Table, told: pa.Table) -> pa.Table:
+    """Each block's part of what came back for the list that its own was combined to."""
+    items = asked["items"].to_pylist()
+    if asked["kind"][0].as_py():
+        sizes, place, _ = joined_words(items)
+        values = map(squeezed, np.split(released(told["items"][0].as_py(), "i8")[place], np.cumsum(sizes)[:-1]))
     else:
-        lists = [released(x, "i8") for x in table["items"].to_pylist()]
-        sizes = list(map(len, lists))
-        code, where = np.unique(np.concatenate(lists), return_inverse=True)
-        n = np.bincount(where, np.concatenate([released(x, "u4") for x in table["n"].to_pylist()]), len(code))
-        values = np.log10(probabilities(code, n, low)).astype(np.float32)[where]
-    parts = np.split(values, np.cumsum(sizes)[:-1])
-    return table.select(["block", "kind", "task"]).append_column("items", pa.array([squeezed(x) for x in parts], pa.binary()))
+        code, _ = joined_grams(items, asked["n"].to_pylist(), "u4")
+        logp = released(told["items"][0].as_py(), "f4")
+        values = (squeezed(logp[np.searchsorted(code, released(x, "i8"))]) for x in items)
+    return asked.select(["block", "kind", "task"]).append_column("items", pa.array(list(values), pa.binary()))
 
 
 def sizes_of(table: pa.Table) -> pa.Table:
-    """Tokens and different words of a task's words."""
-    _, _, total = merged_words(table)
+    """Tokens and different words of a task's combined words."""
+    _, place, words = joined_words(table["items"].to_pylist())
+    total = np.bincount(place, np.concatenate([released(x, "i8") for x in table["n"].to_pylist()]), len(words))
     return pa.table({"n": pa.array([int(total.sum())]), "v": pa.array([int((total > 0).sum())])})
 
 
@@ -411,9 +456,13 @@ def score(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Low(*(table[c].to_numpy().astype(t) for c, t in (("code", np.int64), ("n", float), ("total", float), ("p", float)))))
     held = F.coalesce(crc_bucket("doc_id", 7) == 2, F.lit(False))
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text", "learned", held.alias("held_out"))
-    asked = dealt.groupBy("block").applyInArrow(lambda t: ask(t, blocks), ASKED)
-    known = asked.groupBy("kind", "task").applyInArrow(lambda t: reply(t, shared.value), "block int, kind int, task int, items binary")
-    words = asked.filter("kind = 1").groupBy("kind", "task").applyInArrow(sizes_of, "n long, v long")
+    together = TOGETHER
+    asked = dealt.groupBy("block").applyInArrow(lambda t: ask(t, blocks, together), ASKED)
+    share = ["kind", "task", "salt"]
+    lists = asked.groupBy(*share).applyInArrow(combine, "kind int, task int, salt int, items binary, n binary")
+    told = lists.groupBy("kind", "task").applyInArrow(lambda t: reply(t, shared.value), "kind int, task int, salt int, items binary")
+    known = asked.groupBy(*share).cogroup(told.groupBy(*share)).applyInArrow(hand_out, "block int, kind int, task int, items binary")
+    words = lists.filter("kind = 1").groupBy("kind", "task").applyInArrow(sizes_of, "n long, v long")
     words = words.agg((F.coalesce(F.sum("n"), F.lit(0)) + ends).alias("total"), (F.coalesce(F.sum("v"), F.lit(0)) + int(ends > 0)).alias("kinds"))
     parts = dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(lambda x, y: answer(x, y, blocks), PARTS).crossJoin(F.broadcast(words))  # one row
     base = F.col("logs") + float(np.log10(ends + 1.0)) - F.col("n_tokens") * F.log10(F.col("total") + F.col("kinds") + 1)
