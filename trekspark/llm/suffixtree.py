@@ -452,7 +452,7 @@ def score(docs: DataFrame) -> DataFrame:
     docs = only(docs, "doc_id", "text").withColumn("learned", F.coalesce(crc_bucket("doc_id", 7) != 2, F.lit(False)))
     sizes = docs.agg(F.sum(F.octet_length("text")).alias("b"), F.sum(F.col("learned").cast("long")).alias("ends")).first()
     blocks, ends = max(1, -(-(sizes["b"] or 0) // BLOCK_BYTES)), sizes["ends"] or 0
-    table = levels(short_grams(docs), CUT - 1).orderBy("code").toArrow()  # the alphabet's size to the power of CUT at most
+    table = levels(stored(short_grams(docs), "short-grams"), CUT - 1).orderBy("code").toArrow()  # the alphabet's size to the power of CUT at most
     shared = docs.sparkSession.sparkContext.broadcast(Low(*(table[c].to_numpy().astype(t) for c, t in (("code", np.int64), ("n", float), ("total", float), ("p", float)))))
     held = F.coalesce(crc_bucket("doc_id", 7) == 2, F.lit(False))
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text", "learned", held.alias("held_out"))
