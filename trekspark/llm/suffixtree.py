@@ -299,14 +299,16 @@ def learn(docs: DataFrame) -> Tree:
 
 
 def looked_up(texts: pa.Array, code: np.ndarray, logp: np.ndarray) -> np.ndarray:
-    """log10 probability of each text from those of its grams."""
+    """log10 probability of each text from those of its sorted grams."""
     s, share, at = symbols(texts)
-    order = np.argsort(code)
-    code, logp = code[order], logp[order]
     own = codes_of(s)
-    where = np.minimum(np.searchsorted(code, own), len(code) - 1)
+    order = np.argsort(own)
+    own = own[order]
+    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
+    where = np.minimum(np.searchsorted(code, own[first]), len(code) - 1)
+    found = np.where(code[where] == own[first], logp[where], np.nan)
     each = share.astype(np.float64)
-    each[DEPTH:] += np.where(code[where] == own, logp[where], np.nan)
+    each[DEPTH + order] += np.repeat(found, np.diff(np.append(first, len(own))))
     for k in range(DEPTH):  # grams of two texts
         each[at[:-1] + k] = 0
     if np.isnan(each).any():
@@ -331,7 +333,8 @@ def ask(table: pa.Table, tasks: int, together: int) -> pa.Table:
     """What a block sends: its different grams and words by task (kinds 0 and 1), with their counts in the block's learned rows."""
     texts, learned = texts_of(table.combine_chunks().to_batches()[0]), table["learned"].combine_chunks()
     (code, n), (other, _) = grams(texts.filter(learned)), grams(texts.filter(pc.invert(learned)))
-    every = np.union1d(code, other)
+    every = np.sort(np.concatenate([code, other]))
+    every = every[np.concatenate([[True], every[1:] != every[:-1]])] if len(every) else every
     count = np.zeros(len(every), np.uint32)
     count[np.searchsorted(every, code)] = n
     rows = [(0, task, squeezed(every[own]), squeezed(count[own])) for task, own in shares_of(by_task(every, tasks))]
