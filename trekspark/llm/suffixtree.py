@@ -298,22 +298,19 @@ def learn(docs: DataFrame) -> Tree:
     return grow(retained(stored(table, "counts")).toArrow())
 
 
-def looked_up(texts: pa.Array, code: np.ndarray, logp: np.ndarray) -> np.ndarray:
-    """log10 probability of each text from those of its sorted grams."""
+def located(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(the texts' different grams in order, how often each occurs, the places of their last symbols in that order, log10 shares of all symbols, offsets of the texts)."""
     s, share, at = symbols(texts)
     own = codes_of(s)
+    for k in range(1, DEPTH + 1):  # grams of two texts
+        cut = at[1:-1] - k
+        own[cut[cut < len(own)]] = -1
     order = np.argsort(own)
     own = own[order]
+    skip = int(np.searchsorted(own, 0))
+    own, order = own[skip:], order[skip:]
     first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
-    where = np.minimum(np.searchsorted(code, own[first]), len(code) - 1)
-    found = np.where(code[where] == own[first], logp[where], np.nan)
-    each = share.astype(np.float64)
-    each[DEPTH + order] += np.repeat(found, np.diff(np.append(first, len(own))))
-    for k in range(DEPTH):  # grams of two texts
-        each[at[:-1] + k] = 0
-    if np.isnan(each).any():
-        raise ValueError("a gram of the text is missing in the model")
-    return np.add.reduceat(each, at[:-1])
+    return own[first], np.diff(np.append(first, len(own))), order + DEPTH, share, at
 
 
 ASKED = "block int, salt int, kind int, task int, items binary, n binary"
@@ -429,17 +426,19 @@ def answer(own: pa.Table, known: pa.Table, tasks: int) -> pa.Table:
         return pa.table({c: pa.array([], t) for c, t in zip(["doc_id", "held_out", "n_tokens", "n_hits", "logs", "score"], [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()])})
     texts = texts_of(own.combine_chunks().to_batches()[0])
     sent = {(k, t): x for k, t, x in zip(known["kind"].to_pylist(), known["task"].to_pylist(), known["items"].to_pylist())}
-    code = grams(texts)[0]
+    code, times, places, share, bounds = located(texts)
     logp = np.zeros(len(code))
     for task, where in shares_of(by_task(code, tasks)):
         logp[where] = released(sent[0, task], "f4")
+    each = share.astype(np.float64)
+    each[places] += np.repeat(logp, times)
     at, codes, words = distinct_words(texts)
     c = np.zeros(len(words), np.int64)
     filled = np.array([i for i, w in enumerate(words) if w], np.int64)
     for task, where in shares_of(np.array([zlib.crc32(words[i]) % tasks for i in filled.tolist()], np.int64)):
         c[filled[where]] = released(sent[1, task], "i8")
     summed = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[codes])])[at])
-    return pa.table({"doc_id": own["doc_id"], "held_out": own["held_out"], "n_tokens": pa.array(np.diff(at) + 1), "n_hits": pa.array(summed((c > 0).astype(np.int64))), "logs": pa.array(summed(np.log10(c + 1.0))), "score": pa.array(looked_up(texts, code, logp))})
+    return pa.table({"doc_id": own["doc_id"], "held_out": own["held_out"], "n_tokens": pa.array(np.diff(at) + 1), "n_hits": pa.array(summed((c > 0).astype(np.int64))), "logs": pa.array(summed(np.log10(c + 1.0))), "score": pa.array(np.add.reduceat(each, bounds[:-1]))})
 
 
 def score(docs: DataFrame) -> DataFrame:
