@@ -83,6 +83,17 @@ def op11_suffix_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op13_radix_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the ids divisible by 50; ids divisible by 7 first get the next label, as planted mistakes."""
+    from pyspark.sql import functions as F
+
+    from .negatives import mine
+
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,7 +101,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_families, op2_content_store, op3_pattern_packing, op4_suffix_tree, op5_progressive_jpeg, op6_backtracking_bpe, op7_rule_ledger, op8_patience_licenses, op9_hamming_join, op10_shape_crf, op11_suffix_resampling, pipeline)}
+    return {f.__name__: f for f in (op1_language_families, op2_content_store, op3_pattern_packing, op4_suffix_tree, op5_progressive_jpeg, op6_backtracking_bpe, op7_rule_ledger, op8_patience_licenses, op9_hamming_join, op10_shape_crf, op11_suffix_resampling, op13_radix_negatives, pipeline)}
 
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -147,6 +158,14 @@ r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, co
 SELECT x.*, CASE WHEN rank <= 10 * n // 100 THEN CAST(rank AS BIGINT) END AS rank FROM x LEFT JOIN r USING (doc_id)"""
 
 
+NEGATIVES_SQL = """WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+ WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (SELECT p.*, s.other AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other) AS rank FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL where it can say the query. Token ids, fitted models and JPEG files can't be; tests hold those to brute force."""
-    return {"op7_rule_ledger": _ledger_sql(), "op9_hamming_join": _groups_sql(), "op11_suffix_resampling": _resampling_sql()}
+    return {"op7_rule_ledger": _ledger_sql(), "op9_hamming_join": _groups_sql(), "op11_suffix_resampling": _resampling_sql(), "op13_radix_negatives": NEGATIVES_SQL}
