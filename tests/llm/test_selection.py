@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import CLASHES
 from tests.test_oracle import TABLES, plain
@@ -71,7 +72,7 @@ def test_resampling_is_the_brute_force_one(spark, odd, longest, buckets, share,
     rows = [(r.doc_id, r.text) for r in odd.collect()] + [(100 + i, " ".join(rng.choices(["Un", "deux", "trois", "ça", "9"], k=rng.randrange(60)))) for i in range(60)]
     rows += [(500, "one two three four " * 8)] * 40  # one id holds a third of all rows
     target = ["un deux trois", "", None, "quatre un"]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", __import__("pyspark").sql.functions.lit("a clash"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("a clash"))
     got = resample.resample(docs, spark.createDataFrame([(i, t) for i, t in enumerate(target)], "item_id long, text string"), longest, buckets, share, least)
     assert sorted(map(tuple, got.collect()), key=str) == brute_resample(rows, target, longest, buckets, share, least)
 
@@ -187,13 +188,13 @@ def test_negatives_are_the_brute_force_ones(spark, monkeypatch, settings_):
     rows += [(None, 1, [1.0] * 4), (300, None, [1.0] * 4), (301, 1, None), (302, 1, [1.0, None, 0.0, 0.0]), (303, 1, [float("nan")] * 4), (304, 1, [float("inf")] * 4), (310, 1, [1.0] * 3), (320, 2, [1.0] * 3), (330, 2, []), (340, 2, []), (350, 1, [])]
     rows += [rows[10]] * 3 + [(20, 1, [9.0] * 4), (20, 0, [0.5] * 4)]
     df = spark.createDataFrame([(*r, *range(len(CLASHES))) for r in rows], "vec_id long, label int, embedding array<float>, " + ", ".join(f"`{c}` long" for c in CLASHES))
-    got = negatives.mine(df, df.vec_id % 10 == 0)
+    got = negatives.mine(df, F.col("vec_id") % 10 == 0)
     assert sorted(map(tuple, got.collect())) == brute_negatives(rows, 10, 5, 3, 50, 95)
 
 
 def test_negatives_of_an_empty_table_and_of_scores_too_large(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
-    assert negatives.mine(empty, empty.vec_id % 2 == 0).count() == 0
+    assert negatives.mine(empty, F.col("vec_id") % 2 == 0).count() == 0
     huge = spark.createDataFrame([(0, [3e38], 1)], empty.schema)
     with pytest.raises(ValueError):
-        negatives.mine(huge, huge.vec_id % 2 == 0)
+        negatives.mine(huge, F.col("vec_id") % 2 == 0)

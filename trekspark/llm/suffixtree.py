@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded, crc_bucket, only, stored, texts_of
 
-DEPTH, LEAST, DIVERGENCE, PRIOR = 6, 2, 3.0, 3.0
+DEPTH, LEAST, DIVERGENCE, PRIOR = 6, 2, 0.5, 6.0
 BITS = 8
 SEGMENT = 256
 BLOCK_BYTES = 4 << 20
@@ -414,7 +414,9 @@ def hand_out(asked: pa.Table, told: pa.Table) -> pa.Table:
 
 
 def sizes_of(table: pa.Table) -> pa.Table:
-    """Tokens and different words of a task's combined words."""
+    """Tokens and different words of a task's combined words; nothing for its grams, which are passed over unread."""
+    if not table["kind"][0].as_py():
+        return pa.table({"n": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
     _, place, words = joined_words(table["items"].to_pylist())
     total = np.bincount(place, np.concatenate([released(x, "i8") for x in table["n"].to_pylist()]), len(words))
     return pa.table({"n": pa.array([int(total.sum())]), "v": pa.array([int((total > 0).sum())])})
@@ -464,7 +466,7 @@ def score(docs: DataFrame) -> DataFrame:
     lists = asked.groupBy(*share).applyInArrow(combine, "kind int, task int, salt int, items binary, n binary")
     told = lists.groupBy("kind", "task").applyInArrow(lambda t: reply(t, shared.value), "kind int, task int, salt int, items binary")
     known = asked.groupBy(*share).cogroup(told.groupBy(*share)).applyInArrow(hand_out, "block int, kind int, task int, items binary")
-    words = lists.filter("kind = 1").groupBy("kind", "task").applyInArrow(sizes_of, "n long, v long")
+    words = lists.groupBy("kind", "task").applyInArrow(sizes_of, "n long, v long")  # not filtered, so that the lists dealt to tasks are the same exchange
     words = words.agg((F.coalesce(F.sum("n"), F.lit(0)) + ends).alias("total"), (F.coalesce(F.sum("v"), F.lit(0)) + int(ends > 0)).alias("kinds"))
     parts = dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(lambda x, y: answer(x, y, blocks), PARTS).crossJoin(F.broadcast(words))  # one row
     base = F.col("logs") + float(np.log10(ends + 1.0)) - F.col("n_tokens") * F.log10(F.col("total") + F.col("kinds") + 1)
