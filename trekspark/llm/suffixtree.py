@@ -48,9 +48,13 @@ SYMBOL, INSIDE = _alphabet()
 COUNT = int(SYMBOL.max()) + 1
 
 
-def symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols of all texts, log10 shares inside their symbols, offsets). Each text begins with DEPTH end symbols and closes with one."""
-    clean = pc.utf8_trim(pc.replace_substring_regex(texts, r"[\x09-\x0D ]+", " "), " ")
+def tidy(texts: pa.Array) -> pa.Array:
+    """The texts with one space for each run of white space between words, and none around them; what stream() and words_of() read."""
+    return pc.utf8_trim(pc.replace_substring_regex(texts, r"[\x09-\x0D ]+", " "), " ")
+
+
+def stream(clean: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols of all tidy texts, log10 shares inside their symbols, offsets). Each text begins with DEPTH end symbols and closes with one."""
     clean = pc.if_else(pc.equal(clean, ""), "", pc.binary_join_element_wise(clean, " ", ""))
     clean = clean.cast(pa.binary())
     n = pc.binary_length(clean).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -62,9 +66,13 @@ def symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, share, at
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """(offsets of each text's words, the words' codes, the different words), A-Z in lower case."""
-    parts = pc.split_pattern(pc.utf8_trim(pc.replace_substring_regex(pc.ascii_lower(texts), r"[\x09-\x0D ]+", " "), " "), " ")
+def symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return stream(tidy(texts))
+
+
+def words_of(clean: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(offsets of each tidy text's words, the words' codes, the different words), A-Z in lower case."""
+    parts = pc.split_pattern(pc.ascii_lower(clean), " ")
     at = parts.offsets.to_numpy().astype(np.int64)
     coded = parts.flatten().dictionary_encode()
     codes, words = coded.indices.to_numpy(), coded.dictionary
@@ -80,15 +88,32 @@ def codes_of(s: np.ndarray) -> np.ndarray:
     return code
 
 
-def grams(texts: pa.Array, size: int = DEPTH + 1) -> tuple[np.ndarray, np.ndarray]:
-    """The different grams of the texts, the last `size` symbols of each (DEPTH + 1)-gram, and their counts."""
-    s, _, at = symbols(texts)
+def tidy_grams(clean: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The different (DEPTH + 1)-grams of tidy texts and their counts."""
+    s, _, at = stream(clean)
     code = codes_of(s)
     inside = np.ones(len(code), bool)
     for k in range(1, DEPTH + 1):  # a gram's last symbol must be a predicted one, not the padding before the next text
         cut = at[1:-1] - k
         inside[cut[cut < len(code)]] = False
-    return np.unique(code[inside] & ((1 << (BITS * size)) - 1), return_counts=True)
+    return np.unique(code[inside], return_counts=True)
+
+
+def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return tidy_grams(tidy(texts))
+
+
+def last_symbols(clean: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The different last CUT symbols of the (DEPTH + 1)-grams of tidy texts and their counts."""
+    s, _, at = stream(clean)
+    code = np.zeros(max(0, len(s) - CUT + 1), np.uint32)
+    for k in range(CUT):
+        code = (code << BITS) | s[k : k + len(code)]
+    inside = np.ones(len(s), bool)
+    for k in range(DEPTH):
+        inside[at[:-1] + k] = False
+    code, n = np.unique(code[inside[CUT - 1 :]], return_counts=True)
+    return code.astype(np.int64), n
 
 
 def squeezed(values: np.ndarray) -> bytes:
@@ -120,10 +145,10 @@ def short_grams(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in bounded(batches):
-            learned, texts = batch.column(2), texts_of(batch)
+            learned, texts = batch.column(2), tidy(texts_of(batch))
             for part, times in ((texts.filter(learned), 1), (texts.filter(pc.invert(learned)), 0)):
                 if len(part):
-                    code, n = grams(part, CUT)
+                    code, n = last_symbols(part)
                     yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n * times)], names=["code", "n"])
 
     return docs.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
@@ -298,9 +323,9 @@ def learn(docs: DataFrame) -> Tree:
     return grow(retained(stored(table, "counts")).toArrow())
 
 
-def located(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(the texts' different grams in order, how often each occurs, the places of their last symbols in that order, log10 shares of all symbols, offsets of the texts)."""
-    s, share, at = symbols(texts)
+def located(clean: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(the tidy texts' different grams in order, how often each occurs, the places of their last symbols in that order, log10 shares of all symbols, offsets of the texts)."""
+    s, share, at = stream(clean)
     own = codes_of(s)
     for k in range(1, DEPTH + 1):  # grams of two texts
         cut = at[1:-1] - k
@@ -317,19 +342,20 @@ ASKED = "block int, salt int, kind int, task int, items binary, n binary"
 PARTS = "doc_id long, held_out boolean, n_tokens long, n_hits long, logs double, score double"
 
 
-def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def distinct_words(clean: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """words_of() with the words sorted."""
-    at, codes, words = words_of(texts)
+    at, codes, words = words_of(clean)
+    words = words.cast(pa.binary())
     order = np.array(pc.sort_indices(words))
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    return at, place[codes] if len(codes) else codes, [w.encode() for w in words.take(pa.array(order)).to_pylist()]
+    return at, place[codes] if len(codes) else codes, words.take(pa.array(order)).to_pylist()
 
 
 def ask(table: pa.Table, tasks: int, together: int) -> pa.Table:
     """What a block sends: its different grams and words by task (kinds 0 and 1), with their counts in the block's learned rows."""
-    texts, learned = texts_of(table.combine_chunks().to_batches()[0]), table["learned"].combine_chunks()
-    (code, n), (other, _) = grams(texts.filter(learned)), grams(texts.filter(pc.invert(learned)))
+    texts, learned = tidy(texts_of(table.combine_chunks().to_batches()[0])), table["learned"].combine_chunks()
+    (code, n), (other, _) = tidy_grams(texts.filter(learned)), tidy_grams(texts.filter(pc.invert(learned)))
     every = np.sort(np.concatenate([code, other]))
     every = every[np.concatenate([[True], every[1:] != every[:-1]])] if len(every) else every
     count = np.zeros(len(every), np.uint32)
@@ -426,7 +452,7 @@ def answer(own: pa.Table, known: pa.Table, tasks: int) -> pa.Table:
     """PARTS of a block's rows from what the tasks sent back."""
     if not own.num_rows:
         return pa.table({c: pa.array([], t) for c, t in zip(["doc_id", "held_out", "n_tokens", "n_hits", "logs", "score"], [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()])})
-    texts = texts_of(own.combine_chunks().to_batches()[0])
+    texts = tidy(texts_of(own.combine_chunks().to_batches()[0]))
     sent = {(k, t): x for k, t, x in zip(known["kind"].to_pylist(), known["task"].to_pylist(), known["items"].to_pylist())}
     code, times, places, share, bounds = located(texts)
     logp = np.zeros(len(code))
