@@ -210,8 +210,10 @@ def test_path_decoding_passes_over_malformed_vertices(spark):
     assert [tuple(v) for v in df.first().v] == [(1.0, 2.0), (5.0, 6.0)]
 
 
-@pytest.mark.parametrize("cells", [1, 7, 40, 1 << 20])
-def test_closest_paths_agree_with_all_pairs_of_points_and_paths(spark, cells):
+@pytest.mark.parametrize("reach,together", [(1.0, 2048), (700.0, 3), (1e5, 2), (3e7, 1)])
+def test_closest_paths_agree_with_all_pairs_of_points_and_paths(spark, monkeypatch, reach, together):
+    monkeypatch.setattr(paths, "TOGETHER", together)  # the group sizes at which lots and blocks part
+    monkeypatch.setattr(paths, "CELLS", 9)
     rng = np.random.default_rng(3)
     code = lambda vertices: ";".join(f"{a:.2f}:{b:.2f}" for a, b in vertices)
     baseline = [code(rng.integers(0, 9, (rng.integers(2, 6), 2)) / 100 + (40, 116)) for _ in range(12)]
@@ -220,7 +222,7 @@ def test_closest_paths_agree_with_all_pairs_of_points_and_paths(spark, cells):
     rows.append(("u", "u-0", 99, None, None, None))
     m = spark.createDataFrame(rows, "user_id string, trip_id string, seq int, snapped_time timestamp, snapped_lat double, snapped_lon double")
     b = spark.createDataFrame([(p,) for p in baseline], "path_id string")
-    got = {(r.trip_id, r.seq): (r.path_id, round(r.deviation_m, 6)) for r in paths.closest_paths(m, b, cells).collect()}
+    got = {(r.trip_id, r.seq): (r.path_id, round(r.deviation_m, 6)) for r in paths.closest_paths(m, b, reach).collect()}
 
     def metres(a, o, c, p):
         a, o, c, p = np.radians([a, o, c, p])
@@ -235,7 +237,7 @@ def test_closest_paths_agree_with_all_pairs_of_points_and_paths(spark, cells):
         want |= {(trip, r[2]): (best, round(d, 6)) for r, d in zip(own, each[best])}
     assert got.keys() == want.keys()
     assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-5 for k in want)
-    assert not paths.closest_paths(m, b.filter("path_id = '40.00:116.00'"), cells).count()
+    assert not paths.closest_paths(m, b.filter("path_id = '40.00:116.00'"), reach).count()
 
 
 def test_plt_and_label_files(spark, tmp_path):
@@ -283,7 +285,7 @@ def traces(spark, n, parts):
 def test_map_matching_leaves_out_no_point_and_does_not_depend_on_partitions(spark):
     down = [matching.map_match(traces(spark, 9, parts), lambda *_: None, fail_limit=3).toPandas() for parts in (1, 5)]
     for d in down:
-        assert len(d) == 18 and not d.matched.any() and d.confidence.isna().all() and set(d[d.asked].trip_id) == set()
+        assert len(d) == 18 and not d.matched.any() and d.confidence.isna().all() and set(d[d.asked].trip_id) == {"u-1", "u-2", "u-4"}
     some = lambda lat, lon, at: None if len(lat) == 2 else ([(9.0, 9.0), None, (8.0, 8.0)], 0.5)
     up = [matching.map_match(traces(spark, 9, parts), some, fail_limit=None).toPandas().sort_values(["trip_id", "seq"]).reset_index(drop=True) for parts in (1, 5)]
     assert up[0].equals(up[1]) and len(up[0]) == 18
@@ -291,7 +293,7 @@ def test_map_matching_leaves_out_no_point_and_does_not_depend_on_partitions(spar
     assert own.matched.sum() == 6 and set(own[own.matched].confidence) == {0.5} and own[~own.matched].confidence.isna().all()
     assert (own[~own.matched].snapped_lon == 2.0).all() and own.asked.sum() == 15
     mixed = matching.map_match(traces(spark, 9, 2), some, fail_limit=2).toPandas()
-    assert mixed.matched.sum() == 6  # one of the first two batches works
+    assert mixed.matched.sum() == 2 and set(mixed[mixed.asked].trip_id) == {"u-1", "u-2", "u-4"}  # u-1 and u-4 fail; those after them aren't asked
 
 
 def test_routing_service_over_http(spark):

@@ -9,19 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df written below spark.checkpoint.dir and read back; below a temporary folder only where that is unset, in local mode."""
-    spark = df.sparkSession
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below spark.checkpoint.dir; below a temporary folder only where that is unset, in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="trekspark-")
         spark.sparkContext.setCheckpointDir(base)
-    path = f"{base.rstrip('/')}/rounds-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _made.append(path)
+    return path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written into a scratch folder and read back."""
+    path = scratch_folder(df.sparkSession, "rounds")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 #: Folders that this process has written.

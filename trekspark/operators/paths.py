@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_M, haversine_m, pair_text
+from .graph import written
 from .ranks import quantiles
 
 
@@ -74,73 +75,92 @@ def od_outliers(trips: DataFrame, multiplier: float = 1.5, digits: int = 3, accu
     return both.withColumn("outlier_reason", reason).drop("_d", "_t")
 
 
-def vertex_table(baseline: DataFrame) -> DataFrame:
-    """path_id, vertex (lat, lon) of baseline paths with two vertices at least."""
-    vertices = baseline.withColumn("_v", decoded(F.col("path_id"))).filter(F.size("_v") >= 2)
-    return vertices.select("path_id", F.explode("_v").alias("vertex")).select("path_id", F.col("vertex.lat").alias("v_lat"), F.col("vertex.lon").alias("v_lon"))
+#: Distances that a task holds at a time, trips and paths that meet in one group, and the first reach in metres with its growth.
+CELLS, TOGETHER, FIRST_M, GROWTH = 1 << 21, 2048, 500.0, 4.0
+#: Farther than any two places.
+WHOLE_M = math.pi * EARTH_M + 1.0
 
 
-#: Vertices of baseline paths that go to every task; more are refused by name rather than sent.
-MOST_VERTICES = 200_000
-#: Distances that a task holds at a time.
-CELLS = 2_000_000
-
-
-def closest_paths(matched: DataFrame, baseline: DataFrame, cells: int = CELLS) -> DataFrame:
+def closest_paths(matched: DataFrame, baseline: DataFrame, first_m: float = FIRST_M) -> DataFrame:
     """The matched points with path_id, the baseline path closest to their trip, and deviation_m, their distance to its nearest vertex.
 
-    The closest path has the lowest median deviation over the trip (ties: the smaller id), so a trip is compared with
-    every path. The paths' side is a report of frequent paths, checked to be small, and goes to every task. There a path's box
-    bounds the median from below; paths are taken in the order of that bound, in blocks of `cells` distances, until the bound is
-    beyond the best median found. One row per point leaves the task. Points without coordinates and, where no baseline path has
-    two vertices, all points are left out.
+    The closest path has the lowest median deviation over the trip (ties: the smaller id). A median of r or less needs a vertex within r of half of the
+    trip's points, so an index of the cells around the paths' vertices tells which paths can have one; trips and paths
+    meet by cell, in bounded groups, and nothing is sent to all tasks. A trip whose best median is within r is settled, for no other path
+    can come closer; the others go on with a longer reach, at last the whole earth. Points without coordinates and, where no baseline path has two
+    vertices, all points are left out.
     """
-    found = vertex_table(baseline).limit(MOST_VERTICES + 1).toPandas()
-    if len(found) > MOST_VERTICES:
-        raise ValueError(f"more than {MOST_VERTICES} vertices in the baseline; raise its support")
-    found = found.sort_values("path_id", kind="stable")
-    names, first = np.unique(found["path_id"].to_numpy(str), return_index=True)
-    places = np.radians(found[["v_lat", "v_lon"]].to_numpy(float))
-    boxes = np.column_stack([f.reduceat(places, first) for f in (np.minimum, np.maximum)]) if len(names) else np.zeros((0, 4))
-    shared = matched.sparkSession.sparkContext.broadcast((names, np.append(first, len(found)), places, boxes))
-
-    def nearest(trip: pa.Table) -> pa.Table:
-        names, starts, places, boxes = shared.value
-        lat, lon = (np.radians(trip[c].to_numpy()) for c in ("snapped_lat", "snapped_lon"))
-        n, best, path, deviation = len(lat), np.inf, None, np.zeros(0)
-        bound = np.concatenate([_box_medians(lat, lon, boxes[k : k + max(1, cells // n)]) for k in range(0, len(names), max(1, cells // n))]) if len(names) else np.zeros(0)
-        order = np.lexsort((np.arange(len(names)), bound))
-        size, at = np.diff(starts), 0
-        room = max(1, cells // (32 * n))  # few paths at a time, for the first ones mostly settle it
-        upto, ordered = np.cumsum(size[order]), bound[order]
-        while at < len(order) and ordered[at] <= best:
-            full = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + room, side="right"))
-            to = max(at + 1, min(full, int(np.searchsorted(ordered, best, side="right"))))
-            taken = np.sort(order[at:to])
-            column = np.concatenate([np.arange(starts[k], starts[k + 1]) for k in taken])
-            cut = np.concatenate([[0], np.cumsum(size[taken])[:-1]])
-            rows = max(1, cells // len(column))
-            near = np.concatenate([np.minimum.reduceat(_distances(lat[k : k + rows], lon[k : k + rows], places[column]), cut, axis=1) for k in range(0, n, rows)])
-            medians = np.median(near, axis=0)
-            for k in np.flatnonzero(medians <= min(best, medians.min())):
-                if medians[k] < best or path is None or str(names[taken[k]]) < path:
-                    best, path, deviation = medians[k], str(names[taken[k]]), near[:, k]
-            at = to
-        kept = trip if path is not None else trip.slice(0, 0)
-        return kept.append_column("path_id", pa.array([path] * kept.num_rows, pa.string())).append_column("deviation_m", pa.array(deviation, pa.float64()))
-
     points = matched.filter("snapped_lat IS NOT NULL AND snapped_lon IS NOT NULL").select("user_id", "trip_id", "seq", "snapped_time", "snapped_lat", "snapped_lon")
-    schema = points.select("*", F.lit(None).cast("string").alias("path_id"), F.lit(None).cast("double").alias("deviation_m")).schema
-    return points.groupBy("trip_id").applyInArrow(nearest, schema)
-
-
-def _box_medians(lat: np.ndarray, lon: np.ndarray, boxes: np.ndarray) -> np.ndarray:
-    """For each box (least lat, least lon, greatest lat, greatest lon, in radians) a bound that the median distance of the points to places inside it can't fall below."""
-    up = np.maximum(0, np.maximum(boxes[:, 0] - lat[:, None], lat[:, None] - boxes[:, 2]))
-    over = np.maximum(0, np.maximum(boxes[:, 1] - lon[:, None], lon[:, None] - boxes[:, 3]))
-    over = np.minimum(over, np.maximum(0, 2 * np.pi - np.maximum(np.abs(boxes[:, 3] - lon[:, None]), np.abs(boxes[:, 1] - lon[:, None]))))  # the other way round
-    h = np.sin(up / 2) ** 2 + np.cos(lat)[:, None] * np.minimum(np.cos(boxes[:, 0]), np.cos(boxes[:, 2])) * np.sin(over / 2) ** 2
-    return np.median(2.0 * EARTH_M * np.arctan2(np.sqrt(h), np.sqrt(np.maximum(0, 1 - h))), axis=0) * (1 - 1e-9)
+    paths = written(baseline.select("path_id", decoded(F.col("path_id")).alias("v")).filter(F.size("v") >= 2).dropDuplicates(["path_id"]))
+    left = written(points.groupBy("trip_id").agg(F.collect_list(F.struct(F.col("snapped_lat").alias("lat"), F.col("snapped_lon").alias("lon"))).alias("pts")))
+    found, reach = left.select("trip_id", F.lit("").alias("path_id")).limit(0), first_m
+    while not (paths.isEmpty() or left.isEmpty()):
+        near = written(_best_within(left, paths, reach))
+        good = near.filter(F.col("m") <= reach).select("trip_id", "path_id")
+        found = found.unionByName(good)
+        if reach >= WHOLE_M:
+            break
+        left = written(left.join(good, "trip_id", "left_anti"))
+        reach = min(reach * (GROWTH if left.count() > TOGETHER else GROWTH**3), WHOLE_M)  # few trips may meet many paths in vain
+    own = points.join(found, "trip_id").join(paths, "path_id")
+    apart = F.array_min(F.transform("v", lambda v: haversine_m(F.col("snapped_lat"), F.col("snapped_lon"), v["lat"], v["lon"])))
+    return own.withColumn("deviation_m", apart).select("user_id", "trip_id", "seq", "snapped_time", "snapped_lat", "snapped_lon", "path_id", "deviation_m")
+
+
+def _cell(lat: Column, lon: Column, size_m: float, step: tuple = (0, 0, 0)) -> Column:
+    """A name for the cube of this size that holds a place on the globe, or the one some cubes on. Places within that distance lie in neighbouring cubes, also at the poles and where longitudes wrap."""
+    a, o = F.radians(lat), F.radians(lon)
+    at = (F.cos(a) * F.cos(o), F.cos(a) * F.sin(o), F.sin(a))
+    return F.xxhash64(*[F.floor(x * (EARTH_M / size_m)) + k for x, k in zip(at, step)])
+
+
+def _best_within(trips: DataFrame, paths: DataFrame, reach: float) -> DataFrame:
+    """trip_id, m, path_id: the lowest median of each trip among paths that can have one of `reach` or less; none for trips that have no such path."""
+    n = F.size("pts")
+    own = trips.select("trip_id", n.alias("n"), F.explode("pts").alias("p")).groupBy("trip_id", "n", _cell(F.col("p.lat"), F.col("p.lon"), reach).alias("cell")).agg(F.count(F.lit(1)).alias("c"))
+    before = F.coalesce(F.sum("c").over(Window.partitionBy("trip_id").orderBy(F.desc("c"), "cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # A path near half of the points is near one of the cells that hold more than the other half, the fullest ones first.
+    anchors = written(own.withColumn("before", before).filter(F.col("before") <= F.floor(F.col("n") / 2)).select("trip_id", "cell"))
+    steps = F.array(*[F.struct(*[F.lit(k).alias(c) for c, k in zip("xyz", (x, y, z))]) for x in (-1, 0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1)])
+    around = paths.select("path_id", F.explode("v").alias("p")).select("path_id", F.col("p.lat").alias("a"), F.col("p.lon").alias("o")).distinct().withColumn("s", F.explode(steps))
+    around = around.select("path_id", _cell(F.col("a"), F.col("o"), reach, (F.col("s.x"), F.col("s.y"), F.col("s.z"))).alias("cell")).distinct()
+    around = written(around.join(anchors.select("cell").distinct(), "cell", "left_semi"))
+    parts = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).cast("int").alias(name))
+    both = written(parts(anchors, "lots").join(parts(around, "blocks"), "cell"))
+    part = lambda key, count: F.pmod(F.xxhash64(key), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    asked = anchors.join(both, "cell").select("trip_id", "cell", part("trip_id", "lots").alias("lot"), every("blocks").alias("block")).join(trips, "trip_id")
+    given = around.join(both, "cell").select("path_id", "cell", part("path_id", "blocks").alias("block"), every("lots").alias("lot")).join(paths, "path_id")
+    key = ["cell", "lot", "block"]
+    near = asked.groupBy(*key).cogroup(given.groupBy(*key)).applyInArrow(_medians, "trip_id string, m double, path_id string")
+    return near.groupBy("trip_id").agg(F.min(F.struct("m", "path_id")).alias("b")).select("trip_id", "b.m", "b.path_id")
+
+
+def _medians(trips: pa.Table, paths: pa.Table) -> pa.Table:
+    """The lowest median of each trip over the paths (ties: the smaller id). Vertices that paths share are measured once."""
+    if not (trips.num_rows and paths.num_rows):  # a lot or block that no id fell into
+        return pa.table({"trip_id": pa.array([], pa.string()), "m": pa.array([], pa.float64()), "path_id": pa.array([], pa.string())})
+    order = np.argsort(np.array(paths["path_id"].to_pylist()), kind="stable")
+    names = np.array(paths["path_id"].to_pylist())[order]
+    lists = paths["v"].combine_chunks().take(pa.array(order))
+    sizes = np.diff(lists.offsets.to_numpy())
+    vertices = lists.flatten()
+    places, which = np.unique(np.radians(np.column_stack([vertices.field(c).to_numpy() for c in ("lat", "lon")])), axis=0, return_inverse=True)
+    which, cut = which.reshape(-1), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    out_m, out_path = [], []
+    for pts in trips["pts"].combine_chunks():
+        own = pts.values
+        lat, lon = (np.radians(own.field(c).to_numpy()) for c in ("lat", "lon"))
+        n = len(lat)
+        near = np.empty((n, len(names)))
+        room = max(1, CELLS // max(len(which), 1))
+        for k in range(0, n, room):
+            near[k : k + room] = np.minimum.reduceat(_distances(lat[k : k + room], lon[k : k + room], places)[:, which], cut, axis=1)
+        medians = np.median(near, axis=0)
+        best = int(np.argmin(medians))
+        out_m.append(float(medians[best]))
+        out_path.append(str(names[best]))
+    return pa.table({"trip_id": trips["trip_id"], "m": pa.array(out_m, pa.float64()), "path_id": pa.array(out_path, pa.string())})
 
 
 def _distances(lat: np.ndarray, lon: np.ndarray, places: np.ndarray) -> np.ndarray:

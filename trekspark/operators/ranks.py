@@ -48,6 +48,12 @@ def split_quantiles(df: DataFrame, keys: list[str], value: str, shares: tuple[fl
     return out.select(*keys, "n", F.array(*[part(i, s) for i, s in enumerate(shares)]).alias("q"))
 
 
+def whole_quantiles(df: DataFrame, value: str, shares: tuple[float, ...] = (0.5,)) -> DataFrame:
+    """One row, q: the exact quantiles of all of a table's values by split_quantiles; null if it has none."""
+    found = split_quantiles(df.select(value).withColumn("_all", F.lit(1)), ["_all"], value, shares)
+    return found.agg(F.first("q").alias("q"))
+
+
 def quantiles(value: str, shares: tuple[float, ...], accuracy: int | None = None) -> Column:
     """An array of linear quantiles, exact; or approximate ones of bounded memory if an accuracy is given."""
     at = F.array(*[F.lit(s) for s in shares])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import seconds_between
+from .graph import written
 from .ranks import quantiles
 
 
@@ -54,6 +55,42 @@ def heat_grid(points: DataFrame, cells: int = 200) -> DataFrame:
     return points.join(F.broadcast(ends)).groupBy(cell("lon", "_o0", "_o1").alias("ix"), cell("lat", "_a0", "_a1").alias("iy")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def density_surface(points: DataFrame, cells: int = 200, cut: float = 3.0, reach: float = 4.0, levels: int = 50, threshold: float = 0.05) -> DataFrame:
+    """ix, iy, lon, lat (a cell's middle), density (share of the mass a cell holds), level (1 to `levels`) of a smoothed map of the points.
+
+    A cells x cells grid spans the points' bounds and `cut` bandwidths beyond them. Points are counted by cell once; the counts are
+    convolved with a Gaussian along one axis and then the other, cut off at `reach` bandwidths. A bandwidth is the axis' sample deviation
+    times n^(-1/6); an axis without spread isn't smoothed. Level k begins at the density beyond which 1 - p of the mass lies, p going from
+    `threshold` to 1 in equal steps; cells below the first level are left out. All that follows the count is bounded by the grid, whatever the number of points.
+    """
+    placed = points.filter("lat IS NOT NULL AND lon IS NOT NULL")
+    scale = F.pow(F.count(F.lit(1)).cast("double"), F.lit(-1.0 / 6.0))
+    ends = placed.agg(*[f(c).alias(f"{n}_{c}") for c in ("lat", "lon") for f, n in ((F.min, "lo"), (F.max, "hi"))], *[(F.coalesce(F.stddev_samp(c), F.lit(0.0)) * scale).alias(f"bw_{c}") for c in ("lat", "lon")])
+    for c in ("lat", "lon"):
+        ends = ends.withColumn(f"at_{c}", F.col(f"lo_{c}") - cut * F.col(f"bw_{c}"))
+        ends = ends.withColumn(f"w_{c}", (F.col(f"hi_{c}") + cut * F.col(f"bw_{c}") - F.col(f"at_{c}")) / cells)
+    ends = written(ends)  # one row, read by every step
+    cell = lambda c: F.when(F.col(f"w_{c}") > 0, F.least(F.floor((F.col(c) - F.col(f"at_{c}")) / F.col(f"w_{c}")), F.lit(cells - 1))).otherwise(0).cast("int")
+    grid = placed.join(F.broadcast(ends)).groupBy(cell("lon").alias("ix"), cell("lat").alias("iy")).agg(F.count(F.lit(1)).cast("double").alias("v"))
+    for c, i in (("lon", "ix"), ("lat", "iy")):
+        w, bw = F.col(f"w_{c}"), F.col(f"bw_{c}")
+        steps = F.when(bw > 0, F.least(F.ceil(reach * bw / w), F.lit(cells))).otherwise(0).cast("int")
+        weight = F.when(bw > 0, F.exp(-0.5 * F.pow(F.col("k") * w / bw, F.lit(2.0)))).otherwise(1.0)
+        spread = grid.join(F.broadcast(ends)).withColumn("k", F.explode(F.sequence(-steps, steps)))
+        spread = spread.withColumn(i, (F.col(i) + F.col("k")).cast("int")).filter((F.col(i) >= 0) & (F.col(i) < cells))
+        grid = spread.groupBy("ix", "iy").agg(F.sum(F.col("v") * weight).alias("v"))
+    grid = written(grid)
+    total = grid.agg(F.sum("v").alias("total"))
+    down = Window.orderBy(F.desc("v")).rangeBetween(Window.unboundedPreceding, 0)  # at most cells x cells rows
+    dense = written(grid.join(F.broadcast(total)).select("ix", "iy", (F.col("v") / F.col("total")).alias("density"), F.col("v")).withColumn("mass", F.sum("density").over(down)).drop("v"))
+    p = F.lit(threshold) + F.col("k") * F.lit((1.0 - threshold) / (levels - 1))
+    begins = dense.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).filter(F.col("mass") >= 1.0 - p).groupBy("k").agg(F.max("density").alias("begins"))
+    begins = begins.agg(F.collect_list("begins").alias("begins"))  # `levels` numbers
+    found = dense.join(F.broadcast(begins)).join(F.broadcast(ends)).withColumn("level", F.size(F.filter("begins", lambda b: b <= F.col("density"))))
+    middle = lambda c, i: (F.col(f"at_{c}") + (F.col(i) + 0.5) * F.col(f"w_{c}")).alias(c)
+    return found.filter("level > 0").select("ix", "iy", middle("lon", "ix"), middle("lat", "iy"), "density", "level")
+
+
 def user_day_counts(**tables: DataFrame) -> DataFrame:
     """user_id, day, kind, n of several tables of points."""
     out = None

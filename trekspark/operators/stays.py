@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m
 from .dbscan import dbscan_labels
 from .hdbscan import hdbscan_labels
+from .graph import written
 from .joins import interval_join
+from .ranks import whole_quantiles
 
 
 def stay_table(labelled: DataFrame, mark: str = "stay") -> DataFrame:
@@ -38,37 +39,46 @@ def stay_candidates(a: DataFrame, b: DataFrame, radius_m: float = 100.0, overlap
     return pairs.filter((apart <= radius_m) & (shared >= overlap_min)).select("user_id", F.col("a_stay_id").alias("a_stay"), F.col("b_stay_id").alias("b_stay"))
 
 
+def first_matching(pairs: DataFrame) -> DataFrame:
+    """The pairs (user_id, i, j) that a loop over a user's pairs in order takes, each i and j once.
+
+    A pair that is the first of both its i and its j is taken by the loop whatever comes before, so all such pairs are taken at once, and
+    their i and j leave with all their pairs; rounds go on until none is left. Each round is grouped by i and by j, never by user.
+    """
+    left, taken = written(pairs.select("user_id", "i", "j").distinct()), None
+    while not left.isEmpty():
+        first = left.groupBy("user_id", "i").agg(F.min("j").alias("j")).join(left.groupBy("user_id", "j").agg(F.min("i").alias("i")), ["user_id", "i", "j"])
+        first = written(first)
+        taken = first if taken is None else taken.unionByName(first)
+        left = written(left.join(first.select("user_id", "i"), ["user_id", "i"], "left_anti").join(first.select("user_id", "j"), ["user_id", "j"], "left_anti"))
+    return left if taken is None else taken
+
+
 def match_stays(a: DataFrame, b: DataFrame, radius_m: float = 100.0, overlap_min: float = 5.0) -> DataFrame:
     """user_id, n_a, n_b, matched, overlap: greedy one-to-one matching in order of the stay numbers, and matched / (a + b - matched)."""
     number = lambda c: F.regexp_extract(c, r"(\d+)$", 1).cast("int")
     pairs = stay_candidates(a, b, radius_m, overlap_min).select("user_id", number("a_stay").alias("i"), number("b_stay").alias("j"))
 
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        used, hits = set(), 0
-        for _, own in pdf.sort_values(["i", "j"]).groupby("i"):
-            free = next((j for j in own["j"] if j not in used), None)
-            if free is not None:
-                used.add(free)
-                hits += 1
-        return pd.DataFrame({"user_id": pdf["user_id"].iloc[:1], "matched": [hits]})
-
-    hits = pairs.groupBy("user_id").applyInPandas(greedy, "user_id string, matched long")
+    hits = first_matching(pairs).groupBy("user_id").agg(F.count(F.lit(1)).alias("matched"))
     counts = lambda df, m: df.groupBy("user_id").agg(F.count(F.lit(1)).alias(f"n_{m}"))
     both = counts(a, "a").join(counts(b, "b"), "user_id", "full").join(hits, "user_id", "left").na.fill(0)
     total = F.col("n_a") + F.col("n_b") - F.col("matched")
     return both.withColumn("overlap", F.when((F.col("n_a") > 0) & (F.col("n_b") > 0), F.col("matched") / total).otherwise(0.0))
 
 
-def dispersion(stays: DataFrame, *keys: str) -> DataFrame:
-    """keys, dispersion_m: mean distance of the stays' centres to their mean centre."""
+def dispersion(stays: DataFrame, *keys: str, few: bool = False) -> DataFrame:
+    """keys, dispersion_m: mean distance of the stays' centres to their mean centre; `few` keys (a parameter grid, or none) are sent to all tasks, so that none is gathered."""
+    if not keys:
+        return dispersion(stays.withColumn("_all", F.lit(1)), "_all", few=True).agg(F.first("dispersion_m").alias("dispersion_m"))
     middle = stays.groupBy(*keys).agg(F.avg("center_lat").alias("_a"), F.avg("center_lon").alias("_o"))
     d = haversine_m(F.col("center_lat"), F.col("center_lon"), F.col("_a"), F.col("_o"))
-    return stays.join(middle, list(keys)).groupBy(*keys).agg(F.avg(d).alias("dispersion_m"))
+    return stays.join(F.broadcast(middle) if few else middle, list(keys)).groupBy(*keys).agg(F.avg(d).alias("dispersion_m"))
 
 
 def stay_stats(stays: DataFrame) -> DataFrame:
     """Number, median dwell and population deviation of the centres of a stay table."""
-    return stays.agg(F.count(F.lit(1)).alias("stays"), F.median("dwell_minutes").alias("median_dwell_min"), F.stddev_pop("center_lat").alias("lat_std"), F.stddev_pop("center_lon").alias("lon_std"))
+    row = stays.agg(F.count(F.lit(1)).alias("stays"), F.stddev_pop("center_lat").alias("lat_std"), F.stddev_pop("center_lon").alias("lon_std"))
+    return row.crossJoin(whole_quantiles(stays, "dwell_minutes")).select("stays", F.col("q")[0].alias("median_dwell_min"), "lat_std", "lon_std")  # one row each
 
 
 def compare_by_user(first: DataFrame, second: DataFrame, radius_m: float = 100.0, overlap_min: float = 5.0) -> DataFrame:
@@ -95,8 +105,8 @@ def compare_overall(first: DataFrame, second: DataFrame, eps_m: float = 150.0, o
     stays of both less the matches, 0 if a side is empty.
     """
     def side(df: DataFrame, m: str) -> DataFrame:
-        counts = df.agg(F.count(F.lit(1)).alias(f"{m}_stays"), F.median("dwell_minutes").alias(f"{m}_median_dwell_min"))
-        return counts.crossJoin(dispersion(df.withColumn("_all", F.lit(1)), "_all").agg(F.first("dispersion_m").alias(f"{m}_dispersion_m")))
+        counts = df.agg(F.count(F.lit(1)).alias(f"{m}_stays")).crossJoin(whole_quantiles(df, "dwell_minutes").select(F.col("q")[0].alias(f"{m}_median_dwell_min")))
+        return counts.crossJoin(dispersion(df).withColumnRenamed("dispersion_m", f"{m}_dispersion_m"))
 
     hits = match_stays(first, second, max(50.0, eps_m / 2), overlap_min).agg(F.coalesce(F.sum("matched"), F.lit(0)).alias("_hits"))
     both = side(first, "first").crossJoin(side(second, "second")).crossJoin(hits)  # one row each

@@ -17,8 +17,8 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("CAST(user_id AS STRING) AS user_id", "CAST(ts AS TIMESTAMP) AS timestamp", "event_id", f"{LAT} AS lat", f"{LON} AS lon")
 
 
-def matched(trip_points: DataFrame) -> DataFrame:
-    """A matched trace of points that have a trip: each moved by some metres, every tenth unmatched."""
+def matched(trip_points: DataFrame, late_s: int = 1) -> DataFrame:
+    """A matched trace of points that have a trip: each moved by some metres, every tenth unmatched, their times up to `late_s` - 1 seconds late."""
     w = Window.partitionBy("trip_id").orderBy("timestamp", "event_id")
     df = trip_points.withColumn("seq", (F.row_number().over(w) - 1).cast("int"))
-    return df.selectExpr("user_id", "trip_id", "seq", f"lat + {D('event_id % 5 - 2')} / {D(50000)} AS snapped_lat", f"lon + {D('event_id % 3 - 1')} / {D(50000)} AS snapped_lon", "timestamp AS snapped_time", f"{D('event_id % 100')} / {D(100)} AS confidence", "event_id % 10 <> 0 AS matched", f"{D('event_id * 37 % 360')} AS heading_deg")
+    return df.selectExpr("user_id", "trip_id", "seq", f"lat + {D('event_id % 5 - 2')} / {D(50000)} AS snapped_lat", f"lon + {D('event_id % 3 - 1')} / {D(50000)} AS snapped_lon", f"timestamp + make_interval(0, 0, 0, 0, 0, 0, event_id % {late_s}) AS snapped_time", f"{D('event_id % 100')} / {D(100)} AS confidence", "event_id % 10 <> 0 AS matched", f"{D('event_id * 37 % 360')} AS heading_deg")

@@ -18,10 +18,10 @@ def clean_trips(points: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
 
 
 def ingest(spark: SparkSession, s: Settings) -> tuple[str, str]:
-    """Reads the raw files, writes the points and trips artifacts, and returns their paths."""
+    """Reads the raw files, writes the points and trips artifacts in folders by user bucket and day, and returns their paths."""
     points = read_plt(spark, s.raw_dir, list(s.user_ids) if s.user_ids else None)
     kept, table = clean_trips(points, s)
-    return save_artifact(kept, s.processed_dir, "points"), save_artifact(table, s.processed_dir, "trips")
+    return save_artifact(kept, s.processed_dir, "points", s.user_buckets), save_artifact(table, s.processed_dir, "trips", s.user_buckets)
 
 
 def point_features(points: DataFrame, s: Settings) -> DataFrame:

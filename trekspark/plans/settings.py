@@ -32,6 +32,7 @@ class Settings:
     deviation_m: float = 200.0
     span_m: float = 300.0
     split_s: int | None = None
+    user_buckets: int | None = 16
 
 
 # Where each setting stands in the configuration file.

@@ -16,7 +16,10 @@ from .operators import features, matching, modes, paths, profile, report, stays,
 from .operators.joins import grid_join
 from .plans import events
 from .plans.events import GAP_MIN, LAT, LON
+from .operators.graph import scratch_folder
+from .sources.readers import read_artifact
 from .sources.schema import conform
+from .sources.sinks import save_artifact
 from .streaming.trips import session_trips
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -295,22 +298,30 @@ def matched_features(spark, sf):
     return m.select("trip_id", rnd("matched_confidence_mean", 6), "matched_confidence_max", rnd("curvature_heading_change_per_km", 3, "curvature"))
 
 
-PAIRS = f"""pr AS (SELECT *, {hav('lat', 'lon', 'snapped_lat', 'snapped_lon')} AS offset_m, {hav('lag(lat) OVER w', 'lag(lon) OVER w', 'lat', 'lon')} AS rs, {hav('lag(snapped_lat) OVER w', 'lag(snapped_lon) OVER w', 'snapped_lat', 'snapped_lon')} AS ss FROM x WINDOW w AS (PARTITION BY trip_id ORDER BY seq)), pb AS (SELECT *, CASE WHEN rs IS NOT NULL THEN CAST(ss <= rs AS INTEGER) END AS better FROM pr)"""
+#: A trace whose times are off by a few seconds.
+LATE = MATCHED.replace("timestamp AS snapped_time", "timestamp, timestamp + to_seconds(event_id % 4) AS snapped_time")
+PAIRS = f"""pr AS (SELECT *, abs(epoch_us(snapped_time) - epoch_us(timestamp)) / 1e6 AS drift_s, {hav('lat', 'lon', 'snapped_lat', 'snapped_lon')} AS offset_m, {hav('lag(lat) OVER w', 'lag(lon) OVER w', 'lat', 'lon')} AS rs, {hav('lag(snapped_lat) OVER w', 'lag(snapped_lon) OVER w', 'snapped_lat', 'snapped_lon')} AS ss FROM x WINDOW w AS (PARTITION BY trip_id ORDER BY seq)), pb AS (SELECT *, CASE WHEN rs IS NOT NULL THEN CAST(ss <= rs AS INTEGER) END AS better FROM pr)"""
 
 
-@query(f"WITH {DAY}, {MATCHED}, {PAIRS} SELECT trip_id, count(*) AS points, round(avg(offset_m), 4) AS mean_offset_m, round(avg(better), 6) AS improved_share, bool_and(NOT matched) AS failed FROM pb GROUP BY trip_id")
+@query(f"WITH {DAY}, {LATE}, {PAIRS} SELECT trip_id, count(*) AS points, round(avg(offset_m), 4) AS mean_offset_m, round(avg(better), 6) AS improved_share, round(median(drift_s), 4) AS median_drift_s, bool_and(NOT matched) AS failed FROM pb GROUP BY trip_id")
 def matching_by_trip(spark, sf):
     p = all_cut(spark, sf)[0]
-    return validate.matching_by_trip(validate.matching_pairs(p, events.matched(p))).select("trip_id", "points", rnd("mean_offset_m"), rnd("improved_share", 6), "failed")
+    return validate.matching_by_trip(validate.matching_pairs(p, events.matched(p, 4))).select("trip_id", "points", rnd("mean_offset_m"), rnd("improved_share", 6), rnd("median_drift_s"), "failed")
 
 
-@query(f"""WITH {DAY}, {MATCHED}, {PAIRS}, tb AS (SELECT trip_id, bool_and(NOT matched) AS failed FROM pb GROUP BY trip_id),
-th AS (SELECT trip_id, {hav('lag(lat) OVER w', 'lag(lon) OVER w', 'lat', 'lon')} AS rs, {hav('lag(snapped_lat) OVER w', 'lag(snapped_lon) OVER w', 'snapped_lat', 'snapped_lon')} AS ss FROM x WHERE seq % 2 = 0 WINDOW w AS (PARTITION BY trip_id ORDER BY seq)), ts AS (SELECT trip_id, avg(CASE WHEN rs IS NOT NULL THEN CAST(ss <= rs AS INTEGER) END) AS s FROM th GROUP BY trip_id)
-SELECT round(avg(offset_m), 4) AS mean_offset_m, round(avg(better), 5) AS improved_share, round(median(offset_m), 4) AS median_drift_m, round((SELECT avg(CAST(failed AS INTEGER)) FROM tb), 6) AS failed_share, round((SELECT avg(s) FROM ts), 5) AS improved_share_downsampled FROM pb""")
+def _thin(k: int) -> str:
+    """CTE d{k}: the mean over trips of what every k-th point gives."""
+    steps = f"{hav('lag(lat) OVER w', 'lag(lon) OVER w', 'lat', 'lon')} AS rs, {hav('lag(snapped_lat) OVER w', 'lag(snapped_lon) OVER w', 'snapped_lat', 'snapped_lon')} AS ss"
+    return f"d{k} AS (SELECT avg(o) AS o, avg(s) AS s FROM (SELECT trip_id, avg(offset_m) AS o, avg(CASE WHEN rs IS NOT NULL THEN CAST(ss <= rs AS INTEGER) END) AS s FROM (SELECT trip_id, offset_m, {steps} FROM pr WHERE seq % {k} = 0 WINDOW w AS (PARTITION BY trip_id ORDER BY seq)) GROUP BY trip_id HAVING count(*) > 1))"
+
+
+@query(f"""WITH {DAY}, {LATE}, {PAIRS}, tb AS (SELECT trip_id, bool_and(NOT matched) AS failed FROM pb GROUP BY trip_id), w AS (SELECT avg(offset_m) AS o, avg(better) AS s, median(drift_s) AS t FROM pb), {_thin(2)}, {_thin(3)}
+SELECT round(w.o, 4) AS mean_offset_m, round(w.s, 5) AS improved_share, round(w.t, 4) AS median_drift_s, round((SELECT avg(CAST(failed AS INTEGER)) FROM tb), 6) AS failed_share, round(d2.o - w.o, 4) AS delta_2_offset_m, round(d2.s - w.s, 5) AS delta_2_improved, round(d3.o - w.o, 4) AS delta_3_offset_m, round(d3.s - w.s, 5) AS delta_3_improved FROM w, d2, d3""")
 def matching_quality(spark, sf):
     p = all_cut(spark, sf)[0]
-    q = validate.matching_quality(validate.matching_pairs(p, events.matched(p)))
-    return q.select(rnd("mean_offset_m"), rnd("improved_share", 5), rnd("median_drift_m"), rnd("failed_share", 6), rnd("improved_share_downsampled", 5))
+    m = events.matched(p, 4)
+    q = validate.matching_quality(validate.matching_pairs(p, m), m)
+    return q.select(rnd("mean_offset_m"), rnd("improved_share", 5), rnd("median_drift_s"), rnd("failed_share", 6), *[rnd(f"delta_{k}_{c}", n) for k in (2, 3) for c, n in (("offset_m", 4), ("improved", 5))])
 
 
 def roadless(lat, lon, at):
@@ -616,13 +627,19 @@ def quarters(spark, sf):
     return cut(spark, sf)[1].groupBy(validate.quarter(F.col("start_time")).alias("period")).agg(F.count(F.lit(1)).alias("trips"))
 
 
+#: CTEs after r (k, n_a, n_b, d): pv, the exact p-value of each k by shares of lattice paths, anti-diagonal by anti-diagonal.
+PATHS = """h AS (SELECT k, n_a AS n, n_b AS m, n_a // gcd(n_a, n_b) AS a, n_b // gcd(n_a, n_b) AS b, CAST(round(d * (n_a // gcd(n_a, n_b)) * n_b) AS BIGINT) AS h FROM r),
+st AS (SELECT *, CAST(0 AS BIGINT) AS s, CAST(0 AS BIGINT) AS lo, CAST(0 AS BIGINT) AS hi, [CAST(0 AS DOUBLE)] AS l FROM h WHERE h > 0
+ UNION ALL SELECT k, n, m, a, b, h, s + 1, lo2, hi2, list_transform(range(lo2, hi2 + 1), lambda i: (i * CASE WHEN i - 1 BETWEEN lo AND hi THEN l[i - lo] ELSE 1 END + (s + 1 - i) * CASE WHEN i BETWEEN lo AND hi THEN l[i - lo + 1] ELSE 1 END) / (s + 1))
+ FROM (SELECT *, greatest(CAST(floor(((s + 1) * a - h) / (a + b)) AS BIGINT) + 1, s + 1 - m, 0) AS lo2, least(CAST(ceil(((s + 1) * a + h) / (a + b)) AS BIGINT) - 1, n, s + 1) AS hi2 FROM st) WHERE s < n + m AND lo2 <= hi2),
+pv AS (SELECT h.k, CASE WHEN least(h.n, h.m) >= 2 THEN coalesce(st.l[1], 1) END AS p FROM h LEFT JOIN st ON h.k = st.k AND st.s = h.n + h.m)"""
 KS = "u AS (SELECT {k}, metric, value, sum(CASE WHEN side THEN 1 ELSE 0 END) AS a, sum(CASE WHEN side THEN 0 ELSE 1 END) AS b FROM {f} GROUP BY ALL), c AS (SELECT *, sum(a) OVER w AS fa, sum(b) OVER w AS fb, sum(a) OVER v AS na, sum(b) OVER v AS nb FROM u WINDOW w AS (PARTITION BY {k}, metric ORDER BY value), v AS (PARTITION BY {k}, metric))"
 
 
-@query(f"WITH {T}, {LONG.format(k='start_time')}, pr AS (SELECT DISTINCT CAST(week(start_time) AS VARCHAR) AS period FROM t), nx AS (SELECT period, lead(period) OVER (ORDER BY period) AS next_period FROM pr), s AS (SELECT nx.*, metric, value, CAST(week(start_time) AS VARCHAR) = nx.period AS side FROM lm JOIN nx ON CAST(week(start_time) AS VARCHAR) IN (nx.period, nx.next_period) WHERE next_period IS NOT NULL), {KS.format(k='period, next_period', f='s')} SELECT period, next_period, metric, CAST(any_value(na) AS BIGINT) AS n_a, CAST(any_value(nb) AS BIGINT) AS n_b, round(max(abs(fa / na - fb / nb)), 6) AS d FROM c GROUP BY 1, 2, 3")
+@query(f"WITH RECURSIVE {T}, {LONG.format(k='start_time')}, pr AS (SELECT DISTINCT CAST(week(start_time) AS VARCHAR) AS period FROM t), nx AS (SELECT period, lead(period) OVER (ORDER BY period) AS next_period FROM pr), s AS (SELECT nx.*, metric, value, CAST(week(start_time) AS VARCHAR) = nx.period AS side FROM lm JOIN nx ON CAST(week(start_time) AS VARCHAR) IN (nx.period, nx.next_period) WHERE next_period IS NOT NULL), {KS.format(k='period, next_period', f='s')}, q AS (SELECT period, next_period, metric, CAST(any_value(na) AS BIGINT) AS n_a, CAST(any_value(nb) AS BIGINT) AS n_b, max(abs(fa / na - fb / nb)) AS d FROM c GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (ORDER BY period, metric) AS k FROM q), {PATHS} SELECT period, next_period, metric, n_a, n_b, round(d, 6) AS d, round(p, 6) AS p FROM r JOIN pv USING (k)")
 def temporal_shift(spark, sf):
     week = F.weekofyear(F.col("start_time").cast("timestamp")).cast("string")
-    return validate.temporal_shift(cut(spark, sf)[1], week).select("period", "next_period", "metric", "n_a", "n_b", rnd("d", 6))
+    return validate.temporal_shift(cut(spark, sf)[1], week).select("period", "next_period", "metric", "n_a", "n_b", rnd("d", 6), rnd("p", 6))
 
 
 @query(f"WITH {T}, {LONG.format(k='user_id')}, s AS (SELECT 1 AS one, metric, value, CAST(user_id AS BIGINT) % 5 = 0 AS side FROM lm), {KS.format(k='one', f='s')} SELECT metric, CAST(any_value(na) AS BIGINT) AS n_a, CAST(any_value(nb) AS BIGINT) AS n_b, round(max(abs(fa / na - fb / nb)), 6) AS d FROM c GROUP BY metric")
@@ -639,25 +656,25 @@ def user_folds(spark, sf):
     return validate.user_folds(cut(spark, sf)[1])
 
 
-@query(f"WITH {T}, {FOLDS}, {LONG.format(k='user_id')}, s AS (SELECT fold, metric, value, own = fold AS side FROM lm JOIN fo USING (user_id), (SELECT unnest(range(5))::INTEGER AS fold)), {KS.format(k='fold', f='s')}, r AS (SELECT fold, metric, CAST(any_value(na) AS BIGINT) AS n_a, CAST(any_value(nb) AS BIGINT) AS n_b, max(abs(fa / na - fb / nb)) AS d FROM c GROUP BY fold, metric), z AS (SELECT *, sqrt(CAST(n_a AS DOUBLE) * n_b / (n_a + n_b)) * d AS root FROM r) SELECT fold, metric, n_a, n_b, round(d, 6) AS d, round(CASE WHEN root < 0.2 THEN 1 ELSE least(greatest(list_sum(list_transform(range(1, 61), lambda k: 2 * (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * k * k * root * root))), 0), 1) END, 6) AS p_asymptotic FROM z WHERE n_a > 0 AND n_b > 0")
+@query(f"WITH RECURSIVE {T}, {FOLDS}, {LONG.format(k='user_id')}, s AS (SELECT fold, metric, value, own = fold AS side FROM lm JOIN fo USING (user_id), (SELECT unnest(range(5))::INTEGER AS fold)), {KS.format(k='fold', f='s')}, q AS (SELECT fold, metric, CAST(any_value(na) AS BIGINT) AS n_a, CAST(any_value(nb) AS BIGINT) AS n_b, max(abs(fa / na - fb / nb)) AS d FROM c GROUP BY fold, metric), r AS (SELECT *, row_number() OVER (ORDER BY fold, metric) AS k, sqrt(CAST(n_a AS DOUBLE) * n_b / (n_a + n_b)) * d AS root FROM q WHERE n_a > 0 AND n_b > 0), {PATHS} SELECT fold, metric, n_a, n_b, round(d, 6) AS d, round(CASE WHEN root < 0.2 THEN 1 ELSE least(greatest(list_sum(list_transform(range(1, 61), lambda k: 2 * (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * k * k * root * root))), 0), 1) END, 6) AS p_asymptotic, round(p, 6) AS p FROM r JOIN pv USING (k)")
 def cross_user(spark, sf):
-    return validate.cross_user(cut(spark, sf)[1]).select("fold", "metric", "n_a", "n_b", rnd("d", 6), rnd("p_asymptotic", 6))
+    return validate.cross_user(cut(spark, sf)[1]).select("fold", "metric", "n_a", "n_b", rnd("d", 6), rnd("p_asymptotic", 6), rnd("p", 6))
 
 
 def _grid_sql(eps: float, least: int) -> str:
-    disp = f"(SELECT median(dp) FROM (SELECT user_id, avg({hav('la', 'lo', 'ma', 'mo')}) AS dp FROM (SELECT *, avg(la) OVER (PARTITION BY user_id) AS ma, avg(lo) OVER (PARTITION BY user_id) AS mo FROM sr) GROUP BY user_id))"
-    return f"SELECT * FROM (WITH RECURSIVE {M}, {dbscan_sql(eps, least)}, sr AS (SELECT {STAY_ROWS}) SELECT CAST({eps} AS DOUBLE) AS eps_m, {least} AS min_samples, count(*) AS stays, count(DISTINCT user_id) AS users, round(median((epoch_us(en) - epoch_us(st)) / 60e6), 4) AS median_dwell_min, round({disp}, 3) AS median_dispersion_m FROM sr)"
+    disp = f"(SELECT avg({hav('la', 'lo', 'ma', 'mo')}) FROM (SELECT *, avg(la) OVER () AS ma, avg(lo) OVER () AS mo FROM sr))"
+    return f"SELECT * FROM (WITH RECURSIVE {M}, {dbscan_sql(eps, least)}, sr AS (SELECT {STAY_ROWS}) SELECT CAST({eps} AS DOUBLE) AS eps_m, {least} AS min_samples, count(*) AS stays, count(DISTINCT user_id) AS users, round(median((epoch_us(en) - epoch_us(st)) / 60e6), 4) AS median_dwell_min, round({disp}, 3) AS dispersion_m FROM sr)"
 
 
 @query("\nUNION ALL\n".join(_grid_sql(e, m) for e in (100, 150) for m in (3, 5)))
 def dbscan_grid(spark, sf):
-    return validate.dbscan_grid(moved(spark, sf), (100.0, 150.0), (3, 5)).select("eps_m", "min_samples", "stays", "users", rnd("median_dwell_min"), rnd("median_dispersion_m", 3))
+    return validate.dbscan_grid(moved(spark, sf), (100.0, 150.0), (3, 5)).select("eps_m", "min_samples", "stays", "users", rnd("median_dwell_min"), rnd("dispersion_m", 3))
 
 
 @query()
 def hdbscan_grid(spark, sf):
     g = validate.hdbscan_grid(moved(spark, sf), (5, 8), (None, 5), (0.0, 50.0))
-    return g.select("min_cluster_size", "min_samples", "epsilon_m", "stays", "users", rnd("median_dwell_min"), rnd("median_dispersion_m", 3))
+    return g.select("min_cluster_size", "min_samples", "epsilon_m", "stays", "users", rnd("median_dwell_min"), rnd("dispersion_m", 3))
 
 
 # --- Reports -------------------------------------------------------------------------------------------------------
@@ -695,6 +712,21 @@ def heat_grid(spark, sf):
     return report.heat_grid(points(spark, sf))
 
 
+def _smooth(source: str, target: str, i: str, c: str) -> str:
+    """CTE: one axis' counts convolved with its Gaussian."""
+    return f"{target} AS (SELECT {'ix + k AS ix, iy' if i == 'ix' else 'ix, iy + k AS iy'}, sum(v * CASE WHEN bw_{c} > 0 THEN exp(CAST(-0.5 AS DOUBLE) * pow(k * w_{c} / bw_{c}, 2)) ELSE 1 END) AS v FROM {source}, b, (SELECT unnest(range(-200, 201)) AS k) o WHERE abs(k) <= CASE WHEN bw_{c} > 0 THEN ceil(4 * bw_{c} / w_{c}) ELSE 0 END AND {i} + k BETWEEN 0 AND 199 GROUP BY 1, 2)"
+
+
+@query(f"""WITH {P}, e AS (SELECT min(lat) AS lo_lat, max(lat) AS hi_lat, min(lon) AS lo_lon, max(lon) AS hi_lon, stddev_samp(lat) * pow(count(*), CAST(-1 AS DOUBLE) / 6) AS bw_lat, stddev_samp(lon) * pow(count(*), CAST(-1 AS DOUBLE) / 6) AS bw_lon FROM p),
+b AS (SELECT *, lo_lat - 3 * bw_lat AS at_lat, lo_lon - 3 * bw_lon AS at_lon, (hi_lat - lo_lat + 6 * bw_lat) / 200 AS w_lat, (hi_lon - lo_lon + 6 * bw_lon) / 200 AS w_lon FROM e),
+g AS (SELECT CAST(floor((lon - at_lon) / w_lon) AS BIGINT) AS ix, CAST(floor((lat - at_lat) / w_lat) AS BIGINT) AS iy, count(*) AS v FROM p, b GROUP BY 1, 2), {_smooth('g', 'gx', 'ix', 'lon')}, {_smooth('gx', 'gy', 'iy', 'lat')},
+d AS (SELECT ix, iy, v / (SELECT sum(v) FROM gy) AS density FROM gy), ms AS (SELECT *, sum(density) OVER (ORDER BY density DESC RANGE UNBOUNDED PRECEDING) AS mass FROM d),
+th AS (SELECT k, max(density) AS begins FROM ms, (SELECT unnest(range(50)) AS k) o WHERE mass >= 1 - (CAST(0.05 AS DOUBLE) + k * (CAST(0.95 AS DOUBLE) / 49)) GROUP BY k), lv AS (SELECT ix, iy, any_value(density) AS density, count(*) AS level FROM d JOIN th ON begins <= density GROUP BY ix, iy)
+SELECT CAST(ix AS INTEGER) AS ix, CAST(iy AS INTEGER) AS iy, round(at_lon + (ix + 0.5) * w_lon, 6) AS lon, round(at_lat + (iy + 0.5) * w_lat, 6) AS lat, round(density, 10) AS density, CAST(level AS INTEGER) AS level FROM lv, b""")
+def density_surface(spark, sf):
+    return report.density_surface(points(spark, sf)).select("ix", "iy", rnd("lon", 6), rnd("lat", 6), rnd("density", 10), "level")
+
+
 @query(f"WITH {DAY}, {MATCHED} SELECT user_id, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS day, 'raw' AS kind, count(*) AS n FROM m GROUP BY 1, 2 UNION ALL SELECT user_id, CAST(CAST(snapped_time AS DATE) AS VARCHAR), 'matched', count(*) FROM x WHERE matched GROUP BY 1, 2")
 def user_day_counts(spark, sf):
     m = events.matched(all_cut(spark, sf)[0]).filter("matched")
@@ -706,6 +738,14 @@ def common_user_days(spark, sf):
     return report.common_user_days(moved(spark, sf), events.matched(all_cut(spark, sf)[0]).filter("matched")).withColumn("day", F.col("day").cast("string"))
 
 
+@query(f"WITH {P} SELECT user_id, event_id, round(lat, 6) AS lat, round(lon, 6) AS lon FROM p WHERE timestamp >= TIMESTAMP '2024-01-05' AND timestamp < TIMESTAMP '2024-01-11' AND user_id IN ('1', '2', '3')")
+def pruned_artifact(spark, sf):
+    """All points written by user bucket and day, and some users' days read back: only their folders are."""
+    saved = save_artifact(points(spark, sf), scratch_folder(spark, "artifact"), "points", buckets=8)
+    got = read_artifact(spark, "points", saved, users=["1", "2", "3"], start="2024-01-05", end="2024-01-10")
+    return got.select("user_id", "event_id", rnd("lat", 6), rnd("lon", 6))
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def value_counts(spark, sf):
     return report.value_counts(spark.read.parquet(f"{sf}/events.parquet"), "event_type")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
 
 import yaml
 from pyspark.errors import AnalysisException
@@ -58,17 +59,44 @@ def first_users(points: DataFrame, k: int = 3) -> list[str]:
     return [r[0] for r in points.select("user_id").distinct().orderBy("user_id").limit(k).collect()]
 
 
-def read_artifact(spark: SparkSession, schema: str, *paths: str) -> DataFrame:
-    """The first of the paths that can be read (Parquet, or CSV by its ending), conformed; an empty table if none can."""
+#: Folder columns of a partitioned artifact (the first ends in the number of buckets), and the columns that can give a row its day.
+BUCKET, DAY = "user_bucket_of_", "row_day"
+TIMES = ("timestamp", "snapped_time", "start_time")
+
+
+def read_artifact(spark: SparkSession, schema: str, *paths: str, users: list[str] | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
+    """The first of the paths that can be read (Parquet, or CSV by its ending), conformed; an empty table if none can.
+
+    `users` keeps some users, `start` and `end` the days from one up to and with the other. Of a table that save_artifact wrote by user
+    bucket and day, only the folders of these users' buckets and these days are read; any other table is filtered.
+    """
     for path in paths:
         try:
             df = spark.read.option("header", True).csv(path) if path.endswith(".csv") else spark.read.parquet(path)
-            return conform(df, schema, extra=True)
+            return conform(_pruned(df, users, start, end), schema, extra=True)
         except AnalysisException:
             continue
     return spark.createDataFrame([], SCHEMAS[schema])
 
 
+def _pruned(df: DataFrame, users: list[str] | None, start: str | None, end: str | None) -> DataFrame:
+    time = next((c for c in TIMES if c in df.columns), None)
+    bucket = next((c for c in df.columns if re.fullmatch(BUCKET + r"\d+", c)), None)
+    if bucket and DAY in df.columns:
+        if users is not None:
+            buckets = int(bucket.removeprefix(BUCKET))
+            df = df.filter(F.col(bucket).isin(sorted({zlib.crc32(str(u).encode()) % buckets for u in users})))
+        day = F.col(DAY).cast("date")
+        df = df.filter(day >= F.lit(start).cast("date")) if start else df
+        df = df.filter(day <= F.lit(end).cast("date")) if end else df
+        df = df.drop(bucket, DAY)
+    elif time:
+        at = F.to_date(F.col(time).cast("timestamp"))
+        df = df.filter(at >= F.lit(start).cast("date")) if start else df
+        df = df.filter(at <= F.lit(end).cast("date")) if end else df
+    return df.filter(F.col("user_id").isin([str(u) for u in users])) if users is not None and "user_id" in df.columns else df
+
+
 def read_config(path: str) -> dict:
     """A YAML file as nested maps; empty if there's none."""
     try:

@@ -8,20 +8,33 @@ from datetime import UTC, datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .readers import read_config
+from .readers import BUCKET, DAY, TIMES, read_config
 from .schema import SCHEMAS
 
 # The one registry of artifact names.
 NAMES = {"points": "01_trajectories_cleaned.parquet", "trips": "02_trips.parquet", "stays": "03_stay_points.parquet", "stays_hdbscan": "03_stay_points_hdbscan.parquet", "matched": "04_matched_points.parquet", "user_features": "05_user_features.parquet", "segments": "06_user_segments.parquet", "paths": "07_frequent_paths.parquet", "modes": "08_trip_modes.parquet"}
 
 
-def save_artifact(df: DataFrame, folder: str, name: str) -> str:
-    """Writes a table under its registered name, the schema's columns first."""
+def save_artifact(df: DataFrame, folder: str, name: str, buckets: int | None = None) -> str:
+    """Writes a table under its registered name, the schema's columns first.
+
+    With `buckets`, its files lie in folders by a bucket of the user (crc32 of the id modulo that number, which stands in the folders' name) and day
+    (of the first time column), so that a reader of some users and days lists and opens only theirs. Rows are rebalanced over the
+    folders before they are written: a small folder gets one file, one that holds a large share of all rows is written by many tasks.
+    """
     own = [c.split(" ")[0] for c in SCHEMAS.get(name, "").split(", ") if c]
     first = [c for c in own if c in df.columns]
     path = f"{folder}/{NAMES[name]}"
-    df.select(*first, *[c for c in df.columns if c not in first]).write.mode("overwrite").parquet(path)
+    table = df.select(*first, *[c for c in df.columns if c not in first])
+    time = next((c for c in TIMES if c in df.columns), None)
+    if buckets is None or time is None or "user_id" not in df.columns:
+        table.write.mode("overwrite").parquet(path)
+        return path
+    bucket = f"{BUCKET}{buckets}"
+    placed = table.withColumns({bucket: F.pmod(F.crc32(F.col("user_id").cast("string").cast("binary")), F.lit(buckets)).cast("int"), DAY: F.to_date(F.col(time).cast("timestamp"))})
+    placed.hint("rebalance", bucket, DAY).write.mode("overwrite").partitionBy(bucket, DAY).parquet(path)
     return path
 
 
