@@ -589,3 +589,57 @@ def test_personal_data_of_odd_rows(spark, odd):
     clean = pii.redact(df).first()
     assert clean.text == "mail me: <EMAIL> or <IP>, ok" and clean.n_chars == len(clean.text)
     assert pii.redact(odd).columns == odd.columns and pii.redact(odd).count() == len(ODD)
+
+
+CARDS = {
+    "my number is 4111111111111111 2024": ["4111111111111111"], "visa 4111111111111111 12": ["4111111111111111"], "4111111111111111 5500005555555559": ["4111111111111111", "5500005555555559"],
+    "pay 4111 1111 1111 1111 2024 now": ["4111 1111 1111 1111"], "card 4111-1111-1111-1111 2024 ok": ["4111-1111-1111-1111"], "amex 3782 822463 10005 99 x": ["3782 822463 10005"], "x 12 4111 1111 1111 1111 77 y": ["4111 1111 1111 1111"],
+    "order 4111111111111112 came": [], "the years 2001 2002 2003 2004 2005 2006": [], "4111 1111 1111 1112 2024": [],
+}
+
+
+@pytest.mark.parametrize("text", CARDS)
+def test_cards_beside_other_numbers_are_found(text):
+    spans = pii.all_spans([text], pii.trained())[0][1]
+    assert [text[a:b] for a, kind, b in spans if pii.KINDS[kind] == "card"] == CARDS[text]
+    clean = pii.masked(text, spans)
+    assert not any(c in clean for c in CARDS[text]) and clean.count("<CARD>") == len(CARDS[text])
+
+
+def test_recall_of_each_kind_on_made_up_sentences():
+    """Sentences made with another seed; README gives these figures."""
+    model, hits, every, false = pii.trained(), dict.fromkeys(pii.KINDS, 0), dict.fromkeys(pii.KINDS, 0), 0
+    for words, tags in pii.labelled(copies=20, seed=99):
+        text = " ".join(words)
+        places = [m.span() for m in pii.WORD.finditer(text)]
+        spans = pii.all_spans([text], model)[0][1]
+        want = []
+        for i, tag in enumerate(tags):
+            if tag.startswith("B-"):
+                end = next((j for j in range(i + 1, len(tags)) if not tags[j].startswith("I-")), len(tags)) - 1
+                want.append((places[i][0] + pii.core(words[i])[0], places[end][0] + pii.core(words[end])[1], tag[2:]))
+        for a, b, kind in want:
+            every[kind] += 1
+            hits[kind] += any(x <= a and y >= b for x, _, y in spans)
+        false += sum(not any(x < b and y > a for a, b, _ in want) for x, _, y in spans)
+    assert all(hits[k] >= 0.9 * every[k] > 0 for k in pii.KINDS), (hits, every)
+    assert false <= 0.01 * sum(every.values())
+
+
+def test_recall_of_planted_values_in_documents(docs):
+    """A value of each kind put between the words of the table's own documents."""
+    rng, model = np.random.default_rng(4), pii.trained()
+    texts = [r.text for r in docs.filter("text IS NOT NULL AND length(text) > 200").orderBy("doc_id").limit(60).collect()]
+    hits, every = dict.fromkeys(pii.KINDS, 0), dict.fromkeys(pii.KINDS, 0)
+    for text in texts:
+        for kind in pii.KINDS:
+            words = text.split()
+            value = pii._value(kind, rng)
+            at = int(rng.integers(1, min(len(words), 80)))
+            planted = " ".join([*words[:at], value, *words[at : at + 100]])
+            first = len(" ".join(words[:at])) + 1
+            lo = first + pii.core(value.split(" ")[0])[0]
+            spans = pii.all_spans([planted], model)[0][1]
+            every[kind] += 1
+            hits[kind] += any(a <= lo and b > lo for a, _, b in spans)
+    assert all(hits[k] >= 0.9 * every[k] for k in pii.KINDS), (hits, every)

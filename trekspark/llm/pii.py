@@ -53,17 +53,65 @@ CUE_WORDS = {
 TEMPLATES = """
 the {email} was here|write to {email} about that|{email}|contact me at {email} , or later|mail : {email} now
 from {ip} to|the host {ip} is down|ip = {ip}|server {ip} answers|in {ip} and {ip}
-card {card} was charged|pay with {card} today|{card}|visa : {card} ok|the {card} of
+card {card} was charged|pay with {card} today|{card}|visa : {card} ok|the {card} of|my number is {card} {n_year}|visa {card} {n_count}|{card} {n_year} {n_word}|{n_count} {card} {n_count}|{card} {card}|{n_word} {card} {n_count} {n_word}|{n_year} {card} , {n_word}
 call {phone} now|phone : {phone}|tel {phone} or {phone}|{phone}|the {phone} was|fax {phone} and more
 ssn {id} on file|social security {id}|id : {id}|my ssn is {id} today|passport no {id}
 iban {iban} please|to account {iban}|iban : {iban} and|{iban}|account {iban} , {secret}|send it to {iban} today|{iban} {n_word} of
 token = {secret} is|token = {secret}|password : {secret} now|the secret = {secret}|api_key = {secret} the|key = {secret}|bearer {secret}|{secret} {n_word} {n_word}|{n_word} {secret}|use {secret} for it|{n_word} , {secret} , {n_word}
 the {n_word} of {n_word}|in {n_year} there was|version {n_version} of the|license , version {n_version}|at {n_time} on {n_date}|about {n_count} of {n_count}
 {n_count} {n_bar} {n_count} {n_bar} {n_count}|the {n_money} price|{n_percent} of all|call {n_word} now|token of {n_word}|the key is {n_word}|{n_count} = {n_count}|x = {n_count}|on {n_date}
+the years {n_year} {n_year} {n_year} {n_year} {n_year}|{n_year} {n_year} {n_year} {n_word}|{n_word} {n_count} {n_count} {n_count} {n_count} {n_word}
+{n_word} {secret} {n_word}|{n_word} {n_word} {secret} {n_word} {n_word}|{n_word} {iban} {n_word}|{n_word} {n_word} {iban} {n_word}|{n_word} {id} {n_word}|{n_word} {phone} {n_word} {n_word}|{n_word} {card} {n_word}
 page {n_count} , line {n_count}|room {n_code} was|isbn {n_code}|{n_word} = {n_word}|a card of {n_word}|no. {n_count}|the {n_long} of|order {n_long} came|user_{n_word} is|{n_word}_{n_word} = {n_count}|at {n_word} @ {n_word}|id = {n_count}|{n_word} {n_bar} {n_long} {n_bar} {n_word}|{n_bar} {n_long} {n_bar}|{n_long}
 """
 
 
+def luhn(digits: str) -> bool:
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + k % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def with_check(digits: str) -> str:
+    """The digits and the one that makes them pass."""
+    return next(digits + c for c in "0123456789" if luhn(digits + c))
+
+
+def without_check(digits: str) -> str:
+    """The digits; if they pass, with another last one."""
+    return digits[:-1] + str((int(digits[-1]) + 1) % 10) if luhn(digits) else digits
+
+
+def grouped(digits: str, between: str) -> str:
+    """A card number in groups of four, those of fifteen in four, six and five."""
+    cuts = (0, 4, 10, 15) if len(digits) == 15 else range(0, len(digits) + 4, 4)
+    return between.join(filter(None, (digits[a:b] for a, b in zip(cuts, cuts[1:])))) if between else digits
+
+
+#: Sizes of the groups of digits in which cards are written, behind the first four.
+GROUPS = {(4, 4, n) for n in (2, 3, 4)} | {(4, 4, 4, n) for n in (1, 2, 3)} | {(6, 4), (6, 5)}
+
+
+def cards_in_groups(words: list[str]) -> list[tuple[int, int]]:
+    """(first, behind the last) of words that are groups of digits and together a number that passes, leftmost first; no word but the last is closed by punctuation."""
+    plain = [w[slice(*core(w))] for w in words]
+    out, at = [], 0
+    while at < len(words):
+        to = at
+        if len(plain[at]) == 4 and plain[at].isascii() and plain[at].isdigit() and words[at].endswith(plain[at]):
+            for n in (3, 4, 5):
+                own = plain[at : at + n]
+                if len(own) == n and tuple(map(len, own[1:])) in GROUPS and all(w.isascii() and w.isdigit() for w in own) and all(w == c for w, c in zip(words[at + 1 : at + n - 1], own[1:-1])) and words[at + n - 1].startswith(own[-1]) and luhn("".join(own)) and not all(w[:2] in ("19", "20") for w in own):  # a list of years isn't one
+                    to = at + n
+                    break
+        if to > at:
+            out.append((at, to))
+        at = max(to, at + 1)
+    return out
+
+
 def _value(kind: str, rng: np.random.Generator) -> str:
     """One made-up value of a kind, by rule."""
     digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
@@ -74,11 +122,11 @@ def _value(kind: str, rng: np.random.Generator) -> str:
     made = {
         "email": lambda: pick(word(), f"{word()}.{digits(2)}", word().upper(), f"{word()}_{word()}") + f"@{word()}{digits(1)}." + pick(f"{word()}.com", "com", "org", "de", "COM"),
         "ip": lambda: ".".join(str(rng.integers(1, 256)) for _ in range(4)),
-        "card": lambda: pick("-", " ").join(digits(4) for _ in range(4)),
+        "card": lambda: grouped(with_check(digits(rng.choice([13, 14, 15, 15, 15, 18]))), pick("", "", "-", " ", " ")),
         "phone": lambda: pick(f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", f"{digits(3)}.{digits(3)}.{digits(4)}", f"+1 ({digits(3)}) {digits(3)}-{digits(4)}", f"+{digits(2)} {digits(3)} {digits(7)}"),
         "id": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
         "iban": lambda: pick("DE", "FR", "ES", "GB") + digits(2) + pick("", " ") + pick(digits(18), " ".join(digits(4) for _ in range(4)), " ".join(digits(4) for _ in range(4)) + " " + digits(2)),
-        "secret": lambda: pick("", '"', '"', "'") + pick(hexes(40), hexes(40).upper(), hexes(32), hexes(64), "sk_" + hexes(24), hexes(20), "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), rng.integers(19, 30))) + "7X"),
+        "secret": lambda: pick("", '"', '"', "'") + pick(hexes(40), hexes(40).upper(), hexes(32), hexes(64), "sk_" + hexes(24), hexes(20), "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), rng.integers(19, 30))) + "7X", "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), rng.integers(20, 44))) + "4k"),
         "n_word": word,
         "n_bar": lambda: "|",
         "n_year": lambda: str(rng.integers(1000, 2100)),
@@ -89,7 +137,7 @@ def _value(kind: str, rng: np.random.Generator) -> str:
         "n_money": lambda: pick("$", "€", "") + digits(2) + "." + digits(2),
         "n_percent": lambda: digits(2) + "%",
         "n_code": lambda: pick(f"{word()}{digits(2)}", f"{digits(2)}{word()}", f"{digits(3)}-{digits(1)}", f"A{digits(3)}"),
-        "n_long": lambda: digits(rng.integers(8, 20)),
+        "n_long": lambda: without_check(digits(rng.integers(8, 20))),
     }[kind]()
     if kind == "secret" and made[0] in "\"'":
         made += made[0]
@@ -98,10 +146,9 @@ def _value(kind: str, rng: np.random.Generator) -> str:
 
 def labelled(copies: int = 5, seed: int = 5) -> list[tuple[list[str], list[str]]]:
     """The labelled table: words and tags of each sentence, a few hundred in all."""
-    rng = np.random.default_rng(seed)
     out = []
-    for template in TEMPLATES.strip().replace("\n", "|").split("|"):
-        template = template.strip()
+    for number, template in enumerate(TEMPLATES.strip().replace("\n", "|").split("|")):
+        template, rng = template.strip(), np.random.default_rng([seed, number])
         for _ in range(copies if "{" in template else 0):
             words, tags = [], []
             for part in template.split():
@@ -124,7 +171,8 @@ def core(word: str) -> tuple[int, int]:
 def shape(word: str) -> tuple[int, int, bool, bool]:
     """(bucket of the word's shape, bucket of its cue, whether punctuation closes it, whether it's letters alone). Letter runs lose their length, digit runs keep theirs up to 9.
 
-    Long runs of letters and digits mixed are one shape, by whether they are all hexadecimal.
+    Long runs of letters and digits mixed are one shape, by whether they are all hexadecimal. A number of 14 to 19 digits that passes the card check
+    has a shape of its own; see shapes_of() for one in several words.
     """
     return _remembered(word) if len(word) <= 64 else _shape(word)
 
@@ -133,7 +181,9 @@ def _shape(word: str) -> tuple[int, int, bool, bool]:
     lo, hi = core(word)
     w = word[lo:hi] or word
     cue = next((k + 1 for k, words in enumerate(CUE_WORDS.values()) if w.lower() in words.split()), 0)
-    if re.fullmatch(r"(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]{16,}", w):
+    if re.fullmatch(r"[0-9](?:-?[0-9]){13,37}", w) and len(w) - w.count("-") <= 19 and luhn(w.replace("-", "")):
+        s = "card"
+    elif re.fullmatch(r"(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]{16,}", w):
         s = "hex"
     elif re.fullmatch(r"(?=.*[0-9])(?=.*[A-Za-z])[0-9A-Za-z_-]{20,}", w):
         s = "mixed"
@@ -145,6 +195,19 @@ def _shape(word: str) -> tuple[int, int, bool, bool]:
     return zlib.crc32(s.encode()) % BUCKETS, cue, 0 < hi < len(word), s == "w"
 
 
+#: Buckets of the first and the other words of a card number in groups.
+HEAD, TAIL = (zlib.crc32(name) % BUCKETS for name in (b"card head", b"card tail"))
+
+
+def shapes_of(words: list[str]) -> list[tuple[int, int, bool, bool]]:
+    """shape() of each word, but for those that are together a card number."""
+    out = [shape(w) for w in words]
+    for first, end in cards_in_groups(words):
+        for k in range(first, end):
+            out[k] = (HEAD if k == first else TAIL, *out[k][1:])
+    return out
+
+
 _remembered = functools.lru_cache(maxsize=100_000)(_shape)
 
 
@@ -197,8 +260,8 @@ def fit(table: list[tuple[list[str], list[str]]], rounds: int = 80, rate: float
     shapes, cues, gold = (np.zeros((n, length), np.int64) for _ in range(3))
     lens = np.array([len(w) for w, _ in table])
     for i, (words, tags) in enumerate(table):
-        for j, (w, t) in enumerate(zip(words, tags)):
-            shapes[i, j], cues[i, j], *_ = shape(w)
+        for j, (own, t) in enumerate(zip(shapes_of(words), tags)):
+            shapes[i, j], cues[i, j], *_ = own
             gold[i, j] = TAGS.index(t)
     rows = Field.features(shapes, cues)
     live = np.arange(length)[None] < lens[:, None]
@@ -245,14 +308,6 @@ def trained() -> Field:
     return fit(labelled())
 
 
-def luhn(digits: str) -> bool:
-    total = 0
-    for k, c in enumerate(reversed(digits)):
-        d = int(c) * (1 + k % 2)
-        total += d - 9 * (d > 9)
-    return total % 10 == 0
-
-
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) by the fixed patterns, leftmost and without overlap in each kind."""
     out, last = [], 0
@@ -309,8 +364,8 @@ def _tags(texts: list[str], jobs: list[tuple[int, list[tuple[int, int]]]], model
         for i, (k, lo, hi, _) in enumerate(own):
             d, w = jobs[k]
             text = texts[d]
-            for j, (a, b) in enumerate(w[lo:hi]):
-                shapes[i, j], cues[i, j], closed[i, j], plain = shape(text[a:b])
+            for j, own_shape in enumerate(shapes_of([text[a:b] for a, b in w[lo:hi]])):
+                shapes[i, j], cues[i, j], closed[i, j], plain = own_shape
                 if plain and j:  # no value goes on with letters alone
                     closed[i, j - 1] = True
         tags = model.viterbi(shapes, cues, np.array([hi - lo for _, lo, hi, _ in own]), closed)
