@@ -9,6 +9,8 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from trekspark.llm import langid, licenses, neardup, pii, quality, suffixtree
@@ -643,3 +645,58 @@ def test_recall_of_planted_values_in_documents(docs):
             every[kind] += 1
             hits[kind] += any(a <= lo and b > lo for a, _, b in spans)
     assert all(hits[k] >= 0.9 * every[k] for k in pii.KINDS), (hits, every)
+
+
+def test_a_long_template_is_found_in_time_and_its_own_words_in_disorder_are_not():
+    import time
+
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{int(k)}" for k in rng.zipf(1.3, 9000) % 4000]
+    want = [vocabulary[k] for k in rng.integers(0, 9000, 5600)]
+    template = licenses.prepared({"long": " ".join(want)})[0]
+    body = [vocabulary[k] for k in rng.integers(0, 9000, 7200)]
+    edited = [w if rng.random() > 0.05 else "edited" for w in want]
+    for text, hit in ((body + edited + body, True), ([want[k] for k in rng.integers(0, 5600, 20_000)], False)):
+        began = time.process_time()
+        found = licenses.findings_of(text, template, 0.8)
+        assert time.process_time() - began < 5  # a second or less where the machine is idle
+        assert bool(found) == hit
+        if hit:
+            name, coverage, first, end, matched = found[0]
+            assert 0.94 <= coverage <= 0.97 and first <= 7205 and 12_790 <= end <= 12_810 and matched >= 0.99 * sum(a == b for a, b in zip(want, edited))  # patience, not the longest common subsequence
+
+
+def test_every_copy_of_a_long_template_is_found_whole():
+    rng = np.random.default_rng(2)
+    want = [f"t{int(k)}" for k in rng.zipf(1.4, 400) % 300]
+    other = [f"x{int(k)}" for k in rng.integers(0, 900, 700)]
+    template = licenses.prepared({"long": " ".join(want)})[0]
+    edit = lambda share: [w if rng.random() > share else "edited" for w in want]
+    text = other + want + other[:300] + edit(0.1) + ["between"] + want + other
+    found = sorted(f[2:4] for f in licenses.findings_of(text, template, 0.8))
+    begins = [700, 1400, 1801]
+    assert len(found) == 3 and all(abs(a - p) <= 12 and abs(b - p - 400) <= 12 for (a, b), p in zip(found, begins))
+    assert not licenses.findings_of(other + edit(0.3) + other, template, 0.8)
+    assert licenses.findings_of(want, template, 1.0) == [("long", 1.0, 0, 400, 400)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from("abcdef"), max_size=30), st.lists(st.sampled_from("abcdefg"), min_size=1, max_size=20))
+def test_no_alignment_is_longer_than_the_common_subsequence(words, want):
+    table = [[0] * (len(want) + 1) for _ in range(len(words) + 1)]
+    for i, w in enumerate(words, 1):
+        for j, v in enumerate(want, 1):
+            table[i][j] = table[i - 1][j - 1] + 1 if w == v else max(table[i - 1][j], table[i][j - 1])
+    longest = licenses.longest_common(words, licenses.masks_of(want), len(want))
+    assert longest == table[-1][-1] >= len(licenses.patience(words, want))
+    levels = list(range(1, longest + 1))
+    assert licenses.reached(words, licenses.masks_of(want), len(want), levels) == [next(i for i in range(len(words) + 1) if table[i][-1] >= k) for k in levels]
+
+
+def test_license_bodies_from_a_folder(spark, tmp_path):
+    (tmp_path / "house").write_text(" ".join(f"clause{k} of the house rules" for k in range(120)))
+    texts = licenses.texts_in(spark, str(tmp_path))
+    assert set(texts) == {"house"}
+    df = spark.createDataFrame([(1, "Preface. " + texts["house"].upper() + " The end."), (2, "clause1 of the house"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.license, r.coverage) for r in licenses.scan(df, texts=texts).collect()}
+    assert got == {1: ("house", 1.0), 2: (None, 0.0), 3: (None, 0.0)}

@@ -19,7 +19,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .common import bounded, only, texts_of
 
@@ -139,6 +139,46 @@ def runs(words: list[str], vocabulary: Counter[str], gap: int = GAP) -> list[tup
     return [(a, b) for a, b in out]
 
 
+#: Words of a template beyond which parts are found by common subsequences instead of by each bound, and the steps from the least to the longest one.
+LONG, STEPS = 320, 2
+
+
+def masks_of(want: list[str]) -> dict[str, int]:
+    """The places of each of the template's words as bits."""
+    places: dict[str, list[int]] = {}
+    for i, w in enumerate(want):
+        places.setdefault(w, []).append(i)
+    return {w: sum(1 << i for i in at) for w, at in places.items()}
+
+
+def longest_common(words: list[str], masks: dict[str, int], size: int) -> int:
+    """Length of the longest common subsequence with the template of `size` words, a row of bits a word: no alignment matches more."""
+    whole = (1 << size) - 1
+    row = whole
+    for w in words:
+        if (m := masks.get(w)) is not None:
+            up = row & m
+            row = ((row + up) | (row - up)) & whole
+    return size - row.bit_count()
+
+
+def reached(words: list[str], masks: dict[str, int], size: int, levels: list[int]) -> list[int]:
+    """How many words it takes until a common subsequence is as long as each of the rising levels, as far as they are reached."""
+    whole = (1 << size) - 1
+    row, out, k = whole, [], 0
+    for i, w in enumerate(words, 1):
+        if (m := masks.get(w)) is not None:
+            up = row & m
+            row = ((row + up) | (row - up)) & whole
+            have = size - row.bit_count()
+            while k < len(levels) and have >= levels[k]:
+                out.append(i)
+                k += 1
+            if k == len(levels):
+                break
+    return out
+
+
 def windows(words: list[str], a: int, b: int, counts: Counter[str], need: int, size: int) -> list[tuple[int, int, int]]:
     """(bound, from, to) of parts of a run that may hold a finding, highest bound first.
 
@@ -176,62 +216,142 @@ def windows(words: list[str], a: int, b: int, counts: Counter[str], need: int, s
 Finding = tuple[str, float, int, int, int]
 
 
+def free(taken: list[tuple[int, int]], p: int, q: int) -> list[tuple[int, int]]:
+    """What the sorted findings leave of a part."""
+    left = []
+    for a, b in taken[max(0, bisect.bisect_left(taken, (p, p)) - 1) :]:
+        if a >= q:
+            break
+        if b > p:
+            left.append((p, a))
+            p = b
+    return [(a, b) for a, b in [*left, (p, q)] if a < b]
+
+
+def extended(words: list[str], want: list[str], p: int, q: int, align) -> tuple[int, int, int] | None:
+    """(matched words, first, behind the last) of a part, or of it and what the template still has before and behind its matched words, if that matches more."""
+    match = align(p, q)
+    tried = [(p, match)]
+    if match:
+        (i, j), (k, m) = match[0], match[-1]
+        start = max(0, p + i - j)
+        tried.append((start, align(start, min(len(words), p + k + len(want) - m))))
+    at, match = max(tried, key=lambda x: len(x[1]))
+    return (len(match), at + match[0][0], at + match[-1][0] + 1) if match else None
+
+
+def long_findings(words: list[str], template: Template, least: float) -> list[Finding]:
+    """findings_of() for a long template, in time about the words' number times the template's.
+
+    Every finding lies in one of the stretches of `size` words and a step that begin a step after each other, and matches no more than the stretch's longest
+    common subsequence with the template. Stretches wait by that bound; those without the words needed are left out. The best one's parts, for some
+    lengths from that needed to the longest the shortest end at which it is reached and the latest start from which that end reaches it, are
+    aligned and extended, and the stretch waits again with the best of them. When one is taken, what it leaves of the stretches that it meets is looked at anew.
+    """
+    name, want, counts = template
+    n = len(want)
+    need, size, step = math.ceil(least * n - 1e-9), 2 * n + GAP, max(GAP, n // 8)
+    masks, back = masks_of(want), masks_of(want[::-1])
+    known: dict[tuple[int, int], tuple[int, int, int] | None] = {}
+    taken: list[tuple[int, int]] = []
+    out: list[Finding] = []
+    # (bound or matched, aligned ones first of equals, length, first, behind the last, stretch)
+    waiting: list[tuple[int, int, int, int, int, int, int]] = []
+
+    def look(p: int, q: int) -> None:
+        if q - p >= need and (most := longest_common(words[p:q], masks, n)) >= need:
+            heapq.heappush(waiting, (-most, 1, q - p, p, q, p, q))
+
+    def best_part(p: int, q: int, most: int) -> tuple[int, int, int] | None:
+        found = []
+        levels = sorted({need + (most - need) * k // STEPS for k in range(STEPS + 1)})
+        for level, end in zip(levels, reached(words[p:q], masks, n, levels)):
+            part = (p + end - reached(words[p : p + end][::-1], back, n, [level])[0], p + end)
+            if part not in known:
+                known[part] = extended(words, want, *part, lambda a, b: patience(words[a:b], want))
+            found.append(known[part])
+        return max((f for f in found if f and f[0] >= need), key=lambda f: (f[0], f[1] - f[2]), default=None)
+
+    for a, b in runs(words, counts, gap_of(want, least)):
+        for p in range(a, max(a + 1, b - size), step):
+            look(p, min(b, p + size + step))
+    while waiting:
+        bound, raw, _, a, b, p, q = heapq.heappop(waiting)
+        if raw and free(taken, p, q) == [(p, q)]:
+            if found := best_part(p, q, -bound):
+                heapq.heappush(waiting, (-found[0], 0, found[2] - found[1], found[1], found[2], p, q))
+            continue
+        if not raw and free(taken, a, b) == [(a, b)]:
+            bisect.insort(taken, (a, b))
+            out.append((name, -bound / n, a, b, -bound))
+        for x, y in free(taken, p, q):
+            look(x, y)
+    return out
+
+
 def findings_of(words: list[str], template: Template, least: float) -> list[Finding]:
     """The template's findings that don't overlap, most matched words first: its name, coverage, first word, word behind the last, matched words.
 
     Parts of runs wait in the order of their bounds; the best is aligned and waits again with what it matched, and is a finding
-    once nothing before it can match more. A part that meets a finding goes on as what is left of it.
+    once nothing before it can match more. A part that meets a finding goes on as what is left of it. Stretches of a run whose longest common
+    subsequence with the template falls short hold no finding, whatever words they share, and their parts aren't aligned.
     """
     name, want, counts = template
+    if len(want) > LONG:
+        return long_findings(words, template, least)
     need, size = math.ceil(least * len(want) - 1e-9), 2 * len(want) + GAP
-    known: dict[tuple[str, ...], list[tuple[int, int]]] = {}
+    known: dict[tuple[str, ...], list[tuple[int, int]]] = {}  # of short parts, which repeat
     taken: list[tuple[int, int]] = []
     out: list[Finding] = []
 
     def aligned(p: int, q: int) -> list[tuple[int, int]]:
         key = tuple(words[p:q])
-        if key not in known:
-            known[key] = patience(key, want)
-        return known[key]
-
-    def free(p: int, q: int) -> list[tuple[int, int]]:
-        """What findings leave of the part."""
-        left = []
-        for a, b in taken[max(0, bisect.bisect_left(taken, (p, p)) - 1) :]:
-            if a >= q:
-                break
-            if b > p:
-                left.append((p, a))
-                p = b
-        return [(a, b) for a, b in [*left, (p, q)] if a < b]
+        if key in known:
+            return known[key]
+        match = patience(key, want)
+        if len(key) <= 64 * GAP:
+            known[key] = match
+        return match
+
+    masks, stretch = masks_of(want), max(GAP, len(want) // 4)
+    hopeless: list[tuple[int, int]] = []
+
+    def possible(p: int, q: int) -> bool:
+        return longest_common(words[p:q], masks, len(want)) >= need
 
     # (matched or bound, aligned ones first of equals, length, from, to)
-    waiting = [(-bound, 1, q - p, p, q) for a, b in runs(words, counts, gap_of(want, least)) for bound, p, q in windows(words, a, b, counts, need, size)]
+    waiting = []
+    for a, b in runs(words, counts, gap_of(want, least)):
+        open_ = [(p, min(b, p + 2 * size)) for p in range(a, max(a + 1, b - size), size)]  # every part lies within one of these
+        open_ = [(p, q) for p, q in open_ if possible(p, q)]
+        if open_:
+            waiting += [(-bound, 1, q - p, p, q) for bound, p, q in windows(words, a, b, counts, need, size) if any(x <= p and q <= y for x, y in open_[max(0, bisect.bisect_right(open_, (p, b)) - 2) : bisect.bisect_right(open_, (p, b))])]
     heapq.heapify(waiting)
     while waiting:
         bound, raw, _, p, q = heapq.heappop(waiting)
-        left = free(p, q)
+        left = free(taken, p, q)
         if left != [(p, q)]:
             for a, b in left:
-                if (most := held(words[a:b], counts)) >= need:
+                if b - a >= need and (most := held(words[a:b], counts)) >= need:
                     heapq.heappush(waiting, (-most, 1, b - a, a, b))
         elif not raw:
             bisect.insort(taken, (p, q))
             out.append((name, -bound / len(want), p, q, -bound))
-        else:
+        elif not any(x <= p and q <= y for x, y in hopeless):
             match = aligned(p, q)
-            tried = [(p, match)]
-            if match and len(match) < -bound:  # what the template still has before and behind the matched words
-                (i, j), (k, m) = match[0], match[-1]
-                start = max(0, p + i - j)
-                tried.append((start, aligned(start, min(len(words), p + k + len(want) - m))))
-            at, match = max(tried, key=lambda x: len(x[1]))
-            if len(match) >= need:
-                a, b = at + match[0][0], at + match[-1][0] + 1
-                heapq.heappush(waiting, (-len(match), 0, b - a, a, b))
+            found = extended(words, want, p, q, aligned) if match and len(match) < -bound else (len(match), p + match[0][0], p + match[-1][0] + 1) if match else None
+            if found and found[0] >= need:
+                heapq.heappush(waiting, (-found[0], 0, found[2] - found[1], *found[1:]))
+            elif not possible(x := max(0, p - stretch), y := min(len(words), q + stretch)):
+                hopeless.append((x, y))
     return out
 
 
+def texts_in(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Templates by name from a folder of license files, one file each, for scan(texts=...): the bodies of whole licenses, say."""
+    return {r.path.rsplit("/", 1)[-1]: r.content.decode("utf-8", "replace") for r in spark.read.format("binaryFile").load(folder).select("path", "content").collect()}
+
+
 def scan_words(words: list[str], least: float = LEAST, known: list[Template] | None = None) -> list[tuple[str, float, int, int]]:
     """(template, coverage, first word, word behind the last) of every template's findings, best first."""
     found: list[Finding] = []
