@@ -190,3 +190,33 @@ def test_dispersion_of_a_grid_is_over_all_stays(spark):
     want = np.mean([abs(x - middle) for x in (40.0, 40.1, 41.0)]) * math.pi / 180 * 6371000
     assert out[1].dispersion_m == pytest.approx(want) and (out[1].stays, out[1].users, out[1].median_dwell_min) == (3, 2, 7.0)
     assert (out[2].stays, out[2].users, out[2].median_dwell_min, out[2].dispersion_m) == (0, 0, None, None)
+
+
+def test_hdbscan_leaves_out_only_parts_that_cannot_matter(spark):
+    from tests.test_operators import clusters_of, placed_of, plain_hdbscan
+    from trekspark.operators import hdbscan
+
+    rng = np.random.default_rng(12)
+    centres = rng.uniform(-4000, 4000, (7, 2))
+    xy = np.concatenate([centres[rng.integers(0, 7, 330)] + rng.normal(0, 30, (330, 2)), rng.uniform(-5000, 5000, (70, 2)), np.repeat(centres[:1], 20, axis=0)])
+    placed = placed_of(spark, {"u": xy})
+    trees = hdbscan.core_distances(hdbscan.dealt_blocks(placed, 32), 4).toPandas().sort_values("rank")
+    near = np.sort(((xy[:, None] - xy[None]) ** 2).sum(axis=2), axis=1)[:, 4] ** 0.5
+    assert np.allclose(trees["core"].to_numpy(), near)
+    got = clusters_of(hdbscan.cluster_placed(placed, 6, 4, 0.0, hdbscan.tree_edges(placed, 4, 32)))
+    assert got["u"] == plain_hdbscan(xy, 6, 4, 0.0)
+    assert len(set(got["u"])) > 4
+
+
+def test_most_pairs_of_parts_are_left_out():
+    import pyarrow as pa
+
+    from trekspark.operators import hdbscan
+
+    rng = np.random.default_rng(3)
+    at = rng.uniform(-20_000, 20_000, (200, 2))  # parts of 20 m width, far from each other
+    nodes = {"user_id": ["u"] * 200, "block": pa.array(range(200), pa.int32()), "part": pa.array([0] * 200, pa.int32()), "x0": at[:, 0], "x1": at[:, 0] + 20, "y0": at[:, 1], "y1": at[:, 1] + 20, "core": np.ones(200), "inner": np.full(200, 5.0)}
+    nodes["known"] = [[{"x": x + i, "y": y + j, "core": 1.0} for i, j in ((0, 9), (20, 11), (9, 0), (11, 20))] for x, y in at.tolist()]
+    cuts = {"user_id": pa.array([], pa.string()), "block": pa.array([], pa.int32()), "part": pa.array([], pa.int32()), "a_part": pa.array([], pa.int32()), "w": pa.array([], pa.float64())}
+    pairs = hdbscan.meeting(pa.table(nodes), pa.table(cuts))
+    assert 199 <= pairs.num_rows < 400  # of 19,900

@@ -134,6 +134,7 @@ def dbscan_labels(points: DataFrame, eps_m: float = 150.0, min_samples: int = 5)
     """user_id, rank, timestamp, lat, lon, cluster (dense from 0 per user in order of the first core point; null for noise).
 
     eps is inclusive and a point counts itself; a border point joins the lowest-numbered cluster that reaches it.
+    Rows without a user, place or time take no part.
     """
     return cluster_placed(written(projected(points)), eps_m, min_samples)
 
