@@ -32,7 +32,31 @@ def scratch(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+#: Scratch folders that this process has named and not cleared, in order.
+_made: list[str] = []
+
+
+def scratch_mark() -> int:
+    """A place in the order of scratch folders: those named from now on come behind it."""
+    return len(_made)
+
+
+def clear_scratch(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> int:
+    """Deletes the scratch folders named behind a mark and says how many; but for those that `keep` reads. Results that read the others must be done."""
+    files = keep.inputFiles() if keep is not None else []
+    if keep is not None and not files:  # it can't be told what it reads
+        return 0
+    gone = [path for path in _made[since:] if not any(f"/{path.rsplit('/', 1)[-1]}/" in f for f in files)]
+    for path in gone:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    _made[since:] = [path for path in _made[since:] if path not in gone]
+    return len(gone)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
