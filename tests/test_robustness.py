@@ -193,7 +193,7 @@ def test_dispersion_of_a_grid_is_over_all_stays(spark):
 
 
 def test_hdbscan_leaves_out_only_parts_that_cannot_matter(spark):
-    from tests.test_operators import clusters_of, placed_of, plain_hdbscan
+    from tests.test_operators import clusters_of, placed_of, whole_tree
     from trekspark.operators import hdbscan
 
     rng = np.random.default_rng(12)
@@ -204,7 +204,7 @@ def test_hdbscan_leaves_out_only_parts_that_cannot_matter(spark):
     near = np.sort(((xy[:, None] - xy[None]) ** 2).sum(axis=2), axis=1)[:, 4] ** 0.5
     assert np.allclose(trees["core"].to_numpy(), near)
     got = clusters_of(hdbscan.cluster_placed(placed, 6, 4, 0.0, hdbscan.tree_edges(placed, 4, 32)))
-    assert got["u"] == plain_hdbscan(xy, 6, 4, 0.0)
+    assert got["u"] == hdbscan.labels(len(xy), *whole_tree(xy, 4), 6, 0.0).tolist()
     assert len(set(got["u"])) > 4
 
 
