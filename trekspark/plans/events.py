@@ -14,7 +14,16 @@ LON = f"{D('116.4')} + {D('user_id % 7')} / {D(100)} + CASE WHEN event_type IN (
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id, timestamp, event_id, lat, lon."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("CAST(user_id AS STRING) AS user_id", "CAST(ts AS TIMESTAMP) AS timestamp", "event_id", f"{LAT} AS lat", f"{LON} AS lon")
+    return as_points(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def point_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a stream that reads the table's files."""
+    return as_points(spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/events.parquet*"))
+
+
+def as_points(table: DataFrame) -> DataFrame:
+    return table.selectExpr("CAST(user_id AS STRING) AS user_id", "CAST(ts AS TIMESTAMP) AS timestamp", "event_id", f"{LAT} AS lat", f"{LON} AS lon")
 
 
 def matched(trip_points: DataFrame, late_s: int = 1) -> DataFrame:

@@ -20,7 +20,7 @@ from .operators.graph import scratch_folder
 from .sources.readers import read_artifact
 from .sources.schema import conform
 from .sources.sinks import save_artifact
-from .streaming.trips import session_trips
+from .streaming.trips import session_trips, trips_so_far
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -143,6 +143,13 @@ def session_window_trips(spark, sf):
     return session_trips(points(spark, sf), 30.0).select("user_id", us("start_time"), us("end_time"), "points")
 
 
+@query(f"WITH {T}, wm AS (SELECT (epoch_us(max(timestamp)) // 1000 - 172800000) * 1000 AS w FROM p) SELECT user_id, trip_seq, trip_id, epoch_us(start_time) AS start_time, epoch_us(end_time) AS end_time, points, round(distance_m, 3) AS distance_m, duration_s, round(avg_speed_kmh, 5) AS avg_speed_kmh, round(start_lat, 6) AS start_lat, round(end_lon, 6) AS end_lon FROM t, wm WHERE w - epoch_us(end_time) > {int(GAP_MIN * 60_000_000)}")
+def streamed_trips(spark, sf):
+    """A stateful stream over the events: the trips that its watermark, two days behind the latest time, has closed."""
+    t = trips_so_far(events.point_stream(spark, sf), scratch_folder(spark, "stream"), GAP_MIN, 100.0, "2 days")
+    return t.select("user_id", "trip_seq", "trip_id", us("start_time"), us("end_time"), "points", rnd("distance_m", 3), "duration_s", rnd("avg_speed_kmh", 5), rnd("start_lat", 6), rnd("end_lon", 6))
+
+
 @query("\nUNION ALL\n".join(f"SELECT * FROM (WITH {numbered_sql(g, None)} SELECT CAST({g} AS DOUBLE) AS gap_min, CAST(d AS DOUBLE) AS min_distance_m, count(*) AS trips, round(median(distance_m), 3) AS median_distance_m, round(median(duration_s), 3) AS median_duration_s FROM t, (VALUES (50), (100), (250)) v(d) WHERE distance_m >= d GROUP BY d)" for g in (480, 720, 1440)))
 def trip_grid(spark, sf):
     return validate.trip_grid(points(spark, sf), (480, 720, 1440)).select("gap_min", "min_distance_m", "trips", rnd("median_distance_m", 3), rnd("median_duration_s", 3))

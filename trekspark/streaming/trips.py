@@ -122,6 +122,14 @@ def watch(spark, folder: str, schema: str, out: str, checkpoint: str, gap_min: f
     return session_trips(spark.readStream.schema(schema).parquet(folder), gap_min).writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).start(out)
 
 
+def trips_so_far(points: DataFrame, folder: str, gap_min: float = 30.0, min_distance_m: float = 100.0, late: str = "2 hours") -> DataFrame:
+    """The trips that a stream has closed once it has taken all that is there now; the stream's state stays below `folder` and it can go on from there."""
+    stream = trip_stream(points, gap_min, min_distance_m, late=late).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{folder}/state")
+    query = stream.trigger(availableNow=True).start(f"{folder}/trips")
+    query.awaitTermination()
+    return points.sparkSession.read.schema(TRIPS).parquet(f"{folder}/trips")
+
+
 def watch_trips(spark, folder: str, schema: str, out: str, checkpoint: str, gap_min: float = 30.0, min_distance_m: float = 100.0, late: str = "2 hours", files: int | None = None):
     """A running query from a folder of Parquet points to a folder of whole trips, `files` files a batch at most."""
     stream = spark.readStream.schema(schema)
