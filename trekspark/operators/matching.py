@@ -62,7 +62,8 @@ def map_match(points: DataFrame, client: Client, fail_limit: int | None = 3, tas
 
     To count failures in that order while many tasks ask at once, `tasks` of them run as one barrier stage and take the batches in turn, one each a
     round; after a round they tell each other which failed. Those that were asked in the round in which the limit was reached, but
-    stand behind it, are put back to not asked: at most `tasks` - 1 calls are made in vain.
+    stand behind it, are put back to not asked: at most `tasks` - 1 calls are made in vain. A barrier stage needs as many free cores as `tasks` (default: the
+    cluster's parallelism) and executors that aren't allocated dynamically.
     """
     from ..functions.geo import haversine_m
 
