@@ -240,7 +240,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
     schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
     def run(batches):
-        for batch in bounded(batches, text):
+        for batch in bounded(batches, text, 1 << 20):  # beside a JVM that writes whole rows
             texts = texts_of(batch, text)
             lettered = pc.match_substring_regex(texts, r"\pL").to_numpy(zero_copy_only=False)
             langs, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
