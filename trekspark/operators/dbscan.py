@@ -100,20 +100,44 @@ def _cell_links(core: DataFrame, side: float, eps: float) -> DataFrame:
     return links.union(exact.filter(F.pow(F.col("ax_") - F.col("bx_"), 2.0) + F.pow(F.col("ay_") - F.col("by_"), 2.0) <= eps * eps).select(*pair).distinct())
 
 
+def _side(eps: float) -> float:
+    return eps / math.sqrt(2.0) * (1 - 1e-9)
+
+
+def neighbourhoods(placed: DataFrame, eps: tuple[float, ...], most: int) -> DataFrame:
+    """The written rows of projected() with, for the k-th of the eps, cx{k}, cy{k} (the cell), in{k} (points of the cell) and n{k}: points within eps, known where the cell has fewer than `most`.
+
+    One join over cells of the largest eps counts for all of them: points that are in an emptier cell of any eps, a few in each of these, meet
+    the points around them once.
+    """
+    every = [(i, j) for i in range(-2, 3) for j in range(-2, 3)]
+    sized = placed
+    for k, e in enumerate(eps):
+        cell = lambda c, e=e: F.floor(F.col(c) / _side(e)).cast("long")
+        sized = sized.withColumns({f"cx{k}": cell("x"), f"cy{k}": cell("y")})
+        sized = sized.join(sized.groupBy("user_id", f"cx{k}", f"cy{k}").agg(F.count(F.lit(1)).alias(f"in{k}")), ["user_id", f"cx{k}", f"cy{k}"])
+    sized = written(sized)
+    far = max(range(len(eps)), key=lambda k: eps[k])
+    other = sized.select("user_id", F.col(f"cx{far}").alias("_cx"), F.col(f"cy{far}").alias("_cy"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    squared = F.pow(F.col("x") - F.col("x2"), 2.0) + F.pow(F.col("y") - F.col("y2"), 2.0)
+    thin = sized.filter(F.least(*[F.col(f"in{k}") for k in range(len(eps))], F.lit(most)) < most)
+    thin = _around(thin.select("user_id", "rank", "x", "y", f"cx{far}", f"cy{far}"), every, f"cx{far}", f"cy{far}")
+    counts = [F.sum((squared <= e * e).cast("long")).alias(f"n{k}") for k, e in enumerate(eps)]
+    counted = thin.join(other, ["user_id", "_cx", "_cy"]).filter(squared <= eps[far] * eps[far]).groupBy("user_id", "rank").agg(*counts)
+    return written(sized.join(counted, ["user_id", "rank"], "left"))
+
+
 def cluster_placed(placed: DataFrame, eps: float, min_samples: int) -> DataFrame:
     """The written rows of projected() with cluster; see dbscan_labels()."""
-    side = eps / math.sqrt(2.0) * (1 - 1e-9)
-    cell = lambda c: F.floor(F.col(c) / side).cast("long")
-    every = [(i, j) for i in range(-2, 3) for j in range(-2, 3)]
-    sized = placed.withColumns({"cx": cell("x"), "cy": cell("y")})
-    full = sized.groupBy("user_id", "cx", "cy").agg(F.count(F.lit(1)).alias("_in"))
-    sized = written(sized.join(full, ["user_id", "cx", "cy"]))
-    other = sized.select("user_id", F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    return cluster_counted(neighbourhoods(placed, (eps,), min_samples), 0, eps, min_samples)
+
+
+def cluster_counted(counted: DataFrame, k: int, eps: float, min_samples: int) -> DataFrame:
+    """The rows of neighbourhoods() with cluster for its k-th eps and at most its `most` samples."""
+    side, every = _side(eps), [(i, j) for i in range(-2, 3) for j in range(-2, 3)]
     within = F.pow(F.col("x") - F.col("x2"), 2.0) + F.pow(F.col("y") - F.col("y2"), 2.0) <= eps * eps
-    thin = _around(sized.filter(F.col("_in") < min_samples).select("user_id", "rank", "x", "y", "cx", "cy"), every, "cx", "cy")
-    counted = thin.join(other, ["user_id", "_cx", "_cy"]).filter(within).groupBy("user_id", "rank").agg(F.count(F.lit(1)).alias("_n"))
-    marked = sized.join(counted, ["user_id", "rank"], "left").withColumn("core", (F.col("_in") >= min_samples) | (F.coalesce("_n", F.lit(0)) >= min_samples))
-    marked = written(marked.drop("_in", "_n"))
+    core = (F.col(f"in{k}") >= min_samples) | (F.coalesce(F.col(f"n{k}"), F.lit(0)) >= min_samples)
+    marked = counted.select("user_id", "rank", "timestamp", "lat", "lon", "x", "y", F.col(f"cx{k}").alias("cx"), F.col(f"cy{k}").alias("cy"), core.alias("core"))
     core = marked.filter("core")
     links = _cell_links(core.select("user_id", "x", "y"), side, eps)
     vertex = lambda x, y: F.struct("user_id", F.col(x).alias("x"), F.col(y).alias("y"))

@@ -192,9 +192,9 @@ def _stay_rows(cells: list[tuple[dict, DataFrame]]) -> DataFrame:
 
 
 def dbscan_grid(points: DataFrame, eps: tuple[float, ...] = (100, 150, 200), samples: tuple[int, ...] = (3, 5, 8)) -> DataFrame:
-    """eps_m, min_samples and a summary of the stays they give; points are placed once for all."""
-    placed = written(dbscan.projected(points))
-    return _stay_rows([({"eps_m": float(e), "min_samples": m}, stay_table(dbscan.cluster_placed(placed, e, m))) for e in eps for m in samples])
+    """eps_m, min_samples and a summary of the stays they give; points are placed, and their neighbours counted, once for all."""
+    counted = dbscan.neighbourhoods(written(dbscan.projected(points)), tuple(eps), max(samples))
+    return _stay_rows([({"eps_m": float(e), "min_samples": m}, stay_table(dbscan.cluster_counted(counted, k, e, m))) for k, e in enumerate(eps) for m in samples])
 
 
 def hdbscan_grid(points: DataFrame, sizes: tuple[int, ...] = (5, 8, 12), samples: tuple[int | None, ...] = (None, 5, 8), epsilons: tuple[float, ...] = (0.0, 25.0, 50.0)) -> DataFrame:
