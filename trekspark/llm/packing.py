@@ -33,7 +33,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int =
     """
 
     def run(batches):
-        for batch in bounded(batches):
+        for batch in bounded(batches, limit=2 << 20):  # beside a JVM that has grown in the stages before
             ids, at = with_end(*encoder(tokenizer).batch(texts_of(batch)), end_id)
             raw = ids.astype("<u4").tobytes()
             n = np.diff(at)
