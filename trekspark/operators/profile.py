@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_m
+from .graph import written
 
 FEATURES = ["total_trips", "median_trip_distance_km", "median_trip_duration_min", "radius_of_gyration_km", "fraction_time_home", "fraction_time_work", "routine_index", "average_daily_distance_km"]
 
@@ -40,7 +41,11 @@ def stay_shares(stays: DataFrame, assignments: DataFrame) -> DataFrame:
 
 
 def user_features(points: DataFrame, trips: DataFrame, stays: DataFrame | None = None, assignments: DataFrame | None = None) -> DataFrame:
-    """A row per user of any of the tables: trips, medians, radius of gyration, home and work shares, routine, mean of the daily distances."""
+    """A row per user of any of the tables: trips, medians, radius of gyration, home and work shares, routine, mean of the daily distances.
+
+    Points and trips are written once: each is read by several branches, whose windows and joins would all sort in one task at a time.
+    """
+    points, trips = written(points.select("user_id", "timestamp", "lat", "lon")), written(trips.select("user_id", "start_time", "distance_m", "duration_s"))
     users = points.select("user_id").union(trips.select("user_id")).distinct()
     per_trip = trips.groupBy("user_id").agg(F.count(F.lit(1)).cast("int").alias("total_trips"), (F.median("distance_m") / 1000.0).alias("median_trip_distance_km"), (F.median("duration_s") / 60.0).alias("median_trip_duration_min"))
     daily = trips.groupBy("user_id", F.to_date(F.col("start_time").cast("timestamp")).alias("day")).agg(F.sum("distance_m").alias("d")).groupBy("user_id").agg((F.avg("d") / 1000.0).alias("average_daily_distance_km"))
@@ -56,8 +61,10 @@ def user_features(points: DataFrame, trips: DataFrame, stays: DataFrame | None =
 def segment_users(features: DataFrame, k: int = 4, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(features with segment, centres in the features' units): k-means on standardised features, nulls by the median.
 
-    Columns that are null throughout are left out. Segments are numbered by their centres in ascending order.
+    Columns that are null throughout are left out. Segments are numbered by their centres in ascending order. The features, a row
+    per user, are written first, for every step of the fit reads them.
     """
+    features = written(features)
     counts = features.agg(*[F.count(c).alias(c) for c in FEATURES]).first()
     used = [c for c in FEATURES if counts[c]]
     df = features.withColumns({c: F.col(c).cast("double") for c in used})
