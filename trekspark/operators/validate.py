@@ -8,9 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import BooleanType, DoubleType
 
-from ..functions.geo import haversine_m
+from ..functions.geo import EARTH_M, haversine_m
 from ..functions.scalar import seconds_between
 from . import dbscan, hdbscan
 from .graph import written
@@ -223,15 +223,46 @@ def matching_pairs(points: DataFrame, matched: DataFrame) -> DataFrame:
     return _stepped(both.withColumns({"drift_s": drift, "offset_m": offset}))
 
 
+#: Relative difference of two steps below which the last bits of sines and cosines may tell which is longer.
+TIE = 1e-9
+
+
+def _metres(a: float, o: float, b: float, p: float) -> float:
+    """haversine_m() by the C library, as SQL engines have it."""
+    k = math.pi / 180
+    h = math.pow(math.sin((b * k - a * k) / 2), 2) + math.cos(a * k) * math.cos(b * k) * math.pow(math.sin((p * k - o * k) / 2), 2)
+    return 2.0 * EARTH_M * math.atan2(math.sqrt(h), math.sqrt(1 - h))
+
+
+@F.pandas_udf(BooleanType())
+def _no_longer(a: pd.Series, o: pd.Series, b: pd.Series, p: pd.Series, sa: pd.Series, so: pd.Series, sb: pd.Series, sp: pd.Series) -> pd.Series:
+    """Whether the second of two steps is no longer than the first; null where a is."""
+    out = pd.Series([None] * len(a), dtype="object")
+    for i in np.flatnonzero(a.notna()):
+        out[i] = _metres(sa[i], so[i], sb[i], sp[i]) <= _metres(a[i], o[i], b[i], p[i])
+    return out
+
+
 def _stepped(both: DataFrame) -> DataFrame:
+    """Pairs with place, raw_step, snapped_step and shorter (whether the matched step is no longer than the raw one, null if either is missing).
+
+    A trip whose two places are moved alike has steps of the same length but for the last bits, in which the JVM's sines differ from the C library's; such
+    steps, some in a hundred, are compared by the latter's.
+    """
     w = Window.partitionBy("trip_id").orderBy("seq")
-    step = lambda a, o: haversine_m(F.lag(a).over(w), F.lag(o).over(w), F.col(a), F.col(o))
-    return both.withColumns({"place": F.row_number().over(w) - 1, "raw_step": step("lat", "lon"), "snapped_step": step("snapped_lat", "snapped_lon")})
+    ends = [F.lag(c).over(w).alias(f"_{c}") for c in ("lat", "lon", "snapped_lat", "snapped_lon")]
+    df = both.select("*", (F.row_number().over(w) - 1).alias("place"), *ends)
+    step = lambda a, o: haversine_m(F.col(f"_{a}"), F.col(f"_{o}"), F.col(a), F.col(o))
+    df = df.withColumns({"raw_step": step("lat", "lon"), "snapped_step": step("snapped_lat", "snapped_lon")})
+    close = F.abs(F.col("snapped_step") - F.col("raw_step")) <= TIE * F.col("raw_step")
+    sides = [F.when(close, F.col(f"{m}{c}")) for s in ("", "snapped_") for m in ("_", "") for c in (f"{s}lat", f"{s}lon")]
+    df = df.withColumn("shorter", F.coalesce(_no_longer(*sides), F.col("snapped_step") <= F.col("raw_step")))
+    return df.drop("_lat", "_lon", "_snapped_lat", "_snapped_lon")
 
 
 def _better() -> Column:
     """Whether a matched step is no longer than the raw one, not so if either is missing; null for a trip's first point."""
-    return F.when(F.col("place") > 0, F.coalesce(F.col("snapped_step") <= F.col("raw_step"), F.lit(False)).cast("double"))
+    return F.when(F.col("place") > 0, F.coalesce("shorter", F.lit(False)).cast("double"))
 
 
 def matching_by_trip(pairs: DataFrame) -> DataFrame:
