@@ -7,12 +7,15 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import written
+from .lots import whole_groups
 from .ranks import running_sums
 
 MATCHED = "user_id string, trip_id string, seq int, snapped_lat double, snapped_lon double, snapped_time timestamp, confidence double, matched boolean, asked boolean, lateral_offset_m double"
@@ -71,10 +74,11 @@ def map_match(points: DataFrame, client: Client, fail_limit: int | None = 3, tas
     df = batch_key(points).filter("lat IS NOT NULL AND lon IS NOT NULL AND timestamp IS NOT NULL")
     ties = [c for c in ("event_id", "source_file") if c in df.columns]
     df = df.select("user_id", "trip_id", "lat", "lon", F.col("timestamp").cast("timestamp").alias("timestamp"), F.struct("timestamp", *ties, "lat", "lon").alias("_order"), F.floor(F.unix_micros(F.col("timestamp").cast("timestamp")) / 1_000_000).alias("_at"))
-    df = df.withColumn("seq", (F.row_number().over(Window.partitionBy("user_id", "trip_id").orderBy("_order")) - 1).cast("int")).drop("_order")
-    if fail_limit is None:
-        out = df.groupBy("user_id", "trip_id").applyInPandas(lambda pdf: _placed(pdf, _ask(client, pdf) if len(pdf) > 1 else None, len(pdf) > 1), PLACED)
+    if fail_limit is None:  # batches are small, so a task takes its sorted rows in lots of whole ones, not a call of its own for each
+        sorted_rows = df.repartition("user_id", "trip_id").sortWithinPartitions("user_id", "trip_id", "_order").drop("_order")
+        out = sorted_rows.mapInArrow(lambda batches: (_answered(table, starts, client) for table, starts in whole_groups(batches, ["user_id", "trip_id"])), PLACED)
     else:
+        df = df.withColumn("seq", (F.row_number().over(Window.partitionBy("user_id", "trip_id").orderBy("_order")) - 1).cast("int")).drop("_order")
         df = written(df)
         several = df.groupBy("user_id", "trip_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").withColumn("_all", F.lit(1))
         numbered = written(running_sums(several, ["_all"], ["user_id", "trip_id"], {"_batch": F.lit(1)}).select(F.col("user_id").alias("_u"), F.col("trip_id").alias("_t"), (F.col("_batch") - 1).alias("_batch")))
@@ -92,6 +96,23 @@ def map_match(points: DataFrame, client: Client, fail_limit: int | None = 3, tas
 PLACED = "user_id string, trip_id string, lat double, lon double, timestamp timestamp, seq int, snapped_lat double, snapped_lon double, confidence double, matched boolean, asked boolean"
 
 
+def _answered(table: pa.Table, starts: np.ndarray, client: Client) -> pa.RecordBatch:
+    """PLACED of a lot of whole batches in order, each of two points at least asked for by itself."""
+    lat, lon, at = (table[c].to_pylist() for c in ("lat", "lon", "_at"))
+    places, sure, asked, seq = [], [], [], []
+    for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        n = hi - lo
+        answer = client(lat[lo:hi], lon[lo:hi], at[lo:hi]) if n > 1 else None
+        found, confidence = answer or ([None] * n, None)
+        places += found
+        sure += [None if f is None else confidence for f in found]
+        asked += [n > 1] * n
+        seq += range(n)
+    snapped = [[own if f is None else f[k] for f, own in zip(places, column)] for k, column in enumerate((lat, lon))]
+    columns = [*(table[c] for c in ("user_id", "trip_id", "lat", "lon", "timestamp")), pa.array(seq, pa.int32()), *(pa.array(c, pa.float64()) for c in (*snapped, sure)), pa.array([f is not None for f in places]), pa.array(asked)]
+    return pa.table(columns, names=[c.split()[0] for c in PLACED.split(", ")]).combine_chunks().to_batches()[0]
+
+
 def _placed(pdf: pd.DataFrame, answer, asked: bool) -> pd.DataFrame:
     """PLACED of a batch's points and the service's answer."""
     pdf = pdf.sort_values("seq")
