@@ -3,7 +3,8 @@
 Cells have a diagonal of eps, so points of one cell are neighbours. A cell with `min_samples` points is core without any
 comparison; only points of emptier cells, a few in each, are compared with the points around them. Clusters are components
 of cells, not of points: two cells are joined if a core point of one reaches a core point of the other, which boxes around
-their points settle in all but a few cases; undecided boxes are quartered until they are settled.
+their points settle in all but a few cases; undecided boxes are quartered until they are settled. So users of many points are worked by many
+tasks; those of few points, which are most, are labelled many in a task, by their own distances.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import to_plane
 from .graph import components, written
+from .lots import SMALL, by_size, labelled_lots, setting
 from .ranks import running_sums, split_quantiles
 
 #: Times that undecided boxes are divided by 4 x 4 before their different points are compared.
@@ -127,9 +129,55 @@ def neighbourhoods(placed: DataFrame, eps: tuple[float, ...], most: int) -> Data
     return written(sized.join(counted, ["user_id", "rank"], "left"))
 
 
+def cluster_grid(placed: DataFrame, eps: tuple[float, ...], samples: tuple[int, ...], most: int = SMALL) -> list[DataFrame]:
+    """For each eps and each number of samples the written rows of projected() with cluster.
+
+    Users of at most `most` points are bounded blocks: they are shuffled once, for all settings, and labelled many in a task; larger ones go by cells.
+    """
+    small, large = by_size(placed, most)
+    lots = labelled_lots(small, lambda xy, starts: small_labels(xy, starts, eps, samples))
+    out = [setting(lots, k) for k in range(len(eps) * len(samples))]
+    if large is not None:
+        counted = neighbourhoods(written(large), tuple(eps), max(samples))
+        cells = [cluster_counted(counted, k, e, m) for k, e in enumerate(eps) for m in samples]
+        out = [a.unionByName(b.withColumn("cluster", F.col("cluster").cast("int"))) for a, b in zip(out, cells)]
+    return out
+
+
+def small_labels(xy: np.ndarray, starts: np.ndarray, eps: tuple[float, ...], samples: tuple[int, ...]) -> np.ndarray:
+    """The clusters of the points of users that begin at these places, a column for each eps and number of samples, -1 for noise."""
+    out = np.full((len(xy), len(eps) * len(samples)), -1, np.int32)
+    for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        x, y = xy[lo:hi, 0], xy[lo:hi, 1]
+        apart = (x[:, None] - x) ** 2 + (y[:, None] - y) ** 2
+        for i, e in enumerate(eps):
+            near = apart <= e * e
+            count = near.sum(axis=1)
+            for j, m in enumerate(samples):
+                out[lo:hi, i * len(samples) + j] = _flooded(near, count >= m)
+    return out
+
+
+def _flooded(near: np.ndarray, core: np.ndarray) -> np.ndarray:
+    """Clusters in order of their first core point; a border point stays with the first that reaches it."""
+    out, number = np.full(len(near), -1, np.int32), 0
+    for i in np.flatnonzero(core).tolist():
+        if out[i] >= 0:
+            continue
+        inside = np.zeros(len(near), bool)
+        front = np.array([i])
+        while len(front):
+            fresh = near[front].any(axis=0) & ~inside
+            inside |= fresh
+            front = np.flatnonzero(fresh & core)
+        out[inside & (out < 0)] = number
+        number += 1
+    return out
+
+
 def cluster_placed(placed: DataFrame, eps: float, min_samples: int) -> DataFrame:
     """The written rows of projected() with cluster; see dbscan_labels()."""
-    return cluster_counted(neighbourhoods(placed, (eps,), min_samples), 0, eps, min_samples)
+    return cluster_grid(placed, (eps,), (min_samples,))[0]
 
 
 def cluster_counted(counted: DataFrame, k: int, eps: float, min_samples: int) -> DataFrame:

@@ -13,6 +13,8 @@ a user's parts, some rows for each block, meets in one task.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .dbscan import projected
 from .graph import written
+from .lots import SMALL, by_size, labelled_lots, setting
 from .ranks import running_sums
 
 #: Points of a block, edges that one task thins or merges at a time, and parts that a block's tree is cut into at most.
@@ -376,9 +379,96 @@ def tree_edges(placed: DataFrame, k: int, block: int = BLOCK, most: int = EDGES)
         edges = written(apart.groupBy("user_id", "part").applyInArrow(thin, LINKS).union(edges.join(crowded, "user_id", "left_anti")))
 
 
+def cluster_grid(placed: DataFrame, settings: list[tuple[int, int, float]], most: int = SMALL) -> list[DataFrame]:
+    """For each (min_cluster_size, min_samples, epsilon_m) the written rows of projected() with cluster.
+
+    Users of at most `most` points, a block, are shuffled once, for all settings, and labelled many in a task; larger ones go by blocks.
+    """
+    small, large = by_size(placed, most)
+    lots = labelled_lots(small, lambda xy, starts: small_labels(xy, starts, settings))
+    out = [setting(lots, k) for k in range(len(settings))]
+    if large is not None:
+        large = written(large)
+        edges = {k: tree_edges(large, k) for k in sorted({k for _, k, _ in settings})}
+        out = [a.unionByName(cluster_placed(large, c, k, e, edges[k])) for a, (c, k, e) in zip(out, settings)]
+    return out
+
+
+#: Distances that are held at a time for small users' trees.
+PAIRS = 1 << 21
+
+
+def small_trees(xy: np.ndarray, starts: np.ndarray, ks: list[int]) -> Iterator[tuple[int, dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]]]:
+    """The number of each user of two points at least, and for each k its spanning tree as of spanning(); users of like size take each step together."""
+    sizes = np.diff(starts)
+    order = np.argsort(sizes, kind="stable")
+    order = order[sizes[order] > 1]
+    at = 0
+    while at < len(order):
+        take = 1
+        while at + take < len(order) and (take + 1) * int(sizes[order[at + take]]) ** 2 <= PAIRS:
+            take += 1
+        users = order[at : at + take]
+        at += take
+        n = sizes[users]
+        m = int(n[-1])
+        there = np.arange(m) < n[:, None]
+        place = np.where(there, starts[users][:, None] + np.arange(m), 0)
+        x, y = (np.where(there, xy[place, c], np.inf) for c in (0, 1))
+        with np.errstate(invalid="ignore"):
+            squared = (x[:, :, None] - x[:, None]) ** 2 + (y[:, :, None] - y[:, None]) ** 2
+        squared[~(there[:, :, None] & there[:, None])] = np.inf
+        own = np.arange(m)
+        squared[:, own, own] = np.inf
+        nearest_first = np.partition(squared, sorted({min(k, m - 1) - 1 for k in ks}), axis=2)[:, :, : min(max(ks), m - 1)]
+        apart = np.sqrt(squared)
+        found = {}
+        for k in ks:
+            which = np.minimum(k, n - 1) - 1
+            short = np.flatnonzero(which < min(k, m - 1) - 1)
+            core = np.sqrt(nearest_first[:, :, min(k, m - 1) - 1])
+            for i in short.tolist():  # fewer points than k: the farthest one
+                core[i] = np.sqrt(np.sort(squared[i], axis=1)[:, which[i]])
+            found[k] = _trees_together(np.maximum(np.maximum(apart, core[:, :, None]), core[:, None]), n)
+        for i, user in enumerate(users.tolist()):
+            yield user, {k: tuple(v[i, : n[i] - 1] for v in found[k]) for k in ks}
+
+
+def _trees_together(reach: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ends and lengths of the spanning trees of many users, n points each, from their lengths (users, points, points)."""
+    users, m = reach.shape[:2]
+    row = np.arange(users)
+    done = np.arange(m) >= n[:, None]
+    done[:, 0] = True
+    best, source = reach[:, 0].copy(), np.zeros((users, m), np.int64)
+    best[done] = np.inf
+    a, b, w = np.zeros((users, m - 1), np.int64), np.zeros((users, m - 1), np.int64), np.full((users, m - 1), np.inf)
+    for s in range(m - 1):
+        last = best.argmin(axis=1)
+        a[:, s], b[:, s], w[:, s] = source[row, last], last, best[row, last]
+        done[row, last] = True
+        step = reach[row, last]
+        closer = (step < best) & ~done
+        best = np.where(closer, step, best)
+        best[done] = np.inf
+        source = np.where(closer, last[:, None], source)
+    return a, b, w
+
+
+def small_labels(xy: np.ndarray, starts: np.ndarray, settings: list[tuple[int, int, float]]) -> np.ndarray:
+    """The clusters of the points of users that begin at these places, a column for each setting, -1 for noise."""
+    out = np.full((len(xy), len(settings)), -1, np.int32)
+    for user, trees in small_trees(xy, starts, sorted({k for _, k, _ in settings})):
+        lo, hi = int(starts[user]), int(starts[user + 1])
+        for j, (least, k, epsilon) in enumerate(settings):
+            out[lo:hi, j] = labels(hi - lo, *trees[k], least, epsilon)
+    return out
+
+
 def cluster_placed(placed: DataFrame, min_cluster_size: int = 5, min_samples: int | None = None, epsilon_m: float = 0.0, edges: DataFrame | None = None) -> DataFrame:
     """The written rows of projected() with cluster; see hdbscan_labels(). `edges` are those of tree_edges() if they are there already."""
-    edges = tree_edges(placed, min_samples or min_cluster_size) if edges is None else edges
+    if edges is None:
+        return cluster_grid(placed, [(min_cluster_size, min_samples or min_cluster_size, epsilon_m)])[0]
 
     def label(points: pa.Table, links: pa.Table) -> pa.Table:
         rank = np.sort(points["rank"].to_numpy())

@@ -193,16 +193,15 @@ def _stay_rows(cells: list[tuple[dict, DataFrame]]) -> DataFrame:
 
 def dbscan_grid(points: DataFrame, eps: tuple[float, ...] = (100, 150, 200), samples: tuple[int, ...] = (3, 5, 8)) -> DataFrame:
     """eps_m, min_samples and a summary of the stays they give; points are placed, and their neighbours counted, once for all."""
-    counted = dbscan.neighbourhoods(written(dbscan.projected(points)), tuple(eps), max(samples))
-    return _stay_rows([({"eps_m": float(e), "min_samples": m}, stay_table(dbscan.cluster_counted(counted, k, e, m))) for k, e in enumerate(eps) for m in samples])
+    cells = [{"eps_m": float(e), "min_samples": m} for e in eps for m in samples]
+    return _stay_rows([(cell, stay_table(rows)) for cell, rows in zip(cells, dbscan.cluster_grid(written(dbscan.projected(points)), tuple(eps), tuple(samples)))])
 
 
 def hdbscan_grid(points: DataFrame, sizes: tuple[int, ...] = (5, 8, 12), samples: tuple[int | None, ...] = (None, 5, 8), epsilons: tuple[float, ...] = (0.0, 25.0, 50.0)) -> DataFrame:
     """min_cluster_size, min_samples (-1 for none), epsilon_m and a summary of the stays they give; points are placed once, and trees are made once for each number of samples."""
-    placed = written(dbscan.projected(points))
-    edges = {k: hdbscan.tree_edges(placed, k) for k in sorted({m or c for c in sizes for m in samples})}
-    stays = lambda c, m, e: stay_table(hdbscan.cluster_placed(placed, c, m, e, edges[m or c]), "hdbstay")
-    return _stay_rows([({"min_cluster_size": c, "min_samples": -1 if m is None else m, "epsilon_m": float(e)}, stays(c, m, e)) for c in sizes for m in samples for e in epsilons])
+    cells = [(c, m, float(e)) for c in sizes for m in samples for e in epsilons]
+    found = hdbscan.cluster_grid(written(dbscan.projected(points)), [(c, m or c, e) for c, m, e in cells])
+    return _stay_rows([({"min_cluster_size": c, "min_samples": -1 if m is None else m, "epsilon_m": e}, stay_table(rows, "hdbstay")) for (c, m, e), rows in zip(cells, found)])
 
 
 def _union(rows: list[DataFrame]) -> DataFrame:
