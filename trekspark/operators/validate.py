@@ -176,7 +176,7 @@ def trip_grid(points: DataFrame, gaps: tuple[float, ...] = (10, 20, 30, 45), dis
 
 
 def _stay_rows(cells: list[tuple[dict, DataFrame]]) -> DataFrame:
-    """For each cell of a grid its parameters, stays, users, median dwell and the dispersion of all its stays' centres; all cells are written, ranked and spread together.
+    """For each cell of a grid its parameters, stays, users, median dwell, the dispersion of all its stays' centres and the median of the users' own; all cells are written, ranked and spread together.
 
     A cell without stays has 0 and nulls.
     """
@@ -186,7 +186,8 @@ def _stay_rows(cells: list[tuple[dict, DataFrame]]) -> DataFrame:
     dwell = split_quantiles(stays, names, "dwell_minutes", (0.5,)).select(*names, F.col("q")[0].alias("median_dwell_min"))
     grid = stays.sparkSession.createDataFrame([tuple(params.values()) for params, _ in cells], stays.select(*names).schema)
     out = grid
-    for part in (counts, dwell, dispersion(stays, *names, few=True)):
+    own = split_quantiles(written(dispersion(stays, *names, "user_id")), names, "dispersion_m", (0.5,)).select(*names, F.col("q")[0].alias("median_dispersion_m"))
+    for part in (counts, dwell, dispersion(stays, *names, few=True), own):
         out = out.join(part, names, "left")
     return out.na.fill(0, ["stays", "users"])
 

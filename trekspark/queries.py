@@ -670,12 +670,13 @@ def cross_user(spark, sf):
 
 def _grid_sql(eps: float, least: int) -> str:
     disp = f"(SELECT avg({hav('la', 'lo', 'ma', 'mo')}) FROM (SELECT *, avg(la) OVER () AS ma, avg(lo) OVER () AS mo FROM sr))"
-    return f"SELECT * FROM (WITH RECURSIVE {M}, {dbscan_sql(eps, least)}, sr AS (SELECT {STAY_ROWS}) SELECT CAST({eps} AS DOUBLE) AS eps_m, {least} AS min_samples, count(*) AS stays, count(DISTINCT user_id) AS users, round(median((epoch_us(en) - epoch_us(st)) / 60e6), 4) AS median_dwell_min, round({disp}, 3) AS dispersion_m FROM sr)"
+    each = f"(SELECT median(dp) FROM (SELECT user_id, avg({hav('la', 'lo', 'ma', 'mo')}) AS dp FROM (SELECT *, avg(la) OVER (PARTITION BY user_id) AS ma, avg(lo) OVER (PARTITION BY user_id) AS mo FROM sr) GROUP BY user_id))"
+    return f"SELECT * FROM (WITH RECURSIVE {M}, {dbscan_sql(eps, least)}, sr AS (SELECT {STAY_ROWS}) SELECT CAST({eps} AS DOUBLE) AS eps_m, {least} AS min_samples, count(*) AS stays, count(DISTINCT user_id) AS users, round(median((epoch_us(en) - epoch_us(st)) / 60e6), 4) AS median_dwell_min, round({disp}, 3) AS dispersion_m, round({each}, 3) AS median_dispersion_m FROM sr)"
 
 
 @query("\nUNION ALL\n".join(_grid_sql(e, m) for e in (100, 150) for m in (3, 5)))
 def dbscan_grid(spark, sf):
-    return validate.dbscan_grid(moved(spark, sf), (100.0, 150.0), (3, 5)).select("eps_m", "min_samples", "stays", "users", rnd("median_dwell_min"), rnd("dispersion_m", 3))
+    return validate.dbscan_grid(moved(spark, sf), (100.0, 150.0), (3, 5)).select("eps_m", "min_samples", "stays", "users", rnd("median_dwell_min"), rnd("dispersion_m", 3), rnd("median_dispersion_m", 3))
 
 
 @query()
