@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,7 +55,7 @@ class Track:
     def take(self, point: tuple) -> Iterator[tuple]:
         us, _, lat, lon = point
         before_us, before_lat, before_lon = self.last
-        step = 0.0 if before_us is None or None in (lat, lon, before_lat, before_lon) else float(metres(before_lat, before_lon, lat, lon))
+        step = 0.0 if before_us is None or None in (lat, lon, before_lat, before_lon) else metres(before_lat, before_lon, lat, lon)
         pause = 0.0 if before_us is None else (us - before_us) / 1e6
         self.last = (us, lat, lon)
         if self.cap is not None and pause > 0 and step / pause * 3.6 > self.cap:
@@ -75,9 +76,13 @@ class Track:
 
 
 def metres(a_lat: float, a_lon: float, b_lat: float, b_lon: float) -> float:
-    a, b = np.radians(a_lat), np.radians(b_lat)
-    h = np.sin((b - a) / 2) ** 2 + np.cos(a) * np.cos(b) * np.sin((np.radians(b_lon) - np.radians(a_lon)) / 2) ** 2
-    return 2.0 * EARTH_M * np.arctan2(np.sqrt(h), np.sqrt(1 - h))
+    """Great-circle metres between two places; not a number where there is none."""
+    try:
+        a, b = math.radians(a_lat), math.radians(b_lat)
+        h = math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin((math.radians(b_lon) - math.radians(a_lon)) / 2) ** 2
+        return 2.0 * EARTH_M * math.atan2(math.sqrt(h), math.sqrt(1 - h))
+    except ValueError:  # an infinite coordinate
+        return math.nan
 
 
 def trip_stream(points: DataFrame, gap_min: float = 30.0, min_distance_m: float = 100.0, max_speed_kmh: float | None = 200.0, late: str = "2 hours") -> DataFrame:
@@ -100,9 +105,11 @@ def trip_stream(points: DataFrame, gap_min: float = 30.0, min_distance_m: float
         track = Track(gap_us, max_speed_kmh, state.get if state.exists else None)
         passed = state.getCurrentWatermarkMs() * 1000
         for batch in batches:
-            fresh = batch[batch["_us"] > passed]
-            numbers = lambda c: [None if pd.isna(v) else float(v) for v in fresh[c]]
-            track.waiting.extend(zip(map(int, fresh["_us"]), map(int, fresh["event_id"].fillna(0)), numbers("lat"), numbers("lon")))
+            us, number = batch["_us"].to_numpy(), batch["event_id"]
+            fresh = us > passed
+            numbers = lambda c: [None if v != v else v for v in batch[c].to_numpy(float)[fresh].tolist()]
+            own = (number.fillna(0) if number.hasnans else number).to_numpy()[fresh]
+            track.waiting.extend(zip(us[fresh].tolist(), map(int, own.tolist()), numbers("lat"), numbers("lon")))
         done = [t for t in track.settle(passed) if t[4] >= min_distance_m]
         wake = track.waiting[0][0] if track.waiting else track.kept_us + int(gap_us) if track.trip else None
         state.update(track.packed())
