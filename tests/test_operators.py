@@ -1,8 +1,10 @@
 """Stays, joins, paths, sources and models on small tables."""
 
+import itertools
 from datetime import datetime, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -275,6 +277,31 @@ def test_closest_paths_agree_with_all_pairs_of_points_and_paths(spark, monkeypat
     assert not paths.closest_paths(m, b.filter("path_id = '40.00:116.00'"), reach).count()
 
 
+def test_paths_of_the_same_vertices_are_compared_once(spark, monkeypatch):
+    compared, within = [], paths._best_within
+    monkeypatch.setattr(paths, "_best_within", lambda trips, some, reach: compared.append(some.count()) or within(trips, some, reach))
+    places = ("40.01:116.01", "40.00:116.00", "40.02:116.02")
+    whole = [";".join(p) for k in (3, 4, 5) for p in itertools.product(places, repeat=k) if set(p) == set(places)]
+    b = spark.createDataFrame([(p,) for p in [*whole, ";".join(places[:2]), ";".join(places[:1] * 2)]], "path_id string")
+    rows = [("u", f"u-{t}", i, None, 40.02 + i / 1e5, 116.02) for t in range(3) for i in range(4)]
+    m = spark.createDataFrame(rows, "user_id string, trip_id string, seq int, snapped_time timestamp, snapped_lat double, snapped_lon double")
+    got = paths.closest_paths(m, b).collect()
+    assert len(whole) > 100 and compared == [3]
+    assert len(got) == 12 and {r.path_id for r in got} == {min(whole)}
+
+
+def test_trips_of_one_length_are_measured_together(monkeypatch):
+    calls, distances = [], paths._distances
+    monkeypatch.setattr(paths, "_distances", lambda *a: calls.append(len(a[0])) or distances(*a))
+    place = lambda a, o: {"lat": 40 + a / 100, "lon": 116 + o / 100}
+    pts = [[place(t % 5, k) for k in range(3 if t % 2 else 4)] for t in range(200)]
+    v = [[place(a, 0), place(a, 1), place(a, 5)] for a in range(5)]
+    got = paths._medians(pa.table({"trip_id": [f"u-{t}" for t in range(200)], "pts": pts}).slice(3), pa.table({"path_id": list("edcba"), "v": v}))
+    assert sorted(calls) == [99 * 3, 98 * 4]
+    assert got["trip_id"].to_pylist() == [f"u-{t}" for t in range(3, 200)]
+    assert got["path_id"].to_pylist() == ["edcba"[t % 5] for t in range(3, 200)]
+
+
 def test_plt_and_label_files(spark, tmp_path):
     folder = tmp_path / "007" / "Trajectory"
     folder.mkdir(parents=True)

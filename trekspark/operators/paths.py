@@ -87,11 +87,13 @@ def closest_paths(matched: DataFrame, baseline: DataFrame, first_m: float = FIRS
     The closest path has the lowest median deviation over the trip (ties: the smaller id). A median of r or less needs a vertex within r of half of the
     trip's points, so an index of the cells around the paths' vertices tells which paths can have one; trips and paths
     meet by cell, in bounded groups, and nothing is sent to all tasks. A trip whose best median is within r is settled, for no other path
-    can come closer; the others go on with a longer reach, at last the whole earth. Points without coordinates and, where no baseline path has two
+    can come closer; the others go on with a longer reach, at last the whole earth. Paths of the same vertices, in whatever order and number, are equally
+    far from every point, so only the smallest id among them is compared. Points without coordinates and, where no baseline path has two
     vertices, all points are left out.
     """
     points = matched.filter("snapped_lat IS NOT NULL AND snapped_lon IS NOT NULL").select("user_id", "trip_id", "seq", "snapped_time", "snapped_lat", "snapped_lon")
-    paths = written(baseline.select("path_id", decoded(F.col("path_id")).alias("v")).filter(F.size("v") >= 2).dropDuplicates(["path_id"]))
+    paths = baseline.select("path_id", decoded(F.col("path_id")).alias("v")).filter(F.size("v") >= 2)
+    paths = written(paths.groupBy(F.array_sort(F.array_distinct("v")).alias("v")).agg(F.min("path_id").alias("path_id")))
     left = written(points.groupBy("trip_id").agg(F.collect_list(F.struct(F.col("snapped_lat").alias("lat"), F.col("snapped_lon").alias("lon"))).alias("pts")))
     found, reach = left.select("trip_id", F.lit("").alias("path_id")).limit(0), first_m
     while not (paths.isEmpty() or left.isEmpty()):
@@ -137,30 +139,47 @@ def _best_within(trips: DataFrame, paths: DataFrame, reach: float) -> DataFrame:
 
 
 def _medians(trips: pa.Table, paths: pa.Table) -> pa.Table:
-    """The lowest median of each trip over the paths (ties: the smaller id). Vertices that paths share are measured once."""
+    """The lowest median of each trip over the paths (ties: the smaller id). Trips of one length are measured together, and vertices that paths share once."""
     if not (trips.num_rows and paths.num_rows):  # a lot or block that no id fell into
         return pa.table({"trip_id": pa.array([], pa.string()), "m": pa.array([], pa.float64()), "path_id": pa.array([], pa.string())})
-    order = np.argsort(np.array(paths["path_id"].to_pylist()), kind="stable")
-    names = np.array(paths["path_id"].to_pylist())[order]
-    lists = paths["v"].combine_chunks().take(pa.array(order))
-    sizes = np.diff(lists.offsets.to_numpy())
-    vertices = lists.flatten()
-    places, which = np.unique(np.radians(np.column_stack([vertices.field(c).to_numpy() for c in ("lat", "lon")])), axis=0, return_inverse=True)
-    which, cut = which.reshape(-1), np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    out_m, out_path = [], []
-    for pts in trips["pts"].combine_chunks():
-        own = pts.values
-        lat, lon = (np.radians(own.field(c).to_numpy()) for c in ("lat", "lon"))
-        n = len(lat)
-        near = np.empty((n, len(names)))
-        room = max(1, CELLS // max(len(which), 1))
-        for k in range(0, n, room):
-            near[k : k + room] = np.minimum.reduceat(_distances(lat[k : k + room], lon[k : k + room], places)[:, which], cut, axis=1)
-        medians = np.median(near, axis=0)
-        best = int(np.argmin(medians))
-        out_m.append(float(medians[best]))
-        out_path.append(str(names[best]))
-    return pa.table({"trip_id": trips["trip_id"], "m": pa.array(out_m, pa.float64()), "path_id": pa.array(out_path, pa.string())})
+    names = paths["path_id"].to_pylist()
+    order = sorted(range(len(names)), key=names.__getitem__)
+    vertices, ends = _flat(paths["v"].combine_chunks().take(pa.array(order)))
+    points, stops = _flat(trips["pts"].combine_chunks())
+    lengths = np.diff(stops)
+    best, which = np.full(trips.num_rows, np.inf), np.zeros(trips.num_rows, np.int64)
+    for n in np.unique(lengths):
+        own = np.flatnonzero(lengths == n)
+        for lo, hi in _slices(ends, max(1, CELLS // int(n))):
+            places, at = np.unique(vertices[ends[lo] : ends[hi]], axis=0, return_inverse=True)
+            at, cut = at.reshape(-1), ends[lo:hi] - ends[lo]
+            room = max(1, CELLS // (int(n) * len(at)))
+            for k in range(0, len(own), room):
+                some = own[k : k + room]
+                lat, lon = points[(stops[some][:, None] + np.arange(n)).reshape(-1)].T
+                near = np.minimum.reduceat(_distances(lat, lon, places)[:, at], cut, axis=1)
+                medians = np.median(near.reshape(len(some), n, hi - lo), axis=1)
+                first = np.argmin(medians, axis=1)
+                lowest = medians[np.arange(len(some)), first]
+                closer = lowest < best[some]
+                best[some[closer]], which[some[closer]] = lowest[closer], first[closer] + lo
+    return pa.table({"trip_id": trips["trip_id"], "m": pa.array(best, pa.float64()), "path_id": pa.array([names[order[k]] for k in which], pa.string())})
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all lists as (lat, lon) in radians, and where each list begins and the last one ends."""
+    places = lists.flatten()
+    return np.radians(np.column_stack([places.field(c).to_numpy() for c in ("lat", "lon")])), lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+
+
+def _slices(ends: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Ranges of lists in order with `most` elements or fewer each, or one list."""
+    out, lo = [], 0
+    while lo < len(ends) - 1:
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + most, side="right")) - 1)
+        out.append((lo, hi))
+        lo = hi
+    return out
 
 
 def _distances(lat: np.ndarray, lon: np.ndarray, places: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ from .operators import features, matching, modes, paths, profile, report, stays,
 from .operators.joins import grid_join
 from .plans import events
 from .plans.events import GAP_MIN, LAT, LON
-from .operators.graph import scratch_folder
+from .operators.graph import scratch_folder, written
 from .sources.readers import read_artifact
 from .sources.schema import conform
 from .sources.sinks import save_artifact
@@ -280,7 +280,7 @@ ow AS (SELECT dv.*, dev > 200 AS over_, coalesce({hav('lag(snapped_lat) OVER w',
 il AS (SELECT *, rn - row_number() OVER (PARTITION BY trip_id, over_ ORDER BY snapped_time, seq) AS island FROM ow)
 SELECT user_id, trip_id, epoch_us(min(snapped_time)) AS start_time, epoch_us(max(snapped_time)) AS end_time, round(max(dev), 3) AS max_deviation_m, round(sum(step), 3) AS span_m FROM il WHERE over_ GROUP BY user_id, trip_id, island HAVING sum(step) >= 300""")
 def matched_detours(spark, sf):
-    m = events.matched(all_cut(spark, sf)[0])
+    m = written(events.matched(all_cut(spark, sf)[0]).select("user_id", "trip_id", "seq", "snapped_time", "snapped_lat", "snapped_lon"))
     return paths.matched_detours(m, _baseline(m)).select("user_id", "trip_id", us("start_time"), us("end_time"), rnd("max_deviation_m", 3), rnd("span_m", 3))
 
 
